@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 
 from odometer.functions.timeutil import as_wall_clock
 from odometer.operators.telemetry import clean_and_enrich, clean_telemetry
+from odometer.operators.profitability import (
+    build_report,
+    build_report_for_day,
+    report_summary,
+    trip_revenue,
+)
 from odometer.operators.utilization import utilization_metrics
 from odometer.session import ensure_utc
 from odometer.sources import fixtures
@@ -58,3 +64,42 @@ def q_clean_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_utilization_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = utilization_metrics(clean_rows(spark, sf_dir), watermark=None, exact_money=True)
     return _ntz(metrics, "window_start", "window_end")
+
+
+REPORT_DAY = "2024-01-15"
+
+
+def expense_rows(spark: SparkSession, sf_dir: str, clean: DataFrame | None = None) -> DataFrame:
+    """The expense feed: every supplier-vehicle for every telemetry date."""
+    clean = clean if clean is not None else clean_rows(spark, sf_dir)
+    dates = clean.select(F.to_date("event_time").alias("report_date")).distinct()
+    return fixtures.expense_feed(fixtures.table(spark, sf_dir, "supplier"), dates)
+
+
+def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = clean_rows(spark, sf_dir)
+    return build_report(expense_rows(spark, sf_dir, clean), trip_revenue(clean, exact_money=True))
+
+
+@query("trip_revenue")
+def q_trip_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trip_revenue(clean_rows(spark, sf_dir), exact_money=True)
+
+
+@query("profitability_report")
+def q_profitability_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many-day reconciliation: one Spark job over the whole history."""
+    return report_rows(spark, sf_dir)
+
+
+@query("profitability_report_day")
+def q_profitability_report_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single-date reconciliation: the date's feed against the date's events."""
+    clean = clean_rows(spark, sf_dir)
+    feed = expense_rows(spark, sf_dir, clean).where(F.col("report_date") == F.lit(REPORT_DAY).cast("date"))
+    return build_report_for_day(feed, clean, REPORT_DAY, exact_money=True)
+
+
+@query("profitability_summary")
+def q_profitability_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report_summary(report_rows(spark, sf_dir))

@@ -87,3 +87,70 @@ ORACLES: dict[str, str] = {}
 ORACLES["clean_telemetry"] = with_ctes(TELEMETRY, CLEAN) + "SELECT * FROM clean"
 
 ORACLES["utilization_5m"] = with_ctes(TELEMETRY, CLEAN, UTILIZATION) + "SELECT * FROM util"
+
+TRIP_REVENUE = f"""
+trips AS (
+  SELECT CAST(event_time AS DATE) AS report_date, vehicle_id, trip_id, max(fare) AS trip_fare
+  FROM clean WHERE status = 'on_trip' AND fare > {d(0)}
+  GROUP BY CAST(event_time AS DATE), vehicle_id, trip_id
+),
+rev AS (
+  SELECT report_date, vehicle_id, count(trip_id) AS completed_trip_count,
+         {money_sum('trip_fare')} AS trip_revenue
+  FROM trips GROUP BY report_date, vehicle_id
+)"""
+
+EXPENSES = f"""
+dates AS (SELECT DISTINCT CAST(event_time AS DATE) AS report_date FROM clean),
+expenses AS (
+  SELECT dates.report_date,
+         'V' || CAST(s_suppkey AS VARCHAR) AS vehicle_id,
+         {rnd('abs(s_acctbal) / ' + d(100), 2)} AS fuel_cost,
+         CAST(s_nationkey AS DOUBLE) * {d(3.5)} AS maintenance_cost,
+         CAST(15 + (s_suppkey * 37) % 205 AS DOUBLE) AS distance_covered,
+         CASE WHEN s_suppkey % 8 = 0 THEN 'required' ELSE 'not_required' END AS service_flag
+  FROM supplier CROSS JOIN dates
+)"""
+
+REPORT = f"""
+joined AS (
+  SELECT e.report_date, e.vehicle_id,
+         coalesce(r.completed_trip_count, 0) AS completed_trip_count,
+         coalesce(r.trip_revenue, {d(0)}) AS trip_revenue,
+         e.fuel_cost, e.maintenance_cost,
+         {rnd('e.fuel_cost + e.maintenance_cost', 2)} AS total_expense,
+         e.distance_covered, e.service_flag
+  FROM expenses e LEFT JOIN rev r ON e.report_date = r.report_date AND e.vehicle_id = r.vehicle_id
+),
+profit AS (
+  SELECT *, {rnd('trip_revenue - total_expense', 2)} AS profit FROM joined
+),
+report AS (
+  SELECT report_date, vehicle_id, completed_trip_count, trip_revenue, fuel_cost, maintenance_cost,
+         total_expense, distance_covered, service_flag, profit,
+         CASE WHEN trip_revenue > {d(0)} THEN {rnd('(profit / trip_revenue) * ' + d(100), 2)}
+              ELSE CAST(NULL AS DOUBLE) END AS profit_margin_pct,
+         CASE WHEN profit < {d(0)} THEN 'unprofitable' ELSE 'profitable' END AS profitability_status
+  FROM profit
+)"""
+
+REPORT_CTES = (TELEMETRY, CLEAN, TRIP_REVENUE, EXPENSES, REPORT)
+
+ORACLES["trip_revenue"] = with_ctes(TELEMETRY, CLEAN, TRIP_REVENUE) + "SELECT * FROM rev"
+
+ORACLES["profitability_report"] = with_ctes(*REPORT_CTES) + "SELECT * FROM report"
+
+REPORT_DAY = "2024-01-15"
+
+ORACLES["profitability_report_day"] = (
+    with_ctes(*REPORT_CTES)
+    + f"SELECT * FROM report WHERE report_date = DATE '{REPORT_DAY}' ORDER BY profit NULLS FIRST, vehicle_id"
+)
+
+ORACLES["profitability_summary"] = with_ctes(*REPORT_CTES) + """
+SELECT report_date,
+       count(*) AS vehicle_count,
+       count(*) FILTER (WHERE profitability_status = 'unprofitable') AS unprofitable_vehicle_count,
+       coalesce(string_agg(vehicle_id, ',' ORDER BY profit NULLS FIRST, vehicle_id)
+                FILTER (WHERE profitability_status = 'unprofitable'), '') AS unprofitable_vehicles
+FROM report GROUP BY report_date"""
