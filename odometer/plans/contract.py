@@ -21,7 +21,16 @@ from odometer.operators.profitability import (
     report_summary,
     trip_revenue,
 )
-from odometer.operators.utilization import utilization_metrics
+from odometer.operators.serving import (
+    conform_utilization,
+    latest_per_key,
+    latest_window,
+    upsert_profitability,
+    upsert_utilization,
+)
+from odometer.operators.profitability import finish_report
+from odometer.operators.utilization import batch_totals, utilization_metrics
+from odometer.plans import oracle_sql as params
 from odometer.session import ensure_utc
 from odometer.sources import fixtures
 
@@ -103,3 +112,69 @@ def q_profitability_report_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("profitability_summary")
 def q_profitability_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_summary(report_rows(spark, sf_dir))
+
+
+def history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append-only metrics history (three versions per window at most)."""
+    return fixtures.utilization_history(clean_rows(spark, sf_dir))
+
+
+def serving_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keep-latest serving view over the history."""
+    return latest_per_key(history_rows(spark, sf_dir))
+
+
+@query("latest_metrics_per_key")
+def q_latest_metrics_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ntz(serving_rows(spark, sf_dir), "window_start", "window_end", "processed_at")
+
+
+@query("batch_totals")
+def q_batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batch_totals(history_rows(spark, sf_dir))
+
+
+@query("utilization_upsert")
+def q_utilization_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored state after batches 0-1, merged with batch 2 plus replays of
+    batch 0 (stale or equal time) and batch 1 (equal time)."""
+    history = history_rows(spark, sf_dir)
+    target = latest_per_key(history.where(F.col("spark_batch_id") <= 1))
+    incoming = (
+        history.where(F.col("spark_batch_id") == 2)
+        .unionByName(history.where(F.col("spark_batch_id") == 0).withColumn("spark_batch_id", F.lit(3).cast("long")))
+        .unionByName(history.where(F.col("spark_batch_id") == 1).withColumn("spark_batch_id", F.lit(4).cast("long")))
+    )
+    merged = upsert_utilization(target, incoming)
+    return _ntz(merged, "window_start", "window_end", "processed_at")
+
+
+@query("latest_window")
+def q_latest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ntz(latest_window(serving_rows(spark, sf_dir)), "window_start", "window_end", "processed_at")
+
+
+@query("latest_window_zone")
+def q_latest_window_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = latest_window(serving_rows(spark, sf_dir), zone=params.LATEST_ZONE)
+    return _ntz(rows, "window_start", "window_end", "processed_at")
+
+
+@query("serving_conform")
+def q_serving_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ntz(conform_utilization(serving_rows(spark, sf_dir)), "window_start", "window_end", "processed_at")
+
+
+@query("profitability_upsert")
+def q_profitability_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored report, then a re-run for the later dates that posts a late fee
+    for vehicles with trips; every other stored row must survive."""
+    report = report_rows(spark, sf_dir)
+    target = report.withColumn("updated_at", F.lit(params.UPDATED_AT_TARGET).cast("timestamp"))
+    rerun = finish_report(
+        report.where(
+            (F.col("report_date") >= F.lit(params.RERUN_FROM).cast("date")) & (F.col("completed_trip_count") > 0)
+        ).withColumn("maintenance_cost", F.col("maintenance_cost") + F.lit(float(params.LATE_FEE)))
+    )
+    merged = upsert_profitability(target, rerun, params.UPDATED_AT_BATCH)
+    return _ntz(merged, "updated_at")

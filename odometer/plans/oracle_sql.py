@@ -154,3 +154,123 @@ SELECT report_date,
        coalesce(string_agg(vehicle_id, ',' ORDER BY profit NULLS FIRST, vehicle_id)
                 FILTER (WHERE profitability_status = 'unprofitable'), '') AS unprofitable_vehicles
 FROM report GROUP BY report_date"""
+
+UTIL_SELECT = f"""zone,
+         count(*) AS telemetry_event_count,
+         CAST(sum(CASE WHEN status = 'idle' THEN 1 ELSE 0 END) AS BIGINT) AS idle_event_count,
+         CAST(sum(CASE WHEN status = 'on_trip' THEN 1 ELSE 0 END) AS BIGINT) AS on_trip_event_count,
+         CAST(sum(CASE WHEN status <> 'idle' THEN 1 ELSE 0 END) AS BIGINT) AS active_event_count,
+         {money_sum('fare')} AS observed_earnings,
+         avg(speed) AS average_speed,
+         ws AS window_start,
+         ws + INTERVAL 5 MINUTE AS window_end,
+         {rnd("CAST(sum(CASE WHEN status = 'idle' THEN 1 ELSE 0 END) AS DOUBLE) / CAST(count(*) AS DOUBLE)", 4)} AS idle_ratio"""
+
+HISTORY = f"""
+hist_rows AS (
+  SELECT *, CAST(floor((epoch_us(event_time) - epoch_us(ws)) / 100000000) AS INTEGER) AS row_step
+  FROM (SELECT *, time_bucket(INTERVAL 5 MINUTE, event_time) AS ws FROM clean) c
+),
+fanned AS (
+  SELECT h.*, v.spark_batch_id
+  FROM hist_rows h JOIN (SELECT unnest([0, 1, 2]) AS spark_batch_id) v ON v.spark_batch_id >= h.row_step
+),
+history AS (
+  SELECT {UTIL_SELECT},
+         CAST(spark_batch_id AS BIGINT) AS spark_batch_id,
+         ws + to_seconds(CAST((spark_batch_id + 1) * 100 AS BIGINT)) AS processed_at
+  FROM fanned
+  GROUP BY zone, ws, spark_batch_id
+  HAVING count(*) FILTER (WHERE row_step = spark_batch_id) > 0
+),
+serving AS (
+  SELECT * FROM history
+  QUALIFY row_number() OVER (PARTITION BY window_start, window_end, zone
+                             ORDER BY processed_at DESC, spark_batch_id DESC) = 1
+)"""
+
+SERVING_CTES = (TELEMETRY, CLEAN, HISTORY)
+
+ORACLES["latest_metrics_per_key"] = with_ctes(*SERVING_CTES) + "SELECT * FROM serving"
+
+ORACLES["batch_totals"] = with_ctes(*SERVING_CTES) + """
+SELECT spark_batch_id, count(*) AS metric_rows, CAST(sum(telemetry_event_count) AS BIGINT) AS telemetry_events
+FROM history GROUP BY spark_batch_id"""
+
+ORACLES["utilization_upsert"] = with_ctes(*SERVING_CTES) + """,
+target AS (
+  SELECT * FROM history WHERE spark_batch_id <= 1
+  QUALIFY row_number() OVER (PARTITION BY window_start, window_end, zone
+                             ORDER BY processed_at DESC, spark_batch_id DESC) = 1
+),
+incoming AS (
+  SELECT * FROM history WHERE spark_batch_id = 2
+  UNION ALL SELECT * REPLACE (CAST(3 AS BIGINT) AS spark_batch_id) FROM history WHERE spark_batch_id = 0
+  UNION ALL SELECT * REPLACE (CAST(4 AS BIGINT) AS spark_batch_id) FROM history WHERE spark_batch_id = 1
+),
+both_sides AS (
+  SELECT *, 0 AS is_incoming FROM target UNION ALL SELECT *, 1 AS is_incoming FROM incoming
+)
+SELECT * EXCLUDE (is_incoming) FROM both_sides
+QUALIFY row_number() OVER (PARTITION BY window_start, window_end, zone
+                           ORDER BY processed_at DESC, is_incoming DESC, spark_batch_id DESC) = 1"""
+
+LATEST_COLS = """zone, telemetry_event_count, idle_event_count, on_trip_event_count, active_event_count,
+       observed_earnings, average_speed, window_start, window_end, idle_ratio, processed_at"""
+
+ORACLES["latest_window"] = with_ctes(*SERVING_CTES) + f"""
+SELECT {LATEST_COLS}, count(*) OVER () AS metric_window_count
+FROM serving WHERE window_end = (SELECT max(window_end) FROM serving)
+ORDER BY zone"""
+
+LATEST_ZONE = "outside_service_area"
+
+ORACLES["latest_window_zone"] = with_ctes(*SERVING_CTES) + f"""
+SELECT {LATEST_COLS}, count(*) OVER () AS metric_window_count
+FROM serving WHERE window_end = (SELECT max(window_end) FROM serving) AND zone = '{LATEST_ZONE}'
+ORDER BY zone"""
+
+
+def dec(expr: str, p: int, s: int) -> str:
+    return f"CAST(round(CAST({expr} AS DECIMAL(28,10)), {s}) AS DECIMAL({p},{s}))"
+
+
+ORACLES["serving_conform"] = with_ctes(*SERVING_CTES) + f"""
+SELECT window_start, window_end, zone,
+       CAST(coalesce(telemetry_event_count, 0) AS INTEGER) AS telemetry_event_count,
+       CAST(coalesce(idle_event_count, 0) AS INTEGER) AS idle_event_count,
+       CAST(coalesce(on_trip_event_count, 0) AS INTEGER) AS on_trip_event_count,
+       CAST(coalesce(active_event_count, 0) AS INTEGER) AS active_event_count,
+       {dec('coalesce(observed_earnings, ' + d(0) + ')', 14, 2)} AS observed_earnings,
+       {dec('coalesce(average_speed, ' + d(0) + ')', 8, 2)} AS average_speed,
+       {dec('coalesce(idle_ratio, ' + d(0) + ')', 7, 4)} AS idle_ratio,
+       spark_batch_id, processed_at
+FROM serving"""
+
+UPDATED_AT_TARGET = "2024-02-01 00:00:00"
+UPDATED_AT_BATCH = "2024-02-02 00:00:00"
+RERUN_FROM = "2024-01-16"
+LATE_FEE = 10
+
+ORACLES["profitability_upsert"] = with_ctes(*REPORT_CTES) + f""",
+rerun_joined AS (
+  SELECT report_date, vehicle_id, completed_trip_count, trip_revenue, fuel_cost,
+         maintenance_cost + {d(LATE_FEE)} AS maintenance_cost,
+         {rnd('fuel_cost + (maintenance_cost + ' + d(LATE_FEE) + ')', 2)} AS total_expense,
+         distance_covered, service_flag
+  FROM report WHERE report_date >= DATE '{RERUN_FROM}' AND completed_trip_count > 0
+),
+rerun_profit AS (SELECT *, {rnd('trip_revenue - total_expense', 2)} AS profit FROM rerun_joined),
+rerun AS (
+  SELECT report_date, vehicle_id, completed_trip_count, trip_revenue, fuel_cost, maintenance_cost,
+         total_expense, distance_covered, service_flag, profit,
+         CASE WHEN trip_revenue > {d(0)} THEN {rnd('(profit / trip_revenue) * ' + d(100), 2)}
+              ELSE CAST(NULL AS DOUBLE) END AS profit_margin_pct,
+         CASE WHEN profit < {d(0)} THEN 'unprofitable' ELSE 'profitable' END AS profitability_status,
+         TIMESTAMP '{UPDATED_AT_BATCH}' AS updated_at
+  FROM rerun_profit
+)
+SELECT * FROM rerun
+UNION ALL
+SELECT r.*, TIMESTAMP '{UPDATED_AT_TARGET}' AS updated_at
+FROM report r ANTI JOIN rerun n ON r.report_date = n.report_date AND r.vehicle_id = n.vehicle_id"""

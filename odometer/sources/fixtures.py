@@ -115,3 +115,45 @@ def expense_feed_text(feed: DataFrame) -> DataFrame:
         F.col("distance_covered").cast("string").alias("distance_covered"),
         "service_flag",
     )
+
+
+VERSION_STEP_SECONDS = 100
+VERSIONS = 3
+
+
+def utilization_history(clean: DataFrame, exact_money: bool = True) -> DataFrame:
+    """What an update-mode stream would have appended for each window/zone.
+
+    A 5-minute window is observed in three processing steps of 100 s: version
+    ``b`` (``spark_batch_id = b``) holds the aggregate over the window's rows
+    with an in-window offset below ``(b+1)*100 s`` and is emitted only when
+    step ``b`` brought new rows, stamped ``processed_at = window_start +
+    (b+1)*100 s``.  One pass: every row is fanned out to the versions it
+    belongs to and the library aggregate is keyed additionally by version.
+    """
+    from odometer.operators.utilization import utilization_metrics
+
+    window_start = F.window("event_time", "5 minutes").start
+    step = F.floor(
+        (F.unix_micros("event_time") - F.unix_micros(window_start)) / F.lit(VERSION_STEP_SECONDS * 1_000_000)
+    ).cast("int")
+    fanned = clean.withColumn("row_step", step).withColumn(
+        "spark_batch_id", F.explode(F.sequence(F.col("row_step"), F.lit(VERSIONS - 1)))
+    )
+    metrics = utilization_metrics(
+        fanned,
+        watermark=None,
+        exact_money=exact_money,
+        extra_keys=(F.col("spark_batch_id"),),
+        extra_aggs=(F.count_if(F.col("row_step") == F.col("spark_batch_id")).alias("new_rows"),),
+    )
+    return (
+        metrics.where(F.col("new_rows") > 0)
+        .drop("new_rows")
+        .withColumn("spark_batch_id", F.col("spark_batch_id").cast("long"))
+        .withColumn(
+            "processed_at",
+            F.col("window_start")
+            + F.make_dt_interval(secs=(F.col("spark_batch_id") + 1) * F.lit(VERSION_STEP_SECONDS)),
+        )
+    )
