@@ -29,6 +29,7 @@ from odometer.operators.serving import (
     upsert_utilization,
 )
 from odometer.operators.profitability import finish_report
+from odometer.operators.health import check_grid, gauges, health_snapshot, health_status, health_transitions
 from odometer.operators.utilization import batch_totals, utilization_metrics
 from odometer.plans import oracle_sql as params
 from odometer.session import ensure_utc
@@ -178,3 +179,31 @@ def q_profitability_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     merged = upsert_profitability(target, rerun, params.UPDATED_AT_BATCH)
     return _ntz(merged, "updated_at")
+
+
+def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return health_snapshot(serving_rows(spark, sf_dir), report_rows(spark, sf_dir))
+
+
+@query("health_snapshot")
+def q_health_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ntz(snapshot_rows(spark, sf_dir), "last_processed_at")
+
+
+@query("health_status")
+def q_health_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = health_status(snapshot_rows(spark, sf_dir), params.HEALTH_NOW, params.THRESHOLD)
+    return _ntz(status, "last_processed_at", "checked_at")
+
+
+@query("gauge_export")
+def q_gauge_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gauges(snapshot_rows(spark, sf_dir), params.HEALTH_NOW, params.THRESHOLD)
+
+
+@query("health_transitions")
+def q_health_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Freshness checked every two minutes over the metrics' calendar span."""
+    serving = serving_rows(spark, sf_dir)
+    alerts = health_transitions(check_grid(serving, params.CHECK_MINUTES), serving, params.THRESHOLD)
+    return _ntz(alerts, "created_at", "last_processed_at")

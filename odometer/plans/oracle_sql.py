@@ -274,3 +274,76 @@ SELECT * FROM rerun
 UNION ALL
 SELECT r.*, TIMESTAMP '{UPDATED_AT_TARGET}' AS updated_at
 FROM report r ANTI JOIN rerun n ON r.report_date = n.report_date AND r.vehicle_id = n.vehicle_id"""
+
+HEALTH_NOW = "2024-01-31 00:01:00"
+THRESHOLD = 120
+
+
+def status_sql(now: str, last: str, threshold: int = THRESHOLD) -> str:
+    """CTE-body columns: age_seconds, status, reason for check time ``now``."""
+    age = (
+        f"CASE WHEN {last} IS NULL THEN CAST(NULL AS BIGINT) ELSE "
+        f"greatest(CAST(0 AS BIGINT), CAST(floor((epoch_us({now}) - epoch_us({last})) / 1000000) AS BIGINT)) END"
+    )
+    status = (
+        f"CASE WHEN {last} IS NULL THEN 'degraded' WHEN ({age}) > {threshold} THEN 'unhealthy' ELSE 'healthy' END"
+    )
+    reason = (
+        f"CASE WHEN {last} IS NULL THEN 'No telemetry metrics have been processed yet.' "
+        f"WHEN ({age}) > {threshold} THEN 'No telemetry processed for ' || CAST(({age}) AS VARCHAR) || ' seconds.' "
+        f"ELSE 'Telemetry is current.' END"
+    )
+    return f"{age} AS age_seconds, {status} AS status, {reason} AS reason"
+
+
+SNAPSHOT = """
+snapshot AS (
+  SELECT (SELECT max(processed_at) FROM serving) AS last_processed_at,
+         (SELECT count(*) FROM serving) AS metric_rows,
+         (SELECT count(*) FROM report) AS profitability_rows
+)"""
+
+HEALTH_CTES = (TELEMETRY, CLEAN, HISTORY, TRIP_REVENUE, EXPENSES, REPORT, SNAPSHOT)
+
+ORACLES["health_snapshot"] = with_ctes(*HEALTH_CTES) + "SELECT * FROM snapshot"
+
+ORACLES["health_status"] = with_ctes(*HEALTH_CTES) + f"""
+SELECT last_processed_at, metric_rows, profitability_rows,
+       {status_sql(f"TIMESTAMP '{HEALTH_NOW}'", 'last_processed_at')},
+       {THRESHOLD} AS no_data_alert_seconds,
+       TIMESTAMP '{HEALTH_NOW}' AS checked_at
+FROM snapshot"""
+
+ORACLES["gauge_export"] = with_ctes(*HEALTH_CTES) + f""",
+st AS (SELECT metric_rows, {status_sql(f"TIMESTAMP '{HEALTH_NOW}'", 'last_processed_at')} FROM snapshot)
+SELECT 'fleet_serving_metric_rows' AS name, CAST(metric_rows AS BIGINT) AS value FROM st
+UNION ALL
+SELECT 'fleet_last_telemetry_age_seconds' AS name, CAST(coalesce(age_seconds, -1) AS BIGINT) AS value FROM st"""
+
+CHECK_MINUTES = 2
+
+ORACLES["health_transitions"] = with_ctes(*SERVING_CTES) + f""",
+bounds AS (
+  SELECT CAST(CAST(min(processed_at) AS DATE) AS TIMESTAMP) AS lo,
+         CAST(CAST(max(processed_at) AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY AS hi
+  FROM serving
+),
+checks AS (
+  SELECT unnest(generate_series(lo, hi - INTERVAL {CHECK_MINUTES} MINUTE, INTERVAL {CHECK_MINUTES} MINUTE)) AS check_time
+  FROM bounds
+),
+stamps AS (SELECT DISTINCT processed_at FROM serving),
+asof_rows AS (
+  SELECT c.check_time, s.processed_at AS last_processed_at
+  FROM checks c ASOF LEFT JOIN stamps s ON c.check_time >= s.processed_at
+),
+st AS (SELECT check_time, last_processed_at, {status_sql('check_time', 'last_processed_at')} FROM asof_rows),
+lagged AS (SELECT *, lag(status) OVER (ORDER BY check_time) AS prev_status FROM st)
+SELECT check_time AS created_at,
+       CASE status WHEN 'healthy' THEN 'info' WHEN 'degraded' THEN 'warning' WHEN 'unhealthy' THEN 'critical' END
+         AS severity,
+       'no_telemetry_processed' AS rule_name,
+       reason AS message, status, age_seconds, last_processed_at,
+       to_json({{'status': status, 'reason': reason, 'age_seconds': age_seconds,
+                 'last_processed_at': strftime(last_processed_at, '%Y-%m-%d %H:%M:%S')}}) AS context
+FROM lagged WHERE prev_status IS NULL OR status <> prev_status"""
