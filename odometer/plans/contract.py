@@ -29,6 +29,16 @@ from odometer.operators.serving import (
     upsert_utilization,
 )
 from odometer.operators.profitability import finish_report
+from odometer.operators.quality import expense_feed_checks
+from odometer.operators.telemetry import telemetry_checks
+from odometer.operators.utilization import sliding_metrics
+from odometer.functions.timeutil import naive_to_utc
+from odometer.functions.zones import box_zone, grid_zone
+from odometer.schemas import TELEMETRY_FIELDS, UTILIZATION_COLUMNS
+from odometer.session import scratch_path
+from odometer.sinks.files import write_expense_feed
+from odometer.sources.expenses import read_expense_feed
+from odometer.sources.telemetry import decode_telemetry, encode_telemetry
 from odometer.operators.health import check_grid, gauges, health_snapshot, health_status, health_transitions
 from odometer.operators.utilization import batch_totals, utilization_metrics
 from odometer.plans import oracle_sql as params
@@ -207,3 +217,112 @@ def q_health_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     serving = serving_rows(spark, sf_dir)
     alerts = health_transitions(check_grid(serving, params.CHECK_MINUTES), serving, params.THRESHOLD)
     return _ntz(alerts, "created_at", "last_processed_at")
+
+
+@query("zone_assignment")
+def q_zone_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixtures.telemetry_rows(_events(spark, sf_dir), keep_event_id=True)
+    return rows.select("event_id", "lat", "lon", grid_zone("lat", "lon").alias("zone"))
+
+
+@query("zone_boxes")
+def q_zone_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fixtures.telemetry_rows(_events(spark, sf_dir), keep_event_id=True)
+    return rows.select("event_id", "lat", "lon", box_zone("lat", "lon").alias("zone"))
+
+
+@query("telemetry_json_roundtrip")
+def q_telemetry_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode each event as the producer does, decode it as the consumer does."""
+    rows = fixtures.telemetry_rows(_events(spark, sf_dir)).select(*TELEMETRY_FIELDS)
+    return decode_telemetry(encode_telemetry(rows))
+
+
+@query("telemetry_checks")
+def q_telemetry_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telemetry_checks(fixtures.telemetry_rows(_events(spark, sf_dir)))
+
+
+@query("expense_feed_checks")
+def q_expense_feed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supplier-based feed checked against the vehicles seen on the road."""
+    clean = clean_rows(spark, sf_dir)
+    return expense_feed_checks(expense_rows(spark, sf_dir, clean), clean.select("vehicle_id"))
+
+
+@query("expense_feed_scan")
+def q_expense_feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the daily feeds as CSV in the shared folder, then scan them back
+    (date from the file name, typed amounts)."""
+    path = scratch_path(spark, "expense_feed")
+    write_expense_feed(expense_rows(spark, sf_dir), path)
+    return read_expense_feed(spark, path)
+
+
+@query("utc_normalize")
+def q_utc_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times recorded as naive Asia/Colombo wall-clock, expressed in UTC."""
+    ev = _events(spark, sf_dir)
+    return ev.select(
+        "event_id",
+        F.col("ts").alias("local_time"),
+        as_wall_clock(naive_to_utc(F.col("ts").cast("timestamp"), params.LOCAL_ZONE)).alias("utc_time"),
+    )
+
+
+@query("sliding_metrics")
+def q_sliding_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Older path: 5-minute windows sliding by 1 minute over unvalidated rows."""
+    out = sliding_metrics(fixtures.telemetry_rows(_events(spark, sf_dir)), exact_money=True)
+    return _ntz(out, "window_start", "window_end")
+
+
+@query("sliding_metrics_approx")
+def q_sliding_metrics_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same windows with HyperLogLog distinct counts (rows-only check)."""
+    out = sliding_metrics(fixtures.telemetry_rows(_events(spark, sf_dir)), approximate=True, exact_money=True)
+    return _ntz(out, "window_start", "window_end")
+
+
+@query("stream_utilization")
+def q_stream_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live path end to end on a file stream.
+
+    Telemetry JSON arrives in two drops split at the midpoint of the event
+    time span; each drop is consumed by an ``availableNow`` run of the same
+    checkpointed query (watermark 2 min, update mode, per-batch partitions).
+    The window that straddles the split is emitted twice; the keep-latest
+    view over the appended batches equals the batch aggregate.
+    """
+    from odometer.streaming.queries import start_queries
+
+    base = scratch_path(spark, "stream_utilization")
+    events = _events(spark, sf_dir)
+    span = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    split = span["lo"] + (span["hi"] - span["lo"]) / 2
+    json_rows = fixtures.telemetry_rows(events).select(*TELEMETRY_FIELDS, F.col("event_time"))
+    drops = (
+        json_rows.where(F.col("event_time") < F.lit(split).cast("timestamp_ntz").cast("timestamp")),
+        json_rows.where(F.col("event_time") >= F.lit(split).cast("timestamp_ntz").cast("timestamp")),
+    )
+    for drop in drops:
+        encode_telemetry(drop).select(F.col("value").cast("string").alias("value")).write.mode("append").text(
+            f"{base}/source"
+        )
+        source = spark.readStream.format("text").load(f"{base}/source")
+        queries = start_queries(
+            spark,
+            source,
+            f"{base}/lake",
+            f"{base}/metrics",
+            f"{base}/checkpoints",
+            available_now=True,
+            exact_money=True,
+        )
+        for q in queries:
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise RuntimeError(str(q.exception()))
+    history = spark.read.parquet(f"{base}/metrics")
+    latest = latest_per_key(history).select(*UTILIZATION_COLUMNS)
+    return _ntz(latest, "window_start", "window_end")

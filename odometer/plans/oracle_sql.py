@@ -347,3 +347,75 @@ SELECT check_time AS created_at,
        to_json({{'status': status, 'reason': reason, 'age_seconds': age_seconds,
                  'last_processed_at': strftime(last_processed_at, '%Y-%m-%d %H:%M:%S')}}) AS context
 FROM lagged WHERE prev_status IS NULL OR status <> prev_status"""
+
+LOCAL_ZONE = "Asia/Colombo"
+
+ORACLES["zone_assignment"] = with_ctes(TELEMETRY) + f"SELECT event_id, lat, lon, {ZONE} AS zone FROM tel"
+
+ORACLES["zone_boxes"] = with_ctes(TELEMETRY) + f"SELECT event_id, lat, lon, {BOX_ZONE} AS zone FROM tel"
+
+ORACLES["telemetry_json_roundtrip"] = with_ctes(TELEMETRY) + """
+SELECT trip_id, driver_id, vehicle_id, lat, lon, speed, status, fare, "timestamp" FROM tel"""
+
+ORACLES["utc_normalize"] = "SELECT event_id, ts AS local_time, ts - INTERVAL 330 MINUTE AS utc_time FROM events"
+
+ORACLES["telemetry_checks"] = with_ctes(TELEMETRY) + """
+SELECT CAST(event_time AS DATE) AS event_date,
+       count(*) AS rows,
+       count(*) FILTER (WHERE trip_id IS NULL OR driver_id IS NULL OR vehicle_id IS NULL OR lat IS NULL
+                        OR lon IS NULL OR speed IS NULL OR status IS NULL OR fare IS NULL
+                        OR "timestamp" IS NULL) AS missing_field_rows,
+       count(*) FILTER (WHERE NOT coalesce(status IN ('idle', 'enroute', 'on_trip'), false)) AS bad_status_rows,
+       count(*) FILTER (WHERE NOT coalesce(starts_with(vehicle_id, 'V'), false)) AS bad_vehicle_id_rows,
+       count(*) FILTER (WHERE NOT coalesce(speed BETWEEN 0 AND 180, false)) AS bad_speed_rows,
+       count(*) FILTER (WHERE NOT coalesce(fare >= 0, false)) AS bad_fare_rows,
+       count(*) FILTER (WHERE event_time IS NULL) AS bad_time_rows,
+       count(*) FILTER (WHERE NOT coalesce(""" + VALID + """, false)) AS rejected_rows,
+       count(*) FILTER (WHERE coalesce(""" + VALID + """, false)) AS accepted_rows
+FROM tel GROUP BY CAST(event_time AS DATE)"""
+
+ORACLES["expense_feed_checks"] = with_ctes(TELEMETRY, CLEAN, EXPENSES) + """,
+dim AS (SELECT DISTINCT vehicle_id FROM clean),
+per_vehicle AS (
+  SELECT e.report_date, e.vehicle_id, count(*) AS n, bool_or(d.vehicle_id IS NOT NULL) AS known,
+         count(*) FILTER (WHERE NOT coalesce(e.fuel_cost > 0, false)) AS bad_fuel,
+         count(*) FILTER (WHERE NOT coalesce(e.maintenance_cost >= 0, false)) AS bad_maintenance,
+         count(*) FILTER (WHERE NOT coalesce(e.service_flag IN ('required', 'not_required'), false)) AS bad_flag
+  FROM expenses e LEFT JOIN dim d ON e.vehicle_id = d.vehicle_id
+  GROUP BY e.report_date, e.vehicle_id
+)
+SELECT report_date,
+       CAST(sum(n) AS BIGINT) AS rows,
+       CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS duplicate_vehicle_rows,
+       CAST(coalesce(sum(n) FILTER (WHERE NOT known), 0) AS BIGINT) AS unknown_vehicle_rows,
+       (SELECT count(*) FROM dim) - count(*) FILTER (WHERE known) AS missing_vehicles,
+       CAST(sum(bad_fuel) AS BIGINT) AS bad_fuel_rows,
+       CAST(sum(bad_maintenance) AS BIGINT) AS bad_maintenance_rows,
+       CAST(sum(bad_flag) AS BIGINT) AS bad_flag_rows,
+       CAST(0 AS BIGINT) AS date_mismatch_rows
+FROM per_vehicle GROUP BY report_date"""
+
+ORACLES["expense_feed_scan"] = with_ctes(TELEMETRY, CLEAN, EXPENSES) + """
+SELECT report_date, vehicle_id, fuel_cost, maintenance_cost, distance_covered, service_flag,
+       CAST(report_date AS VARCHAR) AS csv_report_date
+FROM expenses"""
+
+SLIDING = f"""
+fan AS (
+  SELECT t.*, time_bucket(INTERVAL 1 MINUTE, event_time) - to_minutes(CAST(ks.k AS BIGINT)) AS window_start
+  FROM tel t JOIN (SELECT unnest([0, 1, 2, 3, 4]) AS k) ks ON true
+  WHERE t.event_time IS NOT NULL
+)"""
+
+ORACLES["sliding_metrics"] = with_ctes(TELEMETRY, SLIDING) + f"""
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end,
+       count(DISTINCT vehicle_id) AS active_vehicles,
+       count(*) FILTER (WHERE status = 'idle') AS idle_events,
+       count(*) AS total_events,
+       count(DISTINCT trip_id) AS trips,
+       {money_sum('fare')} AS total_earnings,
+       avg(speed) AS average_speed,
+       CAST(count(*) FILTER (WHERE status = 'idle') AS DOUBLE) / CAST(count(*) AS DOUBLE) AS idle_ratio
+FROM fan GROUP BY window_start"""
+
+ORACLES["stream_utilization"] = ORACLES["utilization_5m"]
