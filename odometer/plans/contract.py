@@ -92,7 +92,7 @@ REPORT_DAY = "2024-01-15"
 def expense_rows(spark: SparkSession, sf_dir: str, clean: DataFrame | None = None) -> DataFrame:
     """The expense feed: every supplier-vehicle for every telemetry date."""
     clean = clean if clean is not None else clean_rows(spark, sf_dir)
-    dates = clean.select(F.to_date("event_time").alias("report_date")).distinct()
+    dates = clean.select(F.to_date("event_time").alias("report_date"))
     return fixtures.expense_feed(fixtures.table(spark, sf_dir, "supplier"), dates)
 
 

@@ -83,17 +83,15 @@ def telemetry_json(events: DataFrame) -> DataFrame:
 def expense_feed(supplier: DataFrame, report_dates: DataFrame) -> DataFrame:
     """One expense row per supplier-vehicle for every report date.
 
-    ``report_dates`` holds the distinct dates (column ``report_date``).  The
-    feed is generated without a cross join: each supplier row expands over
-    the calendar span (two scalar subqueries), and a semi join keeps only
-    dates present in ``report_dates``.  Output is one row per vehicle-day,
-    which is the feed itself.
+    ``report_dates`` holds the dates (column ``report_date``).  Their sorted
+    distinct list is one scalar subquery - bounded by the calendar span, not
+    by data volume - that every supplier row expands over, so no cross join
+    is planned and the date source is read once.  Output is one row per
+    vehicle-day, which is the feed itself.
     """
-    bounds = report_dates.agg(F.min("report_date").alias("lo"), F.max("report_date").alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
-    feed = supplier.select(
-        F.explode(F.sequence(lo, hi)).alias("report_date"),
+    dates = report_dates.agg(F.sort_array(F.collect_set("report_date")).alias("d")).select("d").scalar()
+    return supplier.select(
+        F.explode(dates).alias("report_date"),
         F.concat(F.lit("V"), F.col("s_suppkey").cast("string")).alias("vehicle_id"),
         round_half_up(F.abs("s_acctbal") / F.lit(100).cast("double"), 2).alias("fuel_cost"),
         (F.col("s_nationkey").cast("double") * F.lit(3.5).cast("double")).alias("maintenance_cost"),
@@ -102,7 +100,6 @@ def expense_feed(supplier: DataFrame, report_dates: DataFrame) -> DataFrame:
             "service_flag"
         ),
     )
-    return feed.join(report_dates.select("report_date").distinct(), "report_date", "left_semi")
 
 
 def expense_feed_text(feed: DataFrame) -> DataFrame:
