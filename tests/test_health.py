@@ -1,0 +1,139 @@
+import datetime as dt
+import random
+
+from pyspark.sql import functions as F
+
+from odometer.operators.health import (
+    as_of_last_processed,
+    exposition_text,
+    gauges,
+    gauges_or_absent,
+    health_columns,
+    health_snapshot,
+    health_status,
+    health_transitions,
+    severity,
+)
+
+NOW = dt.datetime(2026, 9, 27, 12, 0)
+
+
+def _status(spark, last, threshold=60, now=NOW):
+    df = spark.createDataFrame([(last,)], "last_processed_at timestamp_ntz").withColumn(
+        "last_processed_at", F.col("last_processed_at").cast("timestamp")
+    )
+    return health_columns(df, F.lit(now).cast("timestamp_ntz").cast("timestamp"), threshold).first()
+
+
+def test_never_processed_is_degraded(spark):
+    r = _status(spark, None)
+    assert r["status"] == "degraded" and r["age_seconds"] is None
+    assert r["reason"] == "No telemetry metrics have been processed yet."
+
+
+def test_recent_is_healthy(spark):
+    r = _status(spark, NOW - dt.timedelta(seconds=59))
+    assert (r["status"], r["reason"], r["age_seconds"]) == ("healthy", "Telemetry is current.", 59)
+
+
+def test_stale_is_unhealthy(spark):
+    r = _status(spark, NOW - dt.timedelta(seconds=61))
+    assert r["status"] == "unhealthy" and r["age_seconds"] == 61
+    assert r["reason"] == "No telemetry processed for 61 seconds."
+
+
+def test_exactly_at_threshold_is_healthy(spark):
+    assert _status(spark, NOW - dt.timedelta(seconds=60))["status"] == "healthy"
+
+
+def test_future_timestamp_has_age_zero(spark):
+    r = _status(spark, NOW + dt.timedelta(seconds=5))
+    assert (r["status"], r["age_seconds"]) == ("healthy", 0)
+
+
+def test_fractional_age_truncates(spark):
+    assert _status(spark, NOW - dt.timedelta(seconds=60, microseconds=999999))["age_seconds"] == 60
+
+
+def test_severity_mapping(spark):
+    df = spark.createDataFrame([("healthy",), ("degraded",), ("unhealthy",)], "status string")
+    assert [r[0] for r in df.select(severity()).collect()] == ["info", "warning", "critical"]
+
+
+def _serving(spark, stamps):
+    return spark.createDataFrame([(s,) for s in stamps], "processed_at timestamp_ntz").withColumn(
+        "processed_at", F.col("processed_at").cast("timestamp")
+    )
+
+
+def _checks(spark, times):
+    return spark.createDataFrame([(t,) for t in times], "check_time timestamp_ntz").withColumn(
+        "check_time", F.col("check_time").cast("timestamp")
+    )
+
+
+def test_as_of_matches_brute_force_across_days(spark):
+    rng = random.Random(5)
+    base = dt.datetime(2024, 1, 1)
+    stamps = [base + dt.timedelta(minutes=rng.randrange(0, 4 * 24 * 60)) for _ in range(60)]
+    stamps = [s for s in stamps if not (dt.datetime(2024, 1, 2) <= s < dt.datetime(2024, 1, 3))]  # an empty day
+    checks = [base + dt.timedelta(minutes=7 * i) for i in range(4 * 24 * 60 // 7)] + stamps[:5]
+    got = {
+        r["check_time"]: r["last_processed_at"]
+        for r in as_of_last_processed(_checks(spark, checks), _serving(spark, stamps))
+        .select(F.col("check_time").cast("timestamp_ntz"), F.col("last_processed_at").cast("timestamp_ntz"))
+        .collect()
+    }
+    for t in checks:
+        expect = max((s for s in stamps if s <= t), default=None)
+        assert got[t] == expect, t
+
+
+def test_transitions_match_brute_force(spark):
+    rng = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    stamps = sorted({base + dt.timedelta(minutes=rng.randrange(30, 3 * 24 * 60)) for _ in range(80)})
+    checks = [base + dt.timedelta(minutes=2 * i) for i in range(3 * 24 * 30)]
+    rows = (
+        health_transitions(_checks(spark, checks), _serving(spark, stamps), threshold_seconds=120)
+        .select(F.col("created_at").cast("timestamp_ntz").alias("t"), "status", "severity", "context")
+        .orderBy("t")
+        .collect()
+    )
+    expected, prev = [], None
+    for t in checks:
+        last = max((s for s in stamps if s <= t), default=None)
+        if last is None:
+            st = "degraded"
+        else:
+            st = "unhealthy" if max(0, int((t - last).total_seconds())) > 120 else "healthy"
+        if st != prev:
+            expected.append((t, st))
+        prev = st
+    assert [(r["t"], r["status"]) for r in rows] == expected
+    assert rows[0]["status"] == "degraded" and rows[0]["severity"] == "warning"
+    assert '"age_seconds":null' in rows[0]["context"]
+
+
+def test_snapshot_status_and_gauges(spark):
+    serving = _serving(spark, [NOW - dt.timedelta(seconds=100), NOW - dt.timedelta(seconds=30)])
+    report = spark.range(7)
+    snap = health_snapshot(serving, report)
+    r = health_status(snap, NOW, 60).first()
+    assert (r["metric_rows"], r["profitability_rows"], r["age_seconds"], r["status"]) == (2, 7, 30, "healthy")
+    g = {row["name"]: row["value"] for row in gauges(snap, NOW, 60).collect()}
+    assert g == {"fleet_serving_metric_rows": 2, "fleet_last_telemetry_age_seconds": 30}
+    empty = health_snapshot(serving.limit(0), report)
+    g = {row["name"]: row["value"] for row in gauges(empty, NOW, 60).collect()}
+    assert g == {"fleet_serving_metric_rows": 0, "fleet_last_telemetry_age_seconds": -1}
+    lines = [r["value"] for r in exposition_text(gauges(snap, NOW, 60)).orderBy("name", "line_no").collect()]
+    assert "fleet_serving_metric_rows 2" in lines and "# TYPE fleet_serving_metric_rows gauge" in lines
+
+
+def test_gauges_when_source_is_unreadable(spark, scratch):
+    def build():
+        serving = spark.read.parquet(f"{scratch}/missing")
+        return gauges(health_snapshot(serving, serving), NOW, 60)
+
+    g = {row["name"]: row["value"] for row in gauges_or_absent(spark, build).collect()}
+    assert g == {"fleet_serving_metric_rows": 0, "fleet_last_telemetry_age_seconds": -1}

@@ -1,0 +1,107 @@
+import datetime as dt
+import math
+
+from pyspark.sql import functions as F
+
+from odometer.functions.timeutil import parse_event_time
+from odometer.operators.telemetry import clean_and_enrich, telemetry_checks
+from odometer.sources.telemetry import decode_telemetry, encode_telemetry, kafka_sink_options, kafka_source_options
+
+GOOD = (
+    '{"trip_id":"T1","driver_id":"D1","vehicle_id":"V1","lat":6.9,"lon":79.9,"speed":12,'
+    '"status":"on_trip","fare":100.5,"timestamp":"2026-09-27T12:00:00.123456+00:00"}'
+)
+
+
+def _decode(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    return decode_telemetry(df).collect()
+
+
+def test_json_edge_cases(spark):
+    rows = _decode(
+        spark,
+        [
+            '{"trip_id":"T1"}',
+            "garbage",
+            None,
+            '{"speed":12.5}',
+            '{"speed":"12"}',
+            '{"fare":"NaN"}',
+            '{"fare":NaN}',
+            '{"trip_id":123}',
+            '{"speed":99999999999}',
+            '{"trip_id":"T9","unknown":1}',
+        ],
+    )
+    assert rows[0]["trip_id"] == "T1" and rows[0]["speed"] is None
+    assert all(v is None for v in rows[1])
+    assert all(v is None for v in rows[2])
+    assert rows[3]["speed"] is None
+    assert rows[4]["speed"] is None
+    assert math.isnan(rows[5]["fare"])
+    assert math.isnan(rows[6]["fare"])
+    assert rows[7]["trip_id"] == "123"
+    assert rows[8]["speed"] is None
+    assert rows[9]["trip_id"] == "T9"
+
+
+def test_time_text(spark):
+    df = spark.createDataFrame(
+        [("2026-09-27T12:00:00.123456+00:00",), ("2026-09-27T12:00:00+05:30",), ("2026-09-27",), ("nope",)],
+        "t string",
+    )
+    got = [r["e"] for r in df.select(parse_event_time("t").cast("timestamp_ntz").alias("e")).collect()]
+    assert got == [
+        dt.datetime(2026, 9, 27, 12, 0, 0, 123456),
+        dt.datetime(2026, 9, 27, 6, 30),
+        dt.datetime(2026, 9, 27, 0, 0),
+        None,
+    ]
+
+
+def test_validation_drops_bad_rows_and_keeps_nan_fare(spark):
+    bad_speed = GOOD.replace('"speed":12', '"speed":181')
+    edge_speed = GOOD.replace('"speed":12', '"speed":180')
+    bad_status = GOOD.replace("on_trip", "offline")
+    bad_time = GOOD.replace("2026-09-27T12:00:00.123456+00:00", "nope")
+    negative = GOOD.replace('"fare":100.5', '"fare":-1')
+    nan_fare = GOOD.replace('"fare":100.5', '"fare":NaN')
+    no_lat = GOOD.replace('"lat":6.9,', "")
+    df = spark.createDataFrame(
+        [(v,) for v in [GOOD, bad_speed, edge_speed, bad_status, bad_time, negative, nan_fare, no_lat, "junk"]],
+        "value string",
+    )
+    clean = clean_and_enrich(df).collect()
+    assert len(clean) == 4  # good, speed 180, NaN fare, missing lat
+    # a null latitude skips the north test; lon 79.9 is east -> south-east
+    assert {r["zone"] for r in clean} == {"colombo_south_east"}
+    strict = clean_and_enrich(df, strict=True).collect()
+    assert len(strict) == 3
+    checks = telemetry_checks(decode_telemetry(df), by=None).first()
+    assert checks["rows"] == 9
+    assert checks["accepted_rows"] == 4 and checks["rejected_rows"] == 5
+    assert checks["bad_speed_rows"] == 2  # 181 and junk (null)
+    assert checks["bad_time_rows"] == 2
+
+
+def test_encode_decode_roundtrip(spark):
+    df = spark.createDataFrame([(GOOD,)], "value string")
+    parsed = decode_telemetry(df)
+    again = decode_telemetry(encode_telemetry(parsed))
+    assert parsed.collect() == again.collect()
+    assert encode_telemetry(parsed).schema["value"].dataType.typeName() == "binary"
+
+
+def test_connector_options():
+    live = kafka_source_options("broker:9092")
+    assert live == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "fleet-telemetry",
+        "startingOffsets": "latest",
+        "failOnDataLoss": "false",
+    }
+    older = kafka_source_options("broker:9092", fail_on_data_loss=None)
+    assert "failOnDataLoss" not in older
+    sink = kafka_sink_options("broker:9092")
+    assert sink["kafka.acks"] == "all" and sink["kafka.retries"] == "5" and sink["topic"] == "fleet-telemetry"

@@ -1,0 +1,119 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from odometer.operators.profitability import (
+    build_report,
+    build_report_for_day,
+    report_summary,
+    trip_revenue,
+)
+
+D1 = dt.date(2024, 1, 15)
+
+
+def _clean(spark, rows):
+    df = spark.createDataFrame(rows, "vehicle_id string, trip_id string, status string, fare double, t timestamp_ntz")
+    return df.withColumn("event_time", F.col("t").cast("timestamp")).drop("t")
+
+
+def _expenses(spark, rows):
+    return spark.createDataFrame(
+        rows,
+        "report_date date, vehicle_id string, fuel_cost double, maintenance_cost double, "
+        "distance_covered double, service_flag string",
+    )
+
+
+def test_trip_dedup_and_midnight_crossing(spark):
+    t = dt.datetime(2024, 1, 15, 23, 59)
+    clean = _clean(
+        spark,
+        [
+            ("V1", "T1", "on_trip", 100.0, t),
+            ("V1", "T1", "on_trip", 150.0, t + dt.timedelta(seconds=30)),
+            ("V1", "T1", "on_trip", 90.0, t + dt.timedelta(minutes=2)),  # next day, same trip
+            ("V1", "T2", "enroute", 500.0, t),  # not on_trip
+            ("V1", "T3", "on_trip", 0.0, t),  # zero fare
+        ],
+    )
+    rev = {(r["report_date"], r["vehicle_id"]): r for r in trip_revenue(clean).collect()}
+    assert rev[(D1, "V1")]["completed_trip_count"] == 1 and rev[(D1, "V1")]["trip_revenue"] == 150.0
+    nxt = rev[(dt.date(2024, 1, 16), "V1")]
+    assert nxt["completed_trip_count"] == 1 and nxt["trip_revenue"] == 90.0
+
+
+def test_report_edge_cases(spark):
+    t = dt.datetime(2024, 1, 15, 10, 0)
+    clean = _clean(
+        spark,
+        [
+            ("V2", "T1", "on_trip", 120.0, t),  # profit exactly 0
+            ("V4", "T1", "on_trip", 50.0, t),
+            ("V9", "T1", "on_trip", 999.0, t),  # no cost row -> absent
+        ],
+    )
+    expenses = _expenses(
+        spark,
+        [
+            (D1, "V1", 10.0, 5.0, 20.0, "not_required"),  # no revenue -> margin null
+            (D1, "V2", 100.0, 20.0, 20.0, "required"),
+            (D1, "V3", None, 5.0, 20.0, "not_required"),  # null cost
+            (D1, "V4", 10.0, 0.0, 20.0, "not_required"),
+            (D1, "V4", 10.0, 0.0, 20.0, "not_required"),  # duplicate row stays duplicated
+        ],
+    )
+    report = build_report(expenses, trip_revenue(clean)).collect()
+    by = {}
+    for r in report:
+        by.setdefault(r["vehicle_id"], []).append(r)
+    assert "V9" not in by
+    v1 = by["V1"][0]
+    assert (v1["completed_trip_count"], v1["trip_revenue"], v1["profit"], v1["profit_margin_pct"]) == (0, 0.0, -15.0, None)
+    assert v1["profitability_status"] == "unprofitable"
+    v2 = by["V2"][0]
+    assert (v2["profit"], v2["profitability_status"], v2["profit_margin_pct"]) == (0.0, "profitable", 0.0)
+    v3 = by["V3"][0]
+    assert v3["total_expense"] is None and v3["profit"] is None and v3["profitability_status"] == "profitable"
+    assert len(by["V4"]) == 2 and by["V4"][0]["profit_margin_pct"] == 80.0
+    assert [c for c in build_report(expenses, trip_revenue(clean)).columns][:2] == ["report_date", "vehicle_id"]
+
+
+def test_rounding_is_half_up(spark):
+    clean = _clean(spark, [("V1", "T1", "on_trip", 1.005, dt.datetime(2024, 1, 15, 1))])
+    expenses = _expenses(spark, [(D1, "V1", 0.0, 0.0, 1.0, "not_required")])
+    r = build_report(expenses, trip_revenue(clean)).first()
+    assert r["trip_revenue"] == 1.01  # Spark's HALF_UP on the decimal text of the double
+
+
+def test_single_date_relabels_and_orders(spark):
+    t = dt.datetime(2024, 1, 15, 10, 0)
+    clean = _clean(spark, [("V1", "T1", "on_trip", 10.0, t), ("V2", "T1", "on_trip", 10.0, t - dt.timedelta(days=1))])
+    expenses = _expenses(
+        spark,
+        [
+            (dt.date(2020, 1, 1), "V1", 1.0, 1.0, 1.0, "required"),  # date in the feed is ignored
+            (dt.date(2020, 1, 1), "V2", 1.0, 1.0, 1.0, "required"),
+            (dt.date(2020, 1, 1), "V3", None, 1.0, 1.0, "required"),
+        ],
+    )
+    rows = build_report_for_day(expenses, clean, "2024-01-15").collect()
+    assert [r["vehicle_id"] for r in rows] == ["V3", "V2", "V1"]  # null profit first, then ascending
+    assert {r["report_date"] for r in rows} == {D1}
+
+
+def test_summary_lists_unprofitable_in_order(spark):
+    expenses = _expenses(
+        spark,
+        [
+            (D1, "V1", 30.0, 0.0, 1.0, "x"),
+            (D1, "V2", 50.0, 0.0, 1.0, "x"),
+            (D1, "V3", 30.0, 0.0, 1.0, "x"),
+            (dt.date(2024, 1, 16), "V1", 0.0, 0.0, 1.0, "x"),
+        ],
+    )
+    clean = _clean(spark, [("V9", "T1", "on_trip", 1.0, dt.datetime(2024, 1, 15))])
+    rows = {r["report_date"]: r for r in report_summary(build_report(expenses, trip_revenue(clean))).collect()}
+    assert rows[D1]["unprofitable_vehicles"] == "V2,V1,V3"
+    assert rows[D1]["vehicle_count"] == 3 and rows[D1]["unprofitable_vehicle_count"] == 3
+    assert rows[dt.date(2024, 1, 16)]["unprofitable_vehicles"] == ""
