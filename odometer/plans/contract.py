@@ -42,7 +42,7 @@ from odometer.sources.telemetry import decode_telemetry, encode_telemetry
 from odometer.operators.health import check_grid, gauges, health_snapshot, health_status, health_transitions
 from odometer.operators.utilization import batch_totals, utilization_metrics
 from odometer.plans import oracle_sql as params
-from odometer.session import ensure_utc
+from odometer.session import ensure_utc, materialize
 from odometer.sources import fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,9 +96,10 @@ def expense_rows(spark: SparkSession, sf_dir: str, clean: DataFrame | None = Non
     return fixtures.expense_feed(fixtures.table(spark, sf_dir, "supplier"), dates)
 
 
-def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def report_rows(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
     clean = clean_rows(spark, sf_dir)
-    return build_report(expense_rows(spark, sf_dir, clean), trip_revenue(clean, exact_money=True))
+    report = build_report(expense_rows(spark, sf_dir, clean), trip_revenue(clean, exact_money=True))
+    return materialize(report) if stored else report
 
 
 @query("trip_revenue")
@@ -125,14 +126,20 @@ def q_profitability_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_summary(report_rows(spark, sf_dir))
 
 
-def history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Append-only metrics history (three versions per window at most)."""
-    return fixtures.utilization_history(clean_rows(spark, sf_dir))
+def history_rows(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
+    """Append-only metrics history (three versions per window at most).
+
+    ``stored=True`` materializes it, as the metrics table is a stored table:
+    queries that read it several times then scan the telemetry only once.
+    """
+    history = fixtures.utilization_history(clean_rows(spark, sf_dir))
+    return materialize(history) if stored else history
 
 
-def serving_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The keep-latest serving view over the history."""
-    return latest_per_key(history_rows(spark, sf_dir))
+def serving_rows(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
+    """The keep-latest serving view over the history (optionally stored)."""
+    serving = latest_per_key(history_rows(spark, sf_dir))
+    return materialize(serving) if stored else serving
 
 
 @query("latest_metrics_per_key")
@@ -149,7 +156,7 @@ def q_batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_utilization_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored state after batches 0-1, merged with batch 2 plus replays of
     batch 0 (stale or equal time) and batch 1 (equal time)."""
-    history = history_rows(spark, sf_dir)
+    history = history_rows(spark, sf_dir, stored=True)
     target = latest_per_key(history.where(F.col("spark_batch_id") <= 1))
     incoming = (
         history.where(F.col("spark_batch_id") == 2)
@@ -162,12 +169,13 @@ def q_utilization_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("latest_window")
 def q_latest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ntz(latest_window(serving_rows(spark, sf_dir)), "window_start", "window_end", "processed_at")
+    rows = latest_window(serving_rows(spark, sf_dir, stored=True))
+    return _ntz(rows, "window_start", "window_end", "processed_at")
 
 
 @query("latest_window_zone")
 def q_latest_window_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = latest_window(serving_rows(spark, sf_dir), zone=params.LATEST_ZONE)
+    rows = latest_window(serving_rows(spark, sf_dir, stored=True), zone=params.LATEST_ZONE)
     return _ntz(rows, "window_start", "window_end", "processed_at")
 
 
@@ -180,7 +188,7 @@ def q_serving_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_profitability_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored report, then a re-run for the later dates that posts a late fee
     for vehicles with trips; every other stored row must survive."""
-    report = report_rows(spark, sf_dir)
+    report = report_rows(spark, sf_dir, stored=True)
     target = report.withColumn("updated_at", F.lit(params.UPDATED_AT_TARGET).cast("timestamp"))
     rerun = finish_report(
         report.where(
@@ -214,7 +222,7 @@ def q_gauge_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("health_transitions")
 def q_health_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Freshness checked every two minutes over the metrics' calendar span."""
-    serving = serving_rows(spark, sf_dir)
+    serving = serving_rows(spark, sf_dir, stored=True)
     alerts = health_transitions(check_grid(serving, params.CHECK_MINUTES), serving, params.THRESHOLD)
     return _ntz(alerts, "created_at", "last_processed_at")
 
@@ -245,9 +253,16 @@ def q_telemetry_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("expense_feed_checks")
 def q_expense_feed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The supplier-based feed checked against the vehicles seen on the road."""
-    clean = clean_rows(spark, sf_dir)
-    return expense_feed_checks(expense_rows(spark, sf_dir, clean), clean.select("vehicle_id"))
+    """The supplier-based feed checked against the vehicles seen on the road.
+
+    Dates and the vehicle dimension both come from one stored vehicle-day
+    table (bounded by fleet size x days), so the telemetry is scanned once.
+    """
+    vehicle_days = materialize(
+        clean_rows(spark, sf_dir).groupBy(F.to_date("event_time").alias("report_date"), "vehicle_id").count()
+    )
+    feed = fixtures.expense_feed(fixtures.table(spark, sf_dir, "supplier"), vehicle_days.select("report_date"))
+    return expense_feed_checks(feed, vehicle_days.select("vehicle_id"))
 
 
 @query("expense_feed_scan")

@@ -85,3 +85,14 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage: an eager, reliable
+    ``checkpoint()`` into the shared folder of ``spark.checkpoint.dir``
+    (files every executor can read, so a lost executor does not force a
+    recomputation from the sources).  Use it for derived tables that are
+    read more than once - the serving and report tables - never for raw
+    telemetry."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
