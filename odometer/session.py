@@ -37,6 +37,12 @@ def build_session(
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Window x zone state grows with the key count; RocksDB keeps it off
+        # the JVM heap, and changelog checkpointing uploads only deltas.
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.ui.enabled": "false",
     }
     if shuffle_partitions is not None:
