@@ -37,7 +37,7 @@ tel AS (
          CASE WHEN event_type IN ('purchase', 'signup') THEN value ELSE {d(0)} END AS fare,
          strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS "timestamp",
          ts AS event_time
-  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) ev
+  FROM (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) ev
 )"""
 
 ZONE = f"""CASE WHEN lat < {d(6.85)} OR lat > {d(7.05)} OR lon < {d(79.80)} OR lon > {d(79.95)}

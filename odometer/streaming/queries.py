@@ -31,21 +31,34 @@ def trigger_options(trigger_seconds: int | None = DEFAULT_TRIGGER_SECONDS, avail
     return {"processingTime": f"{int(trigger_seconds)} seconds"}
 
 
-def write_metrics_batch(batch: DataFrame, batch_id: int, metrics_path: str, processed_at=None) -> None:
+def write_metrics_batch(batch: DataFrame, batch_id: int, metrics_path: str, processed_at=None) -> dict:
     """Persist one update-mode micro-batch with lineage columns.
 
     The batch is written to its own ``spark_batch_id=<n>`` partitions with
     dynamic overwrite, so a retried batch replaces its earlier attempt
     instead of duplicating it.  ``processed_at`` is one driver-side literal,
-    identical however often the batch is evaluated.
+    identical however often the batch is evaluated.  The batch totals (rows,
+    summed telemetry events) are observed during the write itself - no rows
+    travel to the driver and the batch is evaluated once.
     """
+    from pyspark.sql import Observation
+
     stamped = with_lineage(batch, batch_id, processed_at)
+    totals = Observation(f"metrics_batch_{batch_id}")
+    observed = stamped.observe(
+        totals,
+        F.count(F.lit(1)).alias("metric_rows"),
+        F.coalesce(F.sum("telemetry_event_count"), F.lit(0)).cast("long").alias("telemetry_events"),
+    )
     (
-        stamped.write.mode("overwrite")
+        observed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("spark_batch_id")
         .parquet(metrics_path)
     )
+    result = dict(totals.get)
+    result["spark_batch_id"] = int(batch_id)
+    return result
 
 
 def write_sliding_batch(batch: DataFrame, batch_id: int, log_path: str) -> None:
