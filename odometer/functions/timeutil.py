@@ -37,3 +37,20 @@ def naive_to_utc(c: Column | str, local_zone: str) -> Column:
 
 def epoch_micros(c: Column | str) -> Column:
     return F.unix_micros(_col(c).cast("timestamp"))
+
+
+def ts_literal(value) -> Column:
+    """A TIMESTAMP literal that does not depend on the driver's local zone.
+
+    Aware datetimes are converted to UTC; naive datetimes and text are taken
+    as UTC wall-clock (the session zone), the rule the freshness check uses.
+    """
+    import datetime as _dt
+
+    if isinstance(value, Column):
+        return value.cast("timestamp")
+    if isinstance(value, _dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+        value = value.isoformat(sep=" ")
+    return F.lit(str(value)).cast("timestamp")

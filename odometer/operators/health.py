@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from odometer.functions.timeutil import ts_literal
+
 # The freshness rule's texts, severities and defaults.
 DEFAULT_THRESHOLD_SECONDS = 120
 RULE_NAME = "no_telemetry_processed"
@@ -72,7 +74,7 @@ def severity(status: F.Column | str = "status") -> F.Column:
 
 def health_status(snapshot: DataFrame, now, threshold_seconds: int = DEFAULT_THRESHOLD_SECONDS) -> DataFrame:
     """The health answer for one check time ``now``."""
-    now_col = F.lit(now).cast("timestamp") if not isinstance(now, F.Column) else now
+    now_col = ts_literal(now)
     out = health_columns(snapshot, now_col, threshold_seconds)
     return out.withColumn("no_data_alert_seconds", F.lit(threshold_seconds)).withColumn("checked_at", now_col)
 

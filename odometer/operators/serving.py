@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from odometer.functions.money import to_decimal
+from odometer.functions.timeutil import ts_literal
 from odometer.schemas import (
     REPORT_COLUMNS,
     REPORT_KEY,
@@ -67,9 +68,7 @@ def upsert_profitability(target: DataFrame, incoming: DataFrame, updated_at, key
     deterministically by the greatest row value.
     """
     cols = list(REPORT_COLUMNS)
-    stamped = incoming.select(*cols).withColumn(
-        "updated_at", F.lit(updated_at).cast("timestamp_ntz").cast("timestamp")
-    )
+    stamped = incoming.select(*cols).withColumn("updated_at", ts_literal(updated_at))
     if "updated_at" not in target.columns:
         raise ValueError("target must carry updated_at")
     both = target.select(*cols, "updated_at").withColumn("_incoming", F.lit(0)).unionByName(
@@ -149,7 +148,7 @@ def latest_window(serving: DataFrame, zone: str | None = None, closed_before=Non
     check_zone_argument(zone)
     candidates = serving
     if closed_before is not None:
-        candidates = candidates.where(F.col("window_end") <= F.lit(closed_before).cast("timestamp"))
+        candidates = candidates.where(F.col("window_end") <= ts_literal(closed_before))
     newest = candidates.agg(F.max("window_end").alias("w")).select("w").scalar()
     rows = serving.where(F.col("window_end") == newest)
     if zone is not None:

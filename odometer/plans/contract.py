@@ -32,7 +32,7 @@ from odometer.operators.profitability import finish_report
 from odometer.operators.quality import expense_feed_checks
 from odometer.operators.telemetry import telemetry_checks
 from odometer.operators.utilization import sliding_metrics
-from odometer.functions.timeutil import naive_to_utc
+from odometer.functions.timeutil import naive_to_utc, ts_literal
 from odometer.functions.zones import box_zone, grid_zone
 from odometer.schemas import TELEMETRY_FIELDS, UTILIZATION_COLUMNS
 from odometer.session import scratch_path
@@ -317,8 +317,8 @@ def q_stream_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = span["lo"] + (span["hi"] - span["lo"]) / 2
     json_rows = fixtures.telemetry_rows(events).select(*TELEMETRY_FIELDS, F.col("event_time"))
     drops = (
-        json_rows.where(F.col("event_time") < F.lit(split).cast("timestamp_ntz").cast("timestamp")),
-        json_rows.where(F.col("event_time") >= F.lit(split).cast("timestamp_ntz").cast("timestamp")),
+        json_rows.where(F.col("event_time") < ts_literal(split)),
+        json_rows.where(F.col("event_time") >= ts_literal(split)),
     )
     for drop in drops:
         encode_telemetry(drop).select(F.col("value").cast("string").alias("value")).write.mode("append").text(

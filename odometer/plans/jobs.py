@@ -47,7 +47,7 @@ def reconcile(
     write_report_parquet(report, output_root)
     write_report_csv(report, csv_root)
     if serving_path is not None:
-        merge_profitability(spark, serving_path, report, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+        merge_profitability(spark, serving_path, report, dt.datetime.now(dt.timezone.utc))
     return order_report(report)
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from odometer.functions.timeutil import ts_literal
 from odometer.operators.serving import upsert_profitability, upsert_utilization
 from odometer.session import materialize
 
@@ -57,7 +58,7 @@ def merge_profitability(spark, path: str, incoming: DataFrame, updated_at) -> No
     """Unguarded upsert of report rows into ``path`` (partitioned by ``report_date``)."""
     target = _read_or_none(spark, path)
     if target is None:
-        empty = incoming.limit(0).withColumn("updated_at", F.lit(updated_at).cast("timestamp"))
+        empty = incoming.limit(0).withColumn("updated_at", ts_literal(updated_at))
         merged = upsert_profitability(empty, incoming, updated_at)
     else:
         merged = upsert_profitability(_touched(target, incoming, "report_date"), incoming, updated_at)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from odometer.functions.timeutil import ts_literal
 from odometer.operators.telemetry import clean_and_enrich
 from odometer.operators.utilization import sliding_metrics_direct, utilization_metrics, with_lineage
 
@@ -65,7 +66,7 @@ def write_sliding_batch(batch: DataFrame, batch_id: int, log_path: str) -> None:
     """Older sink: append every emitted window row with ``created_at``; the
     window struct is flattened and the idle ratio is not stored.  Appends to
     the batch's own partition with overwrite, so a retry does not duplicate."""
-    created = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    created = dt.datetime.now(dt.timezone.utc)
     out = batch.select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
@@ -75,7 +76,7 @@ def write_sliding_batch(batch: DataFrame, batch_id: int, log_path: str) -> None:
         "trips",
         "total_earnings",
         "average_speed",
-        F.lit(created).cast("timestamp_ntz").cast("timestamp").alias("created_at"),
+        ts_literal(created).alias("created_at"),
         F.lit(int(batch_id)).cast("long").alias("spark_batch_id"),
     )
     (

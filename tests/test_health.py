@@ -137,3 +137,28 @@ def test_gauges_when_source_is_unreadable(spark, scratch):
 
     g = {row["name"]: row["value"] for row in gauges_or_absent(spark, build).collect()}
     assert g == {"fleet_serving_metric_rows": 0, "fleet_last_telemetry_age_seconds": -1}
+
+
+def test_timestamp_literals_ignore_the_driver_zone(spark):
+    import os
+    import time
+
+    from odometer.functions.timeutil import ts_literal
+
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "Asia/Colombo"
+    time.tzset()
+    try:
+        got = spark.range(1).select(
+            ts_literal(dt.datetime(2024, 1, 1, 0, 0)).cast("timestamp_ntz").alias("naive"),
+            ts_literal(dt.datetime(2024, 1, 1, 5, 30, tzinfo=dt.timezone(dt.timedelta(hours=5, minutes=30))))
+            .cast("timestamp_ntz").alias("aware"),
+            ts_literal("2024-01-01 00:00:00").cast("timestamp_ntz").alias("text"),
+        ).first()
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
+    assert got["naive"] == got["aware"] == got["text"] == dt.datetime(2024, 1, 1, 0, 0)
