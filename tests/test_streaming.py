@@ -159,3 +159,18 @@ def test_trigger_must_be_positive():
     assert trigger_options(available_now=True) == {"availableNow": True}
     with pytest.raises(ValueError):
         trigger_options(0)
+
+
+def test_supervisor_stops_the_other_query(spark, scratch):
+    from odometer.streaming.queries import run_until_any_stops
+
+    source_dir = f"{scratch}/source"
+    _drop(source_dir, 0, [(1, 1)])
+    spark.streams.resetTerminated()
+    lake_q, metric_q = start_queries(spark, spark.readStream.format("text").load(source_dir), f"{scratch}/lake",
+                                     f"{scratch}/metrics", f"{scratch}/ckpt", trigger_seconds=1)
+    lake_q.processAllAvailable()
+    lake_q.stop()
+    run_until_any_stops(spark, (lake_q, metric_q))
+    assert not lake_q.isActive and not metric_q.isActive
+    spark.streams.resetTerminated()
