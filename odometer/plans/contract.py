@@ -67,9 +67,8 @@ def clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
-    for c in cols:
-        df = df.withColumn(c, as_wall_clock(c))
-    return df
+    """Timestamps as wall-clock UTC (TIMESTAMP_NTZ), in one projection."""
+    return df.select(*[as_wall_clock(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 @query("clean_telemetry")

@@ -144,13 +144,12 @@ def utilization_history(clean: DataFrame, exact_money: bool = True) -> DataFrame
         extra_keys=(F.col("spark_batch_id"),),
         extra_aggs=(F.count_if(F.col("row_step") == F.col("spark_batch_id")).alias("new_rows"),),
     )
-    return (
-        metrics.where(F.col("new_rows") > 0)
-        .drop("new_rows")
-        .withColumn("spark_batch_id", F.col("spark_batch_id").cast("long"))
-        .withColumn(
-            "processed_at",
-            F.col("window_start")
-            + F.make_dt_interval(secs=(F.col("spark_batch_id") + 1) * F.lit(VERSION_STEP_SECONDS)),
-        )
+    keep = [F.col(c) for c in metrics.columns if c not in ("new_rows", "spark_batch_id")]
+    batch = F.col("spark_batch_id").cast("long")
+    return metrics.where(F.col("new_rows") > 0).select(
+        *keep,
+        batch.alias("spark_batch_id"),
+        (
+            F.col("window_start") + F.make_dt_interval(secs=(batch + 1) * F.lit(VERSION_STEP_SECONDS))
+        ).alias("processed_at"),
     )
