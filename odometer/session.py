@@ -47,6 +47,12 @@ def build_session(
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    else:
+        # Cluster scale: start wide and let AQE coalesce every shuffle to
+        # ~advisoryPartitionSizeInBytes, so no reducer has to spill a
+        # multi-GB partition and small shuffles still end up in few tasks.
+        conf["spark.sql.shuffle.partitions"] = "4096"
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
