@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odometer.functions.money import to_decimal
@@ -154,8 +154,5 @@ def latest_window(serving: DataFrame, zone: str | None = None, closed_before=Non
     if zone is not None:
         rows = rows.where(F.col("zone") == F.lit(zone))
     cols = [c for c in UTILIZATION_COLUMNS if c in rows.columns] + ["processed_at"]
-    return (
-        rows.select(*cols)
-        .withColumn("metric_window_count", F.count(F.lit(1)).over(Window.partitionBy()))
-        .orderBy("zone")
-    )
+    count = rows.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    return rows.select(*cols, count.alias("metric_window_count")).orderBy("zone")
