@@ -140,9 +140,11 @@ def health_transitions(
     serving: DataFrame,
     threshold_seconds: int = DEFAULT_THRESHOLD_SECONDS,
     with_context: bool = True,
+    initial_status: F.Column | str | None = None,
 ) -> DataFrame:
     """Alert rows: one per check whose status differs from the previous
-    check's (the first check always alerts).
+    check's.  The first check alerts unless ``initial_status`` (the status
+    last recorded, e.g. by a previous run) equals it.
 
     The previous status is a per-day ``lag``; the first check of a day takes
     the last status of the previous day from a one-row-per-day table.
@@ -157,7 +159,15 @@ def health_transitions(
     flagged = (
         st.withColumn("prev_status", F.lag("status").over(w))
         .join(prev_day, "day", "left")
-        .withColumn("prev_status", F.coalesce("prev_status", "prev_day_status"))
+        .withColumn(
+            "prev_status",
+            F.coalesce(
+                "prev_status",
+                "prev_day_status",
+                F.lit(initial_status) if isinstance(initial_status, str) else
+                (initial_status if initial_status is not None else F.lit(None).cast("string")),
+            ),
+        )
         .where(F.col("prev_status").isNull() | (F.col("status") != F.col("prev_status")))
     )
     out = flagged.select(

@@ -79,3 +79,46 @@ def run_live(
             q.awaitTermination()
         return
     run_until_any_stops(spark, queries)
+
+
+def compact_metrics(spark: SparkSession, metrics_path: str, serving_path: str, first_batch: int, last_batch: int):
+    """Fold micro-batches ``first_batch..last_batch`` of the append-only
+    metrics history into the serving table: newest version per key within
+    the range, then the guarded merge (an older version never overwrites a
+    newer stored one).  Only the batch partitions in the range are read."""
+    from pyspark.sql import functions as F
+
+    from odometer.operators.serving import latest_per_key
+    from odometer.sinks.merge import merge_utilization
+
+    ensure_utc(spark)
+    history = spark.read.parquet(metrics_path).where(F.col("spark_batch_id").between(first_batch, last_batch))
+    merge_utilization(spark, serving_path, latest_per_key(history))
+
+
+def record_health_alerts(
+    spark: SparkSession,
+    serving_path: str,
+    alerts_path: str,
+    checks: DataFrame,
+    threshold_seconds: int = 120,
+) -> DataFrame:
+    """Evaluate freshness at the given check times and append the status
+    transitions to the alert log.  The last status already in the log is the
+    starting point, so a re-run does not re-alert an unchanged status."""
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import functions as F
+
+    from odometer.operators.health import health_transitions
+    from odometer.sinks.files import append_alerts
+
+    ensure_utc(spark)
+    serving = spark.read.parquet(serving_path)
+    try:
+        log = spark.read.parquet(alerts_path)
+        last = log.agg(F.max_by("status", "created_at").alias("s")).select("s").scalar()
+    except AnalysisException:
+        last = None
+    alerts = materialize(health_transitions(checks, serving, threshold_seconds, initial_status=last))
+    append_alerts(alerts, alerts_path)
+    return alerts

@@ -102,3 +102,33 @@ def test_batch_totals_are_observed(spark, scratch):
     batch = spark.createDataFrame([("z", 3), ("y", 4)], "zone string, telemetry_event_count long")
     totals = write_metrics_batch(batch, 3, f"{scratch}/m")
     assert totals == {"metric_rows": 2, "telemetry_events": 7, "spark_batch_id": 3}
+
+
+def test_compaction_and_alert_log(spark, scratch):
+    from odometer.plans.jobs import compact_metrics, record_health_alerts
+
+    metrics, serving, alerts = f"{scratch}/metrics", f"{scratch}/serving", f"{scratch}/alerts"
+    t0 = dt.datetime(2024, 1, 1, 0, 0)
+
+    def batch(n, stamp):
+        df = spark.createDataFrame([(t0, "a", n)], "window_start timestamp_ntz, zone string, telemetry_event_count long")
+        return (df.withColumn("window_start", F.col("window_start").cast("timestamp"))
+                .withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 5 MINUTES")))
+
+    write_metrics_batch(batch(1, None), 0, metrics, processed_at=t0 + dt.timedelta(minutes=5))
+    write_metrics_batch(batch(2, None), 1, metrics, processed_at=t0 + dt.timedelta(minutes=6))
+    compact_metrics(spark, metrics, serving, 0, 1)
+    rows = spark.read.parquet(serving).collect()
+    assert len(rows) == 1 and rows[0]["telemetry_event_count"] == 2
+    compact_metrics(spark, metrics, serving, 0, 0)  # an older batch replayed: no effect
+    assert spark.read.parquet(serving).first()["telemetry_event_count"] == 2
+
+    def checks(minutes):
+        return spark.createDataFrame([(t0 + dt.timedelta(minutes=m),) for m in minutes], "check_time timestamp_ntz") \
+            .withColumn("check_time", F.col("check_time").cast("timestamp"))
+
+    first = record_health_alerts(spark, serving, alerts, checks([0, 2, 6, 7, 20]))
+    assert [r["status"] for r in first.orderBy("created_at").collect()] == ["degraded", "healthy", "unhealthy"]
+    second = record_health_alerts(spark, serving, alerts, checks([30, 40]))
+    assert second.count() == 0  # still unhealthy: nothing new to record
+    assert spark.read.parquet(alerts).count() == 3
