@@ -17,6 +17,7 @@ from odometer.functions.timeutil import as_wall_clock
 from odometer.operators.telemetry import clean_and_enrich, clean_telemetry
 from odometer.operators.profitability import (
     build_report,
+    daily_events,
     build_report_for_day,
     report_summary,
     trip_revenue,
@@ -116,7 +117,8 @@ def q_profitability_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_profitability_report_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Single-date reconciliation: the date's feed against the date's events."""
     clean = clean_rows(spark, sf_dir)
-    feed = expense_rows(spark, sf_dir, clean).where(F.col("report_date") == F.lit(REPORT_DAY).cast("date"))
+    # the day's feed comes from the day's events, so both scans read one day
+    feed = expense_rows(spark, sf_dir, daily_events(clean, REPORT_DAY))
     return build_report_for_day(feed, clean, REPORT_DAY, exact_money=True)
 
 
