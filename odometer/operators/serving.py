@@ -27,9 +27,11 @@ ZONE_ARGUMENT_PATTERN = r"^colombo_|^outside_service_area$"
 def _pick_latest(df: DataFrame, key, order_cols, payload_cols) -> DataFrame:
     """One row per key: the row with the greatest ``order_cols`` tuple.
 
-    ``max_by`` over a struct is a plain aggregate, so it gets map-side
-    partial aggregation (no sort, no per-key buffering) - a key holding a
-    third of the rows costs one running maximum per partition.
+    ``max_by`` over a struct is an aggregate with map-side partial
+    aggregation: a key holding a third of the rows is reduced to one row per
+    task before the shuffle.  (Its variable-width buffer makes Spark run it
+    sort-based rather than hash-based; a ``row_number()`` window instead would
+    shuffle every row and sort a hot key inside one task.)
     """
     payload = F.struct(*[F.col(c) for c in payload_cols])
     order = F.struct(*[F.col(c) for c in order_cols])
