@@ -23,6 +23,7 @@ def reconcile(
     serving_path: str | None = None,
     report_date: str | None = None,
     bypass_commit_log: bool = False,
+    reject_path: str | None = None,
 ) -> DataFrame:
     """Read the feed(s) and the clean lake, build the report, then write it
     as Parquet (per-date overwrite), as one sorted CSV per date, and merge it
@@ -32,6 +33,11 @@ def reconcile(
     with that date); without it every date found in the feeds is reconciled
     in one job.  The report is materialized once, so the three writes do not
     recompute it.
+
+    Serving constraints are checked before anything is written: rows with a
+    NULL in a NOT NULL serving column (e.g. a missing cost) go to
+    ``reject_path`` when given and are kept out of the serving merge;
+    without ``reject_path`` the job fails before writing.
     """
     ensure_utc(spark)
     lake = read_clean_lake(spark, lake_path, bypass_commit_log)
@@ -44,13 +50,34 @@ def reconcile(
         lake = lake.join(days.withColumnRenamed("report_date", "event_date"), "event_date", "left_semi")
         report = build_report(feed.drop("csv_report_date"), trip_revenue(lake))
     report = materialize(report)
+    servable = report
+    if serving_path is not None:
+        bad = _serving_null_rule(report)
+        rejected = report.where(bad).limit(1).count()
+        if rejected and reject_path is None:
+            raise ValueError("report rows violate serving NOT NULL constraints; pass reject_path")
+        if rejected:
+            report.where(bad).write.mode("append").parquet(reject_path)
+            servable = report.where(~bad)
     write_report_parquet(report, output_root)
     write_report_csv(report, csv_root)
     if serving_path is not None:
-        merge_profitability(spark, serving_path, report, dt.datetime.now(dt.timezone.utc))
+        merge_profitability(spark, serving_path, servable, dt.datetime.now(dt.timezone.utc))
     return order_report(report)
 
 
+def _serving_null_rule(report: DataFrame):
+    from pyspark.sql import functions as F
+
+    from odometer.schemas import SERVING_REPORT_NOT_NULL
+
+    rule = F.lit(False)
+    for c in SERVING_REPORT_NOT_NULL:
+        if c in report.columns:
+            rule = rule | F.col(c).isNull()
+    return rule
+
+
 def run_live(
     spark: SparkSession,
     source: DataFrame,

@@ -132,3 +132,31 @@ def test_compaction_and_alert_log(spark, scratch):
     second = record_health_alerts(spark, serving, alerts, checks([30, 40]))
     assert second.count() == 0  # still unhealthy: nothing new to record
     assert spark.read.parquet(alerts).count() == 3
+
+
+def test_reconcile_checks_serving_constraints_before_writing(spark, scratch):
+    import pytest
+
+    src = f"{scratch}/source"
+    os.makedirs(src)
+    with open(f"{src}/p.json", "w") as fh:
+        fh.write(_line("V1", "T1", 26, 1, 100.0) + "\n")
+    lake = f"{scratch}/lake"
+    run_live(spark, spark.readStream.format("text").load(src), lake, f"{scratch}/m", f"{scratch}/ckpt",
+             available_now=True)
+    feed = spark.createDataFrame(
+        [(dt.date(2026, 9, 26), "V1", 10.0, 5.0, 20.0, "required"),
+         (dt.date(2026, 9, 26), "V2", None, 5.0, 20.0, "required")],
+        "report_date date, vehicle_id string, fuel_cost double, maintenance_cost double, "
+        "distance_covered double, service_flag string",
+    )
+    feeds = f"{scratch}/feeds"
+    write_expense_feed(feed, feeds)
+    with pytest.raises(ValueError):
+        reconcile(spark, feeds, lake, f"{scratch}/out", f"{scratch}/csv", f"{scratch}/serving")
+    assert not os.path.exists(f"{scratch}/out")
+    reconcile(spark, feeds, lake, f"{scratch}/out", f"{scratch}/csv", f"{scratch}/serving",
+              reject_path=f"{scratch}/rejects")
+    assert spark.read.parquet(f"{scratch}/out").count() == 2
+    assert [r["vehicle_id"] for r in spark.read.parquet(f"{scratch}/serving").collect()] == ["V1"]
+    assert [r["vehicle_id"] for r in spark.read.parquet(f"{scratch}/rejects").collect()] == ["V2"]
