@@ -2,7 +2,7 @@
 
 from odometer.functions.money import money_sum, round_half_up, to_decimal
 from odometer.functions.timeutil import as_instant, as_wall_clock, iso_text, naive_to_utc, parse_event_time
-from odometer.functions.zones import add_zone, box_zone, grid_zone, zone_from_coordinates
+from odometer.functions.zones import add_zone, box_zone, grid_zone, zone_of_point
 
 __all__ = [
     "add_zone",
@@ -16,5 +16,5 @@ __all__ = [
     "parse_event_time",
     "round_half_up",
     "to_decimal",
-    "zone_from_coordinates",
+    "zone_of_point",
 ]

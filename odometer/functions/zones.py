@@ -88,7 +88,7 @@ def box_zone(
     return expr.otherwise(F.lit(fallback)) if expr is not None else F.lit(fallback)
 
 
-def zone_from_coordinates(spark, latitude: float, longitude: float, strict: bool = False) -> str:
+def zone_of_point(spark, latitude: float, longitude: float, strict: bool = False) -> str:
     """Scalar form of the grid, evaluated by the same Column expression."""
     row = spark.range(1).select(
         grid_zone(F.lit(latitude).cast("double"), F.lit(longitude).cast("double"), strict).alias("z")

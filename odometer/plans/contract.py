@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odometer.functions.timeutil import as_wall_clock
-from odometer.operators.telemetry import clean_and_enrich, clean_telemetry
+from odometer.operators.telemetry import decode_and_clean, clean_telemetry
 from odometer.operators.profitability import (
     build_report,
     daily_events,
@@ -76,7 +76,7 @@ def _ntz(df: DataFrame, *cols: str) -> DataFrame:
 def q_clean_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON value -> decode -> validate -> zone (the live path's cleaning)."""
     raw = fixtures.telemetry_json(_events(spark, sf_dir))
-    clean = clean_and_enrich(raw, with_ingest_time=False)
+    clean = decode_and_clean(raw, with_ingest_time=False)
     return _ntz(clean, "event_time")
 
 
@@ -310,7 +310,7 @@ def q_stream_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
     The window that straddles the split is emitted twice; the keep-latest
     view over the appended batches equals the batch aggregate.
     """
-    from odometer.streaming.queries import start_queries
+    from odometer.streaming.queries import start_live_queries
 
     base = scratch_path(spark, "stream_utilization")
     events = _events(spark, sf_dir)
@@ -326,7 +326,7 @@ def q_stream_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{base}/source"
         )
         source = spark.readStream.format("text").load(f"{base}/source")
-        queries = start_queries(
+        queries = start_live_queries(
             spark,
             source,
             f"{base}/lake",

@@ -89,10 +89,10 @@ def run_live(
 ) -> None:
     """Start the lake and metrics queries on one source and supervise them:
     wait for either to end, then stop both (errors propagate)."""
-    from odometer.streaming.queries import run_until_any_stops, start_queries
+    from odometer.streaming.queries import run_until_any_stops, start_live_queries
 
     ensure_utc(spark)
-    queries = start_queries(
+    queries = start_live_queries(
         spark,
         source,
         lake_path,

@@ -15,7 +15,7 @@ from pyspark.sql.types import (
 )
 
 # The telemetry status domain and the service-flag domain.
-VALID_STATUSES = ("idle", "enroute", "on_trip")
+STATUS_DOMAIN = ("idle", "enroute", "on_trip")
 SERVICE_FLAGS = ("required", "not_required")
 
 TELEMETRY_FIELDS = (
@@ -32,7 +32,7 @@ TELEMETRY_FIELDS = (
 
 # JSON payload of one telemetry event.  ``from_json`` makes every field
 # nullable whatever is declared, so the schema says so honestly.
-TELEMETRY_SCHEMA = StructType(
+TELEMETRY_JSON_SCHEMA = StructType(
     [
         StructField("trip_id", StringType(), True),
         StructField("driver_id", StringType(), True),
@@ -47,7 +47,7 @@ TELEMETRY_SCHEMA = StructType(
 )
 
 # Daily expense CSV: every column is read as text and typed afterwards.
-EXPENSE_COLUMNS = (
+EXPENSE_FIELDS = (
     "report_date",
     "vehicle_id",
     "fuel_cost",
@@ -55,7 +55,7 @@ EXPENSE_COLUMNS = (
     "distance_covered",
     "service_flag",
 )
-EXPENSE_CSV_SCHEMA = StructType([StructField(c, StringType(), True) for c in EXPENSE_COLUMNS])
+EXPENSE_CSV_SCHEMA = StructType([StructField(c, StringType(), True) for c in EXPENSE_FIELDS])
 
 UTILIZATION_KEY = ("window_start", "window_end", "zone")
 UTILIZATION_COLUMNS = (

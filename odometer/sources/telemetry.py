@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odometer.schemas import TELEMETRY_FIELDS, TELEMETRY_SCHEMA
+from odometer.schemas import TELEMETRY_FIELDS, TELEMETRY_JSON_SCHEMA
 
 DEFAULT_TOPIC = "fleet-telemetry"
 
@@ -23,7 +23,7 @@ def decode_telemetry(df: DataFrame, value_col: str = "value") -> DataFrame:
     referenced field.  This way each message is parsed exactly once, and the
     filter and projections above stay in whole-stage codegen.
     """
-    parsed = F.from_json(F.col(value_col).cast("string"), TELEMETRY_SCHEMA)
+    parsed = F.from_json(F.col(value_col).cast("string"), TELEMETRY_JSON_SCHEMA)
     return df.select(F.inline(F.array(parsed)))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from odometer.functions.timeutil import ts_literal
-from odometer.operators.telemetry import clean_and_enrich
+from odometer.operators.telemetry import decode_and_clean
 from odometer.operators.utilization import sliding_metrics_direct, utilization_metrics, with_lineage
 
 DEFAULT_TRIGGER_SECONDS = 10
@@ -32,7 +32,7 @@ def trigger_options(trigger_seconds: int | None = DEFAULT_TRIGGER_SECONDS, avail
     return {"processingTime": f"{int(trigger_seconds)} seconds"}
 
 
-def write_metrics_batch(batch: DataFrame, batch_id: int, metrics_path: str, processed_at=None) -> dict:
+def persist_metrics_batch(batch: DataFrame, batch_id: int, metrics_path: str, processed_at=None) -> dict:
     """Persist one update-mode micro-batch with lineage columns.
 
     The batch is written to its own ``spark_batch_id=<n>`` partitions with
@@ -120,12 +120,12 @@ def start_metrics(
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
-        .foreachBatch(lambda df, batch_id: write_metrics_batch(df, batch_id, metrics_path))
+        .foreachBatch(lambda df, batch_id: persist_metrics_batch(df, batch_id, metrics_path))
         .start()
     )
 
 
-def start_queries(
+def start_live_queries(
     spark: SparkSession,
     source: DataFrame,
     lake_path: str,
@@ -137,7 +137,7 @@ def start_queries(
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the lake and metrics branches from one streaming source."""
     trigger = trigger_options(trigger_seconds, available_now)
-    clean = clean_and_enrich(source)
+    clean = decode_and_clean(source)
     lake = start_clean_lake(clean, lake_path, f"{checkpoint_root}/raw_events", trigger)
     metrics = utilization_metrics(clean, exact_money=exact_money)
     metric_query = start_metrics(metrics, metrics_path, f"{checkpoint_root}/utilization_metrics", trigger)

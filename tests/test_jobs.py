@@ -9,7 +9,7 @@ from odometer.operators.serving import latest_per_key
 from odometer.plans.jobs import reconcile, run_live
 from odometer.sinks.files import write_expense_feed
 from odometer.sinks.merge import merge_profitability, merge_utilization
-from odometer.streaming.queries import write_metrics_batch
+from odometer.streaming.queries import persist_metrics_batch
 
 
 def _line(vehicle, trip, day, minute, fare, status="on_trip"):
@@ -100,7 +100,7 @@ def test_lake_merges_touch_only_their_partitions(spark, scratch):
 
 def test_batch_totals_are_observed(spark, scratch):
     batch = spark.createDataFrame([("z", 3), ("y", 4)], "zone string, telemetry_event_count long")
-    totals = write_metrics_batch(batch, 3, f"{scratch}/m")
+    totals = persist_metrics_batch(batch, 3, f"{scratch}/m")
     assert totals == {"metric_rows": 2, "telemetry_events": 7, "spark_batch_id": 3}
 
 
@@ -115,8 +115,8 @@ def test_compaction_and_alert_log(spark, scratch):
         return (df.withColumn("window_start", F.col("window_start").cast("timestamp"))
                 .withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 5 MINUTES")))
 
-    write_metrics_batch(batch(1, None), 0, metrics, processed_at=t0 + dt.timedelta(minutes=5))
-    write_metrics_batch(batch(2, None), 1, metrics, processed_at=t0 + dt.timedelta(minutes=6))
+    persist_metrics_batch(batch(1, None), 0, metrics, processed_at=t0 + dt.timedelta(minutes=5))
+    persist_metrics_batch(batch(2, None), 1, metrics, processed_at=t0 + dt.timedelta(minutes=6))
     compact_metrics(spark, metrics, serving, 0, 1)
     rows = spark.read.parquet(serving).collect()
     assert len(rows) == 1 and rows[0]["telemetry_event_count"] == 2

@@ -4,7 +4,7 @@ import math
 from pyspark.sql import functions as F
 
 from odometer.functions.timeutil import parse_event_time
-from odometer.operators.telemetry import clean_and_enrich, telemetry_checks
+from odometer.operators.telemetry import decode_and_clean, telemetry_checks
 from odometer.sources.telemetry import decode_telemetry, encode_telemetry, kafka_sink_options, kafka_source_options
 
 GOOD = (
@@ -72,11 +72,11 @@ def test_validation_drops_bad_rows_and_keeps_nan_fare(spark):
         [(v,) for v in [GOOD, bad_speed, edge_speed, bad_status, bad_time, negative, nan_fare, no_lat, "junk"]],
         "value string",
     )
-    clean = clean_and_enrich(df).collect()
+    clean = decode_and_clean(df).collect()
     assert len(clean) == 4  # good, speed 180, NaN fare, missing lat
     # a null latitude skips the north test; lon 79.9 is east -> south-east
     assert {r["zone"] for r in clean} == {"colombo_south_east"}
-    strict = clean_and_enrich(df, strict=True).collect()
+    strict = decode_and_clean(df, strict=True).collect()
     assert len(strict) == 3
     checks = telemetry_checks(decode_telemetry(df), by=None).first()
     assert checks["rows"] == 9

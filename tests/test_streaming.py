@@ -4,9 +4,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from odometer.operators.telemetry import clean_and_enrich
+from odometer.operators.telemetry import decode_and_clean
 from odometer.operators.utilization import utilization_metrics
-from odometer.streaming.queries import start_queries, start_sliding, trigger_options, write_metrics_batch
+from odometer.streaming.queries import start_live_queries, start_sliding, trigger_options, persist_metrics_batch
 
 # (minute, fare) per one-file batch: the exact late-data sequence.
 BATCHES = [
@@ -66,7 +66,7 @@ def test_late_data_update_mode_exact(spark, scratch):
     source_dir = f"{scratch}/source"
     lake, metrics, ckpt = f"{scratch}/lake", f"{scratch}/metrics", f"{scratch}/ckpt"
     _drop_all(source_dir)
-    lake_q, metric_q = start_queries(spark, _one_file_per_batch(spark, source_dir), lake, metrics, ckpt,
+    lake_q, metric_q = start_live_queries(spark, _one_file_per_batch(spark, source_dir), lake, metrics, ckpt,
                                      available_now=True)
     lake_q.awaitTermination()
     metric_q.awaitTermination()
@@ -100,7 +100,7 @@ def test_restarts_run_no_data_batches(spark, scratch):
     drops, lake_rows = [], 0
     for k, rows in enumerate(BATCHES):
         _drop(source_dir, k, rows)
-        _, metric_q = start_queries(spark, spark.readStream.format("text").load(source_dir), f"{scratch}/lake",
+        _, metric_q = start_live_queries(spark, spark.readStream.format("text").load(source_dir), f"{scratch}/lake",
                                     metrics, ckpt, available_now=True)
         metric_q.awaitTermination()
         drops.append(_dropped(metric_q))
@@ -118,7 +118,7 @@ def test_late_data_append_mode(spark, scratch):
         if rows:
             emitted[batch_id] = sorted((r["m"], r["s"]) for r in rows)
 
-    metrics = utilization_metrics(clean_and_enrich(_one_file_per_batch(spark, source_dir)))
+    metrics = utilization_metrics(decode_and_clean(_one_file_per_batch(spark, source_dir)))
     q = (
         metrics.writeStream.outputMode("append")
         .option("checkpointLocation", f"{scratch}/ckpt")
@@ -133,9 +133,9 @@ def test_late_data_append_mode(spark, scratch):
 def test_retried_batch_does_not_duplicate(spark, scratch):
     path = f"{scratch}/metrics"
     batch = spark.createDataFrame([("z", 1)], "zone string, telemetry_event_count long")
-    write_metrics_batch(batch, 7, path)
-    write_metrics_batch(batch, 7, path)
-    write_metrics_batch(batch, 8, path)
+    persist_metrics_batch(batch, 7, path)
+    persist_metrics_batch(batch, 7, path)
+    persist_metrics_batch(batch, 8, path)
     counts = {r["spark_batch_id"]: r["count"] for r in spark.read.parquet(path).groupBy("spark_batch_id").count().collect()}
     assert counts == {7: 1, 8: 1}
     stamps = spark.read.parquet(path).select("processed_at").distinct().count()
@@ -167,7 +167,7 @@ def test_supervisor_stops_the_other_query(spark, scratch):
     source_dir = f"{scratch}/source"
     _drop(source_dir, 0, [(1, 1)])
     spark.streams.resetTerminated()
-    lake_q, metric_q = start_queries(spark, spark.readStream.format("text").load(source_dir), f"{scratch}/lake",
+    lake_q, metric_q = start_live_queries(spark, spark.readStream.format("text").load(source_dir), f"{scratch}/lake",
                                      f"{scratch}/metrics", f"{scratch}/ckpt", trigger_seconds=1)
     lake_q.processAllAvailable()
     lake_q.stop()

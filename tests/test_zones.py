@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from odometer.functions.zones import box_zone, grid_zone, zone_from_coordinates
+from odometer.functions.zones import box_zone, grid_zone, zone_of_point
 
 NAN = float("nan")
 
@@ -19,7 +19,7 @@ NAN = float("nan")
     ],
 )
 def test_quadrants_and_outside(spark, lat, lon, zone):
-    assert zone_from_coordinates(spark, lat, lon) == zone
+    assert zone_of_point(spark, lat, lon) == zone
 
 
 def _zones(spark, rows, strict=False):
@@ -76,4 +76,4 @@ def test_older_boxes_first_match_half_open(spark):
 
 def test_nan_is_not_a_python_float_zone(spark):
     assert math.isnan(NAN)
-    assert zone_from_coordinates(spark, NAN, 79.9) == "outside_service_area"
+    assert zone_of_point(spark, NAN, 79.9) == "outside_service_area"
