@@ -344,8 +344,9 @@ SELECT check_time AS created_at,
          AS severity,
        'no_telemetry_processed' AS rule_name,
        reason AS message, status, age_seconds, last_processed_at,
-       to_json({{'status': status, 'reason': reason, 'age_seconds': age_seconds,
-                 'last_processed_at': strftime(last_processed_at, '%Y-%m-%d %H:%M:%S')}}) AS context
+       CAST(to_json({{'status': status, 'reason': reason, 'age_seconds': age_seconds,
+                      'last_processed_at': strftime(last_processed_at, '%Y-%m-%d %H:%M:%S')}}) AS VARCHAR)
+         AS context
 FROM lagged WHERE prev_status IS NULL OR status <> prev_status"""
 
 LOCAL_ZONE = "Asia/Colombo"
