@@ -13,6 +13,15 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = os.environ.get("ODOMETER_TEST_SF_DIR", "/root/testdata/sf0.001")
+DUCK_TYPE = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
 TABLES = ("events", "supplier")
 
 
@@ -53,6 +62,9 @@ def test_query_matches_oracle(spark, con, name):
     rows = [tuple(r) for r in df.collect()]
     rel = con.sql(entry.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    oracle_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for col, spark_type in df.dtypes:
+        assert oracle_types[col] == DUCK_TYPE.get(spark_type, spark_type.upper()), (col, spark_type)
     orows = rel.fetchall()
     assert len(rows) == len(orows)
     assert _bag(df.columns, rows) == _bag(list(rel.columns), orows)
