@@ -21,6 +21,7 @@ from odometer.operators.profitability import (
     build_report_for_day,
     report_summary,
     trip_revenue,
+    unprofitable_ranking,
 )
 from odometer.operators.serving import (
     conform_utilization,
@@ -127,6 +128,12 @@ def q_profitability_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_summary(report_rows(spark, sf_dir))
 
 
+@query("unprofitable_vehicles")
+def q_unprofitable_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary's ordered list of unprofitable vehicles, as ranked rows."""
+    return unprofitable_ranking(report_rows(spark, sf_dir))
+
+
 def history_rows(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
     """Append-only metrics history (three versions per window at most).
 

@@ -150,11 +150,15 @@ ORACLES["profitability_report_day"] = (
 ORACLES["profitability_summary"] = with_ctes(*REPORT_CTES) + """
 SELECT report_date,
        count(*) AS vehicle_count,
-       count(*) FILTER (WHERE profitability_status = 'unprofitable') AS unprofitable_vehicle_count,
-       coalesce(string_agg(vehicle_id, ',' ORDER BY profit NULLS FIRST, vehicle_id)
-                FILTER (WHERE profitability_status = 'unprofitable'), '') AS unprofitable_vehicles
+       count(*) FILTER (WHERE profitability_status = 'unprofitable') AS unprofitable_vehicle_count
 FROM report GROUP BY report_date"""
 
+ORACLES["unprofitable_vehicles"] = with_ctes(*REPORT_CTES) + """
+SELECT report_date,
+       row_number() OVER (PARTITION BY report_date ORDER BY profit NULLS FIRST, vehicle_id) AS position,
+       vehicle_id, profit
+FROM report WHERE profitability_status = 'unprofitable'"""
+
 UTIL_SELECT = f"""zone,
          count(*) AS telemetry_event_count,
          CAST(sum(CASE WHEN status = 'idle' THEN 1 ELSE 0 END) AS BIGINT) AS idle_event_count,

@@ -7,6 +7,7 @@ from odometer.operators.profitability import (
     build_report_for_day,
     report_summary,
     trip_revenue,
+    unprofitable_ranking,
 )
 
 D1 = dt.date(2024, 1, 15)
@@ -102,7 +103,7 @@ def test_single_date_relabels_and_orders(spark):
     assert {r["report_date"] for r in rows} == {D1}
 
 
-def test_summary_lists_unprofitable_in_order(spark):
+def test_summary_counts_and_ranked_list(spark):
     expenses = _expenses(
         spark,
         [
@@ -113,7 +114,27 @@ def test_summary_lists_unprofitable_in_order(spark):
         ],
     )
     clean = _clean(spark, [("V9", "T1", "on_trip", 1.0, dt.datetime(2024, 1, 15))])
-    rows = {r["report_date"]: r for r in report_summary(build_report(expenses, trip_revenue(clean))).collect()}
-    assert rows[D1]["unprofitable_vehicles"] == "V2,V1,V3"
+    report = build_report(expenses, trip_revenue(clean))
+    rows = {r["report_date"]: r for r in report_summary(report).collect()}
     assert rows[D1]["vehicle_count"] == 3 and rows[D1]["unprofitable_vehicle_count"] == 3
-    assert rows[dt.date(2024, 1, 16)]["unprofitable_vehicles"] == ""
+    assert rows[dt.date(2024, 1, 16)]["unprofitable_vehicle_count"] == 0
+    ranked = unprofitable_ranking(report).orderBy("report_date", "position").collect()
+    assert [(r["position"], r["vehicle_id"]) for r in ranked] == [(1, "V2"), (2, "V1"), (3, "V3")]
+
+
+def test_ranking_splits_a_hot_date_and_stays_exact(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(600):
+        day = D1 if i < 400 else dt.date(2024, 1, 16 + i % 3)  # one date holds two thirds of the rows
+        rows.append((day, f"V{i:04d}", -float(rng.randrange(0, 50)), "unprofitable"))
+    report = spark.createDataFrame(rows, "report_date date, vehicle_id string, profit double, profitability_status string")
+    got = {(r["report_date"], r["vehicle_id"]): r["position"] for r in unprofitable_ranking(report, partitions=7).collect()}
+    expected = {}
+    for day in {r[0] for r in rows}:
+        ordered = sorted((r for r in rows if r[0] == day), key=lambda r: (r[2], r[1]))
+        for pos, r in enumerate(ordered, start=1):
+            expected[(day, r[1])] = pos
+    assert got == expected
