@@ -19,13 +19,19 @@ def write_report_parquet(report: DataFrame, path: str) -> None:
 
 
 def write_report_csv(report: DataFrame, path: str) -> None:
-    """One headered CSV file per date, in report order, without funnelling all
-    dates through one task: rows are clustered by date, sorted within each
-    task with the partition column leading (so the writer does not re-sort),
-    and each date directory is replaced on its own."""
+    """Headered CSV per date, in report order, replacing only those dates.
+
+    Rows are range-partitioned on (date, profit, vehicle) and sorted within
+    each task with the partition column leading (so the writer does not
+    re-sort).  A normal date lands in one task and becomes one file; a date
+    too big for one task is split over several, and because part files are
+    numbered in range order, reading a date's files in name order gives the
+    report order.  No task has to hold a whole hot date.
+    """
+    order = [F.col("report_date"), F.col("profit").asc_nulls_first(), F.col("vehicle_id")]
     (
-        report.repartition("report_date")
-        .sortWithinPartitions("report_date", F.col("profit").asc_nulls_first(), "vehicle_id")
+        report.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("header", True)
@@ -58,7 +64,7 @@ def write_expense_feed(feed: DataFrame, path: str, overwrite: bool = False) -> N
         if clash:
             raise FileExistsError(f"an expense feed for one of these dates already exists under {path}")
     (
-        text.repartition("feed_file")
+        text.repartitionByRange("feed_file", "vehicle_id")
         .write.mode("overwrite" if overwrite else "append")
         .option("partitionOverwriteMode", "dynamic")
         .option("header", True)

@@ -67,18 +67,45 @@ def test_report_partition_overwrite_keeps_other_dates(spark, scratch):
     assert sorted((r["report_date"], r["vehicle_id"]) for r in rows) == [(d1, "V3"), (d2, "V1")]
 
 
-def test_report_csv_one_sorted_file_per_date(spark, scratch):
+def test_report_csv_sorted_per_date(spark, scratch):
     d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
     path = f"{scratch}/csv"
     report = _report(spark, d1, ["V5", "V4", "V3"], -5.0).unionByName(_report(spark, d2, ["V1", "V2"]))
     write_report_csv(report.repartition(3), path)
     for day, expected in ((d1, ["V5", "V4", "V3"]), (d2, ["V1", "V2"])):
-        files = glob.glob(f"{path}/report_date={day}/*.csv")
-        assert len(files) == 1
-        with open(files[0]) as fh:
-            lines = fh.read().strip().splitlines()
-        assert lines[0] == "vehicle_id,profit"
-        assert [ln.split(",")[0] for ln in lines[1:]] == expected
+        files = sorted(glob.glob(f"{path}/report_date={day}/*.csv"))
+        assert files
+        ids = []
+        for name in files:  # name order is report order
+            with open(name) as fh:
+                lines = fh.read().strip().splitlines()
+            assert lines[0] == "vehicle_id,profit"
+            ids += [ln.split(",")[0] for ln in lines[1:]]
+        assert ids == expected
+
+
+def test_report_csv_splits_a_hot_date_in_order(spark, scratch):
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keep tiny ranges apart
+    try:
+        d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+        hot = [(d1, f"V{i:04d}", float(-i % 97)) for i in range(3000)]
+        cold = [(d2, "V1", 1.0)]
+        report = spark.createDataFrame(hot + cold, "report_date date, vehicle_id string, profit double")
+        path = f"{scratch}/csv"
+        write_report_csv(report, path)
+        files = sorted(glob.glob(f"{path}/report_date={d1}/*.csv"))
+        assert len(files) > 1  # the hot date is written by several tasks
+        got = []
+        for name in files:
+            with open(name) as fh:
+                got += [tuple(ln.split(",")) for ln in fh.read().strip().splitlines()[1:]]
+        expected = sorted(((v, p) for _, v, p in hot), key=lambda r: (r[1], r[0]))
+        assert [(v, float(p)) for v, p in got] == expected
+        assert len(glob.glob(f"{path}/report_date={d2}/*.csv")) == 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_lake_read_modes(spark, scratch):
