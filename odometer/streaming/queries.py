@@ -166,6 +166,41 @@ def start_sliding(
     )
 
 
+def write_checks_batch(batch: DataFrame, batch_id: int, checks_path: str) -> None:
+    """Per-batch partition of updated telemetry-contract counts (retry-safe)."""
+    (
+        batch.withColumn("spark_batch_id", F.lit(int(batch_id)).cast("long"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("spark_batch_id")
+        .parquet(checks_path)
+    )
+
+
+def start_quality(
+    source: DataFrame,
+    checks_path: str,
+    checkpoint: str,
+    trigger_seconds: int | None = DEFAULT_TRIGGER_SECONDS,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Telemetry-contract violation counts per event date over the parsed,
+    *unfiltered* stream, so users see what validation discards.  Update
+    mode; the newest row per date (greatest batch id) is the running total.
+    State is one row per event date."""
+    from odometer.operators.telemetry import telemetry_checks
+    from odometer.sources.telemetry import decode_telemetry
+
+    checks = telemetry_checks(decode_telemetry(source))
+    return (
+        checks.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger_options(trigger_seconds, available_now))
+        .foreachBatch(lambda df, batch_id: write_checks_batch(df, batch_id, checks_path))
+        .start()
+    )
+
+
 def run_until_any_stops(spark: SparkSession, queries: tuple[StreamingQuery, ...]) -> None:
     """Block until one query terminates, then stop the rest (and re-raise)."""
     try:

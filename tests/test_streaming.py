@@ -174,3 +174,25 @@ def test_supervisor_stops_the_other_query(spark, scratch):
     run_until_any_stops(spark, (lake_q, metric_q))
     assert not lake_q.isActive and not metric_q.isActive
     spark.streams.resetTerminated()
+
+
+def test_quality_stream_counts_what_validation_drops(spark, scratch):
+    from odometer.streaming.queries import start_quality
+
+    source_dir = f"{scratch}/source"
+    _drop(source_dir, 0, [(1, 1), (2, -5)])  # negative fare is rejected
+    with open(f"{source_dir}/junk.json", "w") as fh:
+        fh.write("not json\n")
+    for k in range(2):
+        q = start_quality(spark.readStream.format("text").load(source_dir), f"{scratch}/checks", f"{scratch}/ckpt",
+                          available_now=True)
+        q.awaitTermination()
+        if k == 0:
+            _drop(source_dir, 1, [(3, 2)])
+    hist = spark.read.parquet(f"{scratch}/checks")
+    latest = {r["event_date"]: r for r in hist.groupBy("event_date").agg(
+        F.max_by(F.struct(*[c for c in hist.columns if c not in ("event_date", "spark_batch_id")]), "spark_batch_id").alias("r")
+    ).select("event_date", "r.*").collect()}
+    day = [k for k in latest if k is not None][0]
+    assert (latest[day]["rows"], latest[day]["accepted_rows"], latest[day]["bad_fare_rows"]) == (3, 2, 1)
+    assert latest[None]["rows"] == 1 and latest[None]["bad_time_rows"] == 1
