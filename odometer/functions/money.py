@@ -1,9 +1,10 @@
 """Money arithmetic that gives the same digits in every SQL engine.
 
-``round(double, n)`` disagrees between engines on binary ties (1.005 and the
-like), and a double ``sum`` depends on addition order.  Rounding through a
-wide DECIMAL and summing two-decimal amounts as DECIMAL removes both effects
-while keeping HALF_UP rounding, which is what Spark's ``round`` does.
+Rounding is Spark's ``round``: HALF_UP applied to the double's shortest
+decimal text (1.005 -> 1.01, 2.675 -> 2.68), exactly the rule the reference
+relies on; NaN stays NaN.  Another engine reproduces it by rounding that text
+as a wide DECIMAL (the oracle does).  A double ``sum`` depends on addition
+order, so sums of two-decimal amounts can be taken as DECIMAL(18,2).
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ROUND_DECIMAL = "decimal(28,10)"
 MONEY_DECIMAL = "decimal(18,2)"
 
 
@@ -20,8 +20,8 @@ def _col(c: Column | str) -> Column:
 
 
 def round_half_up(c: Column | str, scale: int) -> Column:
-    """HALF_UP rounding of a double, engine-independent. NaN -> NULL."""
-    return F.round(_col(c).try_cast(ROUND_DECIMAL), scale).cast("double")
+    """HALF_UP rounding of a double on its shortest decimal text (Spark ``round``)."""
+    return F.round(_col(c), scale)
 
 
 def money_sum(c: Column | str, exact: bool = True) -> Column:
@@ -38,5 +38,6 @@ def money_sum(c: Column | str, exact: bool = True) -> Column:
 
 
 def to_decimal(c: Column | str, precision: int, scale: int) -> Column:
-    """Conform a double to NUMERIC(precision, scale) with HALF_UP rounding."""
-    return F.round(_col(c).try_cast(ROUND_DECIMAL), scale).cast(f"decimal({precision},{scale})")
+    """Conform a double to NUMERIC(precision, scale) with HALF_UP rounding;
+    NaN or out-of-range values become NULL (and then fail NOT NULL checks)."""
+    return F.round(_col(c), scale).try_cast(f"decimal({precision},{scale})")

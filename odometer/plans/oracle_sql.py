@@ -1,8 +1,9 @@
 """DuckDB oracle SQL for the contract queries.
 
 The fixture mapping here mirrors ``odometer.sources.fixtures`` expression
-for expression.  Parity rules: literals cast to DOUBLE; money rounded via
-DECIMAL(28,10); two-decimal sums taken as DECIMAL(18,2); integer sums cast
+for expression.  Parity rules: literals cast to DOUBLE; rounding reproduces Spark's round
+(HALF_UP on the shortest decimal text of the double, via a VARCHAR ->
+DECIMAL(38,18) cast); two-decimal sums taken as DECIMAL(18,2); integer sums cast
 to BIGINT; timestamps are plain (naive, UTC) TIMESTAMPs.
 """
 
@@ -15,7 +16,8 @@ def d(x) -> str:
 
 
 def rnd(expr: str, n: int) -> str:
-    return f"CAST(round(CAST({expr} AS DECIMAL(28,10)), {n}) AS DOUBLE)"
+    """Spark's round(double, n): HALF_UP on the double's shortest decimal text."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
 
 
 def money_sum(expr: str) -> str:
@@ -236,7 +238,7 @@ ORDER BY zone"""
 
 
 def dec(expr: str, p: int, s: int) -> str:
-    return f"CAST(round(CAST({expr} AS DECIMAL(28,10)), {s}) AS DECIMAL({p},{s}))"
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {s}) AS DECIMAL({p},{s}))"
 
 
 ORACLES["serving_conform"] = with_ctes(*SERVING_CTES) + f"""
