@@ -13,16 +13,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odometer.functions.timeutil import as_wall_clock
-from odometer.operators.telemetry import decode_and_clean, clean_telemetry
+from odometer.functions.timeutil import as_wall_clock, naive_to_utc, ts_literal
+from odometer.functions.zones import box_zone, grid_zone
+from odometer.operators.health import check_grid, gauges, health_snapshot, health_status, health_transitions
 from odometer.operators.profitability import (
     build_report,
-    daily_events,
     build_report_for_day,
+    daily_events,
+    finish_report,
     report_summary,
     trip_revenue,
     unprofitable_ranking,
 )
+from odometer.operators.quality import expense_feed_checks
 from odometer.operators.serving import (
     conform_utilization,
     latest_per_key,
@@ -30,22 +33,15 @@ from odometer.operators.serving import (
     upsert_profitability,
     upsert_utilization,
 )
-from odometer.operators.profitability import finish_report
-from odometer.operators.quality import expense_feed_checks
-from odometer.operators.telemetry import telemetry_checks
-from odometer.operators.utilization import sliding_metrics
-from odometer.functions.timeutil import naive_to_utc, ts_literal
-from odometer.functions.zones import box_zone, grid_zone
+from odometer.operators.telemetry import clean_telemetry, decode_and_clean, telemetry_checks
+from odometer.operators.utilization import batch_totals, sliding_metrics, utilization_metrics
+from odometer.plans import params
 from odometer.schemas import TELEMETRY_FIELDS, UTILIZATION_COLUMNS
-from odometer.session import scratch_path
+from odometer.session import ensure_utc, materialize, scratch_path
 from odometer.sinks.files import write_expense_feed
+from odometer.sources import fixtures
 from odometer.sources.expenses import read_expense_feed
 from odometer.sources.telemetry import decode_telemetry, encode_telemetry
-from odometer.operators.health import check_grid, gauges, health_snapshot, health_status, health_transitions
-from odometer.operators.utilization import batch_totals, utilization_metrics
-from odometer.plans import oracle_sql as params
-from odometer.session import ensure_utc, materialize
-from odometer.sources import fixtures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -87,8 +83,6 @@ def q_utilization_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(metrics, "window_start", "window_end")
 
 
-REPORT_DAY = "2024-01-15"
-
 
 def expense_rows(spark: SparkSession, sf_dir: str, clean: DataFrame | None = None) -> DataFrame:
     """The expense feed: every supplier-vehicle for every telemetry date."""
@@ -119,8 +113,8 @@ def q_profitability_report_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Single-date reconciliation: the date's feed against the date's events."""
     clean = clean_rows(spark, sf_dir)
     # the day's feed comes from the day's events, so both scans read one day
-    feed = expense_rows(spark, sf_dir, daily_events(clean, REPORT_DAY))
-    return build_report_for_day(feed, clean, REPORT_DAY, exact_money=True)
+    feed = expense_rows(spark, sf_dir, daily_events(clean, params.REPORT_DAY))
+    return build_report_for_day(feed, clean, params.REPORT_DAY, exact_money=True)
 
 
 @query("profitability_summary")

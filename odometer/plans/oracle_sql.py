@@ -9,6 +9,18 @@ to BIGINT; timestamps are plain (naive, UTC) TIMESTAMPs.
 
 from __future__ import annotations
 
+from odometer.plans.params import (
+    CHECK_MINUTES,
+    HEALTH_NOW,
+    LATE_FEE,
+    LATEST_ZONE,
+    REPORT_DAY,
+    RERUN_FROM,
+    THRESHOLD,
+    UPDATED_AT_BATCH,
+    UPDATED_AT_TARGET,
+)
+
 
 def d(x) -> str:
     """A DOUBLE literal."""
@@ -142,7 +154,6 @@ ORACLES["trip_revenue"] = with_ctes(TELEMETRY, CLEAN, TRIP_REVENUE) + "SELECT *
 
 ORACLES["profitability_report"] = with_ctes(*REPORT_CTES) + "SELECT * FROM report"
 
-REPORT_DAY = "2024-01-15"
 
 ORACLES["profitability_report_day"] = (
     with_ctes(*REPORT_CTES)
@@ -229,7 +240,6 @@ SELECT {LATEST_COLS}, count(*) OVER () AS metric_window_count
 FROM serving WHERE window_end = (SELECT max(window_end) FROM serving)
 ORDER BY zone"""
 
-LATEST_ZONE = "outside_service_area"
 
 ORACLES["latest_window_zone"] = with_ctes(*SERVING_CTES) + f"""
 SELECT {LATEST_COLS}, count(*) OVER () AS metric_window_count
@@ -253,10 +263,6 @@ SELECT window_start, window_end, zone,
        spark_batch_id, processed_at
 FROM serving"""
 
-UPDATED_AT_TARGET = "2024-02-01 00:00:00"
-UPDATED_AT_BATCH = "2024-02-02 00:00:00"
-RERUN_FROM = "2024-01-16"
-LATE_FEE = 10
 
 ORACLES["profitability_upsert"] = with_ctes(*REPORT_CTES) + f""",
 rerun_joined AS (
@@ -281,8 +287,6 @@ UNION ALL
 SELECT r.*, TIMESTAMP '{UPDATED_AT_TARGET}' AS updated_at
 FROM report r ANTI JOIN rerun n ON r.report_date = n.report_date AND r.vehicle_id = n.vehicle_id"""
 
-HEALTH_NOW = "2024-01-31 00:01:00"
-THRESHOLD = 120
 
 
 def status_sql(now: str, last: str, threshold: int = THRESHOLD) -> str:
@@ -326,7 +330,6 @@ SELECT 'fleet_serving_metric_rows' AS name, CAST(metric_rows AS BIGINT) AS value
 UNION ALL
 SELECT 'fleet_last_telemetry_age_seconds' AS name, CAST(coalesce(age_seconds, -1) AS BIGINT) AS value FROM st"""
 
-CHECK_MINUTES = 2
 
 ORACLES["health_transitions"] = with_ctes(*SERVING_CTES) + f""",
 bounds AS (
@@ -355,7 +358,6 @@ SELECT check_time AS created_at,
          AS context
 FROM lagged WHERE prev_status IS NULL OR status <> prev_status"""
 
-LOCAL_ZONE = "Asia/Colombo"
 
 ORACLES["zone_assignment"] = with_ctes(TELEMETRY) + f"SELECT event_id, lat, lon, {ZONE} AS zone FROM tel"
 
