@@ -73,15 +73,22 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where the setting is absent (a bare local test session) is a fresh
     folder made and registered, so that lineage-cutting writes and streaming
-    checkpoints always land on storage every executor can reach.
+    checkpoints always land on storage every executor can reach.  A setting
+    made on a running session is passed on to the SparkContext, which is
+    where ``DataFrame.checkpoint`` looks.
     """
+    try:
+        context = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        context = None
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    if not configured and context is not None:
+        configured = context.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="odometer-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-        spark.sparkContext.setCheckpointDir(configured)
+    if context is not None and not context.getCheckpointDir():
+        context.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 

@@ -160,3 +160,11 @@ def test_reconcile_checks_serving_constraints_before_writing(spark, scratch):
     assert spark.read.parquet(f"{scratch}/out").count() == 2
     assert [r["vehicle_id"] for r in spark.read.parquet(f"{scratch}/serving").collect()] == ["V1"]
     assert [r["vehicle_id"] for r in spark.read.parquet(f"{scratch}/rejects").collect()] == ["V2"]
+
+
+def test_checkpoint_dir_set_on_a_running_session_is_used(spark, scratch):
+    from odometer.session import shared_dir
+
+    assert shared_dir(spark)  # configured by spark-defaults or the test fixture
+    sc = spark.sparkContext
+    assert sc.getCheckpointDir()
