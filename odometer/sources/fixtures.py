@@ -2,7 +2,7 @@
 
 No fleet data ships with the test tables, so telemetry is derived from
 ``events`` and the daily expense feed from ``supplier``.  The same mapping
-is written in SQL for the oracle (``odometer.plans.oracle``); every literal
+is written in SQL for the oracle (``odometer.plans.oracle_sql``); every literal
 is cast to DOUBLE so both dialects compute in binary floating point.
 """
 
