@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from odometer.operators.profitability import build_report, build_report_for_day, order_report, trip_revenue
 from odometer.session import ensure_utc, materialize
@@ -31,23 +32,43 @@ def reconcile(
 
     ``report_date`` runs the single-date form (every feed row is labelled
     with that date); without it every date found in the feeds is reconciled
-    in one job.  The report is materialized once, so the three writes do not
-    recompute it.
+    in one job.
+    """
+    ensure_utc(spark)
+    lake = read_clean_lake(spark, lake_path, bypass_commit_log)
+    feed = read_expense_feed(spark, expenses_path, report_date)
+    return reconcile_frames(spark, feed, lake, output_root, csv_root, serving_path, report_date, reject_path)
+
+
+def reconcile_frames(
+    spark: SparkSession,
+    feed: DataFrame,
+    lake: DataFrame,
+    output_root: str,
+    csv_root: str,
+    serving_path: str | None = None,
+    report_date: str | None = None,
+    reject_path: str | None = None,
+) -> DataFrame:
+    """The reconciliation on already-read frames (batch or one micro-batch).
+
+    Only the feed's dates are read from the lake (a semi join on the
+    ``event_date`` partition column, which dynamic partition pruning turns
+    into directory pruning).  The report is materialized once, so the three
+    writes do not recompute it.
 
     Serving constraints are checked before anything is written: rows with a
     NULL in a NOT NULL serving column (e.g. a missing cost) go to
     ``reject_path`` when given and are kept out of the serving merge;
     without ``reject_path`` the job fails before writing.
     """
-    ensure_utc(spark)
-    lake = read_clean_lake(spark, lake_path, bypass_commit_log)
     if report_date is not None:
-        feed = read_expense_feed(spark, expenses_path, report_date)
-        report = build_report_for_day(feed, lake, report_date)
+        report = build_report_for_day(feed.drop("csv_report_date"), lake, report_date)
     else:
-        feed = read_expense_feed(spark, expenses_path)
-        days = feed.select("report_date").distinct()
-        lake = lake.join(days.withColumnRenamed("report_date", "event_date"), "event_date", "left_semi")
+        days = feed.select(F.col("report_date").alias("event_date")).distinct()
+        if "event_date" not in lake.columns:
+            lake = lake.withColumn("event_date", F.to_date("event_time"))
+        lake = lake.join(days, "event_date", "left_semi")
         report = build_report(feed.drop("csv_report_date"), trip_revenue(lake))
     report = materialize(report)
     servable = report
@@ -66,6 +87,45 @@ def reconcile(
     return order_report(report)
 
 
+def start_reconciliation_stream(
+    spark: SparkSession,
+    feeds_path: str,
+    lake_path: str,
+    output_root: str,
+    csv_root: str,
+    checkpoint: str,
+    serving_path: str | None = None,
+    reject_path: str | None = None,
+    trigger_seconds: int = 300,
+    available_now: bool = False,
+):
+    """Reconcile every newly published feed file as it arrives.
+
+    This replaces a scheduler that polls for the day's file: the file
+    source's checkpoint records which feed files were consumed, so each
+    file is reconciled exactly once, late or re-published days included,
+    and a failed run resumes where it stopped.  Each micro-batch covers the
+    dates its new files carry.
+    """
+    from odometer.sources.expenses import read_expense_feed_stream
+    from odometer.streaming.queries import trigger_options
+
+    ensure_utc(spark)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        lake = read_clean_lake(spark, lake_path)
+        reconcile_frames(spark, batch, lake, output_root, csv_root, serving_path, None, reject_path)
+
+    return (
+        read_expense_feed_stream(spark, feeds_path)
+        .writeStream.queryName("fleet_daily_reconciliation")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger_options(trigger_seconds, available_now))
+        .foreachBatch(per_batch)
+        .start()
+    )
+
+
 def _serving_null_rule(report: DataFrame):
     from pyspark.sql import functions as F
 

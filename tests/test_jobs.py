@@ -168,3 +168,36 @@ def test_checkpoint_dir_set_on_a_running_session_is_used(spark, scratch):
     assert shared_dir(spark)  # configured by spark-defaults or the test fixture
     sc = spark.sparkContext
     assert sc.getCheckpointDir()
+
+
+def test_reconciliation_stream_consumes_each_feed_once(spark, scratch):
+    from odometer.plans.jobs import start_reconciliation_stream
+
+    src = f"{scratch}/source"
+    os.makedirs(src)
+    with open(f"{src}/p.json", "w") as fh:
+        fh.write("\n".join([_line("V1", "T1", 26, 1, 100.0), _line("V1", "T2", 27, 1, 40.0)]) + "\n")
+    lake = f"{scratch}/lake"
+    run_live(spark, spark.readStream.format("text").load(src), lake, f"{scratch}/m", f"{scratch}/ckpt",
+             available_now=True)
+    schema = ("report_date date, vehicle_id string, fuel_cost double, maintenance_cost double, "
+              "distance_covered double, service_flag string")
+    feeds, out, csv, serving = f"{scratch}/feeds", f"{scratch}/out", f"{scratch}/csv", f"{scratch}/serving"
+    os.makedirs(feeds)
+
+    def run():
+        q = start_reconciliation_stream(spark, feeds, lake, out, csv, f"{scratch}/rckpt", serving_path=serving,
+                                        available_now=True)
+        q.awaitTermination()
+        assert q.exception() is None
+
+    write_expense_feed(spark.createDataFrame([(dt.date(2026, 9, 26), "V1", 10.0, 0.0, 1.0, "required")], schema), feeds)
+    run()
+    got = {(r["report_date"], r["vehicle_id"]): r["trip_revenue"] for r in spark.read.parquet(out).collect()}
+    assert got == {(dt.date(2026, 9, 26), "V1"): 100.0}
+    write_expense_feed(spark.createDataFrame([(dt.date(2026, 9, 27), "V1", 10.0, 0.0, 1.0, "required")], schema), feeds)
+    run()
+    run()  # nothing new: no change
+    got = {(r["report_date"], r["vehicle_id"]): r["trip_revenue"] for r in spark.read.parquet(out).collect()}
+    assert got == {(dt.date(2026, 9, 26), "V1"): 100.0, (dt.date(2026, 9, 27), "V1"): 40.0}
+    assert spark.read.parquet(serving).count() == 2
