@@ -150,15 +150,31 @@ def start_sliding(
     checkpoint: str,
     trigger_seconds: int | None = DEFAULT_TRIGGER_SECONDS,
     available_now: bool = False,
+    panes: bool = False,
 ) -> StreamingQuery:
     """Older path: unvalidated events, 5-minute windows sliding by 1 minute,
-    HLL distinct counts, update mode into an append-only log."""
+    HLL distinct counts, into an append-only log.
+
+    Default: Spark's sliding ``window()`` in update mode, as that path ran.
+    ``panes=True``: one-minute panes with mergeable sketches chained into the
+    sliding windows (append mode, each window written once when closed);
+    state per event is one pane instead of five windows.
+    """
+    from odometer.operators.utilization import sliding_metrics_sketched
     from odometer.sources.telemetry import decode_telemetry
 
     parsed = decode_telemetry(source).withColumn("event_time", F.col("timestamp").try_cast("timestamp"))
-    metrics = sliding_metrics_direct(parsed)
+    if panes:
+        metrics = sliding_metrics_sketched(parsed, watermark="2 minutes").select(
+            F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end")).alias("window"),
+            "*",
+        )
+        mode = "append"
+    else:
+        metrics = sliding_metrics_direct(parsed)
+        mode = "update"
     return (
-        metrics.writeStream.outputMode("update")
+        metrics.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger_options(trigger_seconds, available_now))
         .foreachBatch(lambda df, batch_id: write_sliding_batch(df, batch_id, log_path))

@@ -196,3 +196,14 @@ def test_quality_stream_counts_what_validation_drops(spark, scratch):
     day = [k for k in latest if k is not None][0]
     assert (latest[day]["rows"], latest[day]["accepted_rows"], latest[day]["bad_fare_rows"]) == (3, 2, 1)
     assert latest[None]["rows"] == 1 and latest[None]["bad_time_rows"] == 1
+
+
+def test_older_sliding_stream_with_panes(spark, scratch):
+    source_dir = f"{scratch}/source"
+    _drop(source_dir, 0, [(1, 1), (2, 2), (3, 3), (20, 1)])  # minute 20 closes the early windows
+    q = start_sliding(spark.readStream.format("text").load(source_dir), f"{scratch}/log", f"{scratch}/ckpt",
+                      available_now=True, panes=True)
+    q.awaitTermination()
+    log = spark.read.parquet(f"{scratch}/log")
+    rows = {r["window_start"].minute: r["total_events"] for r in log.collect()}
+    assert rows[0] == 3 and rows[1] == 3 and rows[2] == 2
