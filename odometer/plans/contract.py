@@ -305,8 +305,8 @@ def q_sliding_metrics_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live path end to end on a file stream.
 
-    Telemetry JSON arrives in two drops split at the midpoint of the event
-    time span; each drop is consumed by an ``availableNow`` run of the same
+    Telemetry JSON values (binary, as a broker delivers them) arrive in two
+    drops split at the midpoint of the event time span; each drop is consumed by an ``availableNow`` run of the same
     checkpointed query (watermark 2 min, update mode, per-batch partitions).
     The window that straddles the split is emitted twice; the keep-latest
     view over the appended batches equals the batch aggregate.
@@ -323,10 +323,9 @@ def q_stream_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
         json_rows.where(F.col("event_time") >= ts_literal(split)),
     )
     for drop in drops:
-        encode_telemetry(drop).select(F.col("value").cast("string").alias("value")).write.mode("append").text(
-            f"{base}/source"
-        )
-        source = spark.readStream.format("text").load(f"{base}/source")
+        # the producer's binary JSON values, landed as compressed Parquet files
+        encode_telemetry(drop).write.mode("append").parquet(f"{base}/source")
+        source = spark.readStream.schema("value binary").parquet(f"{base}/source")
         queries = start_live_queries(
             spark,
             source,
