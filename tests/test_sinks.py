@@ -116,3 +116,26 @@ def test_lake_read_modes(spark, scratch):
     df.withColumn("event_date", F.to_date("event_time")).write.partitionBy("event_date").parquet(path)
     assert read_clean_lake(spark, path).where(F.col("event_date") == "2024-01-02").count() == 1
     assert read_clean_lake(spark, path, bypass_commit_log=True).count() == 2
+
+
+def test_lake_read_honours_the_commit_log(spark, scratch):
+    import json
+    import shutil
+
+    from odometer.plans.jobs import run_live
+
+    src = f"{scratch}/src"
+    os.makedirs(src)
+    with open(f"{src}/a.json", "w") as fh:
+        fh.write(json.dumps({"trip_id": "T1", "driver_id": "D1", "vehicle_id": "V1", "lat": 6.9, "lon": 79.9,
+                             "speed": 10, "status": "idle", "fare": 0.0,
+                             "timestamp": "2026-09-27T12:00:00+00:00"}) + "\n")
+    lake = f"{scratch}/lake"
+    run_live(spark, spark.readStream.format("text").load(src), lake, f"{scratch}/m", f"{scratch}/ckpt",
+             available_now=True)
+    day_dir = glob.glob(f"{lake}/event_date=*")[0]
+    committed = glob.glob(f"{day_dir}/part-*.parquet")[0]
+    # a file left behind by a micro-batch that never committed
+    shutil.copy(committed, f"{day_dir}/part-99999-uncommitted.c000.snappy.parquet")
+    assert read_clean_lake(spark, lake).count() == 1
+    assert read_clean_lake(spark, lake, bypass_commit_log=True).count() == 2
