@@ -35,10 +35,6 @@ def naive_to_utc(c: Column | str, local_zone: str) -> Column:
     return F.to_utc_timestamp(_col(c), local_zone)
 
 
-def epoch_micros(c: Column | str) -> Column:
-    return F.unix_micros(_col(c).cast("timestamp"))
-
-
 def ts_literal(value) -> Column:
     """A TIMESTAMP literal that does not depend on the driver's local zone.
 

@@ -201,3 +201,29 @@ def test_reconciliation_stream_consumes_each_feed_once(spark, scratch):
     got = {(r["report_date"], r["vehicle_id"]): r["trip_revenue"] for r in spark.read.parquet(out).collect()}
     assert got == {(dt.date(2026, 9, 26), "V1"): 100.0, (dt.date(2026, 9, 27), "V1"): 40.0}
     assert spark.read.parquet(serving).count() == 2
+
+
+def test_generic_stream_reader_gauge_text_and_day_read(spark, scratch):
+    from odometer.operators.health import exposition_text, gauges, health_snapshot
+    from odometer.operators.profitability import report_for_day
+    from odometer.sinks.files import write_gauges_text
+    from odometer.sources.telemetry import read_telemetry_stream
+
+    src = f"{scratch}/src"
+    os.makedirs(src)
+    with open(f"{src}/a.json", "w") as fh:
+        fh.write(_line("V1", "T1", 26, 1, 100.0) + "\n")
+    stream = read_telemetry_stream(spark, "text", path=src, options={"maxFilesPerTrigger": "1"})
+    assert stream.isStreaming and stream.columns == ["value"]
+
+    serving = spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "processed_at timestamp_ntz")
+    snap = health_snapshot(serving, spark.range(3))
+    write_gauges_text(exposition_text(gauges(snap, dt.datetime(2024, 1, 1, 0, 0, 30), 60)), f"{scratch}/gauges")
+    text = "".join(open(p).read() for p in sorted(glob.glob(f"{scratch}/gauges/part-*")))
+    assert "fleet_last_telemetry_age_seconds 30\n" in text and "fleet_serving_metric_rows 1\n" in text
+
+    report = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), "V2", 5.0), (dt.date(2024, 1, 1), "V1", -5.0), (dt.date(2024, 1, 2), "V3", 0.0)],
+        "report_date date, vehicle_id string, profit double",
+    )
+    assert [r["vehicle_id"] for r in report_for_day(report, "2024-01-01").collect()] == ["V1", "V2"]
