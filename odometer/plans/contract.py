@@ -125,7 +125,7 @@ def q_profitability_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("unprofitable_vehicles")
 def q_unprofitable_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary's ordered list of unprofitable vehicles, as ranked rows."""
-    return unprofitable_ranking(report_rows(spark, sf_dir))
+    return unprofitable_ranking(report_rows(spark, sf_dir, stored=True))
 
 
 def history_rows(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
