@@ -104,31 +104,44 @@ def check_grid(serving: DataFrame, every_minutes: int = 2) -> DataFrame:
     )
 
 
-def as_of_last_processed(checks: DataFrame, serving: DataFrame) -> DataFrame:
+def _range_parts(spark, partitions: int | None) -> int:
+    return partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def as_of_last_processed(checks: DataFrame, serving: DataFrame, partitions: int | None = None) -> DataFrame:
     """For every check time t: the newest ``processed_at <= t`` (as-of lookup).
 
-    A distributed prefix maximum.  Metric stamps are de-duplicated, then
-    checks and stamps are unioned and partitioned by calendar day; within a
-    day a running maximum is taken in time order (stamps before checks at
-    equal times), and the maximum of all earlier days is carried in from a
-    per-day table (one row per day).
+    A distributed prefix maximum that no time distribution can skew.
+    Checks and de-duplicated stamps are unioned and range-partitioned on
+    (time, kind) - stamps sort before checks at equal times - so every task
+    holds a contiguous, sampled-to-balance slice of the timeline.  Each
+    task takes a running maximum over its slice; the maximum of all earlier
+    slices is carried in from a table with one row per range partition.
     """
+    n = _range_parts(checks.sparkSession, partitions)
     stamps = serving.select(F.col("processed_at").alias("t")).distinct()
-    events = checks.select(F.col("check_time").alias("t"), F.lit(1).alias("kind")).unionByName(
+    timeline = checks.select(F.col("check_time").alias("t"), F.lit(1).alias("kind")).unionByName(
         stamps.select("t", F.lit(0).alias("kind"))
-    ).withColumn("day", F.to_date("t"))
-    day_max = events.groupBy("day").agg(F.max(F.when(F.col("kind") == 0, F.col("t"))).alias("day_max"))
-    carry = day_max.select(
-        "day",
-        F.max("day_max").over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)).alias("carry_in"),
     )
-    in_day = Window.partitionBy("day").orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    scanned = events.withColumn("run_max", F.max(F.when(F.col("kind") == 0, F.col("t"))).over(in_day))
+    ranged = timeline.repartitionByRange(n, "t", "kind").withColumn("_part", F.spark_partition_id())
+    stamp = F.when(F.col("kind") == 0, F.col("t"))
+    carry = (
+        ranged.groupBy("_part")
+        .agg(F.max(stamp).alias("_part_max"))
+        .select(
+            "_part",
+            F.max("_part_max")
+            .over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+            .alias("carry_in"),
+        )
+    )
+    in_part = Window.partitionBy("_part").orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        scanned.where(F.col("kind") == 1)
-        .join(carry, "day", "left")
+        ranged.withColumn("run_max", F.max(stamp).over(in_part))
+        .where(F.col("kind") == 1)
+        .join(carry, "_part", "left")
         .select(
-            "day",
+            "_part",
             F.col("t").alias("check_time"),
             F.greatest("run_max", "carry_in").alias("last_processed_at"),
         )
@@ -141,33 +154,36 @@ def health_transitions(
     threshold_seconds: int = DEFAULT_THRESHOLD_SECONDS,
     with_context: bool = True,
     initial_status: F.Column | str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Alert rows: one per check whose status differs from the previous
     check's.  The first check alerts unless ``initial_status`` (the status
     last recorded, e.g. by a previous run) equals it.
 
-    The previous status is a per-day ``lag``; the first check of a day takes
-    the last status of the previous day from a one-row-per-day table.
+    The previous status is a ``lag`` within each range partition of the
+    timeline; the first check of a partition takes the last status of the
+    nearest earlier partition that has checks, from a one-row-per-partition
+    table.
     """
-    asof = as_of_last_processed(checks, serving)
+    asof = as_of_last_processed(checks, serving, partitions)
     st = health_columns(asof, F.col("check_time"), threshold_seconds)
-    day_last = st.groupBy("day").agg(F.max_by("status", "check_time").alias("last_status"))
-    prev_day = day_last.select(
-        "day", F.lag("last_status").over(Window.orderBy("day")).alias("prev_day_status")
+    part_last = st.groupBy("_part").agg(F.max_by("status", "check_time").alias("last_status"))
+    prev_part = part_last.select(
+        "_part",
+        F.last("last_status", ignorenulls=True)
+        .over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+        .alias("prev_part_status"),
+    )
+    w = Window.partitionBy("_part").orderBy("check_time")
+    initial = (
+        F.lit(initial_status)
+        if isinstance(initial_status, str)
+        else (initial_status if initial_status is not None else F.lit(None).cast("string"))
     )
-    w = Window.partitionBy("day").orderBy("check_time")
     flagged = (
         st.withColumn("prev_status", F.lag("status").over(w))
-        .join(prev_day, "day", "left")
-        .withColumn(
-            "prev_status",
-            F.coalesce(
-                "prev_status",
-                "prev_day_status",
-                F.lit(initial_status) if isinstance(initial_status, str) else
-                (initial_status if initial_status is not None else F.lit(None).cast("string")),
-            ),
-        )
+        .join(prev_part, "_part", "left")
+        .withColumn("prev_status", F.coalesce("prev_status", "prev_part_status", initial))
         .where(F.col("prev_status").isNull() | (F.col("status") != F.col("prev_status")))
     )
     out = flagged.select(

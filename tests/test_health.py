@@ -162,3 +162,27 @@ def test_timestamp_literals_ignore_the_driver_zone(spark):
             os.environ["TZ"] = old
         time.tzset()
     assert got["naive"] == got["aware"] == got["text"] == dt.datetime(2024, 1, 1, 0, 0)
+
+
+def test_transitions_exact_on_a_skewed_timeline(spark):
+    rng = random.Random(23)
+    base = dt.datetime(2024, 1, 1)
+    # two thirds of all checks fall in one hour; stamps sometimes equal a check time
+    checks = sorted({base + dt.timedelta(seconds=rng.randrange(0, 3600)) for _ in range(600)}
+                    | {base + dt.timedelta(hours=1 + rng.randrange(0, 48), minutes=rng.randrange(60)) for _ in range(300)})
+    stamps = sorted({rng.choice(checks) for _ in range(40)} | {base + dt.timedelta(minutes=rng.randrange(0, 3000)) for _ in range(40)})
+    rows = (
+        health_transitions(_checks(spark, checks), _serving(spark, stamps), threshold_seconds=120, partitions=7)
+        .select(F.col("created_at").cast("timestamp_ntz").alias("t"), "status",
+                F.col("last_processed_at").cast("timestamp_ntz").alias("last"))
+        .orderBy("t")
+        .collect()
+    )
+    expected, prev = [], None
+    for t in checks:
+        last = max((s for s in stamps if s <= t), default=None)
+        st = "degraded" if last is None else ("unhealthy" if int((t - last).total_seconds()) > 120 else "healthy")
+        if st != prev:
+            expected.append((t, st, last))
+        prev = st
+    assert [(r["t"], r["status"], r["last"]) for r in rows] == expected
