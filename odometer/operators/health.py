@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from odometer.functions.timeutil import ts_literal
+from odometer.session import materialize
 
 # The freshness rule's texts, severities and defaults.
 DEFAULT_THRESHOLD_SECONDS = 120
@@ -123,7 +124,10 @@ def as_of_last_processed(checks: DataFrame, serving: DataFrame, partitions: int
     timeline = checks.select(F.col("check_time").alias("t"), F.lit(1).alias("kind")).unionByName(
         stamps.select("t", F.lit(0).alias("kind"))
     )
-    ranged = timeline.repartitionByRange(n, "t", "kind").withColumn("_part", F.spark_partition_id())
+    # Pin each row's slice once: range bounds are sampled from row order,
+    # which an upstream shuffle does not fix, so every reader of the slices
+    # must read the same materialized assignment.
+    ranged = materialize(timeline.repartitionByRange(n, "t", "kind").withColumn("_part", F.spark_partition_id()))
     stamp = F.when(F.col("kind") == 0, F.col("t"))
     carry = (
         ranged.groupBy("_part")

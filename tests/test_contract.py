@@ -74,3 +74,28 @@ def test_entry_is_non_empty(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns[:2] == ["report_date", "vehicle_id"]
+
+
+HOSTILE = {
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.shuffle.partitions": "200",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+}
+
+
+@pytest.mark.parametrize(
+    "name", ["health_transitions", "unprofitable_vehicles", "profitability_report", "utilization_upsert"]
+)
+def test_query_matches_oracle_without_aqe_or_broadcasts(spark, con, name):
+    """Results must not depend on AQE re-planning, exchange reuse or join choice."""
+    saved = {k: spark.conf.get(k) for k in HOSTILE}
+    for k, v in HOSTILE.items():
+        spark.conf.set(k, v)
+    try:
+        df = entry.queries()[name](spark, SF_DIR)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    rel = con.sql(entry.oracle_sql()[name])
+    assert _bag(df.columns, rows) == _bag(list(rel.columns), rel.fetchall())
