@@ -227,3 +227,36 @@ def test_generic_stream_reader_gauge_text_and_day_read(spark, scratch):
         "report_date date, vehicle_id string, profit double",
     )
     assert [r["vehicle_id"] for r in report_for_day(report, "2024-01-01").collect()] == ["V1", "V2"]
+
+
+def test_serving_sql_runs_on_views(spark, scratch):
+    from odometer.operators.serving import latest_window
+    from odometer.plans.catalog import register_serving_views
+
+    t0 = dt.datetime(2024, 1, 1, 0, 0)
+    rows = [(t0 + dt.timedelta(minutes=5 * w), z, w + 1, t0 + dt.timedelta(minutes=5 * w + 5))
+            for w in range(3) for z in ("colombo_north_east", "outside_service_area")]
+    df = spark.createDataFrame(rows, "window_start timestamp_ntz, zone string, telemetry_event_count long, "
+                                     "processed_at timestamp_ntz")
+    for c in ("window_start", "processed_at"):
+        df = df.withColumn(c, F.col(c).cast("timestamp"))
+    df = (df.withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 5 MINUTES"))
+          .withColumn("idle_event_count", F.lit(0).cast("long")).withColumn("on_trip_event_count", F.lit(0).cast("long"))
+          .withColumn("active_event_count", F.col("telemetry_event_count"))
+          .withColumn("observed_earnings", F.lit(12.345)).withColumn("average_speed", F.lit(None).cast("double"))
+          .withColumn("idle_ratio", F.lit(0.0)).withColumn("spark_batch_id", F.lit(1).cast("long")))
+    path = f"{scratch}/serving"
+    df.withColumn("window_date", F.to_date("window_start")).write.partitionBy("window_date").parquet(path)
+    assert register_serving_views(spark, utilization_path=path) == ["fleet_utilization_metrics"]
+    got = spark.sql("""
+        WITH newest AS (SELECT MAX(window_end) AS window_end FROM fleet_utilization_metrics)
+        SELECT zone, telemetry_event_count, observed_earnings
+        FROM fleet_utilization_metrics
+        WHERE window_end = (SELECT window_end FROM newest)
+        ORDER BY zone
+    """).collect()
+    assert [(r["zone"], r["telemetry_event_count"]) for r in got] == [
+        ("colombo_north_east", 3), ("outside_service_area", 3)]
+    assert str(got[0]["observed_earnings"]) == "12.35"  # NUMERIC(14,2), HALF_UP
+    want = latest_window(spark.read.parquet(path)).collect()
+    assert [r["zone"] for r in want] == [r["zone"] for r in got]
