@@ -1,7 +1,6 @@
 import datetime as dt
 import math
 
-from pyspark.sql import functions as F
 
 from odometer.functions.timeutil import parse_event_time
 from odometer.operators.telemetry import decode_and_clean, telemetry_checks

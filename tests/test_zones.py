@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from odometer.functions.zones import box_zone, grid_zone, zone_of_point
 
