@@ -225,3 +225,26 @@ def run_until_any_stops(spark: SparkSession, queries: tuple[StreamingQuery, ...]
         for q in queries:
             if q.isActive:
                 q.stop()
+
+
+def progress_summary(query: StreamingQuery) -> dict:
+    """Totals over the query's recent micro-batches, from StreamingQueryProgress:
+    batches, input rows, wall time, rows/s, rows dropped by the watermark and
+    the state rows kept at the end."""
+    batches = [p for p in query.recentProgress if p.get("numInputRows", 0) > 0]
+    rows = sum(p.get("numInputRows", 0) for p in batches)
+    millis = sum(p.get("durationMs", {}).get("triggerExecution", 0) for p in batches)
+    dropped = sum(
+        sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))
+        for p in query.recentProgress
+    )
+    last = query.recentProgress[-1] if query.recentProgress else {}
+    state_rows = sum(op.get("numRowsTotal", 0) for op in last.get("stateOperators", []))
+    return {
+        "batches": len(batches),
+        "input_rows": rows,
+        "millis": millis,
+        "rows_per_sec": round(rows / (millis / 1000.0), 1) if millis else None,
+        "dropped_by_watermark": dropped,
+        "state_rows": state_rows,
+    }

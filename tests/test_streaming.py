@@ -75,6 +75,10 @@ def test_late_data_update_mode_exact(spark, scratch):
         for p in metric_q.recentProgress
         if p.get("numInputRows", 0) > 0
     ]
+    from odometer.streaming.queries import progress_summary
+
+    summary = progress_summary(metric_q)
+    assert summary["batches"] == 5 and summary["input_rows"] == 10 and summary["dropped_by_watermark"] == 2
     hist = spark.read.parquet(metrics)
     per_batch = {}
     for r in hist.select("spark_batch_id", F.minute("window_start").alias("m"), "observed_earnings").collect():
