@@ -116,3 +116,21 @@ def test_sketched_panes_run_as_a_chained_stream(spark, scratch):
         w = want[r["window_start"]]
         assert (r["total_events"], r["idle_events"], r["active_vehicles"], r["trips"]) == (
             w["total_events"], w["idle_events"], w["active_vehicles"], w["trips"])
+
+
+def test_approximate_distincts_stay_within_hll_error(spark):
+    import __spark_entry__ as entry
+
+    sf = "/root/testdata/sf0.01"
+    exact = entry.queries()["sliding_metrics"](spark, sf).select(
+        "window_start", F.col("active_vehicles").alias("ev"), F.col("trips").alias("et"))
+    approx = entry.queries()["sliding_metrics_approx"](spark, sf).select(
+        "window_start", F.col("active_vehicles").alias("av"), F.col("trips").alias("at"))
+    joined = exact.join(approx, "window_start")
+    assert joined.count() == exact.count() == approx.count()
+    worst = joined.select(
+        F.max(F.abs(F.col("av") - F.col("ev")) / F.col("ev")).alias("v"),
+        F.max(F.abs(F.col("at") - F.col("et")) / F.col("et")).alias("t"),
+    ).first()
+    # HLL++ at the default 5% relative standard deviation; small sets are near exact
+    assert worst["v"] <= 0.15 and worst["t"] <= 0.15
