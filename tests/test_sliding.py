@@ -128,9 +128,10 @@ def test_approximate_distincts_stay_within_hll_error(spark):
         "window_start", F.col("active_vehicles").alias("av"), F.col("trips").alias("at"))
     joined = exact.join(approx, "window_start")
     assert joined.count() == exact.count() == approx.count()
-    worst = joined.select(
-        F.max(F.abs(F.col("av") - F.col("ev")) / F.col("ev")).alias("v"),
-        F.max(F.abs(F.col("at") - F.col("et")) / F.col("et")).alias("t"),
-    ).first()
-    # HLL++ at the default 5% relative standard deviation; small sets are near exact
-    assert worst["v"] <= 0.15 and worst["t"] <= 0.15
+    # HLL++ at the default 5% relative standard deviation: allow four sigma,
+    # and at least one (two distinct values can share a register)
+    over = joined.where(
+        (F.abs(F.col("av") - F.col("ev")) > F.greatest(F.lit(1.0), F.ceil(F.col("ev") * 0.2)))
+        | (F.abs(F.col("at") - F.col("et")) > F.greatest(F.lit(1.0), F.ceil(F.col("et") * 0.2)))
+    )
+    assert over.count() == 0
