@@ -78,7 +78,14 @@ def reconcile_frames(
         if rejected and reject_path is None:
             raise ValueError("report rows violate serving NOT NULL constraints; pass reject_path")
         if rejected:
-            report.where(bad).write.mode("append").parquet(reject_path)
+            # per-date overwrite: re-running a date replaces its rejects
+            (
+                report.where(bad)
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("report_date")
+                .parquet(reject_path)
+            )
             servable = report.where(~bad)
     write_report_parquet(report, output_root)
     write_report_csv(report, csv_root)
@@ -191,8 +198,12 @@ def record_health_alerts(
     threshold_seconds: int = 120,
 ) -> DataFrame:
     """Evaluate freshness at the given check times and append the status
-    transitions to the alert log.  The last status already in the log is the
-    starting point, so a re-run does not re-alert an unchanged status."""
+    transitions to the alert log.
+
+    The log's last alert is the starting point: only checks after its time
+    are evaluated, starting from its status, so a re-run over the same check
+    times appends nothing and a later run does not re-alert an unchanged
+    status."""
     from pyspark.errors import AnalysisException
     from pyspark.sql import functions as F
 
@@ -203,9 +214,11 @@ def record_health_alerts(
     serving = spark.read.parquet(serving_path)
     try:
         log = spark.read.parquet(alerts_path)
-        last = log.agg(F.max_by("status", "created_at").alias("s")).select("s").scalar()
+        newest = log.agg(F.max_by(F.struct("created_at", "status"), "created_at").alias("a"))
+        last_status = newest.select("a.status").scalar()
+        checks = checks.where(F.col("check_time") > newest.select("a.created_at").scalar())
     except AnalysisException:
-        last = None
-    alerts = materialize(health_transitions(checks, serving, threshold_seconds, initial_status=last))
+        last_status = None
+    alerts = materialize(health_transitions(checks, serving, threshold_seconds, initial_status=last_status))
     append_alerts(alerts, alerts_path)
     return alerts

@@ -131,6 +131,8 @@ def test_compaction_and_alert_log(spark, scratch):
     assert [r["status"] for r in first.orderBy("created_at").collect()] == ["degraded", "healthy", "unhealthy"]
     second = record_health_alerts(spark, serving, alerts, checks([30, 40]))
     assert second.count() == 0  # still unhealthy: nothing new to record
+    again = record_health_alerts(spark, serving, alerts, checks([0, 2, 6, 7, 20]))
+    assert again.count() == 0  # a re-run over checks already covered appends nothing
     assert spark.read.parquet(alerts).count() == 3
 
 
