@@ -43,6 +43,9 @@ def build_session(
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # Stored tables materialized by checkpoint() are deleted once their
+        # DataFrame is garbage-collected, so long-lived drivers do not pile up.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
     }
     if shuffle_partitions is not None:
