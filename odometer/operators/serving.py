@@ -151,6 +151,13 @@ def latest_window(serving: DataFrame, zone: str | None = None, closed_before=Non
     candidates = serving
     if closed_before is not None:
         candidates = candidates.where(F.col("window_end") <= ts_literal(closed_before))
+    if "window_date" in serving.columns:
+        # On the date-partitioned serving table the newest window lies in the
+        # newest date partition: find it from the partition column, then
+        # read only that day (the subquery becomes a partition filter).
+        newest_day = candidates.agg(F.max("window_date").alias("d")).select("d").scalar()
+        candidates = candidates.where(F.col("window_date") == newest_day)
+        serving = serving.where(F.col("window_date") == newest_day)
     newest = candidates.agg(F.max("window_end").alias("w")).select("w").scalar()
     rows = serving.where(F.col("window_end") == newest)
     if zone is not None:

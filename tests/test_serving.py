@@ -128,3 +128,24 @@ def test_latest_window_and_zone_argument(spark):
     assert [r["zone"] for r in closed] == ["colombo_a"]
     with pytest.raises(ValueError):
         latest_window(hist, zone="x' OR 1=1 --")
+
+
+def test_latest_window_on_a_date_partitioned_table_reads_one_day(spark, scratch):
+    import contextlib
+    import io
+
+    day2 = dt.datetime(2024, 1, 2, 0, 0)
+    hist = _util(
+        spark,
+        [row("colombo_a", 1, 0, T), row("colombo_b", 2, 0, T, start=day2, end=day2 + dt.timedelta(minutes=5)),
+         row("outside_service_area", 3, 0, T, start=day2, end=day2 + dt.timedelta(minutes=5))],
+    )
+    path = f"{scratch}/serving"
+    hist.withColumn("window_date", F.to_date("window_start")).write.partitionBy("window_date").parquet(path)
+    stored = spark.read.parquet(path)
+    got = latest_window(stored)
+    assert [r["zone"] for r in got.collect()] == [r["zone"] for r in latest_window(hist).collect()]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        got.explain("formatted")
+    assert any(ln.startswith("PartitionFilters") and "Subquery" in ln for ln in buf.getvalue().splitlines())
