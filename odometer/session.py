@@ -55,6 +55,9 @@ def build_session(
         # ~advisoryPartitionSizeInBytes, so no reducer has to spill a
         # multi-GB partition and small shuffles still end up in few tasks.
         conf["spark.sql.shuffle.partitions"] = "4096"
+        # 100 TB / 256 MB ~ 400k scan tasks: ~50 waves on 8,000 cores, each
+        # task's partial aggregates well inside executor memory.
+        conf["spark.sql.files.maxPartitionBytes"] = "256m"
         conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
     conf.update(extra_conf or {})
     for key, value in conf.items():
