@@ -11,6 +11,8 @@ exactly where they stopped after a driver or executor loss.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from odometer.operators.telemetry import decode_and_clean
 from odometer.operators.utilization import sliding_metrics_direct, utilization_metrics, with_lineage
 
 DEFAULT_TRIGGER_SECONDS = 10
+LOG = logging.getLogger("odometer.streaming")
 
 
 def trigger_options(trigger_seconds: int | None = DEFAULT_TRIGGER_SECONDS, available_now: bool = False) -> dict:
@@ -59,6 +62,7 @@ def persist_metrics_batch(batch: DataFrame, batch_id: int, metrics_path: str, pr
     )
     result = dict(totals.get)
     result["spark_batch_id"] = int(batch_id)
+    LOG.info(json.dumps({"event": "utilization_metrics_batch_written", "path": metrics_path, **result}))
     return result
 
 

@@ -211,3 +211,16 @@ def test_older_sliding_stream_with_panes(spark, scratch):
     log = spark.read.parquet(f"{scratch}/log")
     rows = {r["window_start"].minute: r["total_events"] for r in log.collect()}
     assert rows[0] == 3 and rows[1] == 3 and rows[2] == 2
+
+
+def test_metrics_batch_logs_its_totals(spark, scratch, caplog):
+    import logging
+
+    from odometer.streaming.queries import persist_metrics_batch
+
+    batch = spark.createDataFrame([("z", 3)], "zone string, telemetry_event_count long")
+    with caplog.at_level(logging.INFO, logger="odometer.streaming"):
+        persist_metrics_batch(batch, 5, f"{scratch}/m")
+    event = json.loads(caplog.records[-1].getMessage())
+    assert event["event"] == "utilization_metrics_batch_written"
+    assert (event["spark_batch_id"], event["metric_rows"], event["telemetry_events"]) == (5, 1, 3)
