@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StringType, StructField, StructType
+
 from odometer.schemas import EXPENSE_CSV_SCHEMA
 from odometer.sources.fixtures import expense_feed_text
 
@@ -58,9 +60,8 @@ def write_expense_feed(feed: DataFrame, path: str, overwrite: bool = False) -> N
         try:
             # explicit schema: the published dates come from the partition
             # listing, with no job to infer a header from existing files
-            existing = (
-                spark.read.schema(EXPENSE_CSV_SCHEMA).option("header", True).csv(path).select("feed_file").distinct()
-            )
+            listed = StructType(EXPENSE_CSV_SCHEMA.fields + [StructField("feed_file", StringType(), True)])
+            existing = spark.read.schema(listed).option("header", True).csv(path).select("feed_file").distinct()
             clash = existing.join(text.select("feed_file").distinct(), "feed_file", "left_semi").limit(1).count()
         except Exception as err:  # noqa: BLE001 - nothing published yet
             if "PATH_NOT_FOUND" not in str(err) and "UNABLE_TO_INFER_SCHEMA" not in str(err):
