@@ -73,9 +73,10 @@ def severity(status: F.Column | str = "status") -> F.Column:
     return expr
 
 
-def health_status(snapshot: DataFrame, now, threshold_seconds: int = DEFAULT_THRESHOLD_SECONDS) -> DataFrame:
-    """The health answer for one check time ``now``."""
-    now_col = ts_literal(now)
+def health_status(snapshot: DataFrame, now=None, threshold_seconds: int = DEFAULT_THRESHOLD_SECONDS) -> DataFrame:
+    """The health answer for one check time ``now`` (default: the query's
+    current time, one value for the whole query)."""
+    now_col = F.current_timestamp() if now is None else ts_literal(now)
     out = health_columns(snapshot, now_col, threshold_seconds)
     return out.withColumn("no_data_alert_seconds", F.lit(threshold_seconds)).withColumn("checked_at", now_col)
 
@@ -217,7 +218,7 @@ def alert_context() -> F.Column:
     )
 
 
-def gauges(snapshot: DataFrame, now, threshold_seconds: int = DEFAULT_THRESHOLD_SECONDS) -> DataFrame:
+def gauges(snapshot: DataFrame, now=None, threshold_seconds: int = DEFAULT_THRESHOLD_SECONDS) -> DataFrame:
     """(name, value) gauge rows: metric rows, and telemetry age (-1 if absent)."""
     status = health_status(snapshot, now, threshold_seconds)
     return status.select(

@@ -186,3 +186,9 @@ def test_transitions_exact_on_a_skewed_timeline(spark):
             expected.append((t, st, last))
         prev = st
     assert [(r["t"], r["status"], r["last"]) for r in rows] == expected
+
+
+def test_status_defaults_to_the_current_time(spark):
+    serving = _serving(spark, [dt.datetime(2000, 1, 1)])
+    r = health_status(health_snapshot(serving, spark.range(1))).first()
+    assert r["status"] == "unhealthy" and r["age_seconds"] > 10 ** 8
