@@ -135,3 +135,26 @@ def test_approximate_distincts_stay_within_hll_error(spark):
         | (F.abs(F.col("at") - F.col("et")) > F.greatest(F.lit(1.0), F.ceil(F.col("et") * 0.2)))
     )
     assert over.count() == 0
+
+
+def test_runs_merge_exactly_at_the_window_length(spark):
+    # one vehicle active at panes separated by gaps of 1..7 minutes (window = 5 panes)
+    base = dt.datetime(2024, 1, 1, 8, 0)
+    minutes, m = [], 0
+    for gap in (1, 2, 3, 4, 5, 6, 7, 5, 4, 6):
+        m += gap
+        minutes.append(m)
+    rows = [("V1", "T1", "on_trip", 1.0, 10, base + dt.timedelta(minutes=x, seconds=30)) for x in minutes]
+    rows += [("V2", "T2", "idle", 0.0, 0, base + dt.timedelta(minutes=x, seconds=10)) for x in minutes[::3]]
+    df = spark.createDataFrame(rows, "vehicle_id string, trip_id string, status string, fare double, speed int, t timestamp_ntz")
+    df = df.withColumn("event_time", F.col("t").cast("timestamp")).drop("t")
+    got = {r["window_start"]: (r["active_vehicles"], r["trips"]) for r in sliding_metrics(df).collect()}
+    want = {r["window_start"]: (r["active_vehicles"], r["trips"]) for r in _direct(df, False).collect()}
+    assert got == want
+
+
+def test_both_distinct_plans_agree(spark):
+    df = _events(spark, n=500, seed=31)
+    runs = {r["window_start"]: tuple(r) for r in sliding_metrics(df, exact_money=True).collect()}
+    fan = {r["window_start"]: tuple(r) for r in sliding_metrics(df, exact_money=True, distinct_plan="fanout").collect()}
+    assert runs == fan
