@@ -72,6 +72,19 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+def keep_by_key(docs: DataFrame, keepers: DataFrame) -> DataFrame:
+    """One row of ``docs``, with all columns, for each row of ``keepers``
+    (doc_id, text_key: hash of the raw text, rows: how many rows share both)."""
+    (key,) = fresh(docs, "text_key")
+    marked = docs.withColumn(key, F.xxhash64("text"))
+    k = keepers.select(F.col("doc_id").alias("k_id"), F.col("text_key").alias("k_key"), "rows")
+    match = same(marked["doc_id"], k["k_id"]) & (marked[key] == k["k_key"])
+    out = marked.join(k, match, "left_semi")
+    if keepers.filter("rows > 1").limit(1).count():
+        out = out.dropDuplicates(["doc_id", key])
+    return out.drop(key)
+
+
 def arrow_map(
     df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, weigh: str, limit: int = 4 << 20
 ) -> DataFrame:

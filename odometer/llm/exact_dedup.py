@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odometer.llm.common import SPACE, fresh, ordinals, same, stash
+from odometer.llm.common import SPACE, keep_by_key, ordinals, same, stash
 
 BLOCK_BYTES = 16_384
 #: So many ambiguous block keys are handed to the tasks as literals; with more,
@@ -147,21 +147,8 @@ def exact_duplicates(
     )
 
 
-def keep_rows(docs: DataFrame, keepers: DataFrame, repeated: bool) -> DataFrame:
-    """The rows of ``docs`` that ``keepers`` (doc_id, text_key: a hash of the
-    raw text) name, all columns.  With ``repeated``, rows may share both, and
-    one of them stays."""
-    (key,) = fresh(docs, "text_key")
-    marked = docs.withColumn(key, F.xxhash64("text"))
-    k = keepers.select(F.col("doc_id").alias("k_id"), F.col("text_key").alias("k_key"))
-    out = marked.join(k, same(marked["doc_id"], k["k_id"]) & (marked[key] == k["k_key"]), "left_semi")
-    if repeated:
-        out = out.dropDuplicates(["doc_id", key])
-    return out.drop(key)
-
-
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     found = stash(exact_duplicates(docs).select("doc_id", "text_key", "kept"), "exact")
-    twice = found.groupBy("doc_id", "text_key").count().filter("count > 1").limit(1).count()
-    return keep_rows(docs, found.filter("kept"), bool(twice))
+    keep = found.groupBy("doc_id", "text_key").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
+    return keep_by_key(docs, stash(keep.filter("kept").drop("kept"), "exact-kept"))

@@ -80,7 +80,7 @@ def mix_plan(docs: DataFrame, weights: tuple = WEIGHTS, most: float = MAX_EPOCHS
     # Prefix sums: numbered in order, cut into stretches of a fixed number of
     # units; totals of stretches, then sums inside the one that holds the cut.
     order = ["source", "key", "doc_id", "size"]
-    dealt = ordinals(units, order, "nth", "mix-order").withColumn("stretch", F.expr("nth div 65536"))
+    dealt = ordinals(units, order, "nth", "mix-order").withColumn("stretch", F.expr("nth div 4096"))
     dealt = stash(dealt, "mix-sorted")
     cells = dealt.groupBy("source", "stretch").agg(F.sum("words").alias("cell"))
     before = Window.partitionBy("source").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,13 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from odometer.llm.bpe import encode_documents, token_digests
 from odometer.llm.common import table
 from odometer.llm.exact_dedup import exact_duplicates
 from odometer.llm.mixing import mix_plan
 from odometer.llm.sharding import shard_documents, topology
+from odometer.llm.simhash import near_duplicates
 from odometer.llm.url_filter import RULES, judge_urls
 
 
+#: The tokenizer file of the contract, a path that is the same on every machine.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(encode_documents(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return exact_duplicates(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -29,6 +45,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return shard_documents(docs, topology(8), topology(9)).select(
@@ -37,5 +58,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_exact_dedup, op6_mixing, op7_url_filter, op10_sharding)
+    f.__name__: f for f in (op3_bpe, op5_exact_dedup, op6_mixing, op7_url_filter, op9_simhash, op10_sharding)
 }
