@@ -3,7 +3,10 @@ ordinals, and bounded Arrow batches."""
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,6 +35,31 @@ def stash(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application, through the
+    shared folder: they need not find it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parents[1]
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for file in sorted(top.rglob("*.py")):
+            archive.write(file, file.relative_to(top.parent))
+    path = f"{scratch_path(spark, 'code')}/{top.name}.zip"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = files.create(where)
+    out.write(packed.getvalue())
+    out.close()
+    files.deleteOnExit(where)
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that clash with no column of ``df``."""
     taken = {c.lower() for c in df.columns}
@@ -96,6 +124,7 @@ def arrow_map(
             for piece in pieces(batch, weigh, limit):
                 yield fn(piece)
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from odometer.llm.bpe import encode_documents, token_digests
 from odometer.llm.common import table
 from odometer.llm.exact_dedup import exact_duplicates
+from odometer.llm.html_text import extract_pages
+from odometer.llm.language_id import held_out, identify, train_on_open_rows
 from odometer.llm.mixing import mix_plan
 from odometer.llm.sharding import shard_documents, topology
 from odometer.llm.simhash import near_duplicates
@@ -26,6 +28,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = identify(docs.select("doc_id", "text"), train_on_open_rows(docs))
+    return judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "found.*")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(encode_documents(table(spark, sf_dir, "documents"), tokenizer_path()))
 
@@ -45,6 +53,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
@@ -58,5 +70,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_bpe, op5_exact_dedup, op6_mixing, op7_url_filter, op9_simhash, op10_sharding)
+    f.__name__: f for f in (op2_language_id, op3_bpe, op5_exact_dedup, op6_mixing, op7_url_filter, op8_html_text, op9_simhash, op10_sharding)
 }

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from odometer.llm.common import arrow_map, keep_by_key, stash
+from odometer.llm.common import arrow_map, keep_by_key, ship, stash
 
 SHINGLE_WORDS = 3
 RADIUS = 3
@@ -152,6 +152,7 @@ def near_links(prints: DataFrame, radius: int = RADIUS, cap: int = CAP) -> DataF
     if cap < 1 << 8:
         raise ValueError("cap must be 256 or more, so that three levels suffice")
     spark = prints.sparkSession
+    ship(spark)
     fixed = {0: 0}
     rows = prints.select("fp", F.lit(0).alias("path"))
     found = None
