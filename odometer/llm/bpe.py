@@ -306,10 +306,12 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     return arrow_map(rows, run, f"doc_id {kind}, ids array<int>, decoded string", "text")
 
 
-def token_digests(encoded: DataFrame) -> DataFrame:
-    """n_tokens, and SHA-256 of the ids in decimal and of the decoded text."""
+def token_digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """n_tokens, and SHA-256 of the ids in decimal and of the decoded text;
+    ``more`` names further columns to return."""
     return encoded.select(
         "doc_id",
+        *more,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

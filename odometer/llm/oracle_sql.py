@@ -1,5 +1,9 @@
 """DuckDB SQL for the contract queries that SQL can express."""
 
+import re
+
+from odometer.llm.license_scan import CRITICAL, RULES, known_sentences
+
 EXACT_DEDUP = r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
@@ -29,4 +33,38 @@ WITH rules(r_host, r_path, verdict) AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE n = 1
 """
 
-ORACLES: dict[str, str] = {"op5_exact_dedup": EXACT_DEDUP, "op7_url_filter": URL_FILTER}
+
+
+def _license_scan() -> str:
+    """The scan over the same tables of sentences and rules."""
+    keys = ", ".join(f"'{k}'" for k in known_sentences())
+    names = ", ".join(f"'{v}'" for v in known_sentences().values())
+
+    def found(text: str) -> str:
+        ends = rf"regexp_replace({text}, '([.!?;:])[\x20\x09-\x0D]+', '\1' || chr(10), 'g')"
+        low = f"translate({ends}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        parts = f"list_transform(string_split({low}, chr(10)), lambda s: trim(regexp_replace(s, '[^a-z0-9+]+', ' ', 'g')))"
+        ids = f"list_transform({parts}, lambda s: list_extract([{names}], list_position([{keys}], s)))"
+        return f"CASE WHEN regexp_matches(text, '{CRITICAL}') THEN list_filter({ids}, lambda i: i IS NOT NULL) ELSE [] END"
+
+    def matched(ids: str) -> str:
+        out = f"coalesce(array_to_string(list_transform({ids}, lambda i: '<' || i || '>'), ''), '')"
+        for licence, parts in RULES:
+            run = "".join(f"<{re.escape(p)}>" for p in parts)
+            out = f"regexp_replace({out}, '{run}', '={licence}=', 'g')"
+        return out
+
+    running = r"regexp_replace(text, '[\x20\x09-\x0D]+', ' ', 'g')"
+    return f"""
+WITH f AS (SELECT doc_id, {found('text')} AS by_line, {found(running)} AS by_flow FROM documents),
+m AS (SELECT *, {matched('by_line')} || {matched('by_flow')} AS seen FROM f)
+SELECT doc_id,
+       coalesce(array_to_string(list_sort(list_distinct(regexp_extract_all(seen, '=([^=]+)=', 1))), ','), '') AS licences,
+       coalesce(array_to_string(list_concat(by_line, by_flow), ' '), '') AS identifiers,
+       len(by_line) + len(by_flow) AS n_sentences,
+       coalesce(array_to_string(list_sort(list_distinct(regexp_extract_all(seen, '<([^>]+)>', 1))), ','), '') AS unmatched
+FROM m
+"""
+
+
+ORACLES: dict[str, str] = {"op4_license_scan": _license_scan(), "op5_exact_dedup": EXACT_DEDUP, "op7_url_filter": URL_FILTER}

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from odometer.llm.ann import nearest_neighbours
 from odometer.llm.bpe import encode_documents, token_digests
 from odometer.llm.common import table
 from odometer.llm.exact_dedup import exact_duplicates
 from odometer.llm.html_text import extract_pages
 from odometer.llm.language_id import held_out, identify, train_on_open_rows
+from odometer.llm.license_scan import scan_licences
 from odometer.llm.mixing import mix_plan
 from odometer.llm.sharding import shard_documents, topology
 from odometer.llm.simhash import near_duplicates
@@ -28,6 +30,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     judged = identify(docs.select("doc_id", "text"), train_on_open_rows(docs))
@@ -38,6 +44,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(encode_documents(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return exact_duplicates(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -70,5 +80,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op3_bpe, op5_exact_dedup, op6_mixing, op7_url_filter, op8_html_text, op9_simhash, op10_sharding)
+    f.__name__: f for f in (op1_ann, op2_language_id, op3_bpe, op4_license_scan, op5_exact_dedup, op6_mixing, op7_url_filter, op8_html_text, op9_simhash, op10_sharding)
 }
