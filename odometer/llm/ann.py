@@ -12,8 +12,8 @@ matrix product.
 Inner products are turned into angles by one more dimension (the rest of the
 length up to the longest vector), which is zero for vectors of equal length.
 
-How many candidates are enough is ``quota``, a share of all index vectors over
-all trees: vectors without near neighbours (64 random dimensions) need a large
+How many candidates are enough, over all trees, is the share ``quota`` of all
+index vectors, and ``least`` at any size: vectors without near neighbours (64 random dimensions) need a large
 share for a recall of 0.9, see the README.  Equal vectors are one class with
 its smallest ids, as further copies cannot be among the nearest; so a vector
 that a third of all rows share costs no more than any other.
@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 
 from odometer.llm.common import ordinals, ship, stash
 
-TREES = 24
+TREES = 20
 BITS = 32
 QUOTA = 0.8
+LEAST = 4096
 NEAREST = 20
 BLOCK = 4096
 QUERIES = 512
@@ -46,7 +47,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     that are all finite and not all zero."""
     e = F.col("embedding")
     fine = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(e, lambda x: x != 0)
-    return vectors.filter(F.col("vec_id").isNotNull() & e.isNotNull()).filter(fine).select("vec_id", e.cast("array<double>").alias("vec"))
+    return vectors.filter(F.col("vec_id").isNotNull() & e.isNotNull()).filter(fine).select("vec_id", e.alias("vec"))
 
 
 def _classes(rows: DataFrame, is_query, most: int) -> tuple[DataFrame, DataFrame]:
@@ -62,9 +63,9 @@ def _classes(rows: DataFrame, is_query, most: int) -> tuple[DataFrame, DataFrame
     return first.join(ids, "cls"), members.filter("query").select("vec_id", "cls")
 
 
-def _hash_rows(dims: int, trees: int, bits: int, seed: int, top: float):
-    """Rows (tree, hash, cls, vec) of every vector: the hash is an integer of
-    ``bits`` bits, the first projection its highest."""
+def _hash_rows(dims: int, trees: int, bits: int, seed: int, top: float, kind: str):
+    """Per vector (cls, asked, vec) its bytes and its hash in each tree: an
+    integer of ``bits`` bits, the first projection its highest."""
     planes = np.random.default_rng(seed).normal(size=(dims + 1, trees * bits))
     weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
 
@@ -73,29 +74,28 @@ def _hash_rows(dims: int, trees: int, bits: int, seed: int, top: float):
             for at in range(0, whole.num_rows, 2048):
                 batch = whole.slice(at, 2048)
                 n = batch.num_rows
-                vec = np.array(batch.column(1).to_pylist(), np.float64).reshape(n, -1)
+                vec = batch.column(2).flatten().to_numpy().astype(np.float64).reshape(n, -1)
                 rest = np.sqrt(np.maximum(top * top - (vec * vec).sum(axis=1), 0.0))
                 signs = np.column_stack([vec, rest]) @ planes > 0
                 hashes = signs.reshape(n, trees, bits) @ weights
-                raw = pa.array([v.tobytes() for v in vec.astype("<f8")], pa.binary())
-                for t in range(trees):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, t, np.int32)), pa.array(hashes[:, t]), batch.column(0), raw],
-                        ["tree", "hash", "cls", "vec"],
-                    )
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * trees), pa.array(hashes.ravel()))
+                raw = pa.array([v.tobytes() for v in vec.astype(kind)], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), raw, lists], ["cls", "asked", "vec", "hashes"]
+                )
 
     return run
 
 
-def _score(nearest: int):
+def _score(nearest: int, kind: str):
     """The best ``nearest`` members of a block for each query of a group that
     the member's hash prefix admits."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples():
-                members = np.frombuffer(b"".join(row.vecs), "<f8").reshape(len(row.members), -1)
-                asked = np.frombuffer(b"".join(row.q_vecs), "<f8").reshape(len(row.queries), -1)
+                members = np.frombuffer(b"".join(row.vecs), kind).astype(np.float64).reshape(len(row.members), -1)
+                asked = np.frombuffer(b"".join(row.q_vecs), kind).astype(np.float64).reshape(len(row.queries), -1)
                 order = np.asarray(row.orders)
                 scores = asked @ members.T
                 scores[(order[None, :] < np.asarray(row.lows)[:, None]) | (order[None, :] >= np.asarray(row.highs)[:, None])] = -np.inf
@@ -117,6 +117,7 @@ def nearest_neighbours(
     trees: int = TREES,
     bits: int = BITS,
     quota: float = QUOTA,
+    least: int = LEAST,
     seed: int = SEED,
 ) -> DataFrame:
     """query_id, rank, vec_id and score (inner product, double) of the nearest
@@ -131,9 +132,11 @@ def nearest_neighbours(
     """
     spark = vectors.sparkSession
     ship(spark)
+    # Vectors are kept as they are: 32-bit components stay 32-bit.
+    kind = "<f4" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
     out = "query_id long, rank int, vec_id long, score double"
     rows = usable(vectors)
-    dims, top = rows.agg(F.max(F.size("vec")), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)))).first()
+    dims, top = rows.agg(F.max(F.size("vec")), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))))).first()
     if not dims:
         return spark.createDataFrame([], out)
     rows = rows.filter(F.size("vec") == dims)
@@ -143,10 +146,13 @@ def nearest_neighbours(
     queries = stash(queries, "queries")
     size = classes.count()
 
-    hashed = classes.select("cls", "vec").mapInArrow(
-        _hash_rows(dims, trees, bits, seed, top * (1 + 1e-12)), "tree int, hash long, cls long, vec binary"
+    hash_rows = _hash_rows(dims, trees, bits, seed, top * (1 + 1e-12), kind)
+    hashed = classes.select("cls", "asked", "vec").mapInArrow(
+        hash_rows, "cls long, asked boolean, vec binary, hashes array<long>"
     )
-    forest = stash(ordinals(stash(hashed, "hashed"), ["tree", "hash", "cls"], "place", "forest"), "trees")
+    hashed = stash(hashed, "hashed")
+    entries = hashed.select("cls", "asked", F.posexplode("hashes").alias("tree", "hash"))
+    forest = stash(ordinals(entries, ["tree", "hash", "cls"], "place", "forest"), "trees")
 
     # Prefix ranges: counts of leaves, summed up towards the roots.  A leaf this
     # deep holds a few vectors; the climb never starts below it.
@@ -160,17 +166,17 @@ def nearest_neighbours(
         .groupBy("tree", "up", F.expr("shiftright(leaf, up)").alias("prefix"))
         .agg(F.min("low").alias("low"), F.sum("n").alias("n"))
     )
-    asked = classes.filter("asked").select("cls")
-    own = forest.join(asked, "cls", "left_semi").select("cls", "tree", leaf.alias("leaf"))
+    own = forest.filter("asked").select("cls", "tree", leaf.alias("leaf"))
     climb = own.withColumn("up", steps).withColumn("prefix", F.expr("shiftright(leaf, up)")).drop("leaf")
     climb = stash(climb.join(nodes, ["tree", "up", "prefix"]).select("cls", "tree", "up", "low", "n"), "climb")
-    enough = math.ceil(min(quota * size, trees * size)) if size > 4 * nearest else trees * size
+    enough = min(max(math.ceil(quota * size), least), trees * size)
     stop = climb.groupBy("cls", "up").agg(F.sum("n").alias("n")).filter(F.col("n") >= enough)
     stop = stop.groupBy("cls").agg(F.min("up").alias("up"))
     ranges = climb.join(stop, ["cls", "up"]).select("cls", "low", (F.col("low") + F.col("n")).alias("high"))
 
     # Blocks of the sorted arrays, and groups of the queries that read each.
-    blocks = forest.groupBy(F.expr(f"place div {BLOCK}").alias("block")).agg(
+    vec_of = hashed.select("cls", "vec")
+    blocks = forest.select("cls", "place").join(vec_of, "cls").groupBy(F.expr(f"place div {BLOCK}").alias("block")).agg(
         F.sort_array(F.collect_list(F.struct("place", "cls", "vec"))).alias("rows")
     )
     blocks = blocks.select(
@@ -180,9 +186,8 @@ def nearest_neighbours(
         F.col("rows.vec").alias("vecs"),
     )
     reads = ranges.withColumn("block", F.explode(F.expr(f"sequence(low div {BLOCK}, (high - 1) div {BLOCK})")))
-    vec_of = forest.filter("tree = 0").select("cls", F.col("vec").alias("q_vec"))
     crowd = reads.groupBy("block").agg(F.count(F.lit(1)).alias("crowd"))
-    reads = reads.join(vec_of, "cls").join(crowd, "block")
+    reads = reads.join(vec_of.withColumnRenamed("vec", "q_vec"), "cls").join(crowd, "block")
     part = F.pmod(F.xxhash64("cls"), F.ceil(F.col("crowd") / QUERIES))
     groups = reads.groupBy("block", part.alias("part")).agg(
         F.sort_array(F.collect_list(F.struct("cls", "low", "high", "q_vec"))).alias("rows")
@@ -194,7 +199,7 @@ def nearest_neighbours(
         F.col("rows.high").alias("highs"),
         F.col("rows.q_vec").alias("q_vecs"),
     )
-    scored = groups.join(blocks, "block").drop("block").mapInPandas(_score(nearest + 1), "cls long, near long, score double")
+    scored = groups.join(blocks, "block").drop("block").mapInPandas(_score(nearest + 1, kind), "cls long, near long, score double")
 
     # A class met in several trees counts once; its copies are its ids.
     best = scored.groupBy("cls", "near").agg(F.max("score").alias("score"))

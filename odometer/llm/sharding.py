@@ -24,7 +24,8 @@ Topology = dict[str, dict[str, dict[int, float]]]
 def topology(shards: int, per_rack: int = 2, racks: int = 2, base: int = 8) -> Topology:
     """The first ``base`` shards (or fewer) in racks of ``per_rack`` and regions
     of ``racks``; every further shard in a region and rack of its own, so that
-    one more shard never shifts rows between earlier ones."""
+    from ``base`` on one more shard takes rows only into itself.  (Below it, the
+    region of a new shard grows, and rows also move inside that region.)"""
     tree: Topology = {}
     for s in range(shards):
         rack = s // per_rack

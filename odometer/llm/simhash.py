@@ -154,8 +154,7 @@ def near_links(prints: DataFrame, radius: int = RADIUS, cap: int = CAP) -> DataF
     spark = prints.sparkSession
     ship(spark)
     fixed = {0: 0}
-    rows = prints.select("fp", F.lit(0).alias("path"))
-    found = None
+    rows, found = prints, None
     while True:
         # At most 15^level masks, a fixed number.
         masks = [
@@ -164,8 +163,13 @@ def near_links(prints: DataFrame, radius: int = RADIUS, cap: int = CAP) -> DataF
             for t, mask in enumerate(covering_masks(~done & ((1 << BITS) - 1), radius))
         ]
         fixed = {child: mask for _, child, mask in masks}
-        tables = spark.createDataFrame([(p, c, _signed(m)) for p, c, m in masks], "path int, child int, mask long")
-        keyed = rows.join(F.broadcast(tables), "path").select("child", F.expr("fp & mask").alias("key"), "fp")
+        if found is None:
+            tables = F.array(*[F.struct(F.lit(c).alias("child"), F.lit(_signed(m)).alias("mask")) for _, c, m in masks])
+            keyed = rows.select("fp", F.inline(tables))
+        else:
+            tables = spark.createDataFrame([(p, c, _signed(m)) for p, c, m in masks], "path int, child int, mask long")
+            keyed = rows.join(F.broadcast(tables), "path")
+        keyed = keyed.select("child", F.expr("fp & mask").alias("key"), "fp")
         sizes = keyed.groupBy("child", "key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
         shared = stash(keyed.join(sizes, ["child", "key"]), "buckets")
         small = shared.filter(F.col("m") <= cap).select("child", "key", "fp")

@@ -1,0 +1,118 @@
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from odometer.llm.bpe import USUAL, USUAL_FAST, Codec, MergeList, encode_documents, token_digests
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def ours():
+    return Codec(PATH)
+
+
+@pytest.fixture(scope="module")
+def theirs():
+    t = Tokenizer.from_file(PATH)
+    t.no_truncation()
+    t.no_padding()
+    return t
+
+
+PIECES = ["a", "b", "th", "the", "in", "ing", "é", "ö", "ﬁ", "日", " ", "\n", "'s", "'", "1", "½", "Ⅷ", "!", "🙂", "<|endoftext|>", "<|start", "İ", "Σ", "ß", "é", "́", "ن", "_", "\x1c", "\x85", " ", "​"]
+
+
+def agree(ours, theirs, text):
+    ref = theirs.encode(text, add_special_tokens=False).ids
+    ids = ours.ids(text)
+    assert ids.tolist() == ref
+    decoded = theirs.decode(ref, skip_special_tokens=False)
+    assert ours.decode_all(ids) == "".join(ours.decode(ids.tolist())) == decoded
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=60).map("".join))
+def test_equals_the_library(ours, theirs, text):
+    agree(ours, theirs, text)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=40).filter(lambda t: t.isascii() or all(ord(c) < 0x530 for c in t)))
+def test_equals_the_library_on_any_older_letters(ours, theirs, text):
+    agree(ours, theirs, text)
+
+
+def test_long_words_are_streamed(ours, theirs):
+    rng = random.Random(5)
+    for text in ("a" * 9000, "the" * 4000, "inthe" * 3000, "🙂!" * 2000, "".join(rng.choice("aeiounthrs") for _ in range(9000))):
+        agree(ours, theirs, text)
+    agree(ours, theirs, "é word " * 60_000)
+
+
+def test_tokens_leave_before_the_word_ends(ours):
+    taken = []
+
+    def symbols():
+        for i in range(100_000):
+            taken.append(i)
+            yield ours.inner[ord("thein"[i % 5])]
+
+    stream = ours.merges.stream(symbols())
+    next(stream)
+    assert len(taken) <= 2 * ours.merges.lookahead + 2 * ours.merges.longest
+
+
+def test_lookahead_bound_holds_for_all_continuations():
+    # Chains of overlapping merges: what follows changes tokens far left.
+    letters = "abcde"
+    merges = [["d", "e"], ["c", "d"], ["b", "c"], ["a", "b"], ["ab", "c"], ["a", "bc"]]
+    vocab = {t: i for i, t in enumerate([*letters, "de", "cd", "bc", "ab", "abc"])}
+    with_two = MergeList(vocab, merges)
+    assert with_two.lookahead is None  # "abc" is made in two ways: no bound is claimed
+    m = MergeList({t: i for t, i in vocab.items()}, merges[:4])
+    rng = random.Random(2)
+    words = ["".join(rng.choice(letters) for _ in range(14)) for _ in range(300)]
+    for w in words:
+        whole = m.merge([vocab[c] for c in w])
+        for cut in range(m.lookahead, len(w)):
+            settled, at = m.merge([vocab[c] for c in w[:cut]]), 0
+            for a, b in zip(settled, whole):
+                at += m.width.get(a, 1)
+                if at > cut - m.lookahead:
+                    break
+                assert a == b
+        assert list(m.stream(vocab[c] for c in w * 20)) == m.merge([vocab[c] for c in w * 20])
+
+
+def test_bytes_come_back(ours):
+    text = "héllo wörld 日本 🙂 ok"
+    back = "".join(ours.decode(ours.ids(text).tolist(), spaced=False))
+    assert back == "héllo wörld 日本 🙂 ok "
+    # Characters split over tokens are held back until complete.
+    pieces = [ours.inner[b] for b in "🙂".encode()]
+    assert "".join(ours.decode(pieces, spaced=False)) == "🙂"
+    assert "".join(ours.decode(pieces[:2], spaced=False)) == "�"
+
+
+def test_fast_matcher_is_for_the_files_pattern(ours):
+    assert ours.fast is not None and ours.fast.pattern == USUAL_FAST and USUAL
+
+
+def test_documents(docs_of, theirs):
+    texts = [None, "", " ", "Hello World's 1st <|endoftext|>", "x" * 70_000, "the cat " * 20_000, "Hello"]
+    docs = docs_of([(i, t) for i, t in enumerate(texts)] + [(0, "Hello"), (None, "b")])
+    found = sorted(map(tuple, token_digests(encode_documents(docs, PATH), "ids").collect()), key=str)
+    want = []
+    for i, t in [*enumerate(texts), (0, "Hello"), (None, "b")]:
+        ids = theirs.encode(t or "", add_special_tokens=False).ids
+        text = theirs.decode(ids, skip_special_tokens=False)
+        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        want.append((i, ids, len(ids), sha(" ".join(map(str, ids))), sha(text)))
+    assert found == sorted(want, key=str)
+    assert encode_documents(docs_of([]), PATH).count() == 0

@@ -1,0 +1,67 @@
+import pytest
+
+from odometer.llm.html_text import extract_pages, main_text
+
+LONG = "Some running text, with commas; and more of it, so that it is content."
+
+
+def page(body, head="<title>T, t.</title><style>p{}</style><script>var a='</p>';</script>"):
+    return f"<!DOCTYPE html><html><head>{head}</head><body>{body}</body></html>"
+
+
+ARTICLE = f"<h1>Title</h1><p>{LONG}</p><p>Short.</p><p><b>Bold <i>x</i> &amp; more<br>line</p><p>{LONG} Two.</p>"
+TEXT = f"Title\n{LONG}\nShort.\nBold x & more line\n{LONG} Two."
+AROUND = (
+    '<nav><ul><li><a href="/a">A long menu entry, yes.</a></li><li><a href="/b">B</a></li></ul></nav><!-- c, d. --><div class="ad">' + LONG + "</div>"
+)
+AFTER = f"<aside>{LONG}</aside><footer>&copy; Foot, {LONG}</footer>"
+
+
+@pytest.mark.parametrize("holder", ["article", "main", "div", 'div class="content"', "section"])
+def test_the_article_alone(holder):
+    tag = holder.split()[0]
+    assert main_text(page(f"{AROUND}<{holder}>{ARTICLE}</{tag}>{AFTER}")) == TEXT
+
+
+@pytest.mark.parametrize(
+    "furniture",
+    [
+        f"<header>{LONG}</header>", f"<form><p>{LONG}</p><input><textarea>{LONG}</textarea></form>", f'<div class="cookie-notice"><p>{LONG}</p></div>',
+        f'<div id="sidebar">{LONG}</div>', f'<section class="comments"><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></section>', f'<div role="navigation">{LONG}</div>',
+        f"<noscript>{LONG}</noscript>", f"<template>{LONG}</template>", "<svg><text>a, b</text></svg>", f'<ul class="menu"><li>{LONG}</ul>',
+    ],
+)
+def test_furniture_inside_and_outside(furniture):
+    assert main_text(page(f"{furniture}<article>{ARTICLE}{furniture}</article>{furniture}")) == TEXT
+
+
+def test_unclosed_and_cut_pages():
+    body = f"{AROUND}<article><h1>Title<p>{LONG}<p>Short.<p><b>Bold <i>x</i> &amp; more<br>line<p>{LONG} Two."
+    assert main_text(f"<html><body>{body}") .startswith("Title")
+    assert main_text(page(f"{AROUND}<article>{ARTICLE}</article>{AFTER}")[:-14]) == TEXT
+    assert main_text(f"<p>{LONG}") == LONG and main_text(LONG) == LONG
+    assert main_text(f"</div></p></b><p>{LONG}</p></section>") == LONG
+    assert main_text("<p>a &lt;b&gt; &#233; &eacute; &nosuch; &amp") == "a <b> é é &nosuch; &"
+
+
+def test_white_space_and_nothing():
+    assert main_text(f"<p>  a \n\t b{LONG} </p>\n\n<p> </p><p>\x0b</p>") == f"a b{LONG}"
+    for empty in (None, "", " ", "<html></html>", "<script>x</script>", "<nav>x</nav>", "<", "<!--", "<a", "&"):
+        assert main_text(empty) in ("", "<", "&", "<a")
+    assert main_text("<script>x</script>") == main_text("<nav>x</nav>") == main_text(None) == ""
+
+
+def test_long_pages_are_whole():
+    body = "".join(f"<p>{LONG} {i}</p>" for i in range(20_000))
+    assert main_text(page(f"<article>{body}</article>")) == "\n".join(f"{LONG} {i}" for i in range(20_000))
+    assert main_text("<div>" * 3000 + LONG) == LONG
+
+
+def test_table(spark):
+    rows = [(1, "u", page(f"<article>{ARTICLE}</article>"), "x"), (1, None, None, "x"), (None, "v", "", None), (3, "w", "<p>é</p>", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    found = extract_pages(pages)
+    assert found.dtypes == [("page_id", "bigint"), ("url", "string"), ("text", "string"), ("n_chars", "bigint")]
+    want = [(1, "u", TEXT, len(TEXT)), (1, None, "", 0), (None, "v", "", 0), (3, "w", "é", 1)]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
+    assert extract_pages(pages.limit(0)).count() == 0

@@ -1,0 +1,82 @@
+"""The stages against plain Python, each on what the one before it kept."""
+
+import collections
+import hashlib
+import math
+import re
+import sys
+from pathlib import Path
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+import corpus_pipeline  # noqa: E402
+
+from test_mixing import brute_targets, n  # noqa: E402
+from test_simhash import slow_components  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    from odometer.llm.common import stash, table
+
+    docs = table(spark, SF_DIR, "documents")
+    out = [("documents", docs.columns, docs.collect())]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stash(stage(spark, docs, SF_DIR), "test")
+        out.append((name, docs.columns, docs.collect()))
+    return out
+
+
+def test_stages_keep_the_columns(stages):
+    assert [s[0] for s in stages[1:]] == [n for n, _ in corpus_pipeline.STAGES]
+    for _, columns, rows in stages[1:-1]:
+        assert columns == stages[0][1] and rows
+
+
+def test_exact_dedup(stages):
+    keep = {}
+    for r in stages[1][2]:
+        key = re.sub(r"[\x20\x09-\x0D]+", " ", r.text or "")
+        keep[key] = min(r, keep.get(key, r), key=lambda r: r.doc_id)
+    assert sorted(stages[2][2]) == sorted(keep.values())
+
+
+def test_near_dedup(stages):
+    rows = {r.doc_id: r for r in stages[2][2]}
+    low = {c for _, _, c in slow_components([(i, r.text) for i, r in rows.items()])}
+    assert sorted(stages[3][2]) == sorted(rows[i] for i in low)
+
+
+def test_mixture(stages):
+    sizes = collections.Counter()
+    for r in stages[3][2]:
+        sizes[r.source] += n(r.text)
+    taken = collections.Counter()
+    for r in stages[4][2]:
+        taken[r.source] += n(r.text)
+        assert r.n_chars == len(r.text)
+    for s, target in brute_targets(dict(sizes)).items():
+        assert abs(taken[s] - math.floor(target)) <= 2
+
+
+def test_tokens(stages):
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    t.no_truncation()
+    t.no_padding()
+    want = []
+    for r in stages[4][2]:
+        ids = t.encode(r.text, add_special_tokens=False).ids
+        sha = hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+        want.append((r.doc_id, ids, len(ids), sha))
+    assert sorted((r.doc_id, r.ids, r.n_tokens, r.decoded_sha256) for r in stages[5][2]) == sorted(want)
+
+
+def test_run_and_empty_table(spark, scratch, stages):
+    assert corpus_pipeline.run(spark, SF_DIR).count() == len(stages[5][2])
+    spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0).write.parquet(f"{scratch}/documents.parquet")
+    assert corpus_pipeline.run(spark, scratch).count() == 0

@@ -1,0 +1,120 @@
+import itertools
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from odometer.llm import simhash
+from odometer.llm.simhash import components, covering_masks, drop_near_duplicates, fingerprint, near_duplicates, near_links
+
+
+def slow_fingerprint(text, width=3):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        lowered = lowered.replace(c, " ")
+    words = [w for w in lowered.split(" ") if w]
+    if not words:
+        return 0
+    grams = [" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def slow_components(rows, radius=3):
+    """doc_id -> smallest doc_id reachable."""
+    prints = [(i, slow_fingerprint(t)) for i, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if (prints[a][1] ^ prints[b][1]).bit_count() <= radius:
+            parent[find(a)] = find(b)
+    groups = {}
+    for k, (i, _) in enumerate(rows):
+        groups.setdefault(find(k), []).append(i)
+    low = {r: min((i for i in g if i is not None), default=None) for r, g in groups.items()}
+    return sorted(((i, f"{prints[k][1]:016x}", low[find(k)]) for k, (i, _) in enumerate(rows)), key=str)
+
+
+def sample_rows():
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(50)]
+    rows = [(None, "Null id words"), (70, None), (71, ""), (72, " \n"), (73, "one"), (74, "ONE"), (75, "one\x0btwo"), (76, "É é a b c")]
+    for i in range(60):
+        base = [rng.choice(words) for _ in range(rng.choice([2, 10, 200]))]
+        for j in range(rng.choice([1, 1, 4])):
+            near = base[:]
+            if j and len(near) > 5:
+                near[rng.randrange(len(near))] = "changed"
+            rows.append((1000 + 10 * i + j, " ".join(near)))
+    rows += [(5, "hot copy of a text"), *((2000 + i, "hot  copy of A text") for i in range(40)), (5, "hot copy of a text")]
+    return rows
+
+
+def test_fingerprints_by_definition():
+    for text in [None, "", "a", "A b", "a b c", "a b c d " * 3, "É Ü ß", "x y z q", " lead and trail ", "w " * 70_000]:
+        assert fingerprint(text) == slow_fingerprint(text)
+
+
+@pytest.mark.parametrize("free", [(1 << 64) - 1, 0xFFFF0000FFFF, 0xFFFF, 0x7F])
+def test_masks_cover_every_three_bits(free):
+    masks = covering_masks(free)
+    bits = [i for i in range(64) if free >> i & 1]
+    assert len(masks) == 15 and all(m & ~free == 0 for m in masks)
+    for triple in itertools.combinations(bits, 3):
+        assert any(not any(m >> b & 1 for b in triple) for m in masks)
+    assert min(m.bit_count() for m in masks) * 2 >= len(bits) - 1
+
+
+def test_components_by_brute_force(docs_of):
+    rows = sample_rows()
+    found = [(r.doc_id, r.fingerprint, r.component_id) for r in near_duplicates(docs_of(rows)).collect()]
+    assert sorted(found, key=str) == slow_components(rows)
+    docs = docs_of(rows)
+    kept = drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    want = sorted({str(c) for _, _, c in slow_components(rows)})
+    assert sorted(str(r.doc_id) for r in kept.collect()) == want
+
+
+def test_empty_table(docs_of):
+    assert near_duplicates(docs_of([])).count() == 0
+    assert drop_near_duplicates(docs_of([])).count() == 0
+
+
+def test_crowded_buckets_are_covered_again(spark):
+    # All settings of 11 bits, and far ones: 2048 fingerprints in one bucket of
+    # many tables, over a cap of 256.
+    rng = np.random.default_rng(1)
+    bits = sorted(rng.choice(64, 11, replace=False).tolist())
+    dense = [sum((k >> j & 1) << b for j, b in enumerate(bits)) for k in range(2048)]
+    far = [int(x) for x in rng.integers(1 << 62, 1 << 63, 300)]
+    near_far = [f ^ 0b111 for f in far[:20]]
+    signed = [simhash._signed(f) for f in {*dense, *far, *near_far}]
+    prints = spark.createDataFrame([(f,) for f in signed], "fp long")
+    edges = near_links(prints, cap=256)
+    rows = edges.collect()
+    assert len(rows) < 3375 * len(signed) and all((r.a ^ r.b) != 0 for r in rows)
+    roots = {r.a: r.b for r in components(edges).collect()}
+    label = lambda f: roots.get(f, f)
+    assert len({label(simhash._signed(f)) for f in dense}) == 1
+    for f, g in zip(far, near_far):
+        assert label(simhash._signed(f)) == label(simhash._signed(g))
+    assert len({label(f) for f in signed}) == 1 + 300
+    with pytest.raises(ValueError):
+        near_links(prints, cap=100)
+
+
+def test_components_of_long_chains_and_stars(spark):
+    chain = [(i, i + 1) for i in range(0, 400)]
+    star = [(1000, 1001 + i) for i in range(300)]
+    loop = [(2000, 2001), (2001, 2002), (2002, 2000), (2002, 2002), (-5, 2001)]
+    found = {r.a: r.b for r in components(spark.createDataFrame(chain + star + loop, "a long, b long")).collect()}
+    assert all(found[i] == 0 for i in range(1, 401)) and all(found[i] == 1000 for i in range(1001, 1301))
+    assert {found[i] for i in (2000, 2001, 2002)} == {-5} and 0 not in found
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
