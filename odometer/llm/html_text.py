@@ -49,6 +49,7 @@ CONTENT_SHARE = 0.3
 HELD_SHARE = 0.8
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 _WORD = re.compile(r"[a-z]+")
+_TAG = re.compile(r"<[a-zA-Z/!?]")
 _MARK = re.compile(r"[^\w\s]")
 
 
@@ -162,6 +163,8 @@ def main_text(html: str | None) -> str:
     """The article's blocks, one a line; empty if there is none."""
     reader = Reader()
     reader.feed(html or "")
+    if _TAG.match(reader.rawdata):
+        reader.rawdata = ""  # a tag or comment that the page's end cuts is no text
     reader.close()
     rows = []
     paths: dict[int, tuple[Node, ...]] = {}

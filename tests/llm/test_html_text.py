@@ -46,8 +46,10 @@ def test_unclosed_and_cut_pages():
 
 def test_white_space_and_nothing():
     assert main_text(f"<p>  a \n\t b{LONG} </p>\n\n<p> </p><p>\x0b</p>") == f"a b{LONG}"
-    for empty in (None, "", " ", "<html></html>", "<script>x</script>", "<nav>x</nav>", "<", "<!--", "<a", "&"):
-        assert main_text(empty) in ("", "<", "&", "<a")
+    for empty in (None, "", " ", "<html></html>", "<script>x</script>", "<nav>x</nav>", "<", "&"):
+        assert main_text(empty) in ("", "<", "&")
+    for cut in ("<!-- x", "<a href='x", "</p", "<!DOCTYPE ht"):
+        assert main_text(f"<p>{LONG}{cut}") == LONG
     assert main_text("<script>x</script>") == main_text("<nav>x</nav>") == main_text(None) == ""
 
 

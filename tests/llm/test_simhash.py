@@ -68,7 +68,8 @@ def test_masks_cover_every_three_bits(free):
     assert len(masks) == 15 and all(m & ~free == 0 for m in masks)
     for triple in itertools.combinations(bits, 3):
         assert any(not any(m >> b & 1 for b in triple) for m in masks)
-    assert min(m.bit_count() for m in masks) * 2 >= len(bits) - 1
+    # With 16 bits or more, each mask takes half of them.
+    assert len(bits) < 16 or min(m.bit_count() for m in masks) * 2 >= len(bits)
 
 
 def test_components_by_brute_force(docs_of):
