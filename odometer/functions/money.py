@@ -19,22 +19,16 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def round_half_up(c: Column | str, scale: int) -> Column:
-    """HALF_UP rounding of a double on its shortest decimal text (Spark ``round``)."""
-    return F.round(_col(c), scale)
-
-
 def money_sum(c: Column | str, exact: bool = True) -> Column:
-    """Sum of two-decimal amounts; ``exact`` sums as DECIMAL(18,2).
+    """Sum of two-decimal amounts; ``exact`` sums as DECIMAL(18,2), so the digits
+    don't depend on the order of addition.
 
     With ``exact=False`` this is the plain double ``sum`` (order dependent,
-    and NaN-propagating).  With ``exact=True`` a NaN amount becomes NULL and
-    is skipped.
+    and NaN-propagating).  With ``exact=True`` an amount that is no number or
+    too large fails the query: it never leaves the sum silently.
     """
     c = _col(c)
-    if not exact:
-        return F.sum(c)
-    return F.sum(c.try_cast(MONEY_DECIMAL)).cast("double")
+    return F.sum(c.cast(MONEY_DECIMAL)).cast("double") if exact else F.sum(c)
 
 
 def to_decimal(c: Column | str, precision: int, scale: int) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from odometer.functions.timeutil import ts_literal
-from odometer.session import materialize
+from odometer.schemas import UTILIZATION_KEY
+from odometer.session import materialize, path_missing
 
 # The freshness rule's texts, severities and defaults.
 DEFAULT_THRESHOLD_SECONDS = 120
@@ -15,6 +16,7 @@ REASON_NEVER = "No telemetry metrics have been processed yet."
 REASON_STALE_PREFIX = "No telemetry processed for "
 REASON_STALE_SUFFIX = " seconds."
 REASON_CURRENT = "Telemetry is current."
+REASON_UNAVAILABLE = "Serving database is unavailable."
 SEVERITY_BY_STATUS = (("healthy", "info"), ("degraded", "warning"), ("unhealthy", "critical"))
 GAUGE_METRIC_ROWS = "fleet_serving_metric_rows"
 GAUGE_AGE = "fleet_last_telemetry_age_seconds"
@@ -110,8 +112,24 @@ def _range_parts(spark, partitions: int | None) -> int:
     return partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def as_of_last_processed(checks: DataFrame, serving: DataFrame, partitions: int | None = None) -> DataFrame:
-    """For every check time t: the newest ``processed_at <= t`` (as-of lookup).
+def _stamps(history: DataFrame) -> DataFrame:
+    """Distinct ``processed_at`` (t) of a metrics history, and how many serving
+    rows (distinct keys) appeared with each."""
+    if all(c in history.columns for c in UTILIZATION_KEY):
+        first = history.groupBy(*UTILIZATION_KEY).agg(F.min("processed_at").alias("t"))
+        seen = history.select(F.col("processed_at").alias("t"), F.lit(0).alias("new_rows"))
+        seen = seen.unionByName(first.select("t", F.lit(1).alias("new_rows")))
+    else:
+        seen = history.select(F.col("processed_at").alias("t"), F.lit(None).cast("int").alias("new_rows"))
+    return seen.where("t is not null").groupBy("t").agg(F.sum("new_rows").alias("new_rows"))
+
+
+def as_of_last_processed(checks: DataFrame, history: DataFrame, partitions: int | None = None) -> DataFrame:
+    """For every check time t: the newest ``processed_at <= t`` of the metrics
+    history (all versions that were ever written; in a keep-latest table a
+    window that is written again has lost its earlier stamps), and
+    ``metric_rows``, the serving rows that there were at t (null where the
+    history has no window keys).
 
     A distributed prefix maximum that no time distribution can skew.
     Checks and de-duplicated stamps are unioned and range-partitioned on
@@ -121,56 +139,61 @@ def as_of_last_processed(checks: DataFrame, serving: DataFrame, partitions: int
     slices is carried in from a table with one row per range partition.
     """
     n = _range_parts(checks.sparkSession, partitions)
-    stamps = serving.select(F.col("processed_at").alias("t")).distinct()
-    timeline = checks.select(F.col("check_time").alias("t"), F.lit(1).alias("kind")).unionByName(
-        stamps.select("t", F.lit(0).alias("kind"))
-    )
+    timeline = checks.select(
+        F.col("check_time").alias("t"), F.lit(1).alias("kind"), F.lit(0).cast("long").alias("new_rows")
+    ).unionByName(_stamps(history).select("t", F.lit(0).alias("kind"), "new_rows"))
     # Pin each row's slice once: range bounds are sampled from row order,
     # which an upstream shuffle does not fix, so every reader of the slices
     # must read the same materialized assignment.
     ranged = materialize(timeline.repartitionByRange(n, "t", "kind").withColumn("_part", F.spark_partition_id()))
     stamp = F.when(F.col("kind") == 0, F.col("t"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         ranged.groupBy("_part")
-        .agg(F.max(stamp).alias("_part_max"))
+        .agg(F.max(stamp).alias("_part_max"), F.sum("new_rows").alias("_part_rows"))
         .select(
             "_part",
-            F.max("_part_max")
-            .over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-            .alias("carry_in"),
+            F.max("_part_max").over(earlier).alias("carry_in"),
+            F.coalesce(F.sum("_part_rows").over(earlier), F.lit(0)).alias("carry_rows"),
         )
     )
     in_part = Window.partitionBy("_part").orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    counted = all(c in history.columns for c in UTILIZATION_KEY)
     return (
         ranged.withColumn("run_max", F.max(stamp).over(in_part))
+        .withColumn("run_rows", F.sum("new_rows").over(in_part))
         .where(F.col("kind") == 1)
         .join(carry, "_part", "left")
         .select(
             "_part",
             F.col("t").alias("check_time"),
             F.greatest("run_max", "carry_in").alias("last_processed_at"),
+            F.when(F.lit(counted), F.col("run_rows") + F.col("carry_rows")).alias("metric_rows"),
         )
     )
 
 
 def health_transitions(
     checks: DataFrame,
-    serving: DataFrame,
+    history: DataFrame,
     threshold_seconds: int = DEFAULT_THRESHOLD_SECONDS,
     with_context: bool = True,
     initial_status: F.Column | str | None = None,
     partitions: int | None = None,
+    profitability_rows: F.Column | None = None,
 ) -> DataFrame:
     """Alert rows: one per check whose status differs from the previous
     check's.  The first check alerts unless ``initial_status`` (the status
-    last recorded, e.g. by a previous run) equals it.
+    last recorded, e.g. by a previous run) equals it.  ``history`` is the
+    metrics history, every version; ``profitability_rows`` (a scalar, e.g. a
+    subquery) goes into the context.
 
     The previous status is a ``lag`` within each range partition of the
     timeline; the first check of a partition takes the last status of the
     nearest earlier partition that has checks, from a one-row-per-partition
     table.
     """
-    asof = as_of_last_processed(checks, serving, partitions)
+    asof = as_of_last_processed(checks, history, partitions)
     st = health_columns(asof, F.col("check_time"), threshold_seconds)
     part_last = st.groupBy("_part").agg(F.max_by("status", "check_time").alias("last_status"))
     prev_part = part_last.select(
@@ -199,20 +222,26 @@ def health_transitions(
         "status",
         "age_seconds",
         "last_processed_at",
+        "metric_rows",
     )
     if with_context:
-        out = out.withColumn("context", alert_context())
-    return out
+        out = out.withColumn("context", alert_context(threshold_seconds, profitability_rows))
+    return out.drop("metric_rows")
 
 
-def alert_context() -> F.Column:
-    """JSON context of an alert; nulls are written as ``null``."""
+def alert_context(threshold_seconds: int, profitability_rows: F.Column | None = None) -> F.Column:
+    """JSON of the whole health answer behind an alert; times in full precision
+    with their UTC offset, nulls written as ``null``."""
+    reports = F.lit(None) if profitability_rows is None else profitability_rows
     return F.to_json(
         F.struct(
             "status",
             F.col("message").alias("reason"),
             "age_seconds",
-            F.date_format("last_processed_at", "yyyy-MM-dd HH:mm:ss").alias("last_processed_at"),
+            F.date_format("last_processed_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("last_processed_at"),
+            "metric_rows",
+            reports.cast("long").alias("profitability_rows"),
+            F.lit(threshold_seconds).alias("no_data_alert_seconds"),
         ),
         {"ignoreNullFields": "false"},
     )
@@ -232,16 +261,30 @@ def gauges(snapshot: DataFrame, now=None, threshold_seconds: int = DEFAULT_THRES
     )
 
 
-def gauges_or_absent(spark, build) -> DataFrame:
-    """Gauges from ``build()``, or 0 rows / age -1 when the source can't be read."""
+def _or_when_unreadable(build, otherwise) -> DataFrame:
     from pyspark.errors import AnalysisException
 
     try:
         df = build()
         df.schema  # noqa: B018 - forces analysis (missing paths fail here)
         return df
-    except AnalysisException:
-        return spark.createDataFrame([(GAUGE_METRIC_ROWS, 0), (GAUGE_AGE, -1)], "name string, value long")
+    except AnalysisException as err:
+        if path_missing(err) or err.getCondition() == "TABLE_OR_VIEW_NOT_FOUND":
+            return otherwise()
+        raise
+
+
+def gauges_or_absent(spark, build) -> DataFrame:
+    """Gauges from ``build()``, or 0 rows / age -1 when there is no source."""
+    rows = [(GAUGE_METRIC_ROWS, 0), (GAUGE_AGE, -1)]
+    return _or_when_unreadable(build, lambda: spark.createDataFrame(rows, "name string, value long"))
+
+
+def health_or_unavailable(spark, build) -> DataFrame:
+    """The health answer from ``build()``, or ``unhealthy`` with a fixed reason
+    when the serving tables can't be read."""
+    row = [("unhealthy", REASON_UNAVAILABLE)]
+    return _or_when_unreadable(build, lambda: spark.createDataFrame(row, "status string, reason string"))
 
 
 def exposition_text(gauge_rows: DataFrame) -> DataFrame:

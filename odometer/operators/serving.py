@@ -92,17 +92,18 @@ def normalize_utilization_payload(df: DataFrame) -> DataFrame:
     return out
 
 
+def conform_column(name: str, dtype) -> F.Column:
+    """A column in its serving type; doubles go to DECIMAL with HALF_UP, and a
+    value that the type can't hold becomes NULL."""
+    if dtype.typeName() == "decimal":
+        return to_decimal(name, dtype.precision, dtype.scale)
+    return F.col(name).try_cast(dtype)
+
+
 def conform(df: DataFrame, types: dict) -> DataFrame:
-    """Cast to the serving column types; doubles go to DECIMAL with HALF_UP."""
-    cols = []
-    for name, dtype in types.items():
-        if name not in df.columns:
-            continue
-        if dtype.typeName() == "decimal":
-            cols.append(to_decimal(name, dtype.precision, dtype.scale).alias(name))
-        else:
-            cols.append(F.col(name).cast(dtype).alias(name))
-    return df.select(*cols)
+    """The serving columns in their types.  Writers check that no value was
+    lost (``odometer.sinks.merge.split_by_constraints``)."""
+    return df.select(*[conform_column(c, t).alias(c) for c, t in types.items() if c in df.columns])
 
 
 def conform_utilization(df: DataFrame) -> DataFrame:

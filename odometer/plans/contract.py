@@ -34,7 +34,12 @@ from odometer.operators.serving import (
     upsert_utilization,
 )
 from odometer.operators.telemetry import clean_telemetry, decode_and_clean, telemetry_checks
-from odometer.operators.utilization import batch_totals, sliding_metrics, utilization_metrics
+from odometer.operators.utilization import (
+    batch_totals,
+    sliding_metrics,
+    sliding_metrics_sketched,
+    utilization_metrics,
+)
 from odometer.plans import params
 from odometer.schemas import TELEMETRY_FIELDS, UTILIZATION_COLUMNS
 from odometer.session import ensure_utc, materialize, scratch_path
@@ -125,7 +130,7 @@ def q_profitability_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("unprofitable_vehicles")
 def q_unprofitable_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary's ordered list of unprofitable vehicles, as ranked rows."""
-    return unprofitable_ranking(report_rows(spark, sf_dir, stored=True))
+    return unprofitable_ranking(report_rows(spark, sf_dir))
 
 
 def history_rows(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
@@ -224,8 +229,8 @@ def q_gauge_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("health_transitions")
 def q_health_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Freshness checked every two minutes over the metrics' calendar span."""
-    serving = serving_rows(spark, sf_dir, stored=True)
-    alerts = health_transitions(check_grid(serving, params.CHECK_MINUTES), serving, params.THRESHOLD)
+    history = history_rows(spark, sf_dir, stored=True)
+    alerts = health_transitions(check_grid(history, params.CHECK_MINUTES), history, params.THRESHOLD)
     return _ntz(alerts, "created_at", "last_processed_at")
 
 
@@ -296,8 +301,32 @@ def q_sliding_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sliding_metrics_approx")
 def q_sliding_metrics_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Same windows with HyperLogLog distinct counts (rows-only check)."""
-    out = sliding_metrics(fixtures.telemetry_rows(_events(spark, sf_dir)), approximate=True, exact_money=True)
+    """Same windows with HLL sketches of one-minute panes.  Estimates can't be
+    expressed in SQL, so they stand as "within the sketch's error of the exact
+    count" beside it."""
+    rows = fixtures.telemetry_rows(_events(spark, sf_dir))
+    estimated = sliding_metrics_sketched(rows, exact_money=True)
+    exact = sliding_metrics(rows, exact_money=True).select(
+        "window_start", F.col("active_vehicles").alias("exact_vehicles"), F.col("trips").alias("exact_trips")
+    )
+
+    def near(estimate: str, count: str) -> F.Column:
+        # Four standard errors of a 4096-register sketch, one at least.
+        return F.abs(F.col(estimate) - F.col(count)) <= F.greatest(F.lit(1.0), 4 * 1.04 / 64 * F.col(count))
+
+    out = estimated.join(exact, "window_start", "left").select(
+        "window_start",
+        "window_end",
+        "exact_vehicles",
+        "exact_trips",
+        near("active_vehicles", "exact_vehicles").alias("vehicles_near"),
+        near("trips", "exact_trips").alias("trips_near"),
+        "idle_events",
+        "total_events",
+        "total_earnings",
+        "average_speed",
+        "idle_ratio",
+    )
     return _ntz(out, "window_start", "window_end")
 
 

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odometer.operators.profitability import build_report, build_report_for_day, order_report, trip_revenue
-from odometer.session import ensure_utc, materialize
-from odometer.sinks.files import write_report_csv, write_report_parquet
-from odometer.sinks.merge import merge_profitability
+from odometer.operators.health import health_transitions
+from odometer.operators.serving import latest_per_key
+from odometer.session import ensure_utc, materialize, stored_or_none
+from odometer.sinks.files import append_alerts, write_report_csv, write_report_parquet
+from odometer.sinks.merge import keep_rejects, merge_profitability, only_dates_of, serve_utilization, split_report
 from odometer.sources.expenses import read_expense_feed
 from odometer.sources.lake import read_clean_lake
 
@@ -25,10 +27,11 @@ def reconcile(
     report_date: str | None = None,
     bypass_commit_log: bool = False,
     reject_path: str | None = None,
+    exact_money: bool = False,
 ) -> DataFrame:
     """Read the feed(s) and the clean lake, build the report, then write it
-    as Parquet (per-date overwrite), as one sorted CSV per date, and merge it
-    into the serving table.
+    as Parquet (per-date overwrite), as sorted CSV per date (a very large date is
+    several files), and merge it into the serving table.
 
     ``report_date`` runs the single-date form (every feed row is labelled
     with that date); without it every date found in the feeds is reconciled
@@ -37,7 +40,7 @@ def reconcile(
     ensure_utc(spark)
     lake = read_clean_lake(spark, lake_path, bypass_commit_log)
     feed = read_expense_feed(spark, expenses_path, report_date)
-    return reconcile_frames(spark, feed, lake, output_root, csv_root, serving_path, report_date, reject_path)
+    return reconcile_frames(spark, feed, lake, output_root, csv_root, serving_path, report_date, reject_path, exact_money)
 
 
 def reconcile_frames(
@@ -49,44 +52,35 @@ def reconcile_frames(
     serving_path: str | None = None,
     report_date: str | None = None,
     reject_path: str | None = None,
+    exact_money: bool = False,
 ) -> DataFrame:
     """The reconciliation on already-read frames (batch or one micro-batch).
 
-    Only the feed's dates are read from the lake (a semi join on the
-    ``event_date`` partition column, which dynamic partition pruning turns
-    into directory pruning).  The report is materialized once, so the three
-    writes do not recompute it.
+    Only the feed's dates are read from the lake: its ``event_date`` folders
+    between the first and last of them (scalar subqueries, so other folders
+    aren't read), less the gaps (a semi join).  The report is materialized
+    once, so the three writes do not recompute it.
 
-    Serving constraints are checked before anything is written: rows with a
-    NULL in a NOT NULL serving column (e.g. a missing cost) go to
-    ``reject_path`` when given and are kept out of the serving merge;
-    without ``reject_path`` the job fails before writing.
+    Serving types and constraints are checked before anything is written: rows
+    that break one (a missing cost, an amount too large) go to ``reject_path``
+    when given and are kept out of the serving merge; without ``reject_path``
+    the job fails before writing.
     """
     if report_date is not None:
-        report = build_report_for_day(feed.drop("csv_report_date"), lake, report_date)
+        report = build_report_for_day(feed.drop("csv_report_date"), lake, report_date, exact_money)
     else:
-        days = feed.select(F.col("report_date").alias("event_date")).distinct()
+        # One row per date: bounded by the calendar.
+        days = materialize(feed.select(F.col("report_date").alias("event_date")).distinct())
         if "event_date" not in lake.columns:
             lake = lake.withColumn("event_date", F.to_date("event_time"))
-        lake = lake.join(days, "event_date", "left_semi")
-        report = build_report(feed.drop("csv_report_date"), trip_revenue(lake))
+        lake = only_dates_of(lake, days, "event_date")
+        report = build_report(feed.drop("csv_report_date"), trip_revenue(lake, exact_money))
     report = materialize(report)
     servable = report
     if serving_path is not None:
-        bad = _serving_null_rule(report)
-        rejected = report.where(bad).limit(1).count()
-        if rejected and reject_path is None:
-            raise ValueError("report rows violate serving NOT NULL constraints; pass reject_path")
-        if rejected:
-            # per-date overwrite: re-running a date replaces its rejects
-            (
-                report.where(bad)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("report_date")
-                .parquet(reject_path)
-            )
-            servable = report.where(~bad)
+        servable, rejects = split_report(report)
+        # Per-date overwrite: re-running a date replaces its rejects.
+        keep_rejects(rejects, reject_path, ["report_date"], "report")
     write_report_parquet(report, output_root)
     write_report_csv(report, csv_root)
     if serving_path is not None:
@@ -105,14 +99,18 @@ def start_reconciliation_stream(
     reject_path: str | None = None,
     trigger_seconds: int = 300,
     available_now: bool = False,
+    max_files_per_trigger: int | None = None,
+    exact_money: bool = False,
 ):
     """Reconcile every newly published feed file as it arrives.
 
     This replaces a scheduler that polls for the day's file: the file
     source's checkpoint records which feed files were consumed, so each
-    file is reconciled exactly once, late or re-published days included,
-    and a failed run resumes where it stopped.  Each micro-batch covers the
-    dates its new files carry.
+    file sets off its day once and a failed run resumes where it stopped.  A
+    micro-batch only says which dates have news: a day may be several files
+    that arrive in different batches, so the complete feed of these dates is
+    read again and reconciled.  (Spark's file source doesn't notice a file that
+    is replaced under its old name; such a day is rerun with ``reconcile``.)
     """
     from odometer.sources.expenses import read_expense_feed_stream
     from odometer.streaming.queries import trigger_options
@@ -120,12 +118,18 @@ def start_reconciliation_stream(
     ensure_utc(spark)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        lake = read_clean_lake(spark, lake_path)
-        reconcile_frames(spark, batch, lake, output_root, csv_root, serving_path, None, reject_path)
+        # One row per date: bounded by the calendar.
+        dates = [r[0] for r in batch.select("report_date").distinct().collect() if r[0] is not None]
+        if dates:
+            feed = read_expense_feed(spark, feeds_path, dates=dates)
+            lake = read_clean_lake(spark, lake_path)
+            reconcile_frames(
+                spark, feed, lake, output_root, csv_root, serving_path, None, reject_path, exact_money
+            )
 
     return (
-        read_expense_feed_stream(spark, feeds_path)
-        .writeStream.queryName("fleet_daily_reconciliation")
+        read_expense_feed_stream(spark, feeds_path, max_files_per_trigger)
+        .writeStream.queryName("odometer-reconciliation")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger_options(trigger_seconds, available_now))
         .foreachBatch(per_batch)
@@ -133,18 +137,6 @@ def start_reconciliation_stream(
     )
 
 
-def _serving_null_rule(report: DataFrame):
-    from pyspark.sql import functions as F
-
-    from odometer.schemas import SERVING_REPORT_NOT_NULL
-
-    rule = F.lit(False)
-    for c in SERVING_REPORT_NOT_NULL:
-        if c in report.columns:
-            rule = rule | F.col(c).isNull()
-    return rule
-
-
 def run_live(
     spark: SparkSession,
     source: DataFrame,
@@ -153,9 +145,13 @@ def run_live(
     checkpoint_root: str,
     trigger_seconds: int = 10,
     available_now: bool = False,
+    serving_path: str | None = None,
+    reject_path: str | None = None,
+    exact_money: bool = False,
 ) -> None:
     """Start the lake and metrics queries on one source and supervise them:
-    wait for either to end, then stop both (errors propagate)."""
+    wait for either to end, then stop both (errors propagate).  With
+    ``serving_path`` each micro-batch is also merged into the serving table."""
     from odometer.streaming.queries import run_until_any_stops, start_live_queries
 
     ensure_utc(spark)
@@ -167,58 +163,83 @@ def run_live(
         checkpoint_root,
         trigger_seconds=trigger_seconds,
         available_now=available_now,
+        exact_money=exact_money,
+        serving_path=serving_path,
+        reject_path=reject_path,
     )
     if available_now:
-        for q in queries:
-            q.awaitTermination()
+        try:
+            for q in queries:
+                q.awaitTermination()
+        finally:
+            for q in queries:
+                if q.isActive:
+                    q.stop()
         return
     run_until_any_stops(spark, queries)
 
 
-def compact_metrics(spark: SparkSession, metrics_path: str, serving_path: str, first_batch: int, last_batch: int):
-    """Fold micro-batches ``first_batch..last_batch`` of the append-only
-    metrics history into the serving table: newest version per key within
-    the range, then the guarded merge (an older version never overwrites a
-    newer stored one).  Only the batch partitions in the range are read."""
-    from pyspark.sql import functions as F
-
-    from odometer.operators.serving import latest_per_key
-    from odometer.sinks.merge import merge_utilization
+def compact_metrics(
+    spark: SparkSession, metrics_path: str, serving_path: str, progress_path: str | None = None, reject_path: str | None = None
+) -> int:
+    """Fold the micro-batches of the append-only metrics history that were not
+    folded yet into the serving table: newest version per key, then the checked
+    and guarded merge (an older version never overwrites a newer stored one).
 
+    ``progress_path`` (default: beside the serving table) records each folded
+    (run, batch) after the merge; a fold that is repeated changes nothing.
+    Returns the number of batches folded.
+    """
     ensure_utc(spark)
-    history = spark.read.parquet(metrics_path).where(F.col("spark_batch_id").between(first_batch, last_batch))
-    merge_utilization(spark, serving_path, latest_per_key(history))
+    progress_path = progress_path or serving_path.rstrip("/") + "_folded"
+    history = spark.read.parquet(metrics_path)
+    batch = ["stream_run", "spark_batch_id"]
+    new = history.select(*batch).distinct()
+    folded = stored_or_none(spark, progress_path)
+    if folded is not None:
+        new = new.join(folded, batch, "left_anti")
+    new = materialize(new)
+    count = new.count()
+    if count:
+        rows = latest_per_key(history.join(new, batch, "left_semi").drop("window_date", "stream_run"))
+        serve_utilization(spark, serving_path, rows, reject_path)
+        new.write.mode("append").parquet(progress_path)
+    return count
 
 
 def record_health_alerts(
     spark: SparkSession,
-    serving_path: str,
+    history_path: str,
     alerts_path: str,
     checks: DataFrame,
     threshold_seconds: int = 120,
+    marks_path: str | None = None,
 ) -> DataFrame:
-    """Evaluate freshness at the given check times and append the status
-    transitions to the alert log.
-
-    The log's last alert is the starting point: only checks after its time
-    are evaluated, starting from its status, so a re-run over the same check
-    times appends nothing and a later run does not re-alert an unchanged
-    status."""
-    from pyspark.errors import AnalysisException
-    from pyspark.sql import functions as F
-
-    from odometer.operators.health import health_transitions
-    from odometer.sinks.files import append_alerts
-
+    """Evaluate freshness at the given check times against the metrics history
+    and append the status transitions to the alert log.
+
+    ``marks_path`` (default: beside the alert log) keeps up to which check the
+    past is evaluated, and the status there.  Only later checks are evaluated,
+    from that status, whether or not they alerted: a re-run over the same
+    checks appends nothing, and a window that is written again later changes
+    no check of the past.  Alerts are stored under the mark they start from,
+    and the mark moves last, so a run that failed in between is repeated
+    without doubling its alerts.
+    """
     ensure_utc(spark)
-    serving = spark.read.parquet(serving_path)
-    try:
-        log = spark.read.parquet(alerts_path)
-        newest = log.agg(F.max_by(F.struct("created_at", "status"), "created_at").alias("a"))
-        last_status = newest.select("a.status").scalar()
-        checks = checks.where(F.col("check_time") > newest.select("a.created_at").scalar())
-    except AnalysisException:
-        last_status = None
-    alerts = materialize(health_transitions(checks, serving, threshold_seconds, initial_status=last_status))
-    append_alerts(alerts, alerts_path)
+    marks_path = marks_path or alerts_path.rstrip("/") + "_marks"
+    marks = stored_or_none(spark, marks_path)
+    mark = marks.orderBy(F.desc("evaluated_to")).first() if marks is not None else None
+    if mark is not None:
+        checks = checks.where(F.col("check_time") > F.lit(mark["evaluated_to"]))
+    checks = materialize(checks.select("check_time"))
+    status = mark["status"] if mark is not None else None
+    since = mark["evaluated_to"].strftime("%Y%m%dT%H%M%S.%f") if mark is not None else "start"
+    history = spark.read.parquet(history_path)
+    alerts = materialize(health_transitions(checks, history, threshold_seconds, initial_status=status))
+    append_alerts(alerts, alerts_path, since)
+    done = alerts.agg(F.max_by("status", "created_at").alias("status"))
+    moved = checks.agg(F.max("check_time").alias("evaluated_to")).where("evaluated_to is not null")
+    last = done.select("status").scalar()
+    moved.select("evaluated_to", F.coalesce(last, F.lit(status)).alias("status")).write.mode("append").parquet(marks_path)
     return alerts

@@ -335,18 +335,24 @@ ORACLES["health_transitions"] = with_ctes(*SERVING_CTES) + f""",
 bounds AS (
   SELECT CAST(CAST(min(processed_at) AS DATE) AS TIMESTAMP) AS lo,
          CAST(CAST(max(processed_at) AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY AS hi
-  FROM serving
+  FROM history
 ),
 checks AS (
   SELECT unnest(generate_series(lo, hi - INTERVAL {CHECK_MINUTES} MINUTE, INTERVAL {CHECK_MINUTES} MINUTE)) AS check_time
   FROM bounds
 ),
-stamps AS (SELECT DISTINCT processed_at FROM serving),
+firsts AS (SELECT min(processed_at) AS t FROM history GROUP BY window_start, window_end, zone),
+stamps AS (
+  SELECT processed_at, sum(n) OVER (ORDER BY processed_at) AS metric_rows FROM (
+    SELECT processed_at, (SELECT count(*) FROM firsts f WHERE f.t = h.processed_at) AS n
+    FROM (SELECT DISTINCT processed_at FROM history) h
+  ) x
+),
 asof_rows AS (
-  SELECT c.check_time, s.processed_at AS last_processed_at
+  SELECT c.check_time, s.processed_at AS last_processed_at, coalesce(s.metric_rows, 0) AS metric_rows
   FROM checks c ASOF LEFT JOIN stamps s ON c.check_time >= s.processed_at
 ),
-st AS (SELECT check_time, last_processed_at, {status_sql('check_time', 'last_processed_at')} FROM asof_rows),
+st AS (SELECT check_time, last_processed_at, metric_rows, {status_sql('check_time', 'last_processed_at')} FROM asof_rows),
 lagged AS (SELECT *, lag(status) OVER (ORDER BY check_time) AS prev_status FROM st)
 SELECT check_time AS created_at,
        CASE status WHEN 'healthy' THEN 'info' WHEN 'degraded' THEN 'warning' WHEN 'unhealthy' THEN 'critical' END
@@ -354,7 +360,9 @@ SELECT check_time AS created_at,
        'no_telemetry_processed' AS rule_name,
        reason AS message, status, age_seconds, last_processed_at,
        CAST(to_json({{'status': status, 'reason': reason, 'age_seconds': age_seconds,
-                      'last_processed_at': strftime(last_processed_at, '%Y-%m-%d %H:%M:%S')}}) AS VARCHAR)
+                      'last_processed_at': strftime(last_processed_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00',
+                      'metric_rows': CAST(metric_rows AS BIGINT), 'profitability_rows': CAST(NULL AS BIGINT),
+                      'no_data_alert_seconds': {THRESHOLD}}}) AS VARCHAR)
          AS context
 FROM lagged WHERE prev_status IS NULL OR status <> prev_status"""
 
@@ -427,4 +435,9 @@ SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end,
        CAST(count(*) FILTER (WHERE status = 'idle') AS DOUBLE) / CAST(count(*) AS DOUBLE) AS idle_ratio
 FROM fan GROUP BY window_start"""
 
+ORACLES["sliding_metrics_approx"] = (
+    "SELECT * EXCLUDE (active_vehicles, trips), active_vehicles AS exact_vehicles, trips AS exact_trips, "
+    f"true AS vehicles_near, true AS trips_near FROM ({ORACLES['sliding_metrics']})"
+)
+
 ORACLES["stream_utilization"] = ORACLES["utilization_5m"]

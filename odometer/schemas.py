@@ -18,6 +18,7 @@ from pyspark.sql.types import (
 STATUS_DOMAIN = ("idle", "enroute", "on_trip")
 SERVICE_FLAGS = ("required", "not_required")
 
+# The fields of a telemetry event, in payload order.
 TELEMETRY_FIELDS = (
     "trip_id",
     "driver_id",
@@ -46,7 +47,7 @@ TELEMETRY_JSON_SCHEMA = StructType(
     ]
 )
 
-# Daily expense CSV: every column is read as text and typed afterwards.
+# The columns of the daily expense CSV.  Every column is read as text and typed afterwards.
 EXPENSE_FIELDS = (
     "report_date",
     "vehicle_id",
@@ -57,6 +58,7 @@ EXPENSE_FIELDS = (
 )
 EXPENSE_CSV_SCHEMA = StructType([StructField(c, StringType(), True) for c in EXPENSE_FIELDS])
 
+# Keys and columns of the metrics and of the report.
 UTILIZATION_KEY = ("window_start", "window_end", "zone")
 UTILIZATION_COLUMNS = (
     "zone",
@@ -70,7 +72,6 @@ UTILIZATION_COLUMNS = (
     "window_end",
     "idle_ratio",
 )
-UTILIZATION_LINEAGE = ("spark_batch_id", "processed_at")
 
 REPORT_KEY = ("report_date", "vehicle_id")
 REPORT_COLUMNS = (
@@ -88,7 +89,7 @@ REPORT_COLUMNS = (
     "profitability_status",
 )
 
-# Serving-store column types (NUMERIC(p,s) -> DecimalType(p,s)).
+# Serving-store column types (NUMERIC(p,s) -> DecimalType(p,s)).
 SERVING_UTILIZATION_TYPES = {
     "window_start": TimestampType(),
     "window_end": TimestampType(),
@@ -121,5 +122,3 @@ SERVING_REPORT_TYPES = {
     "updated_at": TimestampType(),
 }
 SERVING_REPORT_NOT_NULL = tuple(c for c in SERVING_REPORT_TYPES if c != "profit_margin_pct")
-
-ALERT_COLUMNS = ("created_at", "severity", "rule_name", "message", "context")

@@ -77,8 +77,8 @@ def ensure_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared work folder, taken from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (a bare local test session) is a fresh
-    folder made and registered, so that lineage-cutting writes and streaming
+    Only where the setting is absent from a local session is a fresh folder made
+    and registered (a cluster session without it is an error), so that lineage-cutting writes and streaming
     checkpoints always land on storage every executor can reach.  A setting
     made on a running session is passed on to the SparkContext, which is
     where ``DataFrame.checkpoint`` looks.
@@ -91,6 +91,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured and context is not None:
         configured = context.getCheckpointDir()
     if not configured:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="odometer-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if context is not None and not context.getCheckpointDir():
@@ -103,6 +105,26 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return "/".join([shared_dir(spark), "odometer", purpose, uuid.uuid4().hex])
 
 
+def path_missing(err) -> bool:
+    """Whether an analysis error says that nothing is stored at a path yet."""
+    return err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def stored_or_none(spark: SparkSession, path: str):
+    """The Parquet table at ``path``, or None if there is none; any other
+    error is raised."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        df = spark.read.parquet(path)
+        df.schema  # noqa: B018 - a missing path fails here
+        return df
+    except AnalysisException as err:
+        if path_missing(err):
+            return None
+        raise
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python-side checks can see local folders."""
     if path.startswith("file:"):

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from odometer.schemas import EXPENSE_CSV_SCHEMA
-from odometer.sources.fixtures import expense_feed_text
+from odometer.session import path_missing
+from odometer.sources.expenses import expense_feed_text
 
 
 def write_report_parquet(report: DataFrame, path: str) -> None:
@@ -22,7 +23,8 @@ def write_report_parquet(report: DataFrame, path: str) -> None:
 
 
 def write_report_csv(report: DataFrame, path: str) -> None:
-    """Headered CSV per date, in report order, replacing only those dates.
+    """Headered CSV per date (folder ``csv_date=<date>``, all report columns
+    inside), in report order, replacing only those dates.
 
     Rows are range-partitioned on (date, profit, vehicle) and sorted within
     each task with the partition column leading (so the writer does not
@@ -31,14 +33,15 @@ def write_report_csv(report: DataFrame, path: str) -> None:
     numbered in range order, reading a date's files in name order gives the
     report order.  No task has to hold a whole hot date.
     """
-    order = [F.col("report_date"), F.col("profit").asc_nulls_first(), F.col("vehicle_id")]
+    order = [F.col("csv_date"), F.col("profit").asc_nulls_first(), F.col("vehicle_id")]
     (
-        report.repartitionByRange(*order)
+        report.withColumn("csv_date", F.col("report_date"))
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("header", True)
-        .partitionBy("report_date")
+        .partitionBy("csv_date")
         .csv(path)
     )
 
@@ -57,14 +60,16 @@ def write_expense_feed(feed: DataFrame, path: str, overwrite: bool = False) -> N
     spark = feed.sparkSession
     text = expense_feed_text(feed).withColumn("feed_file", feed_file_name(F.col("report_date")))
     if not overwrite:
+        from pyspark.errors import AnalysisException
+
         try:
             # explicit schema: the published dates come from the partition
             # listing, with no job to infer a header from existing files
             listed = StructType(EXPENSE_CSV_SCHEMA.fields + [StructField("feed_file", StringType(), True)])
             existing = spark.read.schema(listed).option("header", True).csv(path).select("feed_file").distinct()
             clash = existing.join(text.select("feed_file").distinct(), "feed_file", "left_semi").limit(1).count()
-        except Exception as err:  # noqa: BLE001 - nothing published yet
-            if "PATH_NOT_FOUND" not in str(err) and "UNABLE_TO_INFER_SCHEMA" not in str(err):
+        except AnalysisException as err:
+            if not path_missing(err):
                 raise
             clash = 0
         if clash:
@@ -79,9 +84,17 @@ def write_expense_feed(feed: DataFrame, path: str, overwrite: bool = False) -> N
     )
 
 
-def append_alerts(alerts: DataFrame, path: str) -> None:
-    """Append alert rows (with their JSON context) to the alert log."""
-    alerts.write.mode("append").parquet(path)
+def append_alerts(alerts: DataFrame, path: str, since: str) -> None:
+    """Add alert rows (with their JSON context) to the alert log, in the
+    partition of the check ``since`` which they were sought: a run that is
+    repeated from there replaces its rows."""
+    (
+        alerts.withColumn("since", F.lit(since))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("since")
+        .parquet(path)
+    )
 
 
 def write_gauges_text(exposition: DataFrame, path: str) -> None:

@@ -1,36 +1,50 @@
 """Keyed merges into partitioned lake tables (the serving store).
 
-A merge touches only the partitions the incoming batch carries: those
-partitions of the target are read (partition pruning), merged with the
-batch, materialized in the shared checkpoint folder (so the write never
-reads the path it overwrites), and written back with dynamic partition
-overwrite.  Every other partition is left as it is.
+A merge touches only the partitions the incoming batch carries: the target is
+read between the smallest and largest partition value of the batch (scalar
+subqueries on the partition column, so other folders aren't read) and of those
+only what the batch names.  The merged rows are materialized in the shared
+checkpoint folder (so the write never reads the path it overwrites) and
+written back with dynamic partition overwrite.  Every other partition is left
+as it is.
+
+``serve_utilization`` and ``serve_report`` are the guarded writes: payloads are
+normalised and cast to the serving types, and rows that break a constraint (a
+NULL where none may be, or a value that its type can't hold) never reach the
+table; they go to ``reject_path``, or fail the write where there is none.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odometer.functions.timeutil import ts_literal
-from odometer.operators.serving import upsert_profitability, upsert_utilization
-from odometer.session import materialize
+from odometer.operators.serving import (
+    conform_column,
+    normalize_utilization_payload,
+    upsert_profitability,
+    upsert_utilization,
+)
+from odometer.schemas import (
+    SERVING_REPORT_NOT_NULL,
+    SERVING_REPORT_TYPES,
+    SERVING_UTILIZATION_NOT_NULL,
+    SERVING_UTILIZATION_TYPES,
+)
+from odometer.session import materialize, stored_or_none
 
 
-def _touched(target: DataFrame, incoming: DataFrame, partition_col: str) -> DataFrame:
+def only_dates_of(target: DataFrame, incoming: DataFrame, partition_col: str) -> DataFrame:
+    """Rows of ``target`` whose partition value occurs in ``incoming``.  The
+    bounds prune folders; the semi join drops the gaps between them."""
     keys = incoming.select(partition_col).distinct()
-    return target.join(keys, partition_col, "left_semi")
-
-
-def _read_or_none(spark, path: str):
-    from pyspark.errors import AnalysisException
-
-    try:
-        df = spark.read.parquet(path)
-        df.schema  # noqa: B018
-        return df
-    except AnalysisException:
-        return None
+    low = keys.agg(F.min(partition_col).alias("v")).select("v").scalar()
+    high = keys.agg(F.max(partition_col).alias("v")).select("v").scalar()
+    return target.where(F.col(partition_col).between(low, high)).join(keys, partition_col, "left_semi")
 
 
 def _write(df: DataFrame, path: str, partition_col: str, key: list[str]) -> None:
@@ -48,20 +62,58 @@ def _write(df: DataFrame, path: str, partition_col: str, key: list[str]) -> None
 def merge_utilization(spark, path: str, incoming: DataFrame) -> None:
     """Guarded upsert of metric rows into ``path`` (partitioned by ``window_date``)."""
     batch = incoming.withColumn("window_date", F.to_date("window_start"))
-    target = _read_or_none(spark, path)
-    if target is None:
-        merged = upsert_utilization(batch.limit(0), batch)
-    else:
-        merged = upsert_utilization(_touched(target, batch, "window_date").select(*batch.columns), batch)
+    target = stored_or_none(spark, path)
+    stored = batch.limit(0) if target is None else only_dates_of(target, batch, "window_date").select(*batch.columns)
+    merged = upsert_utilization(stored, batch)
     _write(materialize(merged.select(*batch.columns)), path, "window_date", ["window_start", "zone"])
 
 
 def merge_profitability(spark, path: str, incoming: DataFrame, updated_at) -> None:
     """Unguarded upsert of report rows into ``path`` (partitioned by ``report_date``)."""
-    target = _read_or_none(spark, path)
+    target = stored_or_none(spark, path)
     if target is None:
-        empty = incoming.limit(0).withColumn("updated_at", ts_literal(updated_at))
-        merged = upsert_profitability(empty, incoming, updated_at)
+        stored = incoming.limit(0).withColumn("updated_at", ts_literal(updated_at))
     else:
-        merged = upsert_profitability(_touched(target, incoming, "report_date"), incoming, updated_at)
-    _write(materialize(merged), path, "report_date", ["vehicle_id"])
+        stored = only_dates_of(target, incoming, "report_date")
+    _write(materialize(upsert_profitability(stored, incoming, updated_at)), path, "report_date", ["vehicle_id"])
+
+
+def split_by_constraints(rows: DataFrame, types: dict, not_null: tuple) -> tuple[DataFrame, DataFrame]:
+    """(rows in the serving types that keep every constraint, the other rows as
+    they came)."""
+    fit = [c for c in types if c in rows.columns]
+    checked = materialize(
+        rows.select(F.struct(*rows.columns).alias("raw"), *[conform_column(c, types[c]).alias(c) for c in fit])
+    )
+    lost = [F.col(c).isNull() & F.col(f"raw.{c}").isNotNull() for c in fit]
+    missing = [F.col(c).isNull() for c in not_null if c in fit]
+    bad = functools.reduce(operator.or_, [*lost, *missing], F.lit(False))
+    return checked.where(~bad).select(*fit), checked.where(bad).select("raw.*")
+
+
+def keep_rejects(rejects: DataFrame, reject_path: str | None, partition: list[str], what: str) -> None:
+    if not rejects.limit(1).count():
+        return
+    if reject_path is None:
+        raise ValueError(f"{what} rows violate serving constraints; pass reject_path")
+    # Overwriting its own partitions: a retry replaces its rejects.
+    (
+        rejects.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition)
+        .parquet(reject_path)
+    )
+
+
+def serve_utilization(spark, path: str, rows: DataFrame, reject_path: str | None = None) -> None:
+    """Metric rows with lineage into the serving table: normalised, typed,
+    checked, then the guarded merge."""
+    good, bad = split_by_constraints(
+        normalize_utilization_payload(rows), SERVING_UTILIZATION_TYPES, SERVING_UTILIZATION_NOT_NULL
+    )
+    keep_rejects(bad, reject_path, ["spark_batch_id"], "metric")
+    merge_utilization(spark, path, good)
+
+
+def split_report(report: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return split_by_constraints(report, SERVING_REPORT_TYPES, SERVING_REPORT_NOT_NULL)

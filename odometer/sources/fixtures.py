@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odometer.functions.money import round_half_up
+from odometer.functions.money import MONEY_DECIMAL
 from odometer.functions.timeutil import as_instant, iso_text
 from odometer.schemas import TELEMETRY_FIELDS
 
@@ -93,7 +93,7 @@ def expense_feed(supplier: DataFrame, report_dates: DataFrame) -> DataFrame:
     return supplier.select(
         F.explode(dates).alias("report_date"),
         F.concat(F.lit("V"), F.col("s_suppkey").cast("string")).alias("vehicle_id"),
-        round_half_up(F.abs("s_acctbal") / F.lit(100).cast("double"), 2).alias("fuel_cost"),
+        F.round(F.abs("s_acctbal") / F.lit(100).cast("double"), 2).alias("fuel_cost"),
         (F.col("s_nationkey").cast("double") * F.lit(3.5).cast("double")).alias("maintenance_cost"),
         (F.lit(15) + (F.col("s_suppkey") * F.lit(37)) % F.lit(205)).cast("double").alias("distance_covered"),
         F.when(F.col("s_suppkey") % 8 == 0, F.lit("required")).otherwise(F.lit("not_required")).alias(
@@ -102,18 +102,6 @@ def expense_feed(supplier: DataFrame, report_dates: DataFrame) -> DataFrame:
     )
 
 
-def expense_feed_text(feed: DataFrame) -> DataFrame:
-    """The feed as the CSV producer writes it: six text columns."""
-    return feed.select(
-        F.col("report_date").cast("string").alias("report_date"),
-        "vehicle_id",
-        F.col("fuel_cost").cast("string").alias("fuel_cost"),
-        F.col("maintenance_cost").cast("string").alias("maintenance_cost"),
-        F.col("distance_covered").cast("string").alias("distance_covered"),
-        "service_flag",
-    )
-
-
 VERSION_STEP_SECONDS = 100
 VERSIONS = 3
 
@@ -125,28 +113,33 @@ def utilization_history(clean: DataFrame, exact_money: bool = True) -> DataFrame
     ``b`` (``spark_batch_id = b``) holds the aggregate over the window's rows
     with an in-window offset below ``(b+1)*100 s`` and is emitted only when
     step ``b`` brought new rows, stamped ``processed_at = window_start +
-    (b+1)*100 s``.  One pass: every row is fanned out to the versions it
-    belongs to and the library aggregate is keyed additionally by version.
+    (b+1)*100 s``.  One pass: rows are summed per window, zone and step, and
+    only these partial sums are fanned out to the versions they belong to.
     """
-    from odometer.operators.utilization import utilization_metrics
-
-    window_start = F.window("event_time", "5 minutes").start
-    step = F.floor(
-        (F.unix_micros("event_time") - F.unix_micros(window_start)) / F.lit(VERSION_STEP_SECONDS * 1_000_000)
-    ).cast("int")
-    fanned = clean.withColumn("row_step", step).withColumn(
-        "spark_batch_id", F.explode(F.sequence(F.col("row_step"), F.lit(VERSIONS - 1)))
+    from odometer.operators.utilization import finish_utilization, status_counts
+
+    window = F.window("event_time", "5 minutes").alias("window")
+    offset = F.unix_micros("event_time") - F.unix_micros(F.window("event_time", "5 minutes").start)
+    step = F.floor(offset / F.lit(VERSION_STEP_SECONDS * 1_000_000)).cast("int").alias("row_step")
+    parts = clean.groupBy(window, "zone", step).agg(
+        *status_counts(),
+        F.sum(F.col("fare").cast(MONEY_DECIMAL) if exact_money else F.col("fare")).alias("fares"),
+        F.sum("speed").alias("speeds"),
+        F.count("speed").alias("speed_rows"),
     )
-    metrics = utilization_metrics(
-        fanned,
-        watermark=None,
-        exact_money=exact_money,
-        extra_keys=(F.col("spark_batch_id"),),
-        extra_aggs=(F.count_if(F.col("row_step") == F.col("spark_batch_id")).alias("new_rows"),),
+    counts = [c for c in parts.columns if c.endswith("_event_count")]
+    fanned = parts.withColumn("spark_batch_id", F.explode(F.sequence(F.col("row_step"), F.lit(VERSIONS - 1))))
+    versions = fanned.groupBy("window", "zone", "spark_batch_id").agg(
+        *[F.sum(c).alias(c) for c in counts],
+        F.sum("fares").cast("double").alias("observed_earnings"),
+        (F.sum("speeds") / F.sum("speed_rows")).alias("average_speed"),
+        F.max("row_step").alias("newest_step"),
     )
-    keep = [F.col(c) for c in metrics.columns if c not in ("new_rows", "spark_batch_id")]
+    # A version is written only when its own step brought rows.
+    metrics = finish_utilization(versions.where(F.col("newest_step") == F.col("spark_batch_id")).drop("newest_step"))
+    keep = [F.col(c) for c in metrics.columns if c != "spark_batch_id"]
     batch = F.col("spark_batch_id").cast("long")
-    return metrics.where(F.col("new_rows") > 0).select(
+    return metrics.select(
         *keep,
         batch.alias("spark_batch_id"),
         (

@@ -26,6 +26,9 @@ DEFAULT_TRIGGER_SECONDS = 10
 LOG = logging.getLogger("odometer.streaming")
 
 
+HISTORY_PARTITIONS = ("window_date", "stream_run", "spark_batch_id")
+
+
 def trigger_options(trigger_seconds: int | None = DEFAULT_TRIGGER_SECONDS, available_now: bool = False) -> dict:
     """``DataStreamWriter.trigger`` keyword arguments; the interval must be positive."""
     if available_now:
@@ -35,19 +38,41 @@ def trigger_options(trigger_seconds: int | None = DEFAULT_TRIGGER_SECONDS, avail
     return {"processingTime": f"{int(trigger_seconds)} seconds"}
 
 
-def persist_metrics_batch(batch: DataFrame, batch_id: int, metrics_path: str, processed_at=None) -> dict:
-    """Persist one update-mode micro-batch with lineage columns.
+def run_of(batch: DataFrame) -> str:
+    """The id of the streaming query that a micro-batch belongs to.  It is kept
+    in the query's checkpoint: a restart has the same id and a new or reset
+    checkpoint another, so batch numbers never meet those of an earlier run."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return found or "no-query"
+
 
-    The batch is written to its own ``spark_batch_id=<n>`` partitions with
-    dynamic overwrite, so a retried batch replaces its earlier attempt
-    instead of duplicating it.  ``processed_at`` is one driver-side literal,
+def persist_metrics_batch(
+    batch: DataFrame,
+    batch_id: int,
+    metrics_path: str,
+    processed_at=None,
+    serving_path: str | None = None,
+    reject_path: str | None = None,
+) -> dict:
+    """Persist one update-mode micro-batch with lineage columns, and merge it
+    into the serving table at ``serving_path`` if given.
+
+    The batch is written to its own partitions (``window_date``, so reads prune
+    by time; ``stream_run``; ``spark_batch_id``) with dynamic overwrite, so a
+    retried batch replaces its earlier attempt instead of duplicating it, and a
+    run with a new checkpoint never touches the history of an earlier one.  ``processed_at`` is one driver-side literal,
     identical however often the batch is evaluated.  The batch totals (rows,
     summed telemetry events) are observed during the write itself - no rows
     travel to the driver and the batch is evaluated once.
     """
     from pyspark.sql import Observation
 
-    stamped = with_lineage(batch, batch_id, processed_at)
+    run = run_of(batch)
+    stamped = with_lineage(batch, batch_id, processed_at).select(
+        "*", F.to_date("window_start").alias("window_date"), F.lit(run).alias("stream_run")
+    )
+    if serving_path is not None:
+        stamped = stamped.persist()  # two sinks, one evaluation of the batch
     totals = Observation(f"metrics_batch_{batch_id}")
     observed = stamped.observe(
         totals,
@@ -57,12 +82,17 @@ def persist_metrics_batch(batch: DataFrame, batch_id: int, metrics_path: str, pr
     (
         observed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("spark_batch_id")
+        .partitionBy(*HISTORY_PARTITIONS)
         .parquet(metrics_path)
     )
+    if serving_path is not None:
+        from odometer.sinks.merge import serve_utilization
+
+        serve_utilization(batch.sparkSession, serving_path, stamped.drop("window_date", "stream_run"), reject_path)
+        stamped.unpersist()
     result = dict(totals.get)
     result["spark_batch_id"] = int(batch_id)
-    LOG.info(json.dumps({"event": "utilization_metrics_batch_written", "path": metrics_path, **result}))
+    LOG.info(json.dumps({"event": "metrics-batch-stored", "path": metrics_path, **result}))
     return result
 
 
@@ -81,12 +111,13 @@ def write_sliding_batch(batch: DataFrame, batch_id: int, log_path: str) -> None:
         "total_earnings",
         "average_speed",
         ts_literal(created).alias("created_at"),
+        F.lit(run_of(batch)).alias("stream_run"),
         F.lit(int(batch_id)).cast("long").alias("spark_batch_id"),
     )
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("spark_batch_id")
+        .partitionBy("stream_run", "spark_batch_id")
         .parquet(log_path)
     )
 
@@ -96,7 +127,7 @@ def start_clean_lake(
     lake_path: str,
     checkpoint: str,
     trigger: dict,
-    query_name: str = "fleet_clean_telemetry_to_parquet",
+    query_name: str = "odometer-clean-lake",
 ) -> StreamingQuery:
     """Clean rows -> Parquet lake, append mode, partitioned by event date."""
     return (
@@ -116,15 +147,18 @@ def start_metrics(
     metrics_path: str,
     checkpoint: str,
     trigger: dict,
-    query_name: str = "fleet_utilization_metrics_to_parquet",
+    query_name: str = "odometer-metrics",
+    serving_path: str | None = None,
+    reject_path: str | None = None,
 ) -> StreamingQuery:
-    """Windowed metrics -> per-batch Parquet partitions, update mode."""
+    """Windowed metrics -> per-batch Parquet partitions, update mode, and the
+    serving table where one is named."""
     return (
         metrics.writeStream.queryName(query_name)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
-        .foreachBatch(lambda df, batch_id: persist_metrics_batch(df, batch_id, metrics_path))
+        .foreachBatch(lambda df, batch_id: persist_metrics_batch(df, batch_id, metrics_path, None, serving_path, reject_path))
         .start()
     )
 
@@ -138,13 +172,15 @@ def start_live_queries(
     trigger_seconds: int | None = DEFAULT_TRIGGER_SECONDS,
     available_now: bool = False,
     exact_money: bool = False,
+    serving_path: str | None = None,
+    reject_path: str | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the lake and metrics branches from one streaming source."""
     trigger = trigger_options(trigger_seconds, available_now)
     clean = decode_and_clean(source)
-    lake = start_clean_lake(clean, lake_path, f"{checkpoint_root}/raw_events", trigger)
+    lake = start_clean_lake(clean, lake_path, f"{checkpoint_root}/clean-lake", trigger)
     metrics = utilization_metrics(clean, exact_money=exact_money)
-    metric_query = start_metrics(metrics, metrics_path, f"{checkpoint_root}/utilization_metrics", trigger)
+    metric_query = start_metrics(metrics, metrics_path, f"{checkpoint_root}/metrics", trigger, "odometer-metrics", serving_path, reject_path)
     return lake, metric_query
 
 
@@ -189,10 +225,11 @@ def start_sliding(
 def write_checks_batch(batch: DataFrame, batch_id: int, checks_path: str) -> None:
     """Per-batch partition of updated telemetry-contract counts (retry-safe)."""
     (
-        batch.withColumn("spark_batch_id", F.lit(int(batch_id)).cast("long"))
+        batch.withColumn("stream_run", F.lit(run_of(batch)))
+        .withColumn("spark_batch_id", F.lit(int(batch_id)).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("spark_batch_id")
+        .partitionBy("stream_run", "spark_batch_id")
         .parquet(checks_path)
     )
 
@@ -232,7 +269,8 @@ def run_until_any_stops(spark: SparkSession, queries: tuple[StreamingQuery, ...]
 
 
 def progress_summary(query: StreamingQuery) -> dict:
-    """Totals over the query's recent micro-batches, from StreamingQueryProgress:
+    """Totals over the micro-batches that Spark still keeps progress of (the last
+    ``spark.sql.streaming.numRecentProgressUpdates``, 100 by default):
     batches, input rows, wall time, rows/s, rows dropped by the watermark and
     the state rows kept at the end."""
     batches = [p for p in query.recentProgress if p.get("numInputRows", 0) > 0]

@@ -55,7 +55,7 @@ def test_live_then_reconcile_end_to_end(spark, scratch):
     assert by[(dt.date(2026, 9, 26), "V2")]["completed_trip_count"] == 0
     assert by[(dt.date(2026, 9, 27), "V1")]["trip_revenue"] == 70.0
     assert spark.read.parquet(out).count() == 3
-    assert len(glob.glob(f"{csv}/report_date=*/*.csv")) == 2
+    assert len(glob.glob(f"{csv}/csv_date=*/*.csv")) == 2
     assert spark.read.parquet(serving).count() == 3
 
     # single-date re-run: only that date is replaced in the Parquet report
@@ -99,41 +99,161 @@ def test_lake_merges_touch_only_their_partitions(spark, scratch):
 
 
 def test_batch_totals_are_observed(spark, scratch):
-    batch = spark.createDataFrame([("z", 3), ("y", 4)], "zone string, telemetry_event_count long")
+    batch = spark.createDataFrame([("z", 3), ("y", 4)], "zone string, telemetry_event_count long").withColumn(
+        "window_start", F.lit("2024-01-01").cast("timestamp"))
     totals = persist_metrics_batch(batch, 3, f"{scratch}/m")
     assert totals == {"metric_rows": 2, "telemetry_events": 7, "spark_batch_id": 3}
 
 
-def test_compaction_and_alert_log(spark, scratch):
-    from odometer.plans.jobs import compact_metrics, record_health_alerts
+METRIC_ROW = "window_start timestamp_ntz, zone string, telemetry_event_count long"
 
-    metrics, serving, alerts = f"{scratch}/metrics", f"{scratch}/serving", f"{scratch}/alerts"
-    t0 = dt.datetime(2024, 1, 1, 0, 0)
 
-    def batch(n, stamp):
-        df = spark.createDataFrame([(t0, "a", n)], "window_start timestamp_ntz, zone string, telemetry_event_count long")
-        return (df.withColumn("window_start", F.col("window_start").cast("timestamp"))
-                .withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 5 MINUTES")))
+def _metrics(spark, rows):
+    df = spark.createDataFrame(rows, METRIC_ROW)
+    df = df.withColumn("window_start", F.col("window_start").cast("timestamp"))
+    df = df.withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 5 MINUTES"))
+    counts = {c: F.lit(0).cast("long") for c in ("idle_event_count", "on_trip_event_count", "active_event_count")}
+    amounts = {c: F.lit(1.0) for c in ("observed_earnings", "average_speed", "idle_ratio")}
+    return df.withColumns(counts | amounts)
+
+
+def _check_times(spark, t0, minutes):
+    df = spark.createDataFrame([(t0 + dt.timedelta(minutes=m),) for m in minutes], "check_time timestamp_ntz")
+    return df.withColumn("check_time", F.col("check_time").cast("timestamp"))
+
+
+def test_compaction_folds_each_batch_once(spark, scratch):
+    from odometer.plans.jobs import compact_metrics
 
-    persist_metrics_batch(batch(1, None), 0, metrics, processed_at=t0 + dt.timedelta(minutes=5))
-    persist_metrics_batch(batch(2, None), 1, metrics, processed_at=t0 + dt.timedelta(minutes=6))
-    compact_metrics(spark, metrics, serving, 0, 1)
+    metrics, serving = f"{scratch}/metrics", f"{scratch}/serving"
+    t0 = dt.datetime(2024, 1, 1, 0, 0)
+    persist_metrics_batch(_metrics(spark, [(t0, "a", 1)]), 0, metrics, processed_at=t0 + dt.timedelta(minutes=5))
+    persist_metrics_batch(_metrics(spark, [(t0, "a", 2)]), 1, metrics, processed_at=t0 + dt.timedelta(minutes=6))
+    assert compact_metrics(spark, metrics, serving) == 2
     rows = spark.read.parquet(serving).collect()
-    assert len(rows) == 1 and rows[0]["telemetry_event_count"] == 2
-    compact_metrics(spark, metrics, serving, 0, 0)  # an older batch replayed: no effect
+    assert len(rows) == 1 and rows[0]["telemetry_event_count"] == 2 and str(rows[0]["observed_earnings"]) == "1.00"
+    assert compact_metrics(spark, metrics, serving) == 0
+    persist_metrics_batch(_metrics(spark, [(t0, "a", 9)]), 2, metrics, processed_at=t0)  # older than what is stored
+    assert compact_metrics(spark, metrics, serving) == 1
     assert spark.read.parquet(serving).first()["telemetry_event_count"] == 2
 
-    def checks(minutes):
-        return spark.createDataFrame([(t0 + dt.timedelta(minutes=m),) for m in minutes], "check_time timestamp_ntz") \
-            .withColumn("check_time", F.col("check_time").cast("timestamp"))
 
-    first = record_health_alerts(spark, serving, alerts, checks([0, 2, 6, 7, 20]))
+def test_serving_writes_keep_the_constraints(spark, scratch):
+    import pytest
+
+    from odometer.sinks.merge import serve_utilization
+
+    t0 = dt.datetime(2024, 1, 1, 0, 0)
+    rows = _metrics(spark, [(t0, "ok", 1), (t0, "huge", 1), (t0, "nan", 1), (t0, None, 1), (t0, "null", None)])
+    rows = rows.withColumn("observed_earnings", F.when(F.col("zone") == "huge", 1e30).otherwise(F.lit(2.345)))
+    rows = rows.withColumn("average_speed", F.when(F.col("zone") == "nan", F.lit(float("nan"))).otherwise(F.lit(None)))
+    rows = rows.withColumn("spark_batch_id", F.lit(0).cast("long")).withColumn("processed_at", F.col("window_end"))
+    with pytest.raises(ValueError):
+        serve_utilization(spark, f"{scratch}/s", rows)
+    assert not os.path.exists(f"{scratch}/s")
+    serve_utilization(spark, f"{scratch}/s", rows, f"{scratch}/rejects")
+    kept = {r["zone"]: r for r in spark.read.parquet(f"{scratch}/s").collect()}
+    assert set(kept) == {"ok", "null"} and kept["null"]["telemetry_event_count"] == 0
+    assert str(kept["ok"]["observed_earnings"]) == "2.35" and str(kept["ok"]["average_speed"]) == "0.00"
+    assert {r["zone"] for r in spark.read.parquet(f"{scratch}/rejects").collect()} == {"huge", "nan", None}
+
+
+def test_alert_log_across_runs(spark, scratch):
+    from odometer.plans.jobs import record_health_alerts
+
+    metrics, alerts = f"{scratch}/metrics", f"{scratch}/alerts"
+    t0 = dt.datetime(2024, 1, 1, 0, 0)
+    persist_metrics_batch(_metrics(spark, [(t0, "a", 1)]), 0, metrics, processed_at=t0 + dt.timedelta(minutes=5))
+    persist_metrics_batch(_metrics(spark, [(t0, "a", 2)]), 1, metrics, processed_at=t0 + dt.timedelta(minutes=6))
+
+    def run(minutes):
+        return record_health_alerts(spark, metrics, alerts, _check_times(spark, t0, minutes))
+
+    assert run([]).count() == 0  # a run without checks doesn't end the log
+    first = run([0, 2, 6, 7, 20])
     assert [r["status"] for r in first.orderBy("created_at").collect()] == ["degraded", "healthy", "unhealthy"]
-    second = record_health_alerts(spark, serving, alerts, checks([30, 40]))
-    assert second.count() == 0  # still unhealthy: nothing new to record
-    again = record_health_alerts(spark, serving, alerts, checks([0, 2, 6, 7, 20]))
-    assert again.count() == 0  # a re-run over checks already covered appends nothing
-    assert spark.read.parquet(alerts).count() == 3
+    contexts = [json.loads(r["context"]) for r in first.orderBy("created_at").collect()]
+    assert [c["metric_rows"] for c in contexts] == [0, 1, 1] and contexts[1]["no_data_alert_seconds"] == 120
+    assert contexts[1]["last_processed_at"] == "2024-01-01T00:06:00.000000+00:00" and contexts[0]["profitability_rows"] is None
+    assert run([30, 40]).count() == 0  # still unhealthy: nothing new to record
+    assert run([0, 2, 6, 7, 20]).count() == 0  # covered already
+    # the window is written again: no check of the past is judged anew
+    persist_metrics_batch(_metrics(spark, [(t0, "a", 3)]), 2, metrics, processed_at=t0 + dt.timedelta(minutes=41))
+    assert run([0, 2, 6, 7, 20, 30, 40]).count() == 0
+    assert [r["status"] for r in run([42]).collect()] == ["healthy"]
+    assert spark.read.parquet(alerts).count() == 4
+
+
+def test_a_window_written_again_adds_no_alert(spark, scratch):
+    from odometer.plans.jobs import record_health_alerts
+
+    metrics, alerts = f"{scratch}/metrics", f"{scratch}/alerts"
+    t0 = dt.datetime(2024, 1, 1, 10, 0)
+    persist_metrics_batch(_metrics(spark, [(t0, "a", 1)]), 0, metrics, processed_at=t0 + dt.timedelta(seconds=30))
+    checks = _check_times(spark, t0, [1, 2])
+    assert [r["status"] for r in record_health_alerts(spark, metrics, alerts, checks).collect()] == ["healthy"]
+    persist_metrics_batch(_metrics(spark, [(t0, "a", 2)]), 1, metrics, processed_at=t0 + dt.timedelta(minutes=30))
+    assert record_health_alerts(spark, metrics, alerts, checks).count() == 0
+    assert spark.read.parquet(alerts).count() == 1
+
+
+def _files_read(df, folder):
+    """Files of ``folder`` that the scans of a finished plan opened."""
+    df.collect()
+
+    def walk(node):
+        if node.nodeName().endswith("QueryStage"):
+            return walk(node.plan())
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        own = 0
+        if node.nodeName().startswith("Scan parquet") and folder in str(node.metadata().apply("Location")):
+            own = node.metrics().apply("numFiles").value()
+        children = node.children()
+        return own + sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_only_the_batchs_dates_are_read(spark, scratch):
+    from odometer.sinks.merge import only_dates_of
+
+    days = spark.range(10).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("day"), "id")
+    days.repartition(1).write.partitionBy("day").parquet(f"{scratch}/lake")
+    days.where("id = 4").write.parquet(f"{scratch}/batch")  # a batch that comes from files
+    days.where("id in (4, 6)").write.parquet(f"{scratch}/two")
+    lake = spark.read.parquet(f"{scratch}/lake")
+    one = only_dates_of(lake, spark.read.parquet(f"{scratch}/batch"), "day")
+    assert _files_read(one, f"{scratch}/lake") == 1 and [r["id"] for r in one.collect()] == [4]
+    two = only_dates_of(lake, spark.read.parquet(f"{scratch}/two"), "day")
+    assert _files_read(two, f"{scratch}/lake") <= 3 and sorted(r["id"] for r in two.collect()) == [4, 6]
+
+
+def test_a_day_in_two_files_over_two_batches_is_whole(spark, scratch):
+    from odometer.plans.jobs import start_reconciliation_stream
+
+    src = f"{scratch}/source"
+    os.makedirs(src)
+    with open(f"{src}/p.json", "w") as fh:
+        fh.write("\n".join(_line(f"V{i}", f"T{i}", 26, i, 10.0 * i) for i in range(1, 5)) + "\n")
+    run_live(spark, spark.readStream.format("text").load(src), f"{scratch}/lake", f"{scratch}/m", f"{scratch}/ckpt",
+             available_now=True)
+    day = f"{scratch}/feeds/feed_file=vehicle_expenses_2026-09-26.csv"
+    os.makedirs(day)
+    for part, vehicles in enumerate([("V1", "V2"), ("V3", "V4")]):
+        with open(f"{day}/part-{part}.csv", "w") as fh:
+            fh.write("report_date,vehicle_id,fuel_cost,maintenance_cost,distance_covered,service_flag\n")
+            fh.writelines(f"2026-09-26,{v},1.0,0.0,5.0,required\n" for v in vehicles)
+    q = start_reconciliation_stream(spark, f"{scratch}/feeds", f"{scratch}/lake", f"{scratch}/out", f"{scratch}/csv",
+                                    f"{scratch}/rckpt", serving_path=f"{scratch}/serving", available_now=True,
+                                    max_files_per_trigger=1, exact_money=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    for path in ("out", "serving"):
+        got = {r["vehicle_id"]: float(r["trip_revenue"]) for r in spark.read.parquet(f"{scratch}/{path}").collect()}
+        assert got == {"V1": 10.0, "V2": 20.0, "V3": 30.0, "V4": 40.0}
+    header = open(glob.glob(f"{scratch}/csv/csv_date=2026-09-26/*.csv")[0]).readline().strip().split(",")
+    assert len(header) == 12 and header[0] == "report_date"
 
 
 def test_reconcile_checks_serving_constraints_before_writing(spark, scratch):

@@ -73,14 +73,14 @@ def test_report_csv_sorted_per_date(spark, scratch):
     report = _report(spark, d1, ["V5", "V4", "V3"], -5.0).unionByName(_report(spark, d2, ["V1", "V2"]))
     write_report_csv(report.repartition(3), path)
     for day, expected in ((d1, ["V5", "V4", "V3"]), (d2, ["V1", "V2"])):
-        files = sorted(glob.glob(f"{path}/report_date={day}/*.csv"))
+        files = sorted(glob.glob(f"{path}/csv_date={day}/*.csv"))
         assert files
         ids = []
         for name in files:  # name order is report order
             with open(name) as fh:
                 lines = fh.read().strip().splitlines()
-            assert lines[0] == "vehicle_id,profit"
-            ids += [ln.split(",")[0] for ln in lines[1:]]
+            assert lines[0] == "report_date,vehicle_id,profit"
+            ids += [ln.split(",")[1] for ln in lines[1:]]
         assert ids == expected
 
 
@@ -94,15 +94,15 @@ def test_report_csv_splits_a_hot_date_in_order(spark, scratch):
         report = spark.createDataFrame(hot + cold, "report_date date, vehicle_id string, profit double")
         path = f"{scratch}/csv"
         write_report_csv(report, path)
-        files = sorted(glob.glob(f"{path}/report_date={d1}/*.csv"))
+        files = sorted(glob.glob(f"{path}/csv_date={d1}/*.csv"))
         assert len(files) > 1  # the hot date is written by several tasks
         got = []
         for name in files:
             with open(name) as fh:
                 got += [tuple(ln.split(",")) for ln in fh.read().strip().splitlines()[1:]]
         expected = sorted(((v, p) for _, v, p in hot), key=lambda r: (r[1], r[0]))
-        assert [(v, float(p)) for v, p in got] == expected
-        assert len(glob.glob(f"{path}/report_date={d2}/*.csv")) == 1
+        assert [(v, float(p)) for _, v, p in got] == expected
+        assert len(glob.glob(f"{path}/csv_date={d2}/*.csv")) == 1
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -136,7 +136,8 @@ def test_late_data_append_mode(spark, scratch):
 
 def test_retried_batch_does_not_duplicate(spark, scratch):
     path = f"{scratch}/metrics"
-    batch = spark.createDataFrame([("z", 1)], "zone string, telemetry_event_count long")
+    batch = spark.createDataFrame([("z", 1)], "zone string, telemetry_event_count long").withColumn(
+        "window_start", F.lit("2024-01-01").cast("timestamp"))
     persist_metrics_batch(batch, 7, path)
     persist_metrics_batch(batch, 7, path)
     persist_metrics_batch(batch, 8, path)
@@ -218,9 +219,30 @@ def test_metrics_batch_logs_its_totals(spark, scratch, caplog):
 
     from odometer.streaming.queries import persist_metrics_batch
 
-    batch = spark.createDataFrame([("z", 3)], "zone string, telemetry_event_count long")
+    batch = spark.createDataFrame([("z", 3)], "zone string, telemetry_event_count long").withColumn(
+        "window_start", F.lit("2024-01-01").cast("timestamp"))
     with caplog.at_level(logging.INFO, logger="odometer.streaming"):
         persist_metrics_batch(batch, 5, f"{scratch}/m")
     event = json.loads(caplog.records[-1].getMessage())
-    assert event["event"] == "utilization_metrics_batch_written"
+    assert event["event"] == "metrics-batch-stored"
     assert (event["spark_batch_id"], event["metric_rows"], event["telemetry_events"]) == (5, 1, 3)
+
+
+def test_a_new_checkpoint_keeps_the_history_of_the_old_one(spark, scratch):
+    source_dir = f"{scratch}/source"
+    metrics, serving = f"{scratch}/metrics", f"{scratch}/serving"
+    for run, minutes in enumerate([[(1, 1)], [(21, 1)]]):
+        _drop(source_dir, run, minutes)
+        # the second run starts from an empty checkpoint: its batch is number 0 again
+        for q in start_live_queries(spark, spark.readStream.format("text").load(source_dir), f"{scratch}/lake{run}", metrics,
+                                    f"{scratch}/ckpt{run}", available_now=True, serving_path=serving):
+            q.awaitTermination()
+            assert q.exception() is None
+    hist = spark.read.parquet(metrics)
+    assert hist.select("stream_run").distinct().count() == 2
+    assert {r[0] for r in hist.select("spark_batch_id").distinct().collect()} == {0}
+    assert sorted(r[0].minute for r in hist.select("window_start").collect()) == [0, 0, 20]
+    # the live path also keeps the typed serving table
+    table = spark.read.parquet(serving)
+    assert sorted(r[0].minute for r in table.select("window_start").collect()) == [0, 20]
+    assert dict(table.dtypes)["observed_earnings"] == "decimal(14,2)" and dict(table.dtypes)["idle_event_count"] == "int"
