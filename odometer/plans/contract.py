@@ -42,7 +42,7 @@ from odometer.operators.utilization import (
 )
 from odometer.plans import params
 from odometer.schemas import TELEMETRY_FIELDS, UTILIZATION_COLUMNS
-from odometer.session import ensure_utc, materialize, scratch_path
+from odometer.session import discard_at_exit, ensure_utc, materialize, scratch_path
 from odometer.sinks.files import write_expense_feed
 from odometer.sources import fixtures
 from odometer.sources.expenses import read_expense_feed
@@ -186,6 +186,21 @@ def q_latest_window_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(rows, "window_start", "window_end", "processed_at")
 
 
+@query("latest_window_closed")
+def q_latest_window_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest window as of a time at which it covers several zones."""
+    rows = latest_window(serving_rows(spark, sf_dir, stored=True), closed_before=params.CLOSED_BEFORE)
+    return _ntz(rows, "window_start", "window_end", "processed_at")
+
+
+@query("latest_window_closed_zone")
+def q_latest_window_closed_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One zone of that window; the zone never changes which window it is."""
+    serving = serving_rows(spark, sf_dir, stored=True)
+    rows = latest_window(serving, zone=params.CLOSED_ZONE, closed_before=params.CLOSED_BEFORE)
+    return _ntz(rows, "window_start", "window_end", "processed_at")
+
+
 @query("serving_conform")
 def q_serving_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(conform_utilization(serving_rows(spark, sf_dir)), "window_start", "window_end", "processed_at")
@@ -258,6 +273,22 @@ def q_telemetry_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry_checks(fixtures.telemetry_rows(_events(spark, sf_dir)))
 
 
+@query("telemetry_checks_dirty")
+def q_telemetry_checks_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The telemetry contract over rows that break each of its rules."""
+    return telemetry_checks(fixtures.dirty_telemetry_rows(_events(spark, sf_dir)))
+
+
+@query("expense_feed_checks_dirty")
+def q_expense_feed_checks_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed contract over rows that break each of its rules."""
+    vehicle_days = materialize(
+        clean_rows(spark, sf_dir).groupBy(F.to_date("event_time").alias("report_date"), "vehicle_id").count()
+    )
+    feed = fixtures.expense_feed(fixtures.table(spark, sf_dir, "supplier"), vehicle_days.select("report_date"))
+    return expense_feed_checks(fixtures.dirty_expense_feed(feed), vehicle_days.select("vehicle_id"))
+
+
 @query("expense_feed_checks")
 def q_expense_feed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The supplier-based feed checked against the vehicles seen on the road.
@@ -278,6 +309,7 @@ def q_expense_feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     (date from the file name, typed amounts)."""
     path = scratch_path(spark, "expense_feed")
     write_expense_feed(expense_rows(spark, sf_dir), path)
+    discard_at_exit(spark, path)
     return read_expense_feed(spark, path)
 
 
@@ -330,19 +362,12 @@ def q_sliding_metrics_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(out, "window_start", "window_end")
 
 
-@query("stream_utilization")
-def q_stream_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The live path end to end on a file stream.
-
-    Telemetry JSON values (binary, as a broker delivers them) arrive in two
-    drops split at the midpoint of the event time span; each drop is consumed by an ``availableNow`` run of the same
-    checkpointed query (watermark 2 min, update mode, per-batch partitions).
-    The window that straddles the split is emitted twice; the keep-latest
-    view over the appended batches equals the batch aggregate.
-    """
+def _stream_in_two_drops(spark: SparkSession, sf_dir: str, base: str, serving_path: str | None) -> None:
+    """Run the live path over two drops of binary JSON values, split at the
+    midpoint of the event time span; each is consumed by an ``availableNow``
+    run of the same checkpointed queries (watermark 2 min, update mode)."""
     from odometer.streaming.queries import start_live_queries
 
-    base = scratch_path(spark, "stream_utilization")
     events = _events(spark, sf_dir)
     span = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     split = span["lo"] + (span["hi"] - span["lo"]) / 2
@@ -363,11 +388,30 @@ def q_stream_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{base}/checkpoints",
             available_now=True,
             exact_money=True,
+            serving_path=serving_path,
         )
         for q in queries:
             q.awaitTermination()
             if q.exception() is not None:
                 raise RuntimeError(str(q.exception()))
-    history = spark.read.parquet(f"{base}/metrics")
-    latest = latest_per_key(history).select(*UTILIZATION_COLUMNS)
+    discard_at_exit(spark, base)
+
+
+@query("stream_utilization")
+def q_stream_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live path end to end on a file stream.  The window that straddles
+    the two drops is emitted twice; the keep-latest view over the appended
+    batches equals the batch aggregate."""
+    base = scratch_path(spark, "stream_utilization")
+    _stream_in_two_drops(spark, sf_dir, base, None)
+    latest = latest_per_key(spark.read.parquet(f"{base}/metrics")).select(*UTILIZATION_COLUMNS)
     return _ntz(latest, "window_start", "window_end")
+
+
+@query("stream_serving")
+def q_stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run with its micro-batches merged, checked and typed, into the
+    serving table as they come."""
+    base = scratch_path(spark, "stream_serving")
+    _stream_in_two_drops(spark, sf_dir, base, f"{base}/serving")
+    return _ntz(spark.read.parquet(f"{base}/serving").select(*UTILIZATION_COLUMNS), "window_start", "window_end")

@@ -10,6 +10,8 @@ to BIGINT; timestamps are plain (naive, UTC) TIMESTAMPs.
 from __future__ import annotations
 
 from odometer.plans.params import (
+    CLOSED_BEFORE,
+    CLOSED_ZONE,
     CHECK_MINUTES,
     HEALTH_NOW,
     LATE_FEE,
@@ -251,6 +253,18 @@ def dec(expr: str, p: int, s: int) -> str:
     return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {s}) AS DECIMAL({p},{s}))"
 
 
+CLOSED = f"""
+closed AS (SELECT * FROM serving WHERE window_end <= TIMESTAMP '{CLOSED_BEFORE}'),
+newest AS (SELECT * FROM closed WHERE window_end = (SELECT max(window_end) FROM closed))
+SELECT zone, telemetry_event_count, idle_event_count, on_trip_event_count, active_event_count,
+       observed_earnings, average_speed, window_start, window_end, idle_ratio, processed_at,
+       count(*) OVER () AS metric_window_count
+FROM newest"""
+
+ORACLES["latest_window_closed"] = with_ctes(*SERVING_CTES) + "," + CLOSED
+
+ORACLES["latest_window_closed_zone"] = with_ctes(*SERVING_CTES) + "," + CLOSED + f" WHERE zone = '{CLOSED_ZONE}'"
+
 ORACLES["serving_conform"] = with_ctes(*SERVING_CTES) + f"""
 SELECT window_start, window_end, zone,
        CAST(coalesce(telemetry_event_count, 0) AS INTEGER) AS telemetry_event_count,
@@ -435,6 +449,47 @@ SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end,
        CAST(count(*) FILTER (WHERE status = 'idle') AS DOUBLE) / CAST(count(*) AS DOUBLE) AS idle_ratio
 FROM fan GROUP BY window_start"""
 
+DIRTY_TELEMETRY = """
+dirty AS (
+  SELECT CASE WHEN event_id % 31 <> 0 THEN trip_id END AS trip_id, driver_id,
+         CASE WHEN event_id % 13 = 0 THEN 'X' || vehicle_id WHEN event_id % 11 <> 0 THEN vehicle_id END AS vehicle_id,
+         lat, CASE WHEN event_id % 37 <> 0 THEN lon END AS lon,
+         CASE WHEN event_id % 7 = 0 THEN speed + 200 WHEN event_id % 29 = 0 THEN -1 ELSE speed END AS speed,
+         CASE WHEN event_id % 5 = 0 THEN 'parked' ELSE status END AS status,
+         CASE WHEN event_id % 17 = 0 THEN CAST(-1 AS DOUBLE) WHEN event_id % 19 <> 0 THEN fare END AS fare,
+         CASE WHEN event_id % 23 <> 0 THEN "timestamp" ELSE 'not a time' END AS "timestamp",
+         CASE WHEN event_id % 23 <> 0 THEN event_time END AS event_time
+  FROM tel
+)"""
+
+ORACLES["telemetry_checks_dirty"] = ORACLES["telemetry_checks"].replace(
+    with_ctes(TELEMETRY), with_ctes(TELEMETRY, DIRTY_TELEMETRY)
+).replace("FROM tel GROUP BY", "FROM dirty GROUP BY")
+
+DIRTY_FEED = """
+dirty AS (
+  SELECT report_date,
+         CASE WHEN n % 7 = 0 THEN 'U' || CAST(n AS VARCHAR) ELSE vehicle_id END AS vehicle_id,
+         CASE WHEN n % 3 = 0 THEN CAST(0 AS DOUBLE) WHEN n % 8 = 0 THEN NULL ELSE fuel_cost END AS fuel_cost,
+         CASE WHEN n % 9 = 0 THEN CAST(-1 AS DOUBLE) ELSE maintenance_cost END AS maintenance_cost,
+         CASE WHEN n % 4 = 0 THEN 'maybe' ELSE service_flag END AS service_flag,
+         CASE WHEN n % 6 = 0 THEN 1 ELSE 0 END AS wrong_date
+  FROM (SELECT *, CAST(substr(vehicle_id, 2) AS BIGINT) AS n FROM expenses) e
+  JOIN (SELECT unnest([0, 1]) AS copy) c ON c.copy = 0 OR n % 5 = 0
+)"""
+
+ORACLES["expense_feed_checks_dirty"] = (
+    ORACLES["expense_feed_checks"]
+    .replace(with_ctes(TELEMETRY, CLEAN, EXPENSES), with_ctes(TELEMETRY, CLEAN, EXPENSES, DIRTY_FEED))
+    .replace("FROM expenses e LEFT JOIN dim", "FROM dirty e LEFT JOIN dim")
+    .replace("AS bad_flag\n", "AS bad_flag, sum(e.wrong_date) AS wrong_date\n")
+    .replace("CAST(0 AS BIGINT) AS date_mismatch_rows", "CAST(sum(wrong_date) AS BIGINT) AS date_mismatch_rows")
+)
+
+ORACLES["stream_serving"] = (
+    "SELECT * EXCLUDE (spark_batch_id, processed_at) FROM (" + ORACLES["serving_conform"] + ")"
+)
+
 ORACLES["sliding_metrics_approx"] = (
     "SELECT * EXCLUDE (active_vehicles, trips), active_vehicles AS exact_vehicles, trips AS exact_trips, "
     f"true AS vehicles_near, true AS trips_near FROM ({ORACLES['sliding_metrics']})"

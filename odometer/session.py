@@ -125,6 +125,22 @@ def stored_or_none(spark: SparkSession, path: str):
         raise
 
 
+def discard_at_exit(spark: SparkSession, path: str) -> None:
+    """Have Hadoop's file system delete ``path`` when the application ends."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
+def stage(df, purpose: str):
+    """Write ``df`` as Parquet into the shared folder and read it back: computed
+    once, lineage cut, and each reader takes only its columns.  The folder goes
+    when the application ends."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    discard_at_exit(df.sparkSession, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python-side checks can see local folders."""
     if path.startswith("file:"):

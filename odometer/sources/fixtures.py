@@ -146,3 +146,49 @@ def utilization_history(clean: DataFrame, exact_money: bool = True) -> DataFrame
             F.col("window_start") + F.make_dt_interval(secs=(batch + 1) * F.lit(VERSION_STEP_SECONDS))
         ).alias("processed_at"),
     )
+
+
+def dirty_telemetry_rows(events: DataFrame) -> DataFrame:
+    """Telemetry in which every rule of the contract is broken somewhere, by
+    event id; the rules are independent of each other."""
+    rows = telemetry_rows(events, keep_event_id=True)
+
+    def every(n: int) -> F.Column:
+        return F.col("event_id") % n == 0
+
+    late = F.when(~every(23), F.col("event_time"))
+    return rows.select(
+        F.when(~every(31), F.col("trip_id")).alias("trip_id"),
+        "driver_id",
+        F.when(every(13), F.concat(F.lit("X"), F.col("vehicle_id")))
+        .when(~every(11), F.col("vehicle_id"))
+        .alias("vehicle_id"),
+        "lat",
+        F.when(~every(37), F.col("lon")).alias("lon"),
+        F.when(every(7), F.col("speed") + 200).when(every(29), F.lit(-1)).otherwise(F.col("speed")).alias("speed"),
+        F.when(every(5), F.lit("parked")).otherwise(F.col("status")).alias("status"),
+        F.when(every(17), F.lit(-1.0)).when(~every(19), F.col("fare")).alias("fare"),
+        F.when(late.isNotNull(), F.col("timestamp")).otherwise(F.lit("not a time")).alias("timestamp"),
+        late.alias("event_time"),
+    )
+
+
+def dirty_expense_feed(feed: DataFrame) -> DataFrame:
+    """A feed in which every rule is broken somewhere, by vehicle number, with
+    the CSV's own date beside the file's."""
+    number = F.substring("vehicle_id", 2, 20).cast("long")
+
+    def every(n: int) -> F.Column:
+        return number % n == 0
+
+    copies = F.when(every(5), F.array_repeat(F.lit(1), 2)).otherwise(F.array(F.lit(1)))
+    return feed.select(
+        "report_date",
+        F.when(every(7), F.concat(F.lit("U"), number.cast("string"))).otherwise(F.col("vehicle_id")).alias("vehicle_id"),
+        F.when(every(3), F.lit(0.0)).when(every(8), F.lit(None)).otherwise(F.col("fuel_cost")).alias("fuel_cost"),
+        F.when(every(9), F.lit(-1.0)).otherwise(F.col("maintenance_cost")).alias("maintenance_cost"),
+        "distance_covered",
+        F.when(every(4), F.lit("maybe")).otherwise(F.col("service_flag")).alias("service_flag"),
+        F.when(every(6), F.lit("2000-01-01")).otherwise(F.col("report_date").cast("string")).alias("csv_report_date"),
+        F.explode(copies).alias("copy"),
+    ).drop("copy")
