@@ -11,6 +11,7 @@ matrix product.
 
 Inner products are turned into angles by one more dimension (the rest of the
 length up to the longest vector), which is zero for vectors of equal length.
+Where lengths differ much, angles get wide and a larger ``quota`` is needed.
 
 How many candidates are enough, over all trees, is the share ``quota`` of all
 index vectors, and ``least`` at any size: vectors without near neighbours (64 random dimensions) need a large

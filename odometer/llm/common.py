@@ -11,8 +11,9 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from odometer.session import scratch_path
+from odometer.session import discard_at_exit, scratch_path, stage
 
 #: ASCII white space, as the result contracts define it (Java regex).
 SPACE = r"[\x20\x09-\x0D]"
@@ -27,12 +28,7 @@ def stash(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` as Parquet to a new folder of the shared work folder and
     read it back: computed once, lineage cut, columns prunable, and safe when
     an executor is lost.  The folder goes when the application ends."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{purpose}")
-    df.write.parquet(path)
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    return stage(df, f"llm-{purpose}")
 
 
 _SHIPPED: set[str] = set()
@@ -55,7 +51,7 @@ def ship(spark: SparkSession) -> None:
     out = files.create(where)
     out.write(packed.getvalue())
     out.close()
-    files.deleteOnExit(where)
+    discard_at_exit(spark, path)
     context.addPyFile(path)
     _SHIPPED.add(context.applicationId)
 
@@ -114,7 +110,7 @@ def keep_by_key(docs: DataFrame, keepers: DataFrame) -> DataFrame:
 
 
 def arrow_map(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, weigh: str, limit: int = 4 << 20
+    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, weigh: str, limit: int = 4 << 20
 ) -> DataFrame:
     """``mapInArrow`` in pieces: each call of ``fn`` gets rows whose column
     ``weigh`` (text) holds about ``limit`` bytes at most, or one longer row."""

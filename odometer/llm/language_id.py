@@ -23,10 +23,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from odometer.llm.common import fresh, ship, stash
+from odometer.llm.common import arrow_map, fresh, ship, stash
 
 DIMENSIONS = 4096
 SAMPLE = 600
@@ -137,10 +139,11 @@ def train(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CENTROIDS,
     rows = labelled.filter("lang is not null and text is not null").select(
         "lang", F.xxhash64("doc_id", "text").alias("key"), "text"
     )
-    # So many rows of each language that some more than ``sample`` are expected;
-    # the counts read two narrow columns only.
+    # So many rows of each language that some more than ``sample`` are expected.
+    # The counts read one narrow column; they are one row per language, as the
+    # model is, so they go to every task and no text moves for them.
     sizes = labelled.filter("lang is not null").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    some = rows.join(sizes, "lang").filter(
+    some = rows.join(F.broadcast(sizes), "lang").filter(
         F.pmod("key", F.lit(1 << 40)) < F.lit(float(1 << 40)) * F.least(F.lit(1.0), 1.3 * sample / F.col("n"))
     )
     some = some.groupBy("lang", "key").agg(F.min("text").alias("text"))
@@ -200,20 +203,23 @@ def train(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CENTROIDS,
     return model
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """All rows and columns of ``docs`` (text) and a struct ``found`` (lang_pred,
-    score, rejected); see ``Model.predict``."""
-    ship(docs.sparkSession)
+def identify(docs: DataFrame, model: Model, columns: list[str] | None = None) -> DataFrame:
+    """All rows of ``docs`` (text), with all columns or those named, and a
+    struct ``found`` (lang_pred, score, rejected); see ``Model.predict``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for text in texts:
-            lang, score, out = shared.value.predict([t if isinstance(t, str) else None for t in text])
-            yield pd.DataFrame({"lang_pred": lang, "score": score, "rejected": out})
-
     (found,) = fresh(docs, "found")
-    return docs.withColumn(found, predict(F.col("text")))
+    kept = docs.columns if columns is None else columns
+    kind = T.StructType.fromDDL("lang_pred string, score double, rejected boolean")
+    schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField(found, kind)])
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = batch.schema.get_field_index("text")
+        lang, score, out = shared.value.predict(batch.column(at).to_pylist())
+        judged = pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score), pa.array(out)], kind.names)
+        own = [batch.column(batch.schema.get_field_index(c)) for c in kept]
+        return pa.RecordBatch.from_arrays([*own, judged], [*kept, found])
+
+    return arrow_map(docs, run, schema, "text")
 
 
 def train_on_open_rows(docs: DataFrame) -> Model:

@@ -36,7 +36,7 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    judged = identify(docs.select("doc_id", "text"), train_on_open_rows(docs))
+    judged = identify(docs.select("doc_id", "text"), train_on_open_rows(docs), ["doc_id"])
     return judged.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "found.*")
 
 

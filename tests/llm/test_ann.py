@@ -63,6 +63,6 @@ def test_recall_with_vectors_of_one_length(spark, vectors):
 
 def test_recall_with_vectors_of_any_length(spark, vectors):
     rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
-    got = found(table(spark, rows, "vec_id long, embedding array<double>, cls int"))
+    got = found(table(spark, rows, "vec_id long, embedding array<double>, cls int"), quota=8.0)
     want = {(q, j) for q, _, j, _ in brute(rows, 20)}
     assert len({(q, j) for q, _, j, _ in got} & want) / len(want) >= 0.9
