@@ -193,9 +193,11 @@ def train(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CENTROIDS,
 
     def nearness(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            x = dense(frame)
-            best = (model.vectors(x) @ centroids.T).max(axis=1) if len(frame) else []
-            yield pd.DataFrame({"cls": [length_class(v) for v in x.sum(axis=1)], "best": best})
+            # A few rows at a time: dense vectors are large.
+            for at in range(0, len(frame), 256):
+                x = dense(frame[at : at + 256])
+                best = (model.vectors(x) @ centroids.T).max(axis=1)
+                yield pd.DataFrame({"cls": [length_class(v) for v in x.sum(axis=1)], "best": best})
 
     if languages:
         near = everything.mapInPandas(nearness, "cls int, best double").groupBy("cls").agg(F.min("best").alias("least"))
