@@ -19,7 +19,6 @@ Edges become components by alternating large-star and small-star steps.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
