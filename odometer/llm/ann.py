@@ -9,12 +9,15 @@ stretch of the sorted array, so it is read as blocks of fixed size: blocks meet
 groups of queries in an equi-join, and the inner products of each pair are one
 matrix product.
 
-Inner products are turned into angles by one more dimension (the rest of the
-length up to the longest vector), which is zero for vectors of equal length.
-Where lengths differ much, angles get wide and a larger ``quota`` is needed.
-
-How many candidates are enough, over all trees, is the share ``quota`` of all
-index vectors, and ``least`` at any size: vectors without near neighbours (64 random dimensions) need a large
+Inner products are turned into angles by one more dimension: members get the
+rest of their length up to the longest vector's, queries get zero and descend by
+a hash of their own, so that of two members the one with the larger inner product
+has the smaller angle.  Angles get wide where lengths differ much; each tree is
+therefore cut into bands of members whose lengths differ by ``WIDTH`` at most, and
+the rest is taken up to the band's longest.  Every query climbs in every band.
+
+How many candidates are enough, over all trees, is in each band the share
+``quota`` of its vectors, and ``least`` at any size: vectors without near neighbours (64 random dimensions) need a large
 share for a recall of 0.9, see the README.  Equal vectors are one class with
 its smallest ids, as further copies cannot be among the nearest; so a vector
 that a third of all rows share costs no more than any other.
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from odometer.llm.common import ordinals, ship, stash
@@ -37,6 +40,7 @@ TREES = 20
 BITS = 32
 QUOTA = 0.8
 LEAST = 4096
+WIDTH = 1.1
 NEAREST = 20
 BLOCK = 4096
 QUERIES = 512
@@ -64,25 +68,50 @@ def _classes(rows: DataFrame, is_query, most: int) -> tuple[DataFrame, DataFrame
     return first.join(ids, "cls"), members.filter("query").select("vec_id", "cls")
 
 
+def _length(vec: str) -> Column:
+    """Euclidean length; squares of large components don't overflow."""
+    return F.aggregate(vec, F.lit(0.0), lambda a, x: F.hypot(a, x.cast("double")))
+
+
 def _hash_rows(dims: int, trees: int, bits: int, seed: int, top: float, kind: str):
-    """Per vector (cls, asked, vec) its bytes and its hash in each tree: an
-    integer of ``bits`` bits, the first projection its highest."""
+    """Per vector (cls, asked, vec) its band, its bytes, its hash in each tree
+    (an integer of ``bits`` bits, the first projection its highest) and, where a
+    query has it, the query's hash in each tree.  ``top``: the longest length."""
     planes = np.random.default_rng(seed).normal(size=(dims + 1, trees * bits))
     weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
 
+    def hashes(vec: np.ndarray) -> np.ndarray:
+        return (vec @ planes[: vec.shape[1]] > 0).reshape(len(vec), trees, bits) @ weights
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 2048):
                 batch = whole.slice(at, 2048)
                 n = batch.num_rows
                 vec = batch.column(2).flatten().to_numpy().astype(np.float64).reshape(n, -1)
-                rest = np.sqrt(np.maximum(top * top - (vec * vec).sum(axis=1), 0.0))
-                signs = np.column_stack([vec, rest]) @ planes > 0
-                hashes = signs.reshape(n, trees, bits) @ weights
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * trees), pa.array(hashes.ravel()))
+                most = np.abs(vec).max(axis=1, keepdims=True)
+                unit = vec / most
+                length = np.linalg.norm(unit, axis=1, keepdims=True)
+                unit = unit / length
+                # How often the longest is ``WIDTH`` times as long, from logarithms.
+                steps = np.maximum(math.log(top) - np.log(most) - np.log(length), 0.0) / math.log(WIDTH)
+                band = np.floor(steps + 1e-6)
+                # The share of the band's longest length that the vector has.
+                share = np.minimum(WIDTH ** (band - steps), 1.0)
+                own = hashes(np.column_stack([unit * share, np.sqrt(1.0 - share * share)]))
+                asked = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+                ends = np.concatenate([[0], np.cumsum(asked) * trees]).astype(np.int32)
                 raw = pa.array([v.tobytes() for v in vec.astype(kind)], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), raw, lists], ["cls", "asked", "vec", "hashes"]
+                    [
+                        batch.column(0),
+                        batch.column(1),
+                        pa.array(band[:, 0].astype(np.int32)),
+                        raw,
+                        pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * trees), pa.array(own.ravel())),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes(unit[asked]).ravel())),
+                    ],
+                    ["cls", "asked", "band", "vec", "hashes", "q_hashes"],
                 )
 
     return run
@@ -137,7 +166,7 @@ def nearest_neighbours(
     kind = "<f4" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
     out = "query_id long, rank int, vec_id long, score double"
     rows = usable(vectors)
-    dims, top = rows.agg(F.max(F.size("vec")), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))))).first()
+    dims, top = rows.agg(F.max(F.size("vec")), F.max(_length("vec"))).first()
     if not dims:
         return spark.createDataFrame([], out)
     rows = rows.filter(F.size("vec") == dims)
@@ -145,35 +174,39 @@ def nearest_neighbours(
     classes, queries = _classes(rows, is_query, nearest + 1)
     classes = stash(classes, "index-classes")
     queries = stash(queries, "queries")
-    size = classes.count()
 
-    hash_rows = _hash_rows(dims, trees, bits, seed, top * (1 + 1e-12), kind)
+    hash_rows = _hash_rows(dims, trees, bits, seed, top, kind)
     hashed = classes.select("cls", "asked", "vec").mapInArrow(
-        hash_rows, "cls long, asked boolean, vec binary, hashes array<long>"
+        hash_rows, "cls long, asked boolean, band int, vec binary, hashes array<long>, q_hashes array<long>"
     )
     hashed = stash(hashed, "hashed")
-    entries = hashed.select("cls", "asked", F.posexplode("hashes").alias("tree", "hash"))
-    forest = stash(ordinals(entries, ["tree", "hash", "cls"], "place", "forest"), "trees")
+    entries = hashed.select("cls", "band", F.posexplode("hashes").alias("tree", "hash"))
+    forest = stash(ordinals(entries, ["tree", "band", "hash", "cls"], "place", "forest"), "trees")
 
     # Prefix ranges: counts of leaves, summed up towards the roots.  A leaf this
     # deep holds a few vectors; the climb never starts below it.
-    depth = min(bits, max(1, math.ceil(math.log2(max(size, 2)))))
-    leaf = F.shiftright("hash", bits - depth)
-    leaves = forest.groupBy("tree", leaf.alias("leaf")).agg(F.min("place").alias("low"), F.count(F.lit(1)).alias("n"))
-    steps = F.explode(F.sequence(F.lit(0), F.lit(depth)))
+    depth = F.greatest(F.lit(1), F.least(F.lit(bits), F.ceil(F.log2("size")).cast("int")))
+    enough = F.least(F.greatest(F.ceil(F.lit(float(quota)) * F.col("size")), F.lit(least)), F.col("size") * trees)
+    sizes = hashed.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
+    # One row per band: bounded by the range of lengths.
+    sizes = F.broadcast(stash(sizes.select("band", depth.alias("depth"), enough.alias("enough")), "bands"))
+    leaf = F.expr(f"shiftright(hash, {bits} - depth)")
+    steps = F.explode(F.sequence(F.lit(0), F.col("depth")))
+    leaves = forest.join(sizes, "band").groupBy("tree", "band", "depth", leaf.alias("leaf"))
+    leaves = leaves.agg(F.min("place").alias("low"), F.count(F.lit(1)).alias("n"))
     nodes = (
         stash(leaves, "leaves")
         .withColumn("up", steps)
-        .groupBy("tree", "up", F.expr("shiftright(leaf, up)").alias("prefix"))
+        .groupBy("tree", "band", "up", F.expr("shiftright(leaf, up)").alias("prefix"))
         .agg(F.min("low").alias("low"), F.sum("n").alias("n"))
     )
-    own = forest.filter("asked").select("cls", "tree", leaf.alias("leaf"))
-    climb = own.withColumn("up", steps).withColumn("prefix", F.expr("shiftright(leaf, up)")).drop("leaf")
-    climb = stash(climb.join(nodes, ["tree", "up", "prefix"]).select("cls", "tree", "up", "low", "n"), "climb")
-    enough = min(max(math.ceil(quota * size), least), trees * size)
-    stop = climb.groupBy("cls", "up").agg(F.sum("n").alias("n")).filter(F.col("n") >= enough)
-    stop = stop.groupBy("cls").agg(F.min("up").alias("up"))
-    ranges = climb.join(stop, ["cls", "up"]).select("cls", "low", (F.col("low") + F.col("n")).alias("high"))
+    own = hashed.filter("asked").select("cls", F.posexplode("q_hashes").alias("tree", "hash")).crossJoin(sizes)
+    climb = own.withColumn("leaf", leaf).withColumn("up", steps).withColumn("prefix", F.expr("shiftright(leaf, up)"))
+    climb = climb.select("cls", "tree", "band", "enough", "up", "prefix").join(nodes, ["tree", "band", "up", "prefix"])
+    climb = stash(climb.select("cls", "band", "enough", "up", "low", "n"), "climb")
+    stop = climb.groupBy("cls", "band", "enough", "up").agg(F.sum("n").alias("n")).filter(F.col("n") >= F.col("enough"))
+    stop = stop.groupBy("cls", "band").agg(F.min("up").alias("up"))
+    ranges = climb.join(stop, ["cls", "band", "up"]).select("cls", "low", (F.col("low") + F.col("n")).alias("high"))
 
     # Blocks of the sorted arrays, and groups of the queries that read each.
     vec_of = hashed.select("cls", "vec")

@@ -66,3 +66,22 @@ def test_recall_with_vectors_of_any_length(spark, vectors):
     got = found(table(spark, rows, "vec_id long, embedding array<double>, cls int"), quota=8.0)
     want = {(q, j) for q, _, j, _ in brute(rows, 20)}
     assert len({(q, j) for q, _, j, _ in got} & want) / len(want) >= 0.9
+
+
+@pytest.mark.parametrize("lengths", ["uniform", "lognormal", "one far longer"])
+def test_recall_with_mixed_lengths_by_the_defaults(spark, lengths):
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(8000, 32))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    if lengths == "uniform":
+        v *= rng.uniform(0.5, 2, size=(8000, 1))
+    elif lengths == "lognormal":
+        v *= rng.lognormal(0, 1, size=(8000, 1))
+    else:
+        v[1] *= 1e6
+    v = v.astype(np.float32).astype(float)
+    got = found(table(spark, [(i, x.tolist()) for i, x in enumerate(v)]), query_step=100)
+    scores = v[::100] @ v.T
+    scores[np.arange(80), np.arange(0, 8000, 100)] = -np.inf
+    want = {(q * 100, int(j)) for q, best in enumerate(np.argsort(-scores, axis=1)[:, :20]) for j in best}
+    assert len(got) == 80 * 20 and len({(q, j) for q, _, j, _ in got} & want) / len(want) >= 0.9
