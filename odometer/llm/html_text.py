@@ -5,8 +5,9 @@ path, text length and punctuation are summed over its blocks; text length per
 block and punctuation per block are fused, weighted by the share of text outside
 links, and smoothed over the blocks in page order.  Paths whose mean smoothed
 value reaches a share of the page's (text-weighted) mean are content.  The
-innermost element that holds most of their text is the article, and its blocks
-are the result, short ones and headings too; what is marked as menu, header,
+innermost element that holds all of their blocks is the article (or the
+``article`` around it, or what has only headings besides), and its blocks are
+the result, short ones and headings too; what is marked as menu, header,
 footer, sidebar, notice, advert, form or comments never counts.
 """
 
@@ -46,7 +47,6 @@ CLOSES = {
 }
 SMOOTH = (0.25, 0.5, 0.25)
 CONTENT_SHARE = 0.3
-HELD_SHARE = 0.8
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 _WORD = re.compile(r"[a-z]+")
 _TAG = re.compile(r"<[a-zA-Z/!?]")
@@ -193,23 +193,26 @@ def main_text(html: str | None) -> str:
     weight = sum(len(r[0]) for r in rows)
     mean = sum(len(r[0]) * v for r, v in zip(rows, smooth)) / weight
     content = {p for p, (v, n) in totals.items() if v / n >= CONTENT_SHARE * mean}
-    # The innermost element with most of the content.
-    held: dict[int, float] = defaultdict(float)
-    for text, chain, path, _ in rows:
-        if path in content:
-            for node in chain:
-                held[id(node)] += len(text)
-    best, most = reader.root, held[id(reader.root)]
-    for text, chain, path, _ in rows:
-        if path in content:
-            for node in chain:
-                if node.tag in BLOCK_ENDS:
-                    break
-                if held[id(node)] >= HELD_SHARE * most and len(_path(node)) > len(_path(best)):
-                    best = node
-    return "\n".join(text for text, chain, _, _ in rows if any(n is best for n in chain))
-
-
+    # The innermost element with all content.
+    chains = [chain for _, chain, path, _ in rows if path in content]
+    deep = 0
+    for nodes in zip(*chains):
+        if any(n is not nodes[0] for n in nodes) or nodes[0].tag in BLOCK_ENDS:
+            break
+        deep += 1
+    around = chains[0][:deep]
+    at = max((i for i, n in enumerate(around) if n.tag == "article"), default=deep - 1)
+
+    def inside(chain: tuple[Node, ...], depth: int) -> bool:
+        return len(chain) > depth and chain[depth] is around[depth]
+
+    # Its titles may stand beside it.
+    while at and all(chain[-1].tag in HEADINGS or inside(chain, at) for _, chain, _, _ in rows if inside(chain, at - 1)):
+        at -= 1
+    return "\n".join(text for text, chain, _, _ in rows if inside(chain, at))
+
+
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Blocks of running text: an article is what holds them, never one of them.
 BLOCK_ENDS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr pre blockquote figcaption ul ol dl table tbody figure address".split())
 

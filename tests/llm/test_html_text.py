@@ -35,6 +35,27 @@ def test_furniture_inside_and_outside(furniture):
     assert main_text(page(f"{furniture}<article>{ARTICLE}{furniture}</article>{furniture}")) == TEXT
 
 
+MANY = "".join(f"<p>{LONG} {i}</p>" for i in range(20))
+MANY_TEXT = "\n".join(f"{LONG} {i}" for i in range(20))
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"<article><h1>Title</h1><p>{LONG}</p><div class=body>{MANY}</div></article>",
+        f"<div><h1>Title</h1><p>{LONG}</p><div class=body>{MANY}</div></div>",
+    ],
+)
+def test_title_and_lead_outside_the_long_body_stay(body):
+    assert main_text(page(f"{AROUND}{body}{AFTER}")) == f"Title\n{LONG}\n{MANY_TEXT}"
+
+
+@pytest.mark.parametrize("holder", ["article", "div"])
+def test_a_title_beside_the_body_stays(holder):
+    body = f"<{holder}><h1>Title</h1><div class=body>{MANY}</div></{holder}>"
+    assert main_text(page(f"{AROUND}{body}{AFTER}")) == f"Title\n{MANY_TEXT}"
+
+
 def test_unclosed_and_cut_pages():
     body = f"{AROUND}<article><h1>Title<p>{LONG}<p>Short.<p><b>Bold <i>x</i> &amp; more<br>line<p>{LONG} Two."
     assert main_text(f"<html><body>{body}") .startswith("Title")
