@@ -8,7 +8,10 @@ value reaches a share of the page's (text-weighted) mean are content.  The
 innermost element that holds all of their blocks is the article (or the
 ``article`` around it, or what has only headings besides), and its blocks are
 the result, short ones and headings too; what is marked as menu, header,
-footer, sidebar, notice, advert, form or comments never counts.
+footer, sidebar, notice, advert, form or comments doesn't count.  Marks can err
+about wrappers: what holds the page's ``main`` is never furniture, and a form, an
+element whose class only mentions a mark (``share-enabled``), or one around an
+``article`` isn't where it has more running text than all that is unmarked.
 """
 
 from __future__ import annotations
@@ -34,6 +37,10 @@ MARKS = frozenset(
     " nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar aside complementary footer header masthead contentinfo toolbar"
     " comment comments disqus replies reply respond share sharing social subscribe newsletter signup login related recommended widget pagination pager".split()
 )
+#: Furniture whatever it holds.
+NEVER = frozenset("nav footer aside menu dialog button textarea".split())
+#: A class with one of these words says what a page shows, not what its element is.
+STATES = frozenset("has have with without no not is enable enabled disable disabled on off show shows hide hides".split())
 #: Elements that flow inside a block.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup"
@@ -58,7 +65,8 @@ class Node:
     tag: str
     parent: Node | None
     label: str
-    furniture: bool
+    bad: int  # 0 no furniture, 1 perhaps, 2 by its name, 3 in any case
+    holds: int = 0  # 1 an unmarked article, 2 the main element
 
 
 @dataclass
@@ -68,8 +76,21 @@ class Block:
     linked: int = 0
 
 
-def _marks(attrs: list[tuple[str, str | None]]) -> set[str]:
-    return {w for k, v in attrs if k in ("class", "id", "role") and v for w in _WORD.findall(v.lower())}
+def _marks(attrs: list[tuple[str, str | None]]) -> list[list[str]]:
+    """The words of each class, id and role."""
+    return [_WORD.findall(name) for k, v in attrs if k in ("class", "id", "role") and v for name in v.lower().split()]
+
+
+def _bad(tag: str, marks: list[list[str]]) -> int:
+    """How surely an element is furniture, see ``Node``.  The last word of a
+    name says what it is: ``post-comments`` are comments."""
+    if tag in NEVER:
+        return 3
+    bad = 2 if tag == "header" else int(tag in FURNITURE)
+    for words in marks:
+        if not MARKS.isdisjoint(words) and STATES.isdisjoint(words):
+            bad = max(bad, 2 if words[-1] in MARKS else 1)
+    return bad
 
 
 class Reader(HTMLParser):
@@ -77,7 +98,7 @@ class Reader(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.at = Node("", None, "", False)
+        self.at = Node("", None, "", 0)
         self.root = self.at
         self.unseen = 0
         self.links = 0
@@ -99,11 +120,16 @@ class Reader(HTMLParser):
             self._close({"p"} | CLOSES.get(tag, set()))
         elif tag in CLOSES:
             self._close(CLOSES[tag])
-        marks = _marks(attrs) if attrs else set()
+        marks = _marks(attrs) if attrs else []
         # A page's root is no furniture, whatever its classes say.
-        bad = tag not in ("html", "body", "article", "main") and (tag in FURNITURE or bool(marks & MARKS))
-        label = ".".join([tag, *sorted(marks)])
-        self.at = Node(tag, self.at, label, bad or self.at.furniture)
+        bad = _bad(tag, marks) if tag not in ("html", "body", "article", "main") else 0
+        label = ".".join([tag, *sorted({w for words in marks for w in words})])
+        self.at = Node(tag, self.at, label, bad)
+        if tag == "main" or tag == "article" and not _bad(tag, marks):
+            node, holds = self.at.parent, 2 if tag == "main" else 1
+            while node is not None and node.holds < holds:
+                node.holds = holds
+                node = node.parent
         self.unseen += tag in UNSEEN
 
     def handle_startendtag(self, tag, attrs):
@@ -151,6 +177,10 @@ class Reader(HTMLParser):
             self.open.linked += len(data.strip())
 
 
+#: Text, elements from the root, their labels, and characters in links.
+Row = tuple[str, tuple[Node, ...], str, int]
+
+
 def _path(node: Node) -> tuple[Node, ...]:
     out = []
     while node is not None:
@@ -159,6 +189,30 @@ def _path(node: Node) -> tuple[Node, ...]:
     return tuple(reversed(out))
 
 
+def _unfurnished(rows: list[Row]) -> list[Row]:
+    """The rows that are not in furniture.  Rows in doubtful furniture are taken
+    path by path, the longest first, while a path has more running text than
+    all that counts so far."""
+    kinds: dict[tuple[str, ...], list[int]] = defaultdict(list)
+    paths: dict[int, tuple[str, ...]] = {}
+    for i, (_, chain, _, _) in enumerate(rows):
+        leaf = id(chain[-1])
+        if leaf not in paths:
+            bad = [(d, n) for d, n in enumerate(chain) if n.bad and (n.bad == 3 or n.holds < 2)]
+            sure = any(n.bad == 3 or n.bad == 2 and not n.holds for _, n in bad)
+            paths[leaf] = ("-",) if sure else tuple(n.label for n in chain[: bad[-1][0] + 1]) if bad else ()
+        kinds[paths[leaf]].append(i)
+    kinds.pop(("-",), None)
+    running = {kind: sum(len(rows[i][0]) - rows[i][3] for i in found) for kind, found in kinds.items()}
+    total, kept = running.pop((), 0), kinds.get((), [])
+    for kind in sorted(running, key=running.get, reverse=True):
+        if running[kind] <= total:
+            break
+        total += running[kind]
+        kept = kept + kinds[kind]
+    return [rows[i] for i in sorted(kept)]
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks, one a line; empty if there is none."""
     reader = Reader()
@@ -170,9 +224,10 @@ def main_text(html: str | None) -> str:
     paths: dict[int, tuple[Node, ...]] = {}
     for b in reader.blocks:
         text = _SPACE.sub(" ", "".join(b.parts)).strip(" ")
-        if text and not b.node.furniture:
+        if text:
             chain = paths.setdefault(id(b.node), _path(b.node))
             rows.append((text, chain, "/".join(n.label for n in chain), min(b.linked, len(text))))
+    rows = _unfurnished(rows)
     if not rows:
         return ""
     # Ratios of each path.

@@ -56,6 +56,27 @@ def test_a_title_beside_the_body_stays(holder):
     assert main_text(page(f"{AROUND}{body}{AFTER}")) == f"Title\n{MANY_TEXT}"
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "div class='content has-sidebar'", "div id=page class='site with-header'", "div class='post share-enabled'", "div class='layout sidebar-right'",
+        "form method=post action='/x.aspx'", "fieldset", "div class=widget",
+    ],
+)
+@pytest.mark.parametrize("holder", ["article", "main", "div"])
+def test_marked_wrappers_of_the_article(wrapper, holder):
+    if wrapper == "div class=widget" and holder == "div":
+        return  # nothing tells this from a widget
+    body = f"<{wrapper}>{AROUND}<{holder}>{ARTICLE}</{holder}>{AFTER}</{wrapper.split()[0]}>"
+    assert main_text(page(body)) == TEXT
+    assert main_text(page(f"{AROUND}{body}{AFTER}")) == TEXT
+
+
+def test_marked_parts_beside_a_wrapped_article_go():
+    parts = f"<div class='site-header'>{LONG}</div><ul class='post-comments'><li>{LONG}<li>{LONG}<li>{LONG}<li>{LONG}</ul><div class='related-posts'>{LONG}</div>"
+    assert main_text(page(f"{parts}<div class='post share-enabled'>{ARTICLE}{parts}</div>{parts}")) == TEXT
+
+
 def test_unclosed_and_cut_pages():
     body = f"{AROUND}<article><h1>Title<p>{LONG}<p>Short.<p><b>Bold <i>x</i> &amp; more<br>line<p>{LONG} Two."
     assert main_text(f"<html><body>{body}") .startswith("Title")
