@@ -31,6 +31,9 @@ SENTENCES: list[tuple[str, str]] = [
     ("GPLfree", "This program is free software:"),
     ("GPLver2+", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("GPLver3+", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPLlater3", "either version 3 of the License, or (at your option) any later version."),
+    ("GPLonly2", "version 2 of the License."),
+    ("GPLonly3", "version 3 of the License."),
     ("BSDpre", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("BSDsource", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
     ("BSDbinary", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
@@ -39,6 +42,9 @@ SENTENCES: list[tuple[str, str]] = [
     ("PublicDomain", "This work is in the public domain."),
     ("AllRights", "All rights reserved."),
 ]
+#: Identifiers of the parts of a sentence that the splitter cuts (it holds an
+#: end mark and a space).
+PARTS: dict[str, tuple[str, ...]] = {"GPLver2+": ("GPLgrant", "GPLlater2"), "MPLref": ("MPLref", "MPL2.0")}
 #: References by version, made from a rule: identifier, sentence, versions.
 VERSIONED: list[tuple[str, str, tuple[str, ...]]] = [
     ("GPLref{}", "This work is licensed under the GNU General Public License, version {}.", ("1", "2", "3")),
@@ -54,13 +60,16 @@ RULES: list[tuple[str, list[str]]] = [
     ("MIT", ["MITgrant", "MITnotice", "MITwarranty"]),
     ("MIT", ["MITgrant", "MITnotice"]),
     ("Apache-2.0", ["ApacheRef", "ApacheComply", "ApacheCopy"]),
-    ("GPL-2.0-or-later", ["GPLfree", "GPLver2+"]),
+    ("GPL-2.0-or-later", ["GPLfree", "GPLgrant", "GPLlater2"]),
+    ("GPL-3.0-or-later", ["GPLfree", "GPLgrant", "GPLlater3"]),
+    ("GPL-2.0-only", ["GPLfree", "GPLgrant", "GPLonly2"]),
+    ("GPL-3.0-only", ["GPLfree", "GPLgrant", "GPLonly3"]),
     ("GPL-3.0-or-later", ["GPLfree", "GPLver3+"]),
     ("BSD-3-Clause", ["BSDpre", "BSDsource", "BSDbinary", "BSDendorse"]),
     ("BSD-2-Clause", ["BSDpre", "BSDsource", "BSDbinary"]),
     ("Apache-2.0", ["ApacheRef"]),
     ("MIT", ["MITref"]),
-    ("MPL-2.0", ["MPLref"]),
+    ("MPL-2.0", ["MPLref", "MPL2.0"]),
     ("Public-Domain", ["PublicDomain"]),
     *[(f"GPL-{v}.0", [f"GPLref{v}"]) for v in ("1", "2", "3")],
     *[(f"LGPL-{v}", [f"LGPLref{v}"]) for v in ("2.1", "3")],
@@ -74,13 +83,14 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def known_sentences() -> dict[str, str]:
-    """Normalised sentence to identifier.  A sentence that the splitter would
-    cut (it holds an end mark and a space) is filed under its first part."""
+    """Normalised sentence to identifier.  Of a sentence that the splitter would
+    cut (it holds an end mark and a space), each part has its own, see ``PARTS``."""
     made = [(i.format(v), s.format(v)) for i, s, versions in VERSIONED for v in versions]
     out: dict[str, str] = {}
     for name, sentence in [*SENTENCES, *made]:
-        first = re.sub(END, "\\1\n", sentence).split("\n")[0]
-        out.setdefault(re.sub("[^a-z0-9+]+", " ", first.lower()).strip(), name)
+        parts = re.sub(END, "\\1\n", sentence).split("\n")
+        for part, identifier in zip(parts, PARTS.get(name, (name,)), strict=True):
+            out.setdefault(re.sub("[^a-z0-9+]+", " ", part.lower()).strip(), identifier)
     return out
 
 

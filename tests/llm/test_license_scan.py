@@ -67,3 +67,20 @@ def test_no_python_and_no_shuffle(docs_of):
     plan = scan_licences(docs_of(list(enumerate(TEXTS))))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
     assert scan_licences(docs_of([])).count() == 0
+
+
+def test_every_part_of_a_cut_sentence_counts(docs_of):
+    grant = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; "
+    later = "either version {} of the License, or (at your option) any later version."
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. {}."
+    cases = [
+        (grant + later.format(2), "GPL-2.0-or-later"), (grant + later.format(3), "GPL-3.0-or-later"), (grant + "version 2 of the License.", "GPL-2.0-only"),
+        (grant.replace(" ", "\n * ", 9) + "version 3 of the License.", "GPL-3.0-only"), (grant.replace(" ", "\n", 9) + "version 3 of the License.", "GPL-3.0-only"),
+        (grant + later.format(4), ""), (grant, ""), (mpl.format("2.0"), "MPL-2.0"), (mpl.format("1.1"), ""), (mpl.format("3.0"), ""),
+    ]
+    rows = list(enumerate(t for t, _ in cases))
+    found = {r.doc_id: r for r in scan_licences(docs_of(rows)).collect()}
+    for i, (text, name) in enumerate(cases):
+        r = found[i]
+        assert r.licences == name and (r.licences, r.identifiers, r.n_sentences, r.unmatched) == brute(text)
+    assert found[5].unmatched == found[6].unmatched == "GPLfree,GPLgrant" and found[8].unmatched == "MPLref"
