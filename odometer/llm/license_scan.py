@@ -76,8 +76,9 @@ RULES: list[tuple[str, list[str]]] = [
     ("AGPL-3", ["AGPLref3"]),
     *[(f"CC-{kind}-{v}", [f"CC{kind.replace('-', '')}ref{v}"]) for kind in ("BY", "BY-SA", "BY-NC", "BY-ND") for v in ("2.0", "3.0", "4.0")],
 ]
-#: A text without any of these words holds no known sentence.
-CRITICAL = r"(?i)licen[sc]e|redistribut|permission|public domain|rights reserved|free software|warrant|copyright"
+#: A text without any of these words holds no known sentence; what normalising
+#: makes one space may stand between two words.
+CRITICAL = r"(?i)licen[sc]e|redistribut|permission|public[^a-zA-Z0-9+]+domain|rights[^a-zA-Z0-9+]+reserved|free[^a-zA-Z0-9+]+software|warrant|copyright"
 END = r"([.!?;:])[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 

@@ -84,3 +84,19 @@ def test_every_part_of_a_cut_sentence_counts(docs_of):
         r = found[i]
         assert r.licences == name and (r.licences, r.identifiers, r.n_sentences, r.unmatched) == brute(text)
     assert found[5].unmatched == found[6].unmatched == "GPLfree,GPLgrant" and found[8].unmatched == "MPLref"
+
+
+def test_wrapped_notices_pass_the_prefilter(docs_of):
+    cases = [
+        ("This work is in the public\ndomain.", "Public-Domain", ""), ("This work is in the public\t \u2014 domain.", "Public-Domain", ""),
+        ("All rights\n * reserved.", "", "AllRights"), ("This program is free\n# software;", "", "GPLfree"), ("All rights + reserved.", "", ""),
+    ]
+    found = {r.doc_id: r for r in scan_licences(docs_of([(i, c[0]) for i, c in enumerate(cases)])).collect()}
+    for i, (text, name, rest) in enumerate(cases):
+        r = found[i]
+        assert (r.licences, r.unmatched) == (name, rest) and (r.licences, r.identifiers, r.n_sentences, r.unmatched) == brute(text)
+
+
+def test_every_known_sentence_passes_the_prefilter():
+    # A version number alone means nothing without the part before it.
+    assert [k for k in known_sentences() if not re.search(CRITICAL, k)] == ["2 0"]
