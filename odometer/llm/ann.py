@@ -57,15 +57,18 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 def _classes(rows: DataFrame, is_query, most: int) -> tuple[DataFrame, DataFrame]:
     """Distinct vectors (cls, vec, ids: the ``most`` smallest, asked: whether a
-    query has it) and the queries (vec_id, cls)."""
+    query has it) and the queries (vec_id, cls).  Classes are numbered by their
+    smallest vec_id: where scores tie, a class with a larger number than ``most``
+    others has no row among the ``most`` first."""
     numbered = ordinals(rows, ["vec", "vec_id"], "n", "vectors")
     numbered = stash(numbered, "numbered")
-    first = numbered.groupBy("vec").agg(F.min("n").alias("cls"), F.max(is_query).alias("asked"))
-    first = stash(first, "classes")
-    members = numbered.join(first.select("vec", "cls"), "vec").select("cls", "vec_id", "n", is_query.alias("query"))
+    first = numbered.groupBy("vec").agg(F.min("n").alias("start"), F.min("vec_id").alias("lead"), F.max(is_query).alias("asked"))
+    first = stash(ordinals(first, ["lead", "start"], "cls", "class-order").drop("lead"), "classes")
+    members = numbered.join(first.select("vec", "cls", "start"), "vec")
+    members = members.select("cls", "start", "vec_id", "n", is_query.alias("query"))
     members = stash(members, "members")
-    ids = members.filter(F.col("n") < F.col("cls") + most).groupBy("cls").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    return first.join(ids, "cls"), members.filter("query").select("vec_id", "cls")
+    ids = members.filter(F.col("n") < F.col("start") + most).groupBy("cls").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    return first.drop("start").join(ids, "cls"), members.filter("query").select("vec_id", "cls")
 
 
 def _length(vec: str) -> Column:
@@ -119,7 +122,7 @@ def _hash_rows(dims: int, trees: int, bits: int, seed: int, top: float, kind: st
 
 def _score(nearest: int, kind: str):
     """The best ``nearest`` members of a block for each query of a group that
-    the member's hash prefix admits."""
+    the member's hash prefix admits; ties to the smaller class."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -130,12 +133,14 @@ def _score(nearest: int, kind: str):
                 scores = asked @ members.T
                 scores[(order[None, :] < np.asarray(row.lows)[:, None]) | (order[None, :] >= np.asarray(row.highs)[:, None])] = -np.inf
                 k = min(nearest, scores.shape[1])
-                best = np.argpartition(-scores, k - 1, axis=1)[:, :k]
-                value = np.take_along_axis(scores, best, axis=1)
-                q, m = np.nonzero(np.isfinite(value))
-                yield pd.DataFrame(
-                    {"cls": np.asarray(row.queries)[q], "near": np.asarray(row.members)[best[q, m]], "score": value[q, m]}
-                )
+                last = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k, None]
+                q, m = np.nonzero((scores >= last) & np.isfinite(scores))
+                value, near = scores[q, m], np.asarray(row.members)[m]
+                # What ties with the last comes too: of each query the first ``k``.
+                order = np.lexsort((near, -value, q))
+                q, value, near = q[order], value[order], near[order]
+                kept = np.arange(len(q)) - np.searchsorted(q, q) < k
+                yield pd.DataFrame({"cls": np.asarray(row.queries)[q[kept]], "near": near[kept], "score": value[kept]})
 
     return run
 

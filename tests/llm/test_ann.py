@@ -85,3 +85,9 @@ def test_recall_with_mixed_lengths_by_the_defaults(spark, lengths):
     scores[np.arange(80), np.arange(0, 8000, 100)] = -np.inf
     want = {(q * 100, int(j)) for q, best in enumerate(np.argsort(-scores, axis=1)[:, :20]) for j in best}
     assert len(got) == 80 * 20 and len({(q, j) for q, _, j, _ in got} & want) / len(want) >= 0.9
+
+
+def test_many_vectors_that_tie_at_the_last_place(spark):
+    signs = np.random.default_rng(8).choice([-1.0, 1.0], size=(900, 12))
+    rows = [(i, v.tolist()) for i, v in enumerate(signs)]
+    assert sorted(found(table(spark, rows))) == sorted(brute(rows, 20))
