@@ -76,18 +76,28 @@ def _length(vec: str) -> Column:
     return F.aggregate(vec, F.lit(0.0), lambda a, x: F.hypot(a, x.cast("double")))
 
 
-def _hash_rows(dims: int, trees: int, bits: int, seed: int, top: float, kind: str):
+def _hash_rows(tops: dict[int, float], trees: int, bits: int, seed: int, kind: str):
     """Per vector (cls, asked, vec) its band, its bytes, its hash in each tree
     (an integer of ``bits`` bits, the first projection its highest) and, where a
-    query has it, the query's hash in each tree.  ``top``: the longest length."""
-    planes = np.random.default_rng(seed).normal(size=(dims + 1, trees * bits))
+    query has it, the query's hash in each tree.  ``tops``: the longest length by
+    component count.  A band's number has the component count in its high bits."""
+    planes: dict[int, np.ndarray] = {}
     weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
 
-    def hashes(vec: np.ndarray) -> np.ndarray:
-        return (vec @ planes[: vec.shape[1]] > 0).reshape(len(vec), trees, bits) @ weights
+    def hashes(vec: np.ndarray, dims: int) -> np.ndarray:
+        if dims not in planes:
+            planes.clear()  # of one component count at a time
+            planes[dims] = np.random.default_rng(seed).normal(size=(dims + 1, trees * bits))
+        return (vec @ planes[dims][: vec.shape[1]] > 0).reshape(len(vec), trees, bits) @ weights
+
+    def by_size(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+        sizes = batch.column(2).value_lengths().to_numpy()
+        for dims in np.unique(sizes):
+            yield int(dims), batch if (sizes == dims).all() else batch.take(pa.array(np.flatnonzero(sizes == dims)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
+        for dims, whole in ((d, part) for batch in batches for d, part in by_size(batch)):
+            top = tops[dims]
             for at in range(0, whole.num_rows, 2048):
                 batch = whole.slice(at, 2048)
                 n = batch.num_rows
@@ -101,7 +111,7 @@ def _hash_rows(dims: int, trees: int, bits: int, seed: int, top: float, kind: st
                 band = np.floor(steps + 1e-6)
                 # The share of the band's longest length that the vector has.
                 share = np.minimum(WIDTH ** (band - steps), 1.0)
-                own = hashes(np.column_stack([unit * share, np.sqrt(1.0 - share * share)]))
+                own = hashes(np.column_stack([unit * share, np.sqrt(1.0 - share * share)]), dims)
                 asked = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
                 ends = np.concatenate([[0], np.cumsum(asked) * trees]).astype(np.int32)
                 raw = pa.array([v.tobytes() for v in vec.astype(kind)], pa.binary())
@@ -109,10 +119,10 @@ def _hash_rows(dims: int, trees: int, bits: int, seed: int, top: float, kind: st
                     [
                         batch.column(0),
                         batch.column(1),
-                        pa.array(band[:, 0].astype(np.int32)),
+                        pa.array(band[:, 0].astype(np.int64) + (dims << 32)),
                         raw,
                         pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * trees), pa.array(own.ravel())),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes(unit[asked]).ravel())),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes(unit[asked], dims).ravel())),
                     ],
                     ["cls", "asked", "band", "vec", "hashes", "q_hashes"],
                 )
@@ -161,9 +171,9 @@ def nearest_neighbours(
     fewer than ``nearest``.
 
     Rows without an id or a usable vector take no part.  Rows may share an id;
-    each query leaves out one row, its own.  All vectors must have as many
-    components as the longest; others take no part.  An empty table gives no
-    rows.
+    each query leaves out one row, its own.  Vectors meet those with as many
+    components; each component count has an index of its own.  An empty table
+    gives no rows.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -171,18 +181,18 @@ def nearest_neighbours(
     kind = "<f4" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "<f8"
     out = "query_id long, rank int, vec_id long, score double"
     rows = usable(vectors)
-    dims, top = rows.agg(F.max(F.size("vec")), F.max(_length("vec"))).first()
-    if not dims:
+    # One row per component count.
+    tops = {r["dims"]: r["top"] for r in rows.groupBy(F.size("vec").alias("dims")).agg(F.max(_length("vec")).alias("top")).collect()}
+    if not tops:
         return spark.createDataFrame([], out)
-    rows = rows.filter(F.size("vec") == dims)
     is_query = F.col("vec_id") % query_step == 0
     classes, queries = _classes(rows, is_query, nearest + 1)
     classes = stash(classes, "index-classes")
     queries = stash(queries, "queries")
 
-    hash_rows = _hash_rows(dims, trees, bits, seed, top, kind)
+    hash_rows = _hash_rows(tops, trees, bits, seed, kind)
     hashed = classes.select("cls", "asked", "vec").mapInArrow(
-        hash_rows, "cls long, asked boolean, band int, vec binary, hashes array<long>, q_hashes array<long>"
+        hash_rows, "cls long, asked boolean, band long, vec binary, hashes array<long>, q_hashes array<long>"
     )
     hashed = stash(hashed, "hashed")
     entries = hashed.select("cls", "band", F.posexplode("hashes").alias("tree", "hash"))
@@ -194,10 +204,11 @@ def nearest_neighbours(
     enough = F.least(F.greatest(F.ceil(F.lit(float(quota)) * F.col("size")), F.lit(least)), F.col("size") * trees)
     sizes = hashed.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
     # One row per band: bounded by the range of lengths.
-    sizes = F.broadcast(stash(sizes.select("band", depth.alias("depth"), enough.alias("enough")), "bands"))
+    sizes = stash(sizes.select("band", depth.alias("depth"), enough.alias("enough")), "bands")
+    dims = F.expr("shiftright(band, 32)").alias("dims")
     leaf = F.expr(f"shiftright(hash, {bits} - depth)")
     steps = F.explode(F.sequence(F.lit(0), F.col("depth")))
-    leaves = forest.join(sizes, "band").groupBy("tree", "band", "depth", leaf.alias("leaf"))
+    leaves = forest.join(F.broadcast(sizes), "band").groupBy("tree", "band", "depth", leaf.alias("leaf"))
     leaves = leaves.agg(F.min("place").alias("low"), F.count(F.lit(1)).alias("n"))
     nodes = (
         stash(leaves, "leaves")
@@ -205,40 +216,43 @@ def nearest_neighbours(
         .groupBy("tree", "band", "up", F.expr("shiftright(leaf, up)").alias("prefix"))
         .agg(F.min("low").alias("low"), F.sum("n").alias("n"))
     )
-    own = hashed.filter("asked").select("cls", F.posexplode("q_hashes").alias("tree", "hash")).crossJoin(sizes)
+    own = hashed.filter("asked").select("cls", dims, F.posexplode("q_hashes").alias("tree", "hash"))
+    own = own.join(F.broadcast(sizes.select("*", dims)), "dims")
     climb = own.withColumn("leaf", leaf).withColumn("up", steps).withColumn("prefix", F.expr("shiftright(leaf, up)"))
     climb = climb.select("cls", "tree", "band", "enough", "up", "prefix").join(nodes, ["tree", "band", "up", "prefix"])
     climb = stash(climb.select("cls", "band", "enough", "up", "low", "n"), "climb")
     stop = climb.groupBy("cls", "band", "enough", "up").agg(F.sum("n").alias("n")).filter(F.col("n") >= F.col("enough"))
     stop = stop.groupBy("cls", "band").agg(F.min("up").alias("up"))
-    ranges = climb.join(stop, ["cls", "band", "up"]).select("cls", "low", (F.col("low") + F.col("n")).alias("high"))
+    ranges = climb.join(stop, ["cls", "band", "up"]).select("cls", dims, "low", (F.col("low") + F.col("n")).alias("high"))
 
-    # Blocks of the sorted arrays, and groups of the queries that read each.
+    # Blocks of the sorted arrays (of one component count), and groups of the queries that read each.
     vec_of = hashed.select("cls", "vec")
-    blocks = forest.select("cls", "place").join(vec_of, "cls").groupBy(F.expr(f"place div {BLOCK}").alias("block")).agg(
+    blocks = forest.select("cls", dims, "place").join(vec_of, "cls").groupBy("dims", F.expr(f"place div {BLOCK}").alias("block")).agg(
         F.sort_array(F.collect_list(F.struct("place", "cls", "vec"))).alias("rows")
     )
     blocks = blocks.select(
+        "dims",
         "block",
         F.col("rows.place").alias("orders"),
         F.col("rows.cls").alias("members"),
         F.col("rows.vec").alias("vecs"),
     )
     reads = ranges.withColumn("block", F.explode(F.expr(f"sequence(low div {BLOCK}, (high - 1) div {BLOCK})")))
-    crowd = reads.groupBy("block").agg(F.count(F.lit(1)).alias("crowd"))
-    reads = reads.join(vec_of.withColumnRenamed("vec", "q_vec"), "cls").join(crowd, "block")
+    crowd = reads.groupBy("dims", "block").agg(F.count(F.lit(1)).alias("crowd"))
+    reads = reads.join(vec_of.withColumnRenamed("vec", "q_vec"), "cls").join(crowd, ["dims", "block"])
     part = F.pmod(F.xxhash64("cls"), F.ceil(F.col("crowd") / QUERIES))
-    groups = reads.groupBy("block", part.alias("part")).agg(
+    groups = reads.groupBy("dims", "block", part.alias("part")).agg(
         F.sort_array(F.collect_list(F.struct("cls", "low", "high", "q_vec"))).alias("rows")
     )
     groups = groups.select(
+        "dims",
         "block",
         F.col("rows.cls").alias("queries"),
         F.col("rows.low").alias("lows"),
         F.col("rows.high").alias("highs"),
         F.col("rows.q_vec").alias("q_vecs"),
     )
-    scored = groups.join(blocks, "block").drop("block").mapInPandas(_score(nearest + 1, kind), "cls long, near long, score double")
+    scored = groups.join(blocks, ["dims", "block"]).drop("dims", "block").mapInPandas(_score(nearest + 1, kind), "cls long, near long, score double")
 
     # A class met in several trees counts once; its copies are its ids.
     best = scored.groupBy("cls", "near").agg(F.max("score").alias("score"))

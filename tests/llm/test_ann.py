@@ -91,3 +91,10 @@ def test_many_vectors_that_tie_at_the_last_place(spark):
     signs = np.random.default_rng(8).choice([-1.0, 1.0], size=(900, 12))
     rows = [(i, v.tolist()) for i, v in enumerate(signs)]
     assert sorted(found(table(spark, rows))) == sorted(brute(rows, 20))
+
+
+def test_each_component_count_is_an_index_of_its_own(spark, vectors):
+    rows = [(i, v.tolist()[: 7 if i % 3 == 1 else 12]) for i, v in enumerate(vectors[:400])]
+    rows += [(1000, [1.0] * 13), (1001, [])]
+    want = [r for size in (7, 12) for r in brute([(i, v) for i, v in rows if len(v) == size], 20)]
+    assert len(want) == 20 * 20 and sorted(found(table(spark, rows))) == sorted(want)
