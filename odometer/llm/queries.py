@@ -15,19 +15,22 @@ from odometer.llm.html_text import extract_pages
 from odometer.llm.language_id import held_out, identify, train_on_open_rows
 from odometer.llm.license_scan import scan_licences
 from odometer.llm.mixing import mix_plan
+from odometer.llm.sentencepieces import encode_documents as encode_pieces
+from odometer.llm.sentencepieces import piece_digests
 from odometer.llm.sharding import shard_documents, topology
 from odometer.llm.simhash import near_duplicates
 from odometer.llm.url_filter import RULES, judge_urls
 
 
-#: The tokenizer file of the contract, a path that is the same on every machine.
+#: The tokenizer files of the contracts, at a path that is the same on every machine.
 TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(file: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(file)
 
 
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +82,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(encode_pieces(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ann, op2_language_id, op3_bpe, op4_license_scan, op5_exact_dedup, op6_mixing, op7_url_filter, op8_html_text, op9_simhash, op10_sharding)
+    f.__name__: f
+    for f in (
+        op1_ann,
+        op2_language_id,
+        op3_bpe,
+        op4_license_scan,
+        op5_exact_dedup,
+        op6_mixing,
+        op7_url_filter,
+        op8_html_text,
+        op9_simhash,
+        op10_sharding,
+        op13_sentencepiece,
+    )
 }

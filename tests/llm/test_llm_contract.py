@@ -24,7 +24,7 @@ def con():
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11), 13]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -52,6 +52,7 @@ def test_language_query(spark):
 @pytest.mark.parametrize("name, columns", [
     ("op1_ann", ["query_id", "rank", "vec_id", "score"]),
     ("op3_bpe", ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]),
+    ("op13_sentencepiece", ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]),
     ("op6_mixing", ["doc_id", "size", "source_size", "target", "taken"]),
     ("op8_html_text", ["page_id", "url", "text", "n_chars"]),
     ("op9_simhash", ["doc_id", "fingerprint", "component_id"]),
