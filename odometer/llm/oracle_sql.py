@@ -34,6 +34,63 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m W
 """
 
 
+def crc32_sql(text: str) -> str:
+    """CRC-32 of a text, bit by bit: a byte is mixed in, then eight shifts."""
+    steps = f"flatten(list_transform(range(1, strlen({text}) + 1), lambda p: [ascii(substr({text}, p, 1)), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN b >= 0 THEN xor(c, b::BIGINT) ELSE xor(c >> 1, 3988292384 * (c & 1)) END"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}::BIGINT[]), lambda c, b: {step}), 4294967295)"
+
+
+def _manifest() -> str:
+    """Trees level by level, then each row's way up, three siblings a run."""
+
+    def digest(text: str) -> str:
+        values = ["doc_id", "source", "lang", "n_chars", text]
+        parts = [f"coalesce(strlen({v}::VARCHAR)::VARCHAR || ':' || {v}::VARCHAR, '-')" for v in values]
+        return f"sha256({' || '.join(parts)})"
+
+    def tree(name: str, leaves: str) -> str:
+        return f"""
+{name}_nodes(tree, lvl, i, h, n) AS (
+  SELECT tree, 0, i, h, count(*) OVER (PARTITION BY tree) FROM {leaves}
+  UNION ALL
+  SELECT tree, lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3
+  FROM {name}_nodes WHERE n > 1 GROUP BY tree, lvl, i // 3, n
+), {name}_beside AS (
+  SELECT a.tree, a.lvl, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+  FROM {name}_nodes a JOIN {name}_nodes b ON a.tree = b.tree AND a.lvl = b.lvl AND a.i // 3 = b.i // 3
+  WHERE a.n > 1 GROUP BY ALL
+)"""
+
+    def way(name: str, start: str) -> str:
+        return f"""
+{name}_way(doc, tree, lvl, i, fold, proof) AS (
+  {start}
+  UNION ALL
+  SELECT doc, tree, lvl + 1, i // 3, sha256(l || fold || r), proof || l || r
+  FROM {name}_way JOIN {name}_beside USING (tree, lvl, i)
+), {name}_end AS (
+  SELECT * FROM {name}_way WHERE (tree, lvl) IN (SELECT (tree, lvl) FROM {name}_nodes WHERE n = 1)
+)"""
+
+    return f"""
+WITH RECURSIVE t AS (
+  SELECT *, CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS seen FROM documents
+), d AS (
+  SELECT doc_id, coalesce('s' || source, 'n') AS tree, {digest('text')} AS h, {digest('seen')} AS f FROM t
+), leaf AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id, h, f) AS doc,
+         row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h, f) - 1 AS i FROM d
+), {tree('one', 'leaf')}, {way('one', 'SELECT doc, tree, 0, i, f, repeat(h, 0) FROM leaf')},
+tops AS (
+  SELECT '' AS tree, tree AS source, row_number() OVER (ORDER BY tree) - 1 AS i, h FROM one_nodes WHERE n = 1
+), {tree('all', 'tops')}, {way('all', "SELECT e.doc, '', 0, o.i, e.fold, e.proof FROM one_end e JOIN tops o ON e.tree = o.source")}
+SELECT leaf.doc_id, leaf.h AS leaf, tops.h AS subroot, root.h AS root, sha256(e.proof) AS proof_sha256,
+       e.fold AS folded_root, e.fold = root.h AS verified
+FROM leaf JOIN tops ON leaf.tree = tops.source JOIN all_end e USING (doc) CROSS JOIN (SELECT h FROM all_nodes WHERE n = 1) root
+"""
+
 
 def _license_scan() -> str:
     """The scan over the same tables of sentences and rules."""
@@ -67,4 +124,9 @@ FROM m
 """
 
 
-ORACLES: dict[str, str] = {"op4_license_scan": _license_scan(), "op5_exact_dedup": EXACT_DEDUP, "op7_url_filter": URL_FILTER}
+ORACLES: dict[str, str] = {
+    "op4_license_scan": _license_scan(),
+    "op5_exact_dedup": EXACT_DEDUP,
+    "op7_url_filter": URL_FILTER,
+    "op12_manifest": _manifest(),
+}

@@ -14,6 +14,7 @@ from odometer.llm.exact_dedup import exact_duplicates
 from odometer.llm.html_text import extract_pages
 from odometer.llm.language_id import held_out, identify, train_on_open_rows
 from odometer.llm.license_scan import scan_licences
+from odometer.llm.manifest import manifest, manifest_digests
 from odometer.llm.mixing import mix_plan
 from odometer.llm.sentencepieces import encode_documents as encode_pieces
 from odometer.llm.sentencepieces import piece_digests
@@ -82,6 +83,13 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    found = F.when(tampered, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return manifest_digests(manifest(docs, found))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(encode_pieces(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL)))
 
@@ -99,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_text,
         op9_simhash,
         op10_sharding,
+        op12_manifest,
         op13_sentencepiece,
     )
 }

@@ -1,0 +1,92 @@
+"""The Merkle manifest against a tree built plainly in Python."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from odometer.llm.manifest import Block, manifest, manifest_digests, resume
+
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string, idx long, digest string, tree int"
+
+
+def h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf_of(row):
+    return h(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def climb(row, at):
+    """Root of a row of digests, and the siblings of the node at ``at``."""
+    proof = []
+    while len(row) > 1:
+        run = at // 3 * 3
+        proof += [d for i, d in enumerate(row[run : run + 3], run) if i != at]
+        row, at = [h(*row[i : i + 3]) for i in range(0, len(row), 3)], at // 3
+    return row[0], proof
+
+
+def brute(rows, found):
+    by_source = {}
+    for row, text in zip(rows, found):
+        by_source.setdefault(row[1], []).append((row, leaf_of(row), leaf_of((*row[:4], text))))
+    order = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    for s in order:
+        by_source[s].sort(key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[1], x[2]))
+    tops = [climb([leaf for _, leaf, _ in by_source[s]], 0)[0] for s in order]
+    out = []
+    for n, s in enumerate(order):
+        leaves = [leaf for _, leaf, _ in by_source[s]]
+        for i, (row, leaf, other) in enumerate(by_source[s]):
+            subroot, proof = climb(leaves, i)
+            root, more = climb(tops, n)
+            sub, _ = climb([*leaves[:i], other, *leaves[i + 1 :]], i)
+            folded, _ = climb([*tops[:n], sub, *tops[n + 1 :]], n)
+            out.append((row[0], leaf, subroot, root, h(*proof, *more), folded, folded == root))
+    return out
+
+
+def ours(df, found=None, levels=6):
+    return [tuple(r) for r in manifest_digests(manifest(df, found, levels)).collect()]
+
+
+def key(row):
+    return (row[0] is not None, row[0] or 0, *row[1:])
+
+
+@pytest.mark.parametrize("levels, sizes", [(1, [3, 4, 9, 10]), (2, [28, 1, 5, 2, 7]), (2, [100, 3]), (6, [28, 1, 5, 2, 7]), (6, [2, 1, 1]), (6, [1])])
+def test_against_plain_trees(spark, levels, sizes):
+    rows, n = [], 0
+    for s, size in enumerate(sizes):
+        for _ in range(size):
+            n += 1
+            source = None if s == 1 else ["ä", "", "b", "B", "z"][s]
+            rows.append((n * 7 % 101, source, None if n % 5 == 0 else "en", n, None if n % 11 == 0 else f"line {n}\nü"))
+    df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA)
+    cut = F.when(F.col("doc_id") % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = [r[4].replace("\n", "") if r[0] % 2 == 0 and r[4] else r[4] for r in rows]
+    got = ours(df, cut, levels)
+    assert sorted(got, key=key) == sorted(brute(rows, found), key=key)
+    assert any(not r[-1] for r in got) or len(rows) == 1
+
+
+def test_repeats_nulls_and_an_empty_table(spark):
+    rows = [(1, "a", None, None, ""), (1, "a", None, None, ""), (1, "a", "x", 3, "t"), (None, "a", None, None, None), (None, None, None, None, None)]
+    df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA)
+    got = ours(df)
+    assert sorted(got, key=key) == sorted(brute(rows, [r[4] for r in rows]), key=key) and all(r[-1] for r in got)
+    assert ours(df.limit(0)) == []
+
+
+def test_fold_hashes_only_from_the_slot_on():
+    digests = [bytes([i]) * 32 for i in range(7)]
+    block = Block(digests, None)
+    for i in range(7):
+        assert block.fold(i, digests[i]) == block.tops[0]
+        other = Block([*digests[:i], b"x" * 32, *digests[i + 1 :]], None)
+        assert block.fold(i, b"x" * 32) == other.tops[0]
+    state = hashlib.sha256(digests[0].hex().encode())
+    assert resume(state, digests[1], digests[2]).hex() == h(*(d.hex() for d in digests[:3]))
+    assert resume(state, digests[1], digests[2]).hex() == h(*(d.hex() for d in digests[:3])), "the kept state is unchanged"
