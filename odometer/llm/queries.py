@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from odometer.llm.ann import nearest_neighbours
 from odometer.llm.bpe import encode_documents, token_digests
 from odometer.llm.common import table
+from odometer.llm.conversation_repair import repair, spoiled
 from odometer.llm.exact_dedup import exact_duplicates
 from odometer.llm.html_text import extract_pages
 from odometer.llm.language_id import held_out, identify, train_on_open_rows
@@ -83,6 +84,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair(conversations, spoiled(conversations))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
@@ -107,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_html_text,
         op9_simhash,
         op10_sharding,
+        op11_conversation_repair,
         op12_manifest,
         op13_sentencepiece,
     )

@@ -17,14 +17,14 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "conversations"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_DIR}/{t}.parquet')")
     return c
 
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 11), 12, 13]
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == [*range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
