@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from odometer import hadoop
 from odometer.operators.profitability import build_report, build_report_for_day, order_report, trip_revenue
 from odometer.operators.health import health_transitions
 from odometer.operators.serving import latest_per_key
@@ -14,7 +17,9 @@ from odometer.session import ensure_utc, materialize, stored_or_none
 from odometer.sinks.files import append_alerts, write_report_csv, write_report_parquet
 from odometer.sinks.merge import keep_rejects, merge_profitability, only_dates_of, serve_utilization, split_report
 from odometer.sources.expenses import read_expense_feed
+from odometer.sinks.versions import VersionedTable
 from odometer.sources.lake import read_clean_lake
+from odometer.streaming.queries import HISTORY_PARTITIONS
 
 
 def reconcile(
@@ -23,7 +28,7 @@ def reconcile(
     lake_path: str,
     output_root: str,
     csv_root: str,
-    serving_path: str | None = None,
+    serving_path: str | VersionedTable | None = None,
     report_date: str | None = None,
     bypass_commit_log: bool = False,
     reject_path: str | None = None,
@@ -49,7 +54,7 @@ def reconcile_frames(
     lake: DataFrame,
     output_root: str,
     csv_root: str,
-    serving_path: str | None = None,
+    serving_path: str | VersionedTable | None = None,
     report_date: str | None = None,
     reject_path: str | None = None,
     exact_money: bool = False,
@@ -95,7 +100,7 @@ def start_reconciliation_stream(
     output_root: str,
     csv_root: str,
     checkpoint: str,
-    serving_path: str | None = None,
+    serving_path: str | VersionedTable | None = None,
     reject_path: str | None = None,
     trigger_seconds: int = 300,
     available_now: bool = False,
@@ -145,7 +150,7 @@ def run_live(
     checkpoint_root: str,
     trigger_seconds: int = 10,
     available_now: bool = False,
-    serving_path: str | None = None,
+    serving_path: str | VersionedTable | None = None,
     reject_path: str | None = None,
     exact_money: bool = False,
 ) -> None:
@@ -180,31 +185,98 @@ def run_live(
 
 
 def compact_metrics(
-    spark: SparkSession, metrics_path: str, serving_path: str, progress_path: str | None = None, reject_path: str | None = None
+    spark: SparkSession,
+    metrics_path: str,
+    serving_path: str | VersionedTable,
+    progress_path: str | None = None,
+    reject_path: str | None = None,
+    archive_path: str | None = None,
 ) -> int:
     """Fold the micro-batches of the append-only metrics history that were not
     folded yet into the serving table: newest version per key, then the checked
     and guarded merge (an older version never overwrites a newer stored one).
 
+    Which batches are new is taken from the folder listing, and only their
+    folders are read, so a fold costs what is new, however long the history.
+
     ``progress_path`` (default: beside the serving table) records each folded
     (run, batch) after the merge; a fold that is repeated changes nothing.
+    With ``archive_path`` folded batches retire: their rows go to the archive
+    (``window_date``, ``fold``; few files a day) and their folders are removed,
+    so that the listing stays as short as what is new; ``read_history`` reads
+    both.  A fold's list of batches is published before its first step, and a
+    fold that failed is finished from that list, so no row is doubled or lost.
     Returns the number of batches folded.
     """
     ensure_utc(spark)
-    progress_path = progress_path or serving_path.rstrip("/") + "_folded"
-    history = spark.read.parquet(metrics_path)
-    batch = ["stream_run", "spark_batch_id"]
-    new = history.select(*batch).distinct()
+    if progress_path is None:
+        root = serving_path.path if isinstance(serving_path, VersionedTable) else serving_path
+        progress_path = root.rstrip("/") + "_folded"
+    plans = progress_path.rstrip("/") + "_plans"
+    names = hadoop.names(spark, plans)
+    started = [n[:-5] for n in names if n.endswith(".json")]
+    number = started[-1] if started else None
+    if number is not None and f"{number}.done" in names:
+        # Its rows are safe; what a failure left of its folders goes now.
+        _retire(spark, metrics_path, json.loads(hadoop.read_text(spark, f"{plans}/{number}.json")), archive_path)
+        number = None
+    if number is None:
+        folders = _unfolded(spark, metrics_path, progress_path)
+        if not folders:
+            return 0
+        number = f"{len(started):012d}"
+        if not hadoop.put_new(spark, f"{plans}/{number}.json", json.dumps(folders)):
+            raise RuntimeError("another fold of this history is running")
+    folders = json.loads(hadoop.read_text(spark, f"{plans}/{number}.json"))
+    root = metrics_path.rstrip("/")
+    fresh = spark.read.option("basePath", root).parquet(*[f"{root}/{f}" for f in folders])
+    latest = latest_per_key(fresh.drop("window_date"))
+    serve_utilization(spark, serving_path, latest, reject_path, "fold")
+    if archive_path is not None:
+        (
+            fresh.withColumn("fold", F.lit(number))
+            .repartitionByRange("window_date", "window_start", "zone")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("window_date", "fold")
+            .parquet(archive_path)
+        )
+    batches = fresh.select("stream_run", F.col("spark_batch_id").cast("long").alias("spark_batch_id")).distinct()
+    batches.withColumn("fold", F.lit(number)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("fold").parquet(progress_path)
+    hadoop.claim(spark, f"{plans}/{number}.done")
+    _retire(spark, metrics_path, folders, archive_path)
+    return len({f.split("/", 1)[1] for f in folders})
+
+
+def _unfolded(spark: SparkSession, metrics_path: str, progress_path: str) -> list[str]:
+    """Batch folders of the history, relative to it, that no fold has taken."""
+    root = metrics_path.rstrip("/")
+    found = hadoop.matches(spark, "/".join([root, *(f"{c}=*" for c in HISTORY_PARTITIONS)]))
+    folders = ["/".join(p.split("/")[-len(HISTORY_PARTITIONS) :]) for p in found]
     folded = stored_or_none(spark, progress_path)
-    if folded is not None:
-        new = new.join(folded, batch, "left_anti")
-    new = materialize(new)
-    count = new.count()
-    if count:
-        rows = latest_per_key(history.join(new, batch, "left_semi").drop("window_date", "stream_run"))
-        serve_utilization(spark, serving_path, rows, reject_path)
-        new.write.mode("append").parquet(progress_path)
-    return count
+    if not folders or folded is None:
+        return folders
+    # The ledger stays in Spark; what returns is what is new.
+    listed = spark.createDataFrame([(f, *(v.split("=", 1)[1] for v in f.split("/")[1:])) for f in folders], "folder string, run string, batch string")
+    old = folded.select(F.col("stream_run").cast("string").alias("run"), F.col("spark_batch_id").cast("string").alias("batch"))
+    return sorted(r["folder"] for r in listed.join(old, ["run", "batch"], "left_anti").collect())
+
+
+def _retire(spark: SparkSession, metrics_path: str, folders: list[str], archive_path: str | None) -> None:
+    if archive_path is not None:
+        for folder in folders:
+            hadoop.remove(spark, f"{metrics_path.rstrip('/')}/{folder}")
+
+
+def read_history(spark: SparkSession, metrics_path: str, archive_path: str | None = None) -> DataFrame:
+    """The metrics history: batches not retired yet, and the archive's."""
+    parts = [stored_or_none(spark, p) for p in (metrics_path, archive_path) if p is not None]
+    frames = [p.drop("fold") for p in parts if p is not None]
+    if not frames:
+        raise FileNotFoundError(f"no metrics history under {metrics_path}")
+    return functools.reduce(lambda a, b: a.unionByName(b), frames)
 
 
 def record_health_alerts(

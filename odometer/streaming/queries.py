@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from odometer.functions.timeutil import ts_literal
 from odometer.operators.telemetry import decode_and_clean
 from odometer.operators.utilization import sliding_metrics_direct, utilization_metrics, with_lineage
+from odometer.sinks.versions import VersionedTable
 
 DEFAULT_TRIGGER_SECONDS = 10
 LOG = logging.getLogger("odometer.streaming")
@@ -51,7 +52,7 @@ def persist_metrics_batch(
     batch_id: int,
     metrics_path: str,
     processed_at=None,
-    serving_path: str | None = None,
+    serving_path: str | VersionedTable | None = None,
     reject_path: str | None = None,
 ) -> dict:
     """Persist one update-mode micro-batch with lineage columns, and merge it
@@ -71,25 +72,28 @@ def persist_metrics_batch(
     stamped = with_lineage(batch, batch_id, processed_at).select(
         "*", F.to_date("window_start").alias("window_date"), F.lit(run).alias("stream_run")
     )
-    if serving_path is not None:
-        stamped = stamped.persist()  # two sinks, one evaluation of the batch
     totals = Observation(f"metrics_batch_{batch_id}")
-    observed = stamped.observe(
-        totals,
-        F.count(F.lit(1)).alias("metric_rows"),
-        F.coalesce(F.sum("telemetry_event_count"), F.lit(0)).cast("long").alias("telemetry_events"),
-    )
-    (
-        observed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*HISTORY_PARTITIONS)
-        .parquet(metrics_path)
-    )
     if serving_path is not None:
-        from odometer.sinks.merge import serve_utilization
+        stamped = stamped.persist()  # two sinks, one evaluation of the batch
+    try:
+        observed = stamped.observe(
+            totals,
+            F.count(F.lit(1)).alias("metric_rows"),
+            F.coalesce(F.sum("telemetry_event_count"), F.lit(0)).cast("long").alias("telemetry_events"),
+        )
+        (
+            observed.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*HISTORY_PARTITIONS)
+            .parquet(metrics_path)
+        )
+        if serving_path is not None:
+            from odometer.sinks.merge import serve_utilization
 
-        serve_utilization(batch.sparkSession, serving_path, stamped.drop("window_date", "stream_run"), reject_path)
-        stamped.unpersist()
+            serve_utilization(batch.sparkSession, serving_path, stamped.drop("window_date"), reject_path, "live")
+    finally:
+        if serving_path is not None:
+            stamped.unpersist()
     result = dict(totals.get)
     result["spark_batch_id"] = int(batch_id)
     LOG.info(json.dumps({"event": "metrics-batch-stored", "path": metrics_path, **result}))
@@ -148,7 +152,7 @@ def start_metrics(
     checkpoint: str,
     trigger: dict,
     query_name: str = "odometer-metrics",
-    serving_path: str | None = None,
+    serving_path: str | VersionedTable | None = None,
     reject_path: str | None = None,
 ) -> StreamingQuery:
     """Windowed metrics -> per-batch Parquet partitions, update mode, and the
@@ -172,7 +176,7 @@ def start_live_queries(
     trigger_seconds: int | None = DEFAULT_TRIGGER_SECONDS,
     available_now: bool = False,
     exact_money: bool = False,
-    serving_path: str | None = None,
+    serving_path: str | VersionedTable | None = None,
     reject_path: str | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the lake and metrics branches from one streaming source."""
