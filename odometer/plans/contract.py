@@ -41,11 +41,15 @@ from odometer.operators.utilization import (
     utilization_metrics,
 )
 from odometer.plans import params
-from odometer.schemas import TELEMETRY_FIELDS, UTILIZATION_COLUMNS
+from odometer.plans.repair import repair_late_windows
+from odometer.schemas import TELEMETRY_FIELDS, UTILIZATION_COLUMNS, UTILIZATION_KEY
 from odometer.session import discard_at_exit, ensure_utc, materialize, scratch_path
 from odometer.sinks.files import write_expense_feed
+from odometer.sinks.merge import merge_profitability, merge_utilization
+from odometer.sinks.versions import VersionedTable, report_table, served_latest_window, snapshot_row, utilization_table
 from odometer.sources import fixtures
 from odometer.sources.expenses import read_expense_feed
+from odometer.sources.lake import read_clean_lake
 from odometer.sources.telemetry import decode_telemetry, encode_telemetry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -362,20 +366,12 @@ def q_sliding_metrics_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(out, "window_start", "window_end")
 
 
-def _stream_in_two_drops(spark: SparkSession, sf_dir: str, base: str, serving_path: str | None) -> None:
-    """Run the live path over two drops of binary JSON values, split at the
-    midpoint of the event time span; each is consumed by an ``availableNow``
-    run of the same checkpointed queries (watermark 2 min, update mode)."""
+def _stream_in_drops(spark: SparkSession, drops: tuple, base: str, serving: str | VersionedTable | None) -> None:
+    """Run the live path over drops of binary JSON values; each is consumed by
+    an ``availableNow`` run of the same checkpointed queries (watermark 2 min,
+    update mode)."""
     from odometer.streaming.queries import start_live_queries
 
-    events = _events(spark, sf_dir)
-    span = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    split = span["lo"] + (span["hi"] - span["lo"]) / 2
-    json_rows = fixtures.telemetry_rows(events).select(*TELEMETRY_FIELDS, F.col("event_time"))
-    drops = (
-        json_rows.where(F.col("event_time") < ts_literal(split)),
-        json_rows.where(F.col("event_time") >= ts_literal(split)),
-    )
     for drop in drops:
         # the producer's binary JSON values, landed as compressed Parquet files
         encode_telemetry(drop).write.mode("append").parquet(f"{base}/source")
@@ -388,7 +384,7 @@ def _stream_in_two_drops(spark: SparkSession, sf_dir: str, base: str, serving_pa
             f"{base}/checkpoints",
             available_now=True,
             exact_money=True,
-            serving_path=serving_path,
+            serving_path=serving,
         )
         for q in queries:
             q.awaitTermination()
@@ -397,13 +393,22 @@ def _stream_in_two_drops(spark: SparkSession, sf_dir: str, base: str, serving_pa
     discard_at_exit(spark, base)
 
 
+def _two_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The telemetry, split at the midpoint of its event time span."""
+    events = _events(spark, sf_dir)
+    span = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    split = span["lo"] + (span["hi"] - span["lo"]) / 2
+    rows = fixtures.telemetry_rows(events).select(*TELEMETRY_FIELDS, F.col("event_time"))
+    return rows.where(F.col("event_time") < ts_literal(split)), rows.where(F.col("event_time") >= ts_literal(split))
+
+
 @query("stream_utilization")
 def q_stream_utilization(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live path end to end on a file stream.  The window that straddles
     the two drops is emitted twice; the keep-latest view over the appended
     batches equals the batch aggregate."""
     base = scratch_path(spark, "stream_utilization")
-    _stream_in_two_drops(spark, sf_dir, base, None)
+    _stream_in_drops(spark, _two_halves(spark, sf_dir), base, None)
     latest = latest_per_key(spark.read.parquet(f"{base}/metrics")).select(*UTILIZATION_COLUMNS)
     return _ntz(latest, "window_start", "window_end")
 
@@ -413,5 +418,49 @@ def q_stream_serving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same run with its micro-batches merged, checked and typed, into the
     serving table as they come."""
     base = scratch_path(spark, "stream_serving")
-    _stream_in_two_drops(spark, sf_dir, base, f"{base}/serving")
-    return _ntz(spark.read.parquet(f"{base}/serving").select(*UTILIZATION_COLUMNS), "window_start", "window_end")
+    serving = utilization_table(f"{base}/serving")
+    _stream_in_drops(spark, _two_halves(spark, sf_dir), base, serving)
+    return _ntz(serving.read(spark).select(*UTILIZATION_COLUMNS), "window_start", "window_end")
+
+
+@query("late_repair")
+def q_late_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A live run in which every tenth event comes after all others, mostly too
+    late for its window; then the repair from the lake.  The serving table equals
+    the batch aggregate, and says how many dropped rows each window got back."""
+    base = scratch_path(spark, "late_repair")
+    rows = fixtures.telemetry_rows(_events(spark, sf_dir), keep_event_id=True)
+    tenth = F.col("event_id") % params.LATE_EVERY == 0
+    serving = utilization_table(f"{base}/serving")
+    _stream_in_drops(spark, tuple(rows.where(c).select(*TELEMETRY_FIELDS, "event_time") for c in (~tenth, tenth)), base, serving)
+    changed = repair_late_windows(spark, read_clean_lake(spark, f"{base}/lake"), serving, f"{base}/marks", exact_money=True)
+    table = serving.read(spark).select(*UTILIZATION_COLUMNS)
+    recovered = changed.select(*UTILIZATION_KEY, "recovered_rows")
+    out = table.join(recovered, list(UTILIZATION_KEY), "left").withColumn("recovered_rows", F.coalesce("recovered_rows", F.lit(0)).cast("long"))
+    return _ntz(out, "window_start", "window_end")
+
+
+def served_tables(spark: SparkSession, sf_dir: str, reports: bool = False) -> tuple[VersionedTable, VersionedTable]:
+    """The keep-latest view (and the report) as stored serving tables."""
+    base = scratch_path(spark, "served")
+    discard_at_exit(spark, base)
+    metrics, report = utilization_table(f"{base}/metrics"), report_table(f"{base}/report")
+    merge_utilization(spark, metrics, serving_rows(spark, sf_dir, stored=True))
+    if reports:
+        merge_profitability(spark, report, report_rows(spark, sf_dir, stored=True), params.UPDATED_AT_TARGET)
+    return metrics, report
+
+
+@query("latest_window_served")
+def q_latest_window_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest closed window off the stored table: the manifest names the
+    day, and one day's folder is read."""
+    metrics, _ = served_tables(spark, sf_dir)
+    rows = served_latest_window(spark, metrics, closed_before=params.CLOSED_BEFORE)
+    return _ntz(rows, "window_start", "window_end", "processed_at")
+
+
+@query("health_snapshot_served")
+def q_health_snapshot_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The health snapshot off the manifests, without reading a row."""
+    return _ntz(snapshot_row(spark, *served_tables(spark, sf_dir, reports=True)), "last_processed_at")

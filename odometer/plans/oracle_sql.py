@@ -14,6 +14,7 @@ from odometer.plans.params import (
     CLOSED_ZONE,
     CHECK_MINUTES,
     HEALTH_NOW,
+    LATE_EVERY,
     LATE_FEE,
     LATEST_ZONE,
     REPORT_DAY,
@@ -496,3 +497,24 @@ ORACLES["sliding_metrics_approx"] = (
 )
 
 ORACLES["stream_utilization"] = ORACLES["utilization_5m"]
+
+ORACLES["late_repair"] = with_ctes(TELEMETRY, CLEAN.replace("SELECT trip_id", "SELECT event_id, trip_id"), UTILIZATION) + f""",
+live AS (
+  SELECT *, time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start, event_id % {LATE_EVERY} = 0 AS late FROM clean
+),
+dropped AS (
+  SELECT window_start, zone, count(*) AS recovered_rows FROM live
+  WHERE late AND window_start + INTERVAL 5 MINUTE <= (SELECT max(event_time) FROM live WHERE NOT late) - INTERVAL 2 MINUTE
+  GROUP BY window_start, zone
+)
+SELECT zone, CAST(telemetry_event_count AS INTEGER) AS telemetry_event_count,
+       CAST(idle_event_count AS INTEGER) AS idle_event_count, CAST(on_trip_event_count AS INTEGER) AS on_trip_event_count,
+       CAST(active_event_count AS INTEGER) AS active_event_count,
+       {dec('observed_earnings', 14, 2)} AS observed_earnings, {dec('average_speed', 8, 2)} AS average_speed,
+       window_start, window_end, {dec('idle_ratio', 7, 4)} AS idle_ratio,
+       CAST(coalesce(recovered_rows, 0) AS BIGINT) AS recovered_rows
+FROM util LEFT JOIN dropped USING (window_start, zone)"""
+
+ORACLES["latest_window_served"] = ORACLES["latest_window_closed"]
+
+ORACLES["health_snapshot_served"] = ORACLES["health_snapshot"]

@@ -12,3 +12,4 @@ CHECK_MINUTES = 2  # interval of the freshness check grid
 LOCAL_ZONE = "Asia/Colombo"  # zone of naive wall-clock times in utc_normalize
 CLOSED_BEFORE = "2024-01-12 23:32:00"  # newest-window reads as of this time (a window of several zones)
 CLOSED_ZONE = "colombo_north_west"  # zone argument of that read
+LATE_EVERY = 10  # every tenth event comes after all others (late_repair)

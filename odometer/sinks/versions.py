@@ -88,8 +88,9 @@ class VersionedTable:
         paths = [f"{self.path}/{at.parts[v]['folder']}/{self.partition}={v}" for v in held]
         return spark.read.schema(StructType(schema.fields).add(self.partition, "date")).option("basePath", self.path).parquet(*paths)
 
-    def newest_day(self, spark: SparkSession, until: str | None = None) -> str | None:
-        return max((v for v in self.snapshot(spark).parts if until is None or v <= until), default=None)
+    def newest_days(self, spark: SparkSession, days: int = 1, until: str | None = None) -> list[str]:
+        """The newest partition values, up to ``until``, from the manifest."""
+        return sorted(v for v in self.snapshot(spark).parts if until is None or v <= until)[-days:]
 
     def replace(self, spark: SparkSession, values: list[str], build: Callable[[DataFrame | None], DataFrame], order: list[str]) -> int:
         """Replace the partitions ``values`` by what ``build`` makes of their
@@ -173,3 +174,18 @@ def snapshot_row(spark: SparkSession, utilization: VersionedTable, report: Versi
         F.lit(reports.rows).cast("long").alias("profitability_rows"),
     )
 
+
+def served_latest_window(spark: SparkSession, table: VersionedTable, zone: str | None = None, closed_before=None) -> DataFrame | None:
+    """``latest_window`` off a stored utilization table; None where it is empty.
+
+    The newest window lies in the newest day.  The newest one closed by a time
+    lies in that time's day or, if none of it was closed yet, in the stored day
+    before; no other folder is read.
+    """
+    from odometer.operators.serving import check_zone_argument, latest_window
+
+    check_zone_argument(zone)
+    at = table.snapshot(spark)
+    days = sorted(v for v in at.parts if closed_before is None or v <= str(closed_before)[:10])
+    rows = table.read(spark, days[-1 if closed_before is None else -2 :], at)
+    return None if rows is None else latest_window(rows.drop(table.partition), zone, closed_before)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from odometer import hadoop
 from odometer.sinks import versions
 from odometer.sinks.merge import merge_profitability, merge_utilization, outstanding_rejects, replay_rejects, serve_utilization
-from odometer.sinks.versions import VersionedTable, report_table, snapshot_row, utilization_table
+from odometer.sinks.versions import VersionedTable, report_table, served_latest_window, snapshot_row, utilization_table
 
 T0 = dt.datetime(2024, 1, 1, 0, 0)
 DAY = dt.timedelta(days=1)
@@ -40,7 +40,7 @@ def test_guarded_merge_by_versions(spark, scratch):
     # one day is read: no file of another folder
     day = table.read(spark, ["2024-01-02"])
     assert day.count() == 1 and all("window_date=2024-01-02" in f for f in day.inputFiles())
-    assert table.newest_day(spark) == "2024-01-02" and table.newest_day(spark, "2024-01-01") == "2024-01-01"
+    assert table.newest_days(spark) == ["2024-01-02"] and table.newest_days(spark, 2, "2024-01-01") == ["2024-01-01"]
     # an older version is still readable
     assert stored(spark, table, snapshot=table.snapshot(spark, 1)) == {(1, "a"): 1, (2, "a"): 1}
     merge_utilization(spark, table, metric(spark, []))
@@ -179,3 +179,22 @@ def test_replay_round_trip(spark, scratch):
     assert table.snapshot(spark).number == before and outstanding_rejects(spark, rejects) == []
     assert {z: str(r) for z, r in table.read(spark).select("zone", "observed_earnings").collect()} == {
         "a": "2.00", "b": "2.00", "a-huge": "5.00", "b-huge": "6.00"}
+
+
+def test_newest_window_reads_its_day_only(spark, scratch):
+    table = utilization_table(f"{scratch}/t")
+    assert served_latest_window(spark, table) is None
+    hour = dt.timedelta(hours=1)
+    rows = [(T0, "colombo_a", 1, T0, 0), (T0 + 23 * hour, "colombo_a", 2, T0, 0), (T0 + 23 * hour, "outside_service_area", 3, T0, 0),
+            (T0 + 2 * DAY, "colombo_b", 4, T0, 0)]
+    merge_utilization(spark, table, metric(spark, rows))
+    newest = served_latest_window(spark, table)
+    assert [(r["zone"], r["metric_window_count"]) for r in newest.collect()] == [("colombo_b", 1)]
+    assert all("window_date=2024-01-03" in f for f in newest.inputFiles())
+    for before in ("2024-01-02 12:00:00", "2024-01-03 00:01:00"):
+        closed = served_latest_window(spark, table, closed_before=before)
+        assert [(r["zone"], r["telemetry_event_count"]) for r in closed.collect()] == [("colombo_a", 2), ("outside_service_area", 3)]
+        assert not any("window_date=2024-01-02" in f for f in closed.inputFiles())
+    assert [r["zone"] for r in served_latest_window(spark, table, "colombo_a", "2024-01-02 12:00:00").collect()] == ["colombo_a"]
+    with pytest.raises(ValueError):
+        served_latest_window(spark, table, "elsewhere")
