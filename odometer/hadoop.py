@@ -61,6 +61,17 @@ def put_new(spark: SparkSession, path: str, text: str) -> bool:
     out = files.create(aside, False)
     out.write(bytearray(text.encode()))
     out.close()
+    if move_new(spark, aside.toString(), path):
+        return True
+    files.delete(aside, False)
+    return False
+
+
+def move_new(spark: SparkSession, source: str, path: str) -> bool:
+    """Rename a file or folder to a name that must be free; False where it is
+    taken."""
+    aside, _ = _place(spark, source)
+    where, files = _place(spark, path)
     jvm, gateway = spark._jvm, spark.sparkContext._gateway
     kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
     never_over = gateway.new_array(kind, 1)
@@ -70,7 +81,6 @@ def put_new(spark: SparkSession, path: str, text: str) -> bool:
         context.rename(context.makeQualified(aside), context.makeQualified(where), never_over)
         return True
     except Exception as err:  # noqa: BLE001 - the JVM's exception is looked at
-        files.delete(aside, False)
         if files.exists(where):
             return False
         raise err

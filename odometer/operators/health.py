@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from odometer.functions.timeutil import ts_literal
 from odometer.schemas import UTILIZATION_KEY
-from odometer.session import materialize, path_missing
+from odometer.session import materialize
+
+LOG = logging.getLogger("odometer.health")
 
 # The freshness rule's texts, severities and defaults.
 DEFAULT_THRESHOLD_SECONDS = 120
@@ -261,30 +265,31 @@ def gauges(snapshot: DataFrame, now=None, threshold_seconds: int = DEFAULT_THRES
     )
 
 
-def _or_when_unreadable(build, otherwise) -> DataFrame:
-    from pyspark.errors import AnalysisException
+def _or_when_unreadable(spark, build, schema: str, otherwise: list) -> DataFrame:
+    """``build()``'s rows, read now: a missing table fails at analysis, but a
+    corrupt or vanished file only when it is read, and both must be answered.
+    The answer is a handful of rows."""
+    from py4j.protocol import Py4JError
+    from pyspark.errors import PySparkException
 
     try:
         df = build()
-        df.schema  # noqa: B018 - forces analysis (missing paths fail here)
-        return df
-    except AnalysisException as err:
-        if path_missing(err) or err.getCondition() == "TABLE_OR_VIEW_NOT_FOUND":
-            return otherwise()
-        raise
+        rows, shape = df.collect(), df.schema
+    except (PySparkException, Py4JError, OSError) as err:
+        LOG.warning("serving tables can't be read: %s", str(err)[:500])
+        return spark.createDataFrame(otherwise, schema)
+    return spark.createDataFrame(rows, shape)
 
 
 def gauges_or_absent(spark, build) -> DataFrame:
-    """Gauges from ``build()``, or 0 rows / age -1 when there is no source."""
-    rows = [(GAUGE_METRIC_ROWS, 0), (GAUGE_AGE, -1)]
-    return _or_when_unreadable(build, lambda: spark.createDataFrame(rows, "name string, value long"))
+    """Gauges from ``build()``, or 0 rows / age -1 when the source can't be read."""
+    return _or_when_unreadable(spark, build, "name string, value long", [(GAUGE_METRIC_ROWS, 0), (GAUGE_AGE, -1)])
 
 
 def health_or_unavailable(spark, build) -> DataFrame:
     """The health answer from ``build()``, or ``unhealthy`` with a fixed reason
     when the serving tables can't be read."""
-    row = [("unhealthy", REASON_UNAVAILABLE)]
-    return _or_when_unreadable(build, lambda: spark.createDataFrame(row, "status string, reason string"))
+    return _or_when_unreadable(spark, build, "status string, reason string", [("unhealthy", REASON_UNAVAILABLE)])
 
 
 def exposition_text(gauge_rows: DataFrame) -> DataFrame:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyspark.sql.types import StringType, StructField, StructType
-
-from odometer.schemas import EXPENSE_CSV_SCHEMA
-from odometer.session import path_missing
+from odometer import hadoop
 from odometer.sources.expenses import expense_feed_text
 
 
@@ -50,33 +49,50 @@ def feed_file_name(report_date: F.Column) -> F.Column:
     return F.concat(F.lit("vehicle_expenses_"), report_date.cast("string"), F.lit(".csv"))
 
 
+CLAIMS = "_claims"
+
+
 def write_expense_feed(feed: DataFrame, path: str, overwrite: bool = False) -> None:
     """Publish daily feeds under ``<path>/feed_file=vehicle_expenses_<date>.csv/``.
 
-    Spark's commit protocol makes each publication atomic.  A date that is
-    already published is refused unless ``overwrite=True``; with overwrite
-    only the dates being written are replaced.
+    A date is claimed before anything is written, by a file that only one
+    publication can create; a date that is published or claimed is refused unless
+    ``overwrite=True``.  The feeds are written aside, and each date's folder
+    appears by one rename, so no reader and no failure ever meets half a feed.  A
+    publication that fails gives its claims back.  One that was killed leaves
+    them: see ``abandoned_claims``.
+
+    With overwrite only the dates being written are replaced.
     """
-    spark = feed.sparkSession
+    spark, root = feed.sparkSession, path.rstrip("/")
     text = expense_feed_text(feed).withColumn("feed_file", feed_file_name(F.col("report_date")))
-    if not overwrite:
-        from pyspark.errors import AnalysisException
-
-        try:
-            # explicit schema: the published dates come from the partition
-            # listing, with no job to infer a header from existing files
-            listed = StructType(EXPENSE_CSV_SCHEMA.fields + [StructField("feed_file", StringType(), True)])
-            existing = spark.read.schema(listed).option("header", True).csv(path).select("feed_file").distinct()
-            clash = existing.join(text.select("feed_file").distinct(), "feed_file", "left_semi").limit(1).count()
-        except AnalysisException as err:
-            if not path_missing(err):
-                raise
-            clash = 0
-        if clash:
-            raise FileExistsError(f"an expense feed for one of these dates already exists under {path}")
+    if overwrite:
+        _write_feeds(text, root, "overwrite")
+        return
+    # One name per date: bounded by the calendar.
+    dates = sorted(r[0] for r in text.select("feed_file").distinct().collect())
+    claimed: list[str] = []
+    aside = f"{root}/_publishing-{uuid.uuid4().hex}"
+    try:
+        for date in dates:
+            if hadoop.matches(spark, f"{root}/feed_file={date}") or not hadoop.claim(spark, f"{root}/{CLAIMS}/{date}"):
+                raise FileExistsError(f"an expense feed {date} already exists or is being published under {path}")
+            claimed.append(date)
+        _write_feeds(text, aside, "errorifexists")
+        for date in dates:
+            if not hadoop.move_new(spark, f"{aside}/feed_file={date}", f"{root}/feed_file={date}"):
+                raise FileExistsError(f"an expense feed {date} already exists under {path}")
+            claimed.remove(date)
+    finally:
+        for date in claimed:
+            hadoop.remove(spark, f"{root}/{CLAIMS}/{date}")
+        hadoop.remove(spark, aside)
+
+
+def _write_feeds(text: DataFrame, path: str, mode: str) -> None:
     (
         text.repartitionByRange("feed_file", "vehicle_id")
-        .write.mode("overwrite" if overwrite else "append")
+        .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("header", True)
         .partitionBy("feed_file")
@@ -84,6 +100,19 @@ def write_expense_feed(feed: DataFrame, path: str, overwrite: bool = False) -> N
     )
 
 
+def abandoned_claims(spark, path: str) -> list[str]:
+    """Feeds that are claimed but not published: of a publication that runs, or
+    of one that was killed."""
+    root = path.rstrip("/")
+    return [d for d in hadoop.names(spark, f"{root}/{CLAIMS}") if not hadoop.matches(spark, f"{root}/feed_file={d}")]
+
+
+def release_claims(spark, path: str, dates: list[str]) -> None:
+    """Give back claims of publications that are known to be dead."""
+    for date in dates:
+        hadoop.remove(spark, f"{path.rstrip('/')}/{CLAIMS}/{date}")
+
+
 def append_alerts(alerts: DataFrame, path: str, since: str) -> None:
     """Add alert rows (with their JSON context) to the alert log, in the
     partition of the check ``since`` which they were sought: a run that is

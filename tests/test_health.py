@@ -8,6 +8,7 @@ from odometer.operators.health import (
     exposition_text,
     gauges,
     gauges_or_absent,
+    health_or_unavailable,
     health_columns,
     health_snapshot,
     health_status,
@@ -139,6 +140,33 @@ def test_gauges_when_source_is_unreadable(spark, scratch):
     assert g == {"fleet_serving_metric_rows": 0, "fleet_last_telemetry_age_seconds": -1}
 
 
+def test_answers_when_a_file_is_corrupt_or_vanishes(spark, scratch):
+    """Such a table passes analysis and fails only when it is read."""
+    import os
+    import shutil
+
+    path = f"{scratch}/serving"
+    _serving(spark, [NOW]).write.parquet(path)
+    part = next(f for f in os.listdir(path) if f.endswith(".parquet"))
+    os.remove(f"{path}/.{part}.crc")
+    with open(f"{path}/{part}", "r+b") as fh:
+        fh.seek(4)
+        fh.write(b"\xff" * 64)
+    schema = _serving(spark, [NOW]).schema
+    corrupt = spark.read.schema(schema).parquet(path)
+    gone = f"{scratch}/gone"
+    shutil.copytree(path, gone)
+    vanished = spark.read.schema(schema).parquet(gone)
+    os.remove(f"{gone}/{part}")
+    for table in (corrupt, vanished):
+        g = {r["name"]: r["value"] for r in gauges_or_absent(spark, lambda t=table: gauges(health_snapshot(t, t), NOW, 60)).collect()}
+        assert g == {"fleet_serving_metric_rows": 0, "fleet_last_telemetry_age_seconds": -1}
+        status = health_or_unavailable(spark, lambda t=table: health_status(health_snapshot(t, t), NOW, 60)).first()
+        assert (status["status"], status["reason"]) == ("unhealthy", "Serving database is unavailable.")
+    fine = health_or_unavailable(spark, lambda: health_status(health_snapshot(_serving(spark, [NOW]), spark.range(1)), NOW, 60))
+    assert fine.first()["status"] == "healthy"
+
+
 def test_timestamp_literals_ignore_the_driver_zone(spark):
     import os
     import time

@@ -139,3 +139,47 @@ def test_lake_read_honours_the_commit_log(spark, scratch):
     shutil.copy(committed, f"{day_dir}/part-99999-uncommitted.c000.snappy.parquet")
     assert read_clean_lake(spark, lake).count() == 1
     assert read_clean_lake(spark, lake, bypass_commit_log=True).count() == 2
+
+
+def test_of_two_publications_of_a_date_one_fails(spark, scratch, monkeypatch):
+    from odometer.sinks import files
+
+    d1, d2, d3 = (dt.date(2026, 9, d) for d in (26, 27, 28))
+    path = f"{scratch}/feed"
+    write, raced = files._write_feeds, []
+
+    def overtaken(*args):
+        if not raced:
+            raced.append(1)
+            with pytest.raises(FileExistsError):
+                write_expense_feed(_feed(spark, d2, maint=9.0).unionByName(_feed(spark, d3)), path)
+        return write(*args)
+
+    monkeypatch.setattr(files, "_write_feeds", overtaken)
+    write_expense_feed(_feed(spark, d1).unionByName(_feed(spark, d2)), path)
+    rows = read_expense_feed(spark, path).collect()
+    assert {(r["report_date"], r["maintenance_cost"]) for r in rows} == {(d1, 1.0), (d2, 1.0)} and len(rows) == 6
+    # the loser gave its claims back: its other date is free
+    assert files.abandoned_claims(spark, path) == []
+    write_expense_feed(_feed(spark, d3), path)
+
+
+def test_a_publication_that_fails_leaves_nothing(spark, scratch):
+    from odometer.sinks.files import abandoned_claims, release_claims
+
+    d1, path = dt.date(2026, 9, 26), f"{scratch}/feed"
+    broken = _feed(spark, d1).withColumn("fuel_cost", F.when(F.col("vehicle_id") == "V1", F.raise_error(F.lit("lost")).cast("double")).otherwise(F.col("fuel_cost")))
+    with pytest.raises(Exception, match="lost"):
+        write_expense_feed(broken, path)
+    assert glob.glob(f"{path}/feed_file=*") == [] and glob.glob(f"{path}/_publishing*") == []
+    write_expense_feed(_feed(spark, d1), path)
+    # a killed publication leaves its claim, which refuses the date until it is given back
+    os.makedirs(f"{path}/_claims", exist_ok=True)
+    killed = "vehicle_expenses_2026-09-27.csv"
+    open(f"{path}/_claims/{killed}", "w").close()
+    with pytest.raises(FileExistsError):
+        write_expense_feed(_feed(spark, dt.date(2026, 9, 27)), path)
+    assert abandoned_claims(spark, path) == [killed]
+    release_claims(spark, path, [killed])
+    write_expense_feed(_feed(spark, dt.date(2026, 9, 27)), path)
+    assert read_expense_feed(spark, path).count() == 6
