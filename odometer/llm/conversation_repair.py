@@ -183,14 +183,17 @@ def _faults(rows: DataFrame) -> DataFrame:
 
 
 def _mapped(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInPandas`` over the columns of ``df``, a batch at a time."""
+    """``mapInPandas`` over the columns of ``df``, a batch at a time.  Words are
+    small for the work that they are, so their partitions stay as many as shuffles
+    have."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield fn(batch)
 
     ship(df.sparkSession)
-    return df.mapInPandas(run, schema)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, "conv", "stretch").mapInPandas(run, schema)
 
 
 def _times(left: Column, right: Column) -> Column:
