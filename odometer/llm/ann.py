@@ -17,7 +17,8 @@ therefore cut into bands of members whose lengths differ by ``WIDTH`` at most, a
 the rest is taken up to the band's longest.  Every query climbs in every band.
 
 How many candidates are enough, over all trees, is in each band the share
-``quota`` of its vectors, and ``least`` at any size: vectors without near neighbours (64 random dimensions) need a large
+``quota`` of its vectors, and its part of ``least``, which holds for all bands
+together: vectors without near neighbours (64 random dimensions) need a large
 share for a recall of 0.9, see the README.  Equal vectors are one class with
 its smallest ids, as further copies cannot be among the nearest; so a vector
 that a third of all rows share costs no more than any other.
@@ -56,8 +57,8 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def _classes(rows: DataFrame, is_query, most: int) -> tuple[DataFrame, DataFrame]:
-    """Distinct vectors (cls, vec, ids: the ``most`` smallest, asked: whether a
-    query has it) and the queries (vec_id, cls).  Classes are numbered by their
+    """Distinct vectors (cls, vec, ids: the ``most`` smallest, each with its row's
+    number n, asked: whether a query has it) and the queries (vec_id, n, cls).  Classes are numbered by their
     smallest vec_id: where scores tie, a class with a larger number than ``most``
     others has no row among the ``most`` first."""
     numbered = ordinals(rows, ["vec", "vec_id"], "n", "vectors")
@@ -67,8 +68,9 @@ def _classes(rows: DataFrame, is_query, most: int) -> tuple[DataFrame, DataFrame
     members = numbered.join(first.select("vec", "cls", "start"), "vec")
     members = members.select("cls", "start", "vec_id", "n", is_query.alias("query"))
     members = stash(members, "members")
-    ids = members.filter(F.col("n") < F.col("start") + most).groupBy("cls").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    return first.drop("start").join(ids, "cls"), members.filter("query").select("vec_id", "cls")
+    ids = members.filter(F.col("n") < F.col("start") + most).groupBy("cls")
+    ids = ids.agg(F.sort_array(F.collect_list(F.struct("vec_id", "n"))).alias("ids"))
+    return first.drop("start").join(ids, "cls"), members.filter("query").select("vec_id", "n", "cls")
 
 
 def _length(vec: str) -> Column:
@@ -201,9 +203,10 @@ def nearest_neighbours(
     # Prefix ranges: counts of leaves, summed up towards the roots.  A leaf this
     # deep holds a few vectors; the climb never starts below it.
     depth = F.greatest(F.lit(1), F.least(F.lit(bits), F.ceil(F.log2("size")).cast("int")))
-    enough = F.least(F.greatest(F.ceil(F.lit(float(quota)) * F.col("size")), F.lit(least)), F.col("size") * trees)
     sizes = hashed.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
     # One row per band: bounded by the range of lengths.
+    share = F.greatest(F.lit(float(quota)), F.lit(least) / F.sum("size").over(Window.partitionBy(F.expr("shiftright(band, 32)"))))
+    enough = F.least(F.ceil(share * F.col("size")), F.col("size") * trees)
     sizes = stash(sizes.select("band", depth.alias("depth"), enough.alias("enough")), "bands")
     dims = F.expr("shiftright(band, 32)").alias("dims")
     leaf = F.expr(f"shiftright(hash, {bits} - depth)")
@@ -259,13 +262,12 @@ def nearest_neighbours(
     first = Window.partitionBy("cls").orderBy(F.desc("score"), "near")
     best = stash(best.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= nearest + 1).drop("n"), "best")
     ids = classes.select(F.col("cls").alias("near"), "ids")
-    found = best.join(ids, "near").select("cls", "score", F.explode("ids").alias("vec_id"))
-    first = Window.partitionBy("cls").orderBy(F.desc("score"), "vec_id")
-    found = found.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= nearest + 1)
-    found = found.groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("found"))
-    # Each query leaves out its own row, the first with its id, and takes the rest.
-    joined = queries.withColumnRenamed("vec_id", "query_id").join(found, "cls")
-    mine = F.array_position(F.col("found.vec_id"), F.col("query_id"))
-    others = F.filter("found", lambda s, i: i + 1 != mine)
+    found = best.join(ids, "near").select("cls", "score", F.explode("ids").alias("row"))
+    first = Window.partitionBy("cls").orderBy(F.desc("score"), "row")
+    found = found.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= nearest + 1)
+    found = found.groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("at", "row.vec_id", "row.n", "score"))).alias("found"))
+    # Each query leaves out its own row, known by its number, and takes the rest.
+    joined = queries.select(F.col("vec_id").alias("query_id"), F.col("n").alias("own"), "cls").join(found, "cls")
+    others = F.filter("found", lambda s: s["n"] != F.col("own"))
     joined = joined.select("query_id", F.posexplode(F.slice(others, 1, nearest)).alias("at", "s"))
     return joined.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), "s.vec_id", "s.score")

@@ -4,11 +4,13 @@ Texts become vectors of hashed character n-grams (1 to 3, over letters with one
 space between words), weighted by TF-IDF and scaled to length 1.  Each language
 has a few centroids, found by spherical k-means on a bounded sample of labelled
 rows; a text takes the language of the centroid with the largest cosine.  Texts
-whose best cosine is far below what labelled texts of their length reach are
-rejected as being in no learned language.
+whose best cosine is below what nearly all labelled texts of their length reach
+are rejected as being in no learned language.
 
-How near a text of some length comes is learned from the sample texts and from
-beginnings of them, as short texts are far from every centroid.
+How near a text of some length comes is learned from all labelled rows, read
+whole, and, as short texts are rare and far from every centroid, from beginnings
+of the sample texts.  A low quantile of each length sets its floor, so that no
+single odd or mislabelled row does.
 
 The sample is at most ``SAMPLE`` rows per language, the smallest hashes of
 (doc_id, text); repeated rows count once.  Texts are read whole, in training
@@ -34,9 +36,10 @@ DIMENSIONS = 4096
 SAMPLE = 600
 CENTROIDS = 4
 ROUNDS = 12
-#: A text is rejected below this share of the smallest best cosine that sample
-#: texts, or beginnings of them, of its length class had.
-REJECT_SHARE = 0.5
+#: A text is rejected below this share of the best cosine that all but this
+#: quantile of the labelled texts of its length class have.
+REJECT_SHARE = 0.9
+REJECT_QUANTILE = 0.005
 #: Beginnings of sample texts, in characters, that show how near short texts come.
 CUTS = tuple(4 << i for i in range(10))
 UNKNOWN = "und"
@@ -133,9 +136,10 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CENTROIDS, share: float = REJECT_SHARE) -> Model:
+def train(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CENTROIDS, share: float = REJECT_SHARE, quantile: float = REJECT_QUANTILE) -> Model:
     """Fit on ``labelled`` (doc_id, text, lang); rows without language or
-    letters teach nothing, and no rows give a model without languages."""
+    letters teach nothing, and no rows give a model without languages.  Centroids
+    come from the sample, floors from all rows."""
     rows = labelled.filter("lang is not null and text is not null").select(
         "lang", F.xxhash64("doc_id", "text").alias("key"), "text"
     )
@@ -191,17 +195,35 @@ def train(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CENTROIDS,
     owner = np.array([languages.index(r["lang"]) for r in found], int)
     model = Model(languages, centroids, owner, idf, {})
 
-    def nearness(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def nearness(counts: np.ndarray) -> tuple[list[int], np.ndarray]:
+        best = (model.vectors(counts) @ centroids.T).max(axis=1)
+        return [length_class(v) for v in counts.sum(axis=1)], best
+
+    def of_beginnings(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             # A few rows at a time: dense vectors are large.
             for at in range(0, len(frame), 256):
-                x = dense(frame[at : at + 256])
-                best = (model.vectors(x) @ centroids.T).max(axis=1)
-                yield pd.DataFrame({"cls": [length_class(v) for v in x.sum(axis=1)], "best": best})
+                cls, best = nearness(dense(frame[at : at + 256]))
+                yield pd.DataFrame({"cls": cls, "best": best})
+
+    def of_texts(batch: pa.RecordBatch) -> pa.RecordBatch:
+        cls, best = [], []
+        texts = batch.column(0).to_pylist()
+        for at in range(0, len(texts), 256):
+            counts = [c for t in texts[at : at + 256] if (c := ngram_counts(t)) is not None]
+            if counts:
+                more, near = nearness(np.stack(counts))
+                cls += more
+                best += near.tolist()
+        return pa.RecordBatch.from_arrays([pa.array(cls, pa.int32()), pa.array(best, pa.float64())], ["cls", "best"])
 
     if languages:
-        near = everything.mapInPandas(nearness, "cls int, best double").groupBy("cls").agg(F.min("best").alias("least"))
-        model.floor = {r["cls"]: share * r["least"] for r in near.collect()}
+        shape = "cls int, best double"
+        near = arrow_map(rows.select("text"), of_texts, shape, "text")
+        near = near.unionByName(everything.filter("cut > 0").mapInPandas(of_beginnings, shape))
+        # One row per length class; the sketch of each is of fixed size.
+        low = near.groupBy("cls").agg(F.percentile_approx("best", quantile, 10_000).alias("low"))
+        model.floor = {r["cls"]: share * r["low"] for r in low.collect()}
     return model
 
 

@@ -103,25 +103,28 @@ def mix_plan(docs: DataFrame, weights: tuple = WEIGHTS, most: float = MAX_EPOCHS
         F.struct("key", "doc_id", F.col("size").alias("size")).alias("at"),
         F.expr("(left - sofar) div m").alias("at_words"),
     )
+    # What the plan says of a source is one struct, named like no column of ``docs``.
+    told, p_source = fresh(keyed, "plan", "p_source")
     plan = plan.join(cut, same(plan["source"], cut["c_source"]), "left").select(
-        F.col("source").alias("p_source"), "source_size", "target", "epochs", "at", "at_words"
+        F.col("source").alias(p_source), F.struct("source_size", "target", "epochs", "at", "at_words").alias(told)
     )
     plan = stash(plan, "mix-plan")
 
-    joined = keyed.join(plan, same(keyed["source"], plan["p_source"]), "left")
+    joined = keyed.join(plan, same(keyed["source"], plan[p_source]), "left")
+    at = F.col(f"{told}.at")
     own = F.struct(F.col(f"{mix}.key").alias("key"), F.col(f"{mix}.doc_id").alias("doc_id"), F.col(f"{mix}.size").alias("size"))
     words = F.col(f"{mix}.size")
-    more = F.when(F.col("at").isNull() | (own > F.col("at")), 0).when(own == F.col("at"), F.col("at_words")).otherwise(words)
+    more = F.when(at.isNull() | (own > at), 0).when(own == at, F.col(f"{told}.at_words")).otherwise(words)
     more = more.cast("long")
     whole = (words > 0) & (more >= words)
     return joined.select(
         *[F.col(f"`{c}`") for c in docs.columns],
         F.struct(
             words.alias("size"),
-            F.col("source_size").alias("source_size"),
-            F.col("target").alias("target"),
-            (F.col("epochs") * words + more).alias("taken"),
-            (F.col("epochs") + whole.cast("long")).alias("copies"),
+            F.col(f"{told}.source_size").alias("source_size"),
+            F.col(f"{told}.target").alias("target"),
+            (F.col(f"{told}.epochs") * words + more).alias("taken"),
+            (F.col(f"{told}.epochs") + whole.cast("long")).alias("copies"),
             F.when(whole, F.lit(0)).otherwise(more).cast("long").alias("part"),
         ).alias(mix),
     )

@@ -49,6 +49,16 @@ def test_ties_and_a_hot_vector(spark, vectors):
     assert sorted(found(table(spark, rows), nearest=7)) == sorted(brute(rows, 7))
 
 
+def test_rows_that_share_an_id(spark):
+    """Each query leaves out its own row, not the first with its id."""
+    rows = [(20, [1.0, 0.0]), (20, [3.0, 0.0]), (20, [1.0, 0.0]), (21, [0.5, 1.0]), (40, [3.0, 0.0])]
+    want = sorted(brute(rows, 20))
+    assert sorted(found(table(spark, rows))) == want
+    assert (20, 1, 20, 3.0) in want and (20, 1, 20, 9.0) not in want and (20, 1, 40, 9.0) in want
+    many = [(20, [2.0, 1.0])] * 30 + [(7, [2.0, 1.0])] * 3 + rows
+    assert sorted(found(table(spark, many))) == sorted(brute(many, 20))
+
+
 def test_recall_with_vectors_of_one_length(spark, vectors):
     unit = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
     rows = [(i, v.tolist()) for i, v in enumerate(unit)]

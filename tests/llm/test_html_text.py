@@ -109,3 +109,50 @@ def test_table(spark):
     want = [(1, "u", TEXT, len(TEXT)), (1, None, "", 0), (None, "v", "", 0), (3, "w", "é", 1)]
     assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
     assert extract_pages(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("unseen", ["<script>x</script>", "<svg><g><text>a, b</text></g></svg>", "<noscript><p>x<br></p></noscript>", "<select><option>x</select>", "<template><div>x</div></template>"])
+def test_what_is_not_seen_ends_no_block(unseen):
+    assert main_text(page(f"<article><p>{LONG} And{unseen} on, {unseen}again.</p><p>{LONG}</p></article>")) == f"{LONG} And on, again.\n{LONG}"
+
+
+def test_formulas_are_text():
+    assert main_text(f"<p>{LONG} <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> holds.</p>") == f"{LONG} x=1 holds."
+
+
+def test_the_header_of_an_article_is_its_own():
+    header = "<header class=entry-header><h1>Title</h1><p>Lead</p></header>"
+    assert main_text(page(f"{AROUND}<header><h1>Site</h1></header><article>{header}<p>{LONG}</p><p>{LONG} Two.</p></article>{AFTER}")) == f"Title\nLead\n{LONG}\n{LONG} Two."
+
+
+def test_furniture_by_name_that_is_the_page():
+    assert main_text(page(f"<p>x</p><div class=widget><p>{LONG}</p><p>{LONG} Two.</p></div>")) == f"{LONG}\n{LONG} Two."
+    assert main_text(page(f"<div class=widget>{ARTICLE}</div><ul class=comments><li>{LONG * 9}</ul>")) == TEXT
+
+
+@pytest.mark.parametrize(
+    "more",
+    [
+        f"<ol class=commentlist><li>{LONG}<li>{LONG}<li>{LONG}</ol>", f"<article class=comment><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></article>",
+        f"<section class='reader-replies'><p>{LONG}</p><p>{LONG}</p></section>",
+    ],
+)
+def test_reader_comments_go(more):
+    assert main_text(page(f"{AROUND}<article>{ARTICLE}{more}</article>{AFTER}")) == TEXT
+    assert main_text(page(f"{AROUND}<article>{ARTICLE}</article>{more}{AFTER}")) == TEXT
+
+
+@pytest.mark.parametrize("outside", [f"<section id=discussion><p>{LONG}</p></section>", f"<article><p>{LONG}</p></article>", f"<div><p>{LONG}</p></div>"])
+def test_beside_the_chief_article_nothing_counts(outside):
+    assert main_text(page(f"{AROUND}<article>{ARTICLE}</article>{outside}{AFTER}")) == TEXT
+    several = "".join(f"<article><p>{LONG} {i}</p></article>" for i in range(3))
+    assert main_text(page(f"<div>{several}</div>")) == "\n".join(f"{LONG} {i}" for i in range(3))
+
+
+def test_deep_nesting_takes_no_longer():
+    import time
+
+    start = time.perf_counter()
+    for body in ("".join(f"<div><p>{LONG}" for _ in range(4000)), "".join(f"<div class=ad{i}><h2>{LONG}</h2>" for i in range(4000))):
+        assert len(main_text(page(body))) > 0
+    assert time.perf_counter() - start < 4  # quadratic work took half a minute

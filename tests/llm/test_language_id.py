@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from odometer.llm.language_id import (
@@ -93,3 +94,24 @@ def test_empty_tables(spark):
     assert isinstance(model, Model) and model.languages == []
     assert identify(empty, model).count() == 0
     assert identify(labelled(spark, 3), model).select("found_.*").collect()[0] == ("und", 0.0, True)
+
+
+@pytest.mark.parametrize("left_out", ["fr", "es"])
+def test_a_left_out_language_of_the_same_script_is_rejected(spark, left_out):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang is not null")
+    learned = docs.filter(F.col("lang") != left_out)
+    judged = identify(docs.select("doc_id", "lang", "text"), train_on_open_rows(learned), ["doc_id", "lang"])
+    rows = judged.withColumn("h", held_out(F.col("doc_id"))).collect()
+    strange = [r.found.rejected for r in rows if r.lang == left_out]
+    own = [r.found.rejected for r in rows if r.lang != left_out]
+    held = [r.found.rejected for r in rows if r.lang != left_out and r.h]
+    assert len(strange) > 50 and np.mean(strange) >= 0.9
+    assert np.mean(own) <= 0.01 and np.mean(held) <= 0.01
+
+
+def test_one_mislabelled_row_loosens_no_floor(spark):
+    docs = labelled(spark, 400)
+    odd = spark.createDataFrame([(5000, "пример текста на другом языке " * 8, "aa", 1)], docs.schema)
+    before, after = train(docs), train(docs.unionByName(odd))
+    assert max(before.floor) == max(after.floor)
+    assert all(after.floor[c] > 0.5 * before.floor[c] for c in before.floor)

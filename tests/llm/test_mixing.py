@@ -1,5 +1,7 @@
 import math
 
+from pyspark.sql import functions as F
+
 from odometer.llm.mixing import mix_plan, mixed_documents, source_targets
 
 
@@ -89,3 +91,14 @@ def test_one_row_repeated_and_empty(docs_of):
     assert len({r.mix for r in plan if r.doc_id == 1}) == 1
     assert mix_plan(docs_of([])).count() == 0 and mixed_documents(docs_of([])).count() == 0
     assert [r.mix.taken for r in mix_plan(docs_of([(1, None, None), (2, " ", "x")])).collect()] == [0, 0]
+
+
+def test_columns_that_clash_with_the_plans(spark):
+    rows = [(i, "w " * (i % 5 + 1), "ab"[i % 2]) for i in range(20)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    names = "target epochs source_size at at_words mix plan p_source key size words nth stretch left cell ahead unit m rank weight cut".split()
+    clashing = plain.select("*", *[F.lit("x").alias(c) for c in names])
+    assert mixed_documents(clashing).columns == clashing.columns
+    told = lambda df: sorted(tuple(r[c] for c in ("doc_id", "text", "source")) for r in df.collect())
+    assert told(mixed_documents(clashing)) == told(mixed_documents(plain))
+    assert {r.target for r in mixed_documents(clashing).collect()} == {"x"}

@@ -80,3 +80,18 @@ def test_run_and_empty_table(spark, scratch, stages):
     assert corpus_pipeline.run(spark, SF_DIR).count() == len(stages[5][2])
     spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0).write.parquet(f"{scratch}/documents.parquet")
     assert corpus_pipeline.run(spark, scratch).count() == 0
+
+
+def test_stages_with_columns_of_clashing_names(spark, stages):
+    """Names that the operators use inside are the caller's own here."""
+    names = "found mix plan target epochs source_size at at_words text_key key cut k_id k_key rows fingerprint component_id keep_id size ids decoded".split()
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    from odometer.llm.common import stash
+
+    docs = stash(docs.selectExpr("*", *[f"'x' AS {c}" for c in names]), "test")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stash(stage(spark, docs, SF_DIR), "test")
+        assert docs.columns == columns, name
+        assert {r[c] for r in docs.select(*names).collect() for c in names} <= {"x"}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() == docs.count()
