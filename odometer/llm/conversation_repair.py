@@ -193,7 +193,8 @@ def _mapped(df: DataFrame, fn, schema: str) -> DataFrame:
 
     ship(df.sparkSession)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(parts, "conv", "stretch").mapInPandas(run, schema)
+    # By another key than joins use: a deal by the same one would be left out.
+    return df.repartition(parts, F.xxhash64("conv", "stretch")).mapInPandas(run, schema)
 
 
 def _times(left: Column, right: Column) -> Column:
