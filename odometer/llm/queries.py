@@ -21,7 +21,7 @@ from odometer.llm.sentencepieces import encode_documents as encode_pieces
 from odometer.llm.sentencepieces import piece_digests
 from odometer.llm.sharding import shard_documents, topology
 from odometer.llm.simhash import near_duplicates
-from odometer.llm.url_filter import RULES, judge_urls
+from odometer.llm.url_filter import RULES, judge_urls, rule_rows
 
 
 #: The tokenizer files of the contracts, at a path that is the same on every machine.
@@ -64,8 +64,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
-    return judge_urls(table(spark, sf_dir, "pages"), rules)
+    return judge_urls(table(spark, sf_dir, "pages"), rule_rows(spark, RULES))
 
 
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ many labels or a very long path costs no more than the rules ask for.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from odometer.llm.common import same
@@ -32,6 +32,13 @@ PREFIX_BYTES = 4
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
+def rule_rows(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
+    """A short list of (host, path, verdict) as a table, made in the JVM."""
+    names = ("host", "path", "verdict")
+    rows = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, rule)]) for rule in rules]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
+
+
 def host_of(url: Column) -> Column:
     return F.translate(F.coalesce(F.regexp_extract(url, _URL, 1), F.lit("")), UPPER, LOWER)
 
@@ -55,27 +62,28 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> Da
     """
     r = rules.select(F.translate("host", UPPER, LOWER).alias("r_host"), F.col("path").alias("r_path"), "verdict")
     r = r.filter("r_host is not null and r_path is not null").withColumn("digest", _digest(F.col("r_host"), F.col("r_path")))
-    shape = r.agg(
-        F.collect_set(F.size(F.split("r_host", r"\."))).alias("labels"), F.collect_set(F.length("r_path")).alias("lengths")
-    ).first()
-    labels, lengths = sorted(shape["labels"]), sorted(shape["lengths"])
+    # The label counts and path lengths that rules have together, and no others.
+    shape = r.select(F.size(F.split("r_host", r"\.")).alias("labels"), F.length("r_path").alias("length")).distinct().collect()
+    shape = sorted((row["labels"], row["length"]) for row in shape)
 
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    if not labels:
+    if not shape:
         return urls.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     distinct = urls.select("host", "path").distinct().filter("host != ''")
     parts = F.split("host", r"\.")
-    suffixes = F.filter(
-        F.array(*[F.when(F.size(parts) >= n, F.substring_index(F.col("host"), ".", -n)) for n in labels]), lambda x: x.isNotNull()
-    )
-    prefixes = F.filter(
-        F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths]), lambda x: x.isNotNull()
-    )
-    expressions = (
-        distinct.withColumn("suffix", F.explode(suffixes))
-        .withColumn("prefix", F.explode(prefixes))
-        .withColumn("digest", _digest(F.col("suffix"), F.col("prefix")))
+    pairs = F.filter(
+        F.array(
+            *[
+                F.when(
+                    (F.size(parts) >= n) & (F.length("path") >= m),
+                    F.struct(F.substring_index(F.col("host"), ".", -n).alias("suffix"), F.substring("path", 1, m).alias("prefix")),
+                )
+                for n, m in shape
+            ]
+        ),
+        lambda x: x.isNotNull(),
     )
+    expressions = distinct.withColumn("pair", F.explode(pairs)).withColumn("digest", _digest(F.col("pair.suffix"), F.col("pair.prefix")))
     short = lambda c: F.substring(c, 1, PREFIX_BYTES)
     e = expressions.select("host", "path", F.col("digest").alias("e_digest"), short(F.col("digest")).alias("short"))
     hits = e.join(r.withColumn("short", short(F.col("digest"))), "short").filter("e_digest = digest")
