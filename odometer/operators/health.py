@@ -128,12 +128,15 @@ def _stamps(history: DataFrame) -> DataFrame:
     return seen.where("t is not null").groupBy("t").agg(F.sum("new_rows").alias("new_rows"))
 
 
-def as_of_last_processed(checks: DataFrame, history: DataFrame, partitions: int | None = None) -> DataFrame:
+def as_of_last_processed(
+    checks: DataFrame, history: DataFrame | None, partitions: int | None = None, stamps: DataFrame | None = None
+) -> DataFrame:
     """For every check time t: the newest ``processed_at <= t`` of the metrics
     history (all versions that were ever written; in a keep-latest table a
     window that is written again has lost its earlier stamps), and
     ``metric_rows``, the serving rows that there were at t (null where the
-    history has no window keys).
+    history has no window keys).  ``stamps`` (t, new_rows: serving rows that
+    appeared with it) stands for the history where these are known.
 
     A distributed prefix maximum that no time distribution can skew.
     Checks and de-duplicated stamps are unioned and range-partitioned on
@@ -145,7 +148,7 @@ def as_of_last_processed(checks: DataFrame, history: DataFrame, partitions: int
     n = _range_parts(checks.sparkSession, partitions)
     timeline = checks.select(
         F.col("check_time").alias("t"), F.lit(1).alias("kind"), F.lit(0).cast("long").alias("new_rows")
-    ).unionByName(_stamps(history).select("t", F.lit(0).alias("kind"), "new_rows"))
+    ).unionByName((_stamps(history) if stamps is None else stamps).select("t", F.lit(0).alias("kind"), "new_rows"))
     # Pin each row's slice once: range bounds are sampled from row order,
     # which an upstream shuffle does not fix, so every reader of the slices
     # must read the same materialized assignment.
@@ -162,7 +165,7 @@ def as_of_last_processed(checks: DataFrame, history: DataFrame, partitions: int
         )
     )
     in_part = Window.partitionBy("_part").orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    counted = all(c in history.columns for c in UTILIZATION_KEY)
+    counted = stamps is not None or all(c in history.columns for c in UTILIZATION_KEY)
     return (
         ranged.withColumn("run_max", F.max(stamp).over(in_part))
         .withColumn("run_rows", F.sum("new_rows").over(in_part))
@@ -179,25 +182,26 @@ def as_of_last_processed(checks: DataFrame, history: DataFrame, partitions: int
 
 def health_transitions(
     checks: DataFrame,
-    history: DataFrame,
+    history: DataFrame | None,
     threshold_seconds: int = DEFAULT_THRESHOLD_SECONDS,
     with_context: bool = True,
     initial_status: F.Column | str | None = None,
     partitions: int | None = None,
     profitability_rows: F.Column | None = None,
+    stamps: DataFrame | None = None,
 ) -> DataFrame:
     """Alert rows: one per check whose status differs from the previous
     check's.  The first check alerts unless ``initial_status`` (the status
     last recorded, e.g. by a previous run) equals it.  ``history`` is the
     metrics history, every version; ``profitability_rows`` (a scalar, e.g. a
-    subquery) goes into the context.
+    subquery) goes into the context; ``stamps`` as in ``as_of_last_processed``.
 
     The previous status is a ``lag`` within each range partition of the
     timeline; the first check of a partition takes the last status of the
     nearest earlier partition that has checks, from a one-row-per-partition
     table.
     """
-    asof = as_of_last_processed(checks, history, partitions)
+    asof = as_of_last_processed(checks, history, partitions, stamps)
     st = health_columns(asof, F.col("check_time"), threshold_seconds)
     part_last = st.groupBy("_part").agg(F.max_by("status", "check_time").alias("last_status"))
     prev_part = part_last.select(

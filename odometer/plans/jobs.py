@@ -6,13 +6,14 @@ import datetime as dt
 import functools
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from odometer import hadoop
 from odometer.operators.profitability import build_report, build_report_for_day, order_report, trip_revenue
 from odometer.operators.health import health_transitions
 from odometer.operators.serving import latest_per_key
+from odometer.schemas import UTILIZATION_KEY
 from odometer.session import ensure_utc, materialize, stored_or_none
 from odometer.sinks.files import append_alerts, write_report_csv, write_report_parquet
 from odometer.sinks.merge import keep_rejects, merge_profitability, only_dates_of, serve_utilization, split_report
@@ -234,7 +235,7 @@ def compact_metrics(
     serve_utilization(spark, serving_path, latest, reject_path, "fold")
     if archive_path is not None:
         (
-            fresh.withColumn("fold", F.lit(number))
+            fresh.withColumn("fold", F.lit(f"f{number}"))  # no number: it is compared as text
             .repartitionByRange("window_date", "window_start", "zone")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -286,32 +287,105 @@ def record_health_alerts(
     checks: DataFrame,
     threshold_seconds: int = 120,
     marks_path: str | None = None,
+    archive_path: str | None = None,
 ) -> DataFrame:
     """Evaluate freshness at the given check times against the metrics history
     and append the status transitions to the alert log.
 
     ``marks_path`` (default: beside the alert log) keeps up to which check the
-    past is evaluated, and the status there.  Only later checks are evaluated,
-    from that status, whether or not they alerted: a re-run over the same
-    checks appends nothing, and a window that is written again later changes
-    no check of the past.  Alerts are stored under the mark they start from,
-    and the mark moves last, so a run that failed in between is repeated
-    without doubling its alerts.
+    past is evaluated, and the status, newest stamp and serving rows there.  Only
+    later checks are evaluated, from that state, whether or not they alerted: a
+    re-run over the same checks appends nothing, and a window that is written
+    again later changes no check of the past.  Alerts are stored under the mark
+    they start from, and the mark moves last, so a run that failed in between is
+    repeated without doubling its alerts.
+
+    The mark also says which batches are accounted for.  A run reads those that
+    came since (in the history, or retired to ``archive_path`` meanwhile) and, to
+    know which of their windows are new, the days these fall into; not the rest.
     """
     ensure_utc(spark)
     marks_path = marks_path or alerts_path.rstrip("/") + "_marks"
     marks = stored_or_none(spark, marks_path)
-    mark = marks.orderBy(F.desc("evaluated_to")).first() if marks is not None else None
-    if mark is not None:
+    mark = marks.orderBy(F.desc("evaluated_to")).first().asDict() if marks is not None else {}
+    since = "start"
+    if mark:
         checks = checks.where(F.col("check_time") > F.lit(mark["evaluated_to"]))
+        since = mark["evaluated_to"].strftime("%Y%m%dT%H%M%S.%f")
     checks = materialize(checks.select("check_time"))
-    status = mark["status"] if mark is not None else None
-    since = mark["evaluated_to"].strftime("%Y%m%dT%H%M%S.%f") if mark is not None else "start"
-    history = spark.read.parquet(history_path)
-    alerts = materialize(health_transitions(checks, history, threshold_seconds, initial_status=status))
+    stamps = materialize(_unseen_stamps(spark, history_path, archive_path, mark))
+    known = _with_base(spark, stamps, mark)
+    alerts = materialize(health_transitions(checks, None, threshold_seconds, initial_status=mark.get("status"), stamps=known))
     append_alerts(alerts, alerts_path, since)
-    done = alerts.agg(F.max_by("status", "created_at").alias("status"))
-    moved = checks.agg(F.max("check_time").alias("evaluated_to")).where("evaluated_to is not null")
-    last = done.select("status").scalar()
-    moved.select("evaluated_to", F.coalesce(last, F.lit(status)).alias("status")).write.mode("append").parquet(marks_path)
+    reach = checks.agg(F.max("check_time").alias("t")).first()["t"]
+    if reach is not None:
+        _move_mark(spark, marks_path, mark, reach, stamps, known, alerts)
     return alerts
+
+
+MARK = "evaluated_to timestamp, status string, last_processed_at timestamp, metric_rows long, seen map<string,long>, fold string"
+
+
+def _history_folders(spark: SparkSession, path: str, partitions: tuple) -> list[dict[str, str]]:
+    """The partition values of each folder of a table, from the listing."""
+    found = hadoop.matches(spark, "/".join([path.rstrip("/"), *(f"{c}=*" for c in partitions)]))
+    return [dict(v.split("=", 1) for v in p.split("/")[-len(partitions) :]) for p in found]
+
+
+def _unseen_stamps(spark: SparkSession, history_path: str, archive_path: str | None, mark: dict) -> DataFrame:
+    """(t, new_rows, stream_run, spark_batch_id, fold) of the batches that the
+    mark doesn't account for: their stamps, and how many windows came with each
+    that no earlier batch had."""
+    seen, fold = mark.get("seen") or {}, mark.get("fold") or ""
+    live = _history_folders(spark, history_path, HISTORY_PARTITIONS)
+    kept = _history_folders(spark, archive_path, ("window_date", "fold")) if archive_path else []
+    news = {f["window_date"] for f in live if int(f["spark_batch_id"]) > seen.get(f["stream_run"], -1)}
+    news |= {f["window_date"] for f in kept if f["fold"] > fold}
+    columns = [*UTILIZATION_KEY, "processed_at", "stream_run", F.col("spark_batch_id").cast("long").alias("spark_batch_id")]
+    frames = []
+    for path, folders, own in ((history_path, live, F.lit("")), (archive_path, kept, F.col("fold").cast("string"))):
+        if any(f["window_date"] in news for f in folders):
+            days = [f"{path.rstrip('/')}/window_date={d}" for d in sorted(news) if any(f["window_date"] == d for f in folders)]
+            frames.append(spark.read.option("basePath", path.rstrip("/")).parquet(*days).select(*columns, own.alias("fold")))
+    if not frames:
+        return spark.createDataFrame([], "t timestamp, new_rows long, stream_run string, spark_batch_id long, fold string")
+    rows = functools.reduce(lambda a, b: a.unionByName(b), frames)
+    # One entry per streaming run.
+    old = F.create_map(*[F.lit(x) for pair in seen.items() for x in pair]) if seen else F.create_map().cast("map<string,long>")
+    rows = rows.withColumn("new", F.col("spark_batch_id") > F.coalesce(F.try_element_at(old, F.col("stream_run")), F.lit(-1)))
+    first = rows.groupBy(*UTILIZATION_KEY).agg(F.bool_and("new").alias("new"), F.min("processed_at").alias("t"))
+    first = first.where("new").groupBy("t").agg(F.count(F.lit(1)).alias("new_rows"))
+    batches = rows.where("new").groupBy("stream_run", "spark_batch_id").agg(F.max("processed_at").alias("t"), F.max("fold").alias("fold"))
+    # Batches may share a stamp; its windows count once.
+    batches = batches.withColumn("nth", F.row_number().over(Window.partitionBy("t").orderBy("stream_run", "spark_batch_id")))
+    counted = F.when(F.col("nth") == 1, F.col("new_rows"))
+    return batches.join(first, "t", "left").select("t", F.coalesce(counted, F.lit(0)).cast("long").alias("new_rows"), "stream_run", "spark_batch_id", "fold")
+
+
+def _with_base(spark: SparkSession, stamps: DataFrame, mark: dict) -> DataFrame:
+    """Stamps after the mark, and what the mark stands for as one more."""
+    new = stamps.select("t", "new_rows")
+    if mark.get("last_processed_at") is None:
+        return new
+    base = spark.range(1, numPartitions=1).select(
+        F.lit(mark["last_processed_at"]).cast("timestamp").alias("t"), F.lit(mark["metric_rows"]).cast("long").alias("new_rows")
+    )
+    return new.unionByName(base).groupBy("t").agg(F.sum("new_rows").alias("new_rows"))
+
+
+def _move_mark(spark: SparkSession, marks_path: str, mark: dict, reach, stamps: DataFrame, known: DataFrame, alerts: DataFrame) -> None:
+    """Batches stamped by the last check are accounted for; later ones are left
+    to the run that checks after them."""
+    past = F.col("t") <= F.lit(reach)
+    at = known.where(past).agg(F.max("t").alias("t"), F.coalesce(F.sum("new_rows"), F.lit(0)).alias("n")).first()
+    # One row per streaming run, and per fold since the last mark.
+    seen = dict(mark.get("seen") or {})
+    seen |= {r[0]: r[1] for r in stamps.where(past).groupBy("stream_run").agg(F.max("spark_batch_id")).collect()}
+    fold = mark.get("fold") or ""
+    for r in stamps.where("fold != ''").groupBy("fold").agg(F.bool_and(past).alias("done")).orderBy("fold").collect():
+        if not r["done"]:
+            break
+        fold = max(fold, r["fold"])
+    last = alerts.orderBy(F.desc("created_at")).select("status").first()
+    row = (reach, last["status"] if last else mark.get("status"), at["t"], at["n"], seen, fold)
+    spark.createDataFrame([row], MARK).write.mode("append").parquet(marks_path)

@@ -104,3 +104,61 @@ def test_rejects_of_the_live_run_outlive_a_fold(spark, scratch, monkeypatch):
     assert compact_metrics(spark, metrics, table, reject_path=rejects) == 2
     kept = sorted((r["reject_step"], r["stream_run"], r["spark_batch_id"], r["zone"]) for r in spark.read.parquet(rejects).collect())
     assert kept == [("fold", "run1", 1, "b"), ("live", "run1", 1, "b")]
+
+
+def checks(spark, minutes):
+    df = spark.createDataFrame([(T0 + dt.timedelta(minutes=m),) for m in minutes], "check_time timestamp_ntz")
+    return df.withColumn("check_time", F.col("check_time").cast("timestamp"))
+
+
+@pytest.mark.parametrize("retire", [False, True])
+def test_alerts_in_steps_equal_one_run_over_all(spark, scratch, retire):
+    """Batches at uneven times, some stamped after the checks that are due;
+    state comes from the mark, not from reading the past again."""
+    from odometer.operators.health import health_transitions
+    from odometer.plans.jobs import record_health_alerts
+
+    metrics, alerts, whole = f"{scratch}/metrics", f"{scratch}/alerts", f"{scratch}/whole"
+    archive = f"{scratch}/archive" if retire else None
+    table = utilization_table(f"{scratch}/serving")
+    steps = [([0], [1, 6]), ([3, 4], [7]), ([], [20, 21]), ([18, 40], [24, 30]), ([41], [46, 47, 60]), ([], [70])]
+    batch = 0
+    for stamps, due in steps:
+        for minute in stamps:
+            for path in (metrics, whole):
+                # a known window again, a new one, and on another day
+                day = dt.timedelta(days=batch % 2)
+                rows = [(T0 + day, "a", batch), (T0 + day, f"z{batch}", 1)]
+                df = spark.createDataFrame(rows, "window_start timestamp_ntz, zone string, telemetry_event_count long")
+                df = df.withColumn("window_start", F.col("window_start").cast("timestamp"))
+                df = df.withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 5 MINUTES"))
+                counts = {c: F.lit(0).cast("long") for c in ("idle_event_count", "on_trip_event_count", "active_event_count")}
+                df = df.withColumns(counts | {c: F.lit(1.0) for c in ("observed_earnings", "average_speed", "idle_ratio")})
+                persist_metrics_batch(df, batch, path, processed_at=T0 + dt.timedelta(minutes=5 + minute))
+            batch += 1
+        record_health_alerts(spark, metrics, alerts, checks(spark, due), archive_path=archive)
+        if retire:
+            compact_metrics(spark, metrics, table, archive_path=archive)
+    every = checks(spark, [m for _, due in steps for m in due])
+    columns = ["created_at", "status", "severity", "message", "context"]
+    want = health_transitions(every, spark.read.parquet(whole), 120).select(*columns).orderBy("created_at").collect()
+    got = spark.read.parquet(alerts).select(*columns).orderBy("created_at").collect()
+    assert len(want) > 4 and got == want
+
+
+def test_alerts_read_the_days_with_news(spark, scratch, monkeypatch):
+    from odometer.plans.jobs import record_health_alerts
+
+    metrics, alerts = f"{scratch}/metrics", f"{scratch}/alerts"
+    for batch in range(10):
+        add(spark, metrics, batch, [(T0 + dt.timedelta(days=batch), "a", batch)])
+    record_health_alerts(spark, metrics, alerts, checks(spark, [20]))
+    add(spark, metrics, 20, [(T0 + dt.timedelta(days=3), "b", 1)])
+    files = []
+    unseen = jobs._unseen_stamps
+    monkeypatch.setattr(jobs, "_unseen_stamps", lambda *a: (files.append(unseen(*a)), files[-1])[1])
+    monkeypatch.setattr(jobs, "materialize", lambda df: (files.append(df.inputFiles()), df)[1])
+    found = record_health_alerts(spark, metrics, alerts, checks(spark, [26])).collect()
+    read = {f for x in files if isinstance(x, list) for f in x if f.startswith("file") and "/metrics/" in f}
+    assert len(read) == 2 and all("window_date=2024-01-04" in f for f in read)
+    assert [r["status"] for r in found] == ["healthy"]
