@@ -156,8 +156,10 @@ def spoiled(conversations: DataFrame) -> DataFrame:
     return rows.filter("damage != 0").select("conv_id", "turn", "role", "text", copies.alias("copy")).drop("copy")
 
 
-def _faults(rows: DataFrame) -> DataFrame:
-    """Rows in order (at), with their code and fault."""
+def _in_order(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows numbered in order (conv, at, turn, initial, role, text), and of each
+    its code and fault (conv, at, turn, fault, code).  Texts don't move for the
+    second."""
     key = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("n"))
     keyed = rows.select(
         key.alias("conv"),
@@ -171,7 +173,7 @@ def _faults(rows: DataFrame) -> DataFrame:
     # Of equal role and text the first row is no duplicate.  Joined by place, not
     # by text, so that a text said very often is no hot key.
     firsts = told.groupBy("conv", "role", F.sha2("text", 256).alias("said")).agg(F.min("at").alias("at")).select("at", F.lit(True).alias("first"))
-    told = told.join(firsts, "at", "left")
+    marked = told.select("conv", "at", "turn", "initial", "ending").join(firsts, "at", "left")
     letter = F.when(F.col("initial").isin("s", "u", "a"), F.col("initial")).otherwise("x")
     fault = (
         F.when(F.col("ending") == "", "blank")
@@ -179,7 +181,8 @@ def _faults(rows: DataFrame) -> DataFrame:
         .when(~F.col("ending").isin(".", "!", "?"), "truncated")
     )
     code = F.when(F.col("fault").isin("blank", "duplicate"), "d").when(F.col("fault") == "truncated", F.upper(letter)).otherwise(letter)
-    return told.select("conv", "at", "turn", "role", "text", "initial", fault.alias("fault")).withColumn("code", code)
+    faults = marked.select("conv", "at", "turn", "initial", fault.alias("fault")).withColumn("code", code).drop("initial")
+    return told.select("conv", "at", "turn", "initial", "role", "text"), faults
 
 
 def _mapped(df: DataFrame, fn, schema: str) -> DataFrame:
@@ -267,12 +270,12 @@ def _moves(rows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     return found.select("conv", "stretch", "first", F.element_at("moves", F.col("entry") + 1).alias("moves")), cost
 
 
-def _edited(rows: DataFrame, moves: DataFrame) -> DataFrame:
-    """Rows with their edits: the inserts before a row, its own move and, at a
-    conversation's end, the inserts behind it."""
-    each = moves.select("conv", "first", F.posexplode(F.regexp_extract_all("moves", F.lit("[ua]*[DKUA](?:[ua]+$)?"), F.lit(0))).alias("n", "edit"))
-    each = each.select((F.col("first") + F.col("n")).alias("at"), "edit")
-    return rows.join(each, "at")
+def _edits(moves: DataFrame) -> DataFrame:
+    """Per row (conv, at) its edit: the inserts before it, its own move and, at
+    a conversation's end, the inserts behind it."""
+    each = F.posexplode(F.regexp_extract_all("moves", F.lit("[ua]*[DKUA](?:[ua]+$)?"), F.lit(0))).alias("n", "edit")
+    each = moves.select("conv", "first", each)
+    return each.select("conv", (F.col("first") + F.col("n")).alias("at"), "edit")
 
 
 def _lines(rows: DataFrame) -> Column:
@@ -290,29 +293,36 @@ def _lines(rows: DataFrame) -> Column:
 LEGAL = {"su", "ua", "au"}
 
 
+SAID = {"u": "user", "a": "assistant", "U": "user", "A": "assistant"}
+
+
 def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Conversations whose sorted rows stream by, in constant memory but for
-    the audit: conv, audit, illegal, repaired_sha256."""
-    conv, audit, illegal, state, said, last = None, [], 0, None, False, ""
+    """Conversations whose sorted rows stream by, each behind its edit, in
+    constant memory but for the audit: conv, audit, illegal, repaired_sha256."""
+    conv, audit, illegal, state, said, last, edit = None, [], 0, None, False, None, ""
     done: list[tuple] = []
 
     def finished() -> tuple:
         return (conv, "".join(audit).translate(str.maketrans("uaUA", "IIRR")), illegal, state.hexdigest())
 
     for batch in batches:
-        for row_conv, initial, edit, lines in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        for row_conv, row_edit, initial, role, text in zip(*(batch.column(i).to_pylist() for i in range(5))):
             if row_conv != conv:
                 if conv is not None:
                     done.append(finished())
                 conv, audit, illegal, state, said, last = row_conv, [], 0, hashlib.sha256(), False, None
+            if row_edit is not None:
+                edit = row_edit
+                continue
             if last is not None and last + initial not in LEGAL:
                 illegal += 1
             last = initial
             audit.append(edit)
-            if lines:
-                if said:
-                    state.update(b"\n")
-                state.update(lines[:-1].encode())
+            for move in edit:
+                if move == "D":
+                    continue
+                line = f"{SAID.get(move, role)}:{'' if move in 'ua' else text}"
+                state.update(("\n" + line if said else line).encode())
                 said = True
         yield _told_batch(done)
         done = []
@@ -329,9 +339,9 @@ def _told_batch(done: list[tuple]) -> pa.RecordBatch:
 def repaired_rows(rows: DataFrame, length: int = STRETCH) -> DataFrame:
     """The rows of the repaired conversations: conv_id as text, at (their order), line
     (``role:text``, several where rows are inserted beside it), edit."""
-    faults = stash(_faults(rows), "faults")
-    moves, _ = _moves(faults, length)
-    edited = _edited(faults, moves)
+    told, faults = _in_order(rows)
+    moves, _ = _moves(stash(faults, "faults"), length)
+    edited = told.join(_edits(moves).drop("conv"), "at")
     return edited.select(F.when(F.col("conv") != "n", F.expr("substring(conv, 2)")).alias("conv_id"), "at", _lines(edited).alias("lines"), "edit")
 
 
@@ -348,12 +358,17 @@ def repair(original: DataFrame, rows: DataFrame, length: int = STRETCH) -> DataF
     columns are ignored.  ``length`` rows are worked on in one piece; the result
     doesn't depend on it.
     """
-    faults = stash(_faults(rows), "faults")
+    told, faults = _in_order(rows)
+    faults = stash(faults, "faults")
     moves, cost = _moves(faults, length)
-    edited = _edited(faults, moves)
-    edited = edited.select("conv", "at", "initial", "edit", _lines(edited).alias("lines"))
+    # Rows and their edits meet in the one shuffle that brings conversations
+    # together, each edit before its row.
+    rows_out = told.select("conv", "at", F.lit(None).cast("string").alias("edit"), "initial", "role", "text")
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("initial", "role", "text")]
+    both = rows_out.unionByName(_edits(moves).select("conv", "at", "edit", *nothing))
     ship(original.sparkSession)
-    streamed = edited.repartition("conv").sortWithinPartitions("conv", "at").select("conv", "initial", "edit", "lines")
+    dealt = both.repartition("conv").sortWithinPartitions("conv", "at", F.col("edit").isNull())
+    streamed = dealt.select("conv", "edit", "initial", "role", "text")
     told = streamed.mapInArrow(_told, "conv string, audit string, illegal long, repaired_sha256 string")
     turns = faults.filter("turn IS NOT NULL").groupBy("conv", "turn").agg(F.lit(1).alias("one")).groupBy("conv").agg(
         (F.max("turn") - F.min("turn") + 1 - F.count(F.lit(1))).cast("long").alias("gaps")
